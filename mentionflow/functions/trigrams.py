@@ -11,6 +11,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mentionflow.operators.filters import keep_where
+
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -33,36 +35,33 @@ def trigrams(text: Column) -> Column:
     return F.array_distinct(F.flatten(pieces))
 
 
-def shared_trigrams(text: Column, phrase: str) -> Column:
-    """How many of the phrase's trigrams a text has, by substring tests on the padded text only.
+def padded_words(text: Column) -> Column:
+    """The text's words with the blanks around them that trigrams are cut from.
 
-    Between two padded words stand three spaces, so no substring across words looks like a trigram of a word.
+    Between two padded words stand three spaces, so no piece across words looks like a trigram of a word.
     """
-    padded = F.concat(F.lit("  "), F.regexp_replace(F.lower(text), _NOT_WORD, "   "), F.lit(" "))
-    tests = [F.contains(padded, F.lit(piece)).cast("int") for piece in _phrase_trigrams(phrase)]
-    return F.coalesce(sum(tests[1:], tests[0]), F.lit(0)) if tests else F.lit(0)
+    return F.concat(F.lit("  "), F.regexp_replace(F.lower(text), _NOT_WORD, "   "), F.lit(" "))
 
 
 def search_similar(df: DataFrame, column: str, phrase: str, threshold: float) -> DataFrame:
     """Rows whose text is at least `threshold` similar to the phrase, with `similarity`.
 
     The union of both trigram sets is never smaller than the phrase's own set, so shared / phrase size bounds the
-    similarity from above. That bound needs no arrays and drops nearly all rows before the exact sets are built.
+    similarity from above. The shared ones are found by substring tests on the padded text, and the bound drops nearly
+    all rows before any text's own trigram set is built. Texts are taken whole.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
-    size = len(_phrase_trigrams(phrase))
-    if size == 0:
+    wanted = _phrase_trigrams(phrase)
+    if not wanted:
         return df.withColumn("similarity", F.lit(0.0)).filter(F.lit(False))
-    shared = shared_trigrams(F.col(column), phrase)
-    similarity = F.col("_shared") / (F.size(trigrams(F.col(column))) + F.lit(size) - F.col("_shared"))
-    return (
-        df.withColumn("_shared", shared)
-        .filter(F.col("_shared") >= F.lit(threshold * size - 1e-9))
-        .withColumn("similarity", similarity)
-        .filter(F.col("similarity") >= F.lit(threshold))
-        .drop("_shared")
-    )
+    tests = [F.contains(F.col("_padded"), F.lit(piece)).cast("int") for piece in wanted]
+    shared = F.col("_shared")
+    similarity = shared / (F.size(trigrams(F.col(column))) + F.lit(len(wanted)) - shared)
+    counted = df.withColumn("_padded", padded_words(F.col(column))).withColumn("_shared", sum(tests[1:], tests[0]))
+    likely = keep_where(counted, shared >= F.lit(threshold * len(wanted) - 1e-9))
+    graded = keep_where(likely.withColumn("similarity", similarity), F.col("similarity") >= F.lit(threshold))
+    return graded.drop("_padded", "_shared")
 
 
 def search_containing(df: DataFrame, column: str, phrase: str) -> DataFrame:

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mentionflow.operators.selectors import select_items
+from mentionflow.operators import selectors
+
+# The page helper travels inside the task, so workers do not need this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(selectors)
 
 #: Rows handed back to the JVM at a time, so that one page with many items does not build one huge batch.
 ROWS_PER_BATCH = 2048
@@ -37,18 +43,23 @@ def extract_items(pages: DataFrame, item_selector: str, field_selectors: list[st
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = selectors.PageReader()
         for batch in batches:
-            yield from _batch_items(batch, kept, item_selector, field_selectors)
+            yield from _batch_items(reader, batch, kept, item_selector, field_selectors)
 
     return pages.mapInArrow(run, schema)
 
 
-def _batch_items(batch, kept, item_selector, field_selectors) -> Iterator[pa.RecordBatch]:
+def _batch_items(reader, batch, kept, item_selector, field_selectors) -> Iterator[pa.RecordBatch]:
     origin: list[int] = []
     order: list[int | None] = []
     values: list[list[list[str]] | None] = []
     errors: list[str | None] = []
 
+    def add(*cells) -> None:
+        for column, cell in zip((origin, order, values, errors), cells):
+            column.append(cell)
+
     def packed() -> pa.RecordBatch:
         rows = pa.array(origin, pa.int64())
         columns = [batch.column(name).take(rows) for name in kept]
@@ -62,22 +73,24 @@ def _batch_items(batch, kept, item_selector, field_selectors) -> Iterator[pa.Rec
     item = batch.column(item_selector)
     fields = [batch.column(name) for name in field_selectors]
     for row in range(batch.num_rows):
-        items, error = _page_items(html[row].as_py(), item[row].as_py(), [column[row].as_py() for column in fields])
+        items, error = _page_items(
+            reader, html[row].as_py(), item[row].as_py(), [column[row].as_py() for column in fields]
+        )
         if not items:
-            origin.append(row), order.append(None), values.append(None), errors.append(error)
+            add(row, None, None, error)
         for position, found in enumerate(items):
-            origin.append(row), order.append(position), values.append(found), errors.append(None)
+            add(row, position, found, None)
             if len(origin) >= ROWS_PER_BATCH:
                 yield packed()
     if origin:
         yield packed()
 
 
-def _page_items(html, item_selector, field_selectors):
+def _page_items(reader, html, item_selector, field_selectors):
     if html is None:
         return [], "no content"
     try:
-        return select_items(html, item_selector, field_selectors), None
+        return reader.items(html, item_selector, field_selectors), None
     except Exception as problem:  # one bad page or rule must not end the job
         return [], f"{type(problem).__name__}: {problem}"
 

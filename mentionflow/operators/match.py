@@ -51,16 +51,13 @@ def _folded_first(folded: Column, keywords: Sequence[str]) -> Column:
 def match_first(posts: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame:
     """Keep rows that have a keyword; add the first one in list order as `keyword_ord`, `keyword`.
 
-    The lower-cased text is a column of its own, so it is computed once per row and not once per keyword.
+    The lower-cased text is a column of its own, so it is computed once per row and not once per keyword; unfolding
+    an array of no or one hit drops the other rows without a filter that would evaluate the tests a second time.
     """
     words = clean_keywords(keywords)
     kept = [name for name in posts.columns if name not in ("keyword", "keyword_ord")]
-    return (
-        posts.withColumn("_folded", F.lower(F.col(text)))
-        .withColumn("_hit", _folded_first(F.col("_folded"), words))
-        .filter(F.col("_hit").isNotNull())
-        .select(*kept, "_hit.keyword_ord", "_hit.keyword")
-    )
+    first = F.array_compact(F.array(_folded_first(F.col("_folded"), words)))
+    return posts.withColumn("_folded", F.lower(F.col(text))).select(*kept, F.inline(first))
 
 
 def with_first_keyword(posts: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame:
@@ -81,8 +78,5 @@ def match_all(posts: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame
     """
     words = clean_keywords(keywords)
     kept = [name for name in posts.columns if name not in ("keyword", "keyword_ord")]
-    return (
-        posts.withColumn("_folded", F.lower(F.col(text)))
-        .withColumn("_hit", F.explode(_folded_hits(F.col("_folded"), words)))
-        .select(*kept, "_hit.keyword_ord", "_hit.keyword")
-    )
+    hits = _folded_hits(F.col("_folded"), words)
+    return posts.withColumn("_folded", F.lower(F.col(text))).select(*kept, F.inline(hits))

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from functools import lru_cache
 from html.parser import HTMLParser
 
 # Elements without an end tag, and what an opening tag closes first when it is still open.
@@ -75,7 +74,6 @@ class Selector:
     deep: bool = False
 
 
-@lru_cache(maxsize=4096)
 def parse_selector(source: str) -> Selector:
     body, attr, text, deep = source.strip(), None, False, False
     takes = _TAKES.search(body)
@@ -156,6 +154,10 @@ class _Collector(HTMLParser):
         self._open_items: list[tuple[int, list[list[str]]]] = []
         self._text: list[str] = []
 
+    def updatepos(self, i, j):
+        """Line numbers are not needed, so they are not counted."""
+        return j
+
     def handle_starttag(self, tag, attrs):
         self._flush()
         self._close_implied(tag)
@@ -239,8 +241,19 @@ class _Collector(HTMLParser):
             self._open_items.pop()
 
 
-def select_items(html: str, item_selector: str, field_selectors: list[str]) -> list[list[list[str]]]:
-    """Per item in document order, per field, all values the field's selector takes inside that item."""
-    collector = _Collector(parse_selector(item_selector), [parse_selector(text) for text in field_selectors])
-    collector.feed(html)
-    return collector.finish()
+class PageReader:
+    """Reads pages with their rules; keeps the parsed selectors of the rules it has met."""
+
+    def __init__(self):
+        self._parsed: dict[str, Selector] = {}
+
+    def _selector(self, source: str) -> Selector:
+        if source not in self._parsed:
+            self._parsed[source] = parse_selector(source)
+        return self._parsed[source]
+
+    def items(self, html: str, item_selector: str, field_selectors: list[str]) -> list[list[list[str]]]:
+        """Per item in document order, per field, all values the field's selector takes inside that item."""
+        collector = _Collector(self._selector(item_selector), [self._selector(text) for text in field_selectors])
+        collector.feed(html)
+        return collector.finish()

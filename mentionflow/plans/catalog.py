@@ -345,7 +345,7 @@ _PHRASE = "the intention that was under the thundering of another and not with h
 @query(_similar_sql("documents", "doc_id, source", "text", _PHRASE, 0.2))
 def fuzzy_document_search(spark, sf_dir):
     """The same search over whole documents."""
-    found = search_similar(ad.table(spark, sf_dir, "documents"), "text", _PHRASE, 0.2)
+    found = search_similar(spread_scan(ad.table(spark, sf_dir, "documents")), "text", _PHRASE, 0.2)
     return found.select("doc_id", "source", F.round("similarity", 6).alias("similarity"))
 
 

@@ -12,6 +12,7 @@ from mentionflow.functions.links import resolve_link
 from mentionflow.functions.times import iso_text, parsed_time
 from mentionflow.operators.dedup import cap_per_keyword
 from mentionflow.operators.extract import all_values, extract_items, first_value
+from mentionflow.operators.filters import keep_where
 from mentionflow.operators.match import clean_keywords, match_all, match_first
 from mentionflow.schema import POST
 from mentionflow.sources.rules import Rule, checked_rules, pages_by_rule
@@ -115,7 +116,7 @@ def web_items(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def titled(items: DataFrame) -> DataFrame:
     """Items with a title; the marker rows of empty or unreadable pages go as well."""
-    return items.filter(F.col("item_ord").isNotNull() & (F.col("title") != ""))
+    return keep_where(items, F.col("item_ord").isNotNull() & (F.col("title") != ""))
 
 
 def web_record(items: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -156,7 +157,7 @@ def card_items(pages: DataFrame) -> DataFrame:
 
 def valid_cards(cards: DataFrame) -> DataFrame:
     """Cards with text and a link to a numbered status."""
-    return cards.filter(F.col("item_ord").isNotNull() & (F.col("text") != "") & F.col("_status").isNotNull())
+    return keep_where(cards, F.col("item_ord").isNotNull() & (F.col("text") != "") & F.col("_status").isNotNull())
 
 
 def card_posts(pages: DataFrame, keywords: Sequence[str], lang: str, max_per_keyword: int) -> DataFrame:
