@@ -8,8 +8,9 @@ Supported: `tag`, `.class`, `#id`, `[attr]`, `[attr="v"]`, `[attr*="v"]`, `[attr
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
-from html.parser import HTMLParser
+from html import unescape
 
 # Elements without an end tag, and what an opening tag closes first when it is still open.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -27,6 +28,8 @@ CLOSED_BY = {
     "th": frozenset({"td", "th"}),
     "tr": frozenset({"td", "th", "tr"}),
 }
+# Elements whose content is text only, and whether character references in it are decoded.
+TEXT_ONLY_TAGS = {"script": False, "style": False, "title": True, "textarea": True}
 # Fixed value: an end tag of any other element does not reach past these.
 SCOPE_TAGS = frozenset("article aside body div footer form header html li main nav ol section table td th ul".split())
 
@@ -34,6 +37,14 @@ _SIMPLE = re.compile(
     r"(?P<tag>\*|[A-Za-z][\w-]*)|\.(?P<cls>[\w-]+)|#(?P<id>[\w-]+)"
     r"|\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>[*^$~]?=)\s*(?:\"(?P<dq>[^\"]*)\"|'(?P<sq>[^']*)'|(?P<bare>[^\]\s]+))\s*)?\]"
 )
+# One piece of markup. Every loop is possessive, so the time to read a page is linear in its length.
+_MARKUP = re.compile(
+    r"<(?:([A-Za-z][^\s/<>]*+)((?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[=\"'])*+)>"
+    r"|/([A-Za-z][^\s/<>]*+)[^<>]*+>|(!--)|[!?/][^<>]*+>)"
+)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?")
+_BARE_VALUE_END = re.compile(r"=\s*[^\s\"']+$")
+_TEXT_ENDS = {tag: re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE) for tag in TEXT_ONLY_TAGS}
 _GAP = re.compile(r"\s*(>)\s*|\s+")
 _TAKES = re.compile(r"(\s*)::(?:(text)|attr\(\s*([\w:-]+)\s*\))\s*$")
 
@@ -54,13 +65,15 @@ class Step:
     tests: list[tuple[str, str | None, str]] = field(default_factory=list)
     child: bool = False
 
-    def accepts(self, tag: str, attrs: dict[str, str]) -> bool:
-        if self.tag is not None and self.tag != tag:
+    def accepts(self, element: _Element) -> bool:
+        if self.tag is not None and self.tag != element.tag:
             return False
-        for name, op, want in self.tests:
-            have = attrs.get(name)
-            if have is None or (op is not None and not _TESTS[op](have, want)):
-                return False
+        if self.tests:
+            attrs = element.attributes()
+            for name, op, want in self.tests:
+                have = attrs.get(name)
+                if have is None or (op is not None and not _TESTS[op](have, want)):
+                    return False
         return True
 
 
@@ -72,6 +85,12 @@ class Selector:
     attr: str | None = None
     text: bool = False
     deep: bool = False
+    last_tag: str | None = None
+    needs_attrs: bool = False
+
+    def may_match(self, tag: str, source: str) -> bool:
+        """Cheap test by tag and by whether there are attributes at all; most elements end here."""
+        return (self.last_tag is None or self.last_tag == tag) and (not self.needs_attrs or bool(source))
 
 
 def parse_selector(source: str) -> Selector:
@@ -112,22 +131,33 @@ def parse_selector(source: str) -> Selector:
                 raise ValueError(f"unsupported selector: {source!r}")
     if not steps and not takes:
         raise ValueError("empty selector")
-    return Selector(steps, attr, text, deep)
+    needs_attrs = attr is not None or (bool(steps) and bool(steps[-1].tests))
+    return Selector(steps, attr, text, deep, steps[-1].tag if steps else None, needs_attrs)
 
 
 class _Element:
-    __slots__ = ("tag", "attrs", "near", "deep")
+    """An open element. Attributes stay unread until a selector asks for them."""
+
+    __slots__ = ("tag", "source", "read", "near", "deep")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs = tag, attrs
-        self.near: list[list[str]] = []
-        self.deep: list[list[str]] = []
+    def __init__(self, tag: str, source: str, deep: tuple):
+        self.tag, self.source, self.read = tag, source, None
+        self.near: tuple = ()
+        self.deep = deep
+
+    def attributes(self) -> dict[str, str]:
+        if self.read is None:
+            self.read = {}
+            if self.source:
+                for name, double, single, bare in _ATTRIBUTE.findall(self.source):
+                    value = double or single or bare
+                    self.read.setdefault(name.lower(), unescape(value) if "&" in value else value)
+        return self.read
 
 
 def _matches(steps: list[Step], path: list[_Element], floor: int) -> bool:
     """Whether the last element of the path fits the steps, looking no higher than index `floor`."""
-    element = path[-1]
-    if not steps[-1].accepts(element.tag, element.attrs):
+    if not steps[-1].accepts(path[-1]):
         return False
     return len(steps) == 1 or _above(steps, len(steps) - 1, path, len(path) - 1, floor)
 
@@ -137,106 +167,122 @@ def _above(steps: list[Step], at: int, path: list[_Element], position: int, floo
         return True
     lowest = max(floor, position - 1) if steps[at].child else floor
     for index in range(position - 1, lowest - 1, -1):
-        element = path[index]
-        if steps[at - 1].accepts(element.tag, element.attrs) and _above(steps, at - 1, path, index, floor):
+        if steps[at - 1].accepts(path[index]) and _above(steps, at - 1, path, index, floor):
             return True
     return False
 
 
-class _Collector(HTMLParser):
+class _Collector:
     """Reads a page once, keeping the open elements and the values of every item; builds no tree."""
 
     def __init__(self, item: Selector, fields: list[Selector]):
-        super().__init__(convert_charrefs=True)
-        self.item, self.fields = item, fields
-        self.items: list[list[list[str]]] = []
+        self._item, self._fields = item, fields
+        self._items: list[list[list[str]]] = []
         self._path: list[_Element] = []
+        self._open_tags: Counter[str] = Counter()
         self._open_items: list[tuple[int, list[list[str]]]] = []
         self._text: list[str] = []
 
-    def updatepos(self, i, j):
-        """Line numbers are not needed, so they are not counted."""
-        return j
-
-    def handle_starttag(self, tag, attrs):
+    def read(self, html: str) -> list[list[list[str]]]:
+        at, search = 0, _MARKUP.search
+        while piece := search(html, at):
+            begin, end = piece.span()
+            if begin > at and self._open_items:
+                self._add_text(html[at:begin])
+            tag, source, closed, comment = piece.groups()
+            if tag is not None:
+                tag = tag.lower()
+                self._open(tag, source)
+                if tag in TEXT_ONLY_TAGS and self._path and self._path[-1].tag == tag:
+                    end = self._text_only(html, end, tag)
+            elif closed is not None:
+                self._close(closed.lower())
+            elif comment is not None:
+                stop = html.find("-->", end)
+                end = stop + 3 if stop >= 0 else len(html)
+            at = end
+        if self._open_items:
+            self._add_text(html[at:])
         self._flush()
-        self._close_implied(tag)
-        values = {}
-        for name, value in attrs:
-            values.setdefault(name, value or "")
-        element = _Element(tag, values)
+        return self._items
+
+    def _add_text(self, text: str, decode: bool = True) -> None:
+        self._text.append(unescape(text) if decode and "&" in text else text)
+
+    def _text_only(self, html: str, at: int, tag: str) -> int:
+        stop = _TEXT_ENDS[tag].search(html, at)
+        end = stop.start() if stop else len(html)
+        if self._open_items:
+            self._add_text(html[at:end], TEXT_ONLY_TAGS[tag])
+        return end
+
+    def _open(self, tag: str, source: str) -> None:
+        if self._text:
+            self._flush()
         path = self._path
         if path:
-            element.deep = path[-1].deep
+            self._close_implied(tag)
+        element = _Element(tag, source, path[-1].deep if path else ())
         path.append(element)
-        if _matches(self.item.steps, path, 0):
-            found = [[] for _ in self.fields]
-            self.items.append(found)
+        self._open_tags[tag] += 1
+        if self._item.may_match(tag, source) and _matches(self._item.steps, path, 0):
+            found = [[] for _ in self._fields]
+            self._items.append(found)
             self._open_items.append((len(path) - 1, found))
         for floor, found in self._open_items:
             self._take(element, floor, found)
-        if tag in VOID_TAGS:
+        if tag in VOID_TAGS or (source.endswith("/") and not _BARE_VALUE_END.search(source)):
             self._pop()
 
-    def handle_endtag(self, tag):
+    def _close(self, tag: str) -> None:
+        if not self._open_tags[tag]:
+            return
         path = self._path
         for index in range(len(path) - 1, -1, -1):
             if path[index].tag == tag:
-                self._flush()
+                if self._text:
+                    self._flush()
                 while len(path) > index:
                     self._pop()
                 return
             if path[index].tag in SCOPE_TAGS and tag not in SCOPE_TAGS:
                 return
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID_TAGS:
-            self._pop()
-
-    def handle_data(self, data):
-        if self._open_items:
-            self._text.append(data)
-
-    def finish(self) -> list[list[list[str]]]:
-        self.close()
-        self._flush()
-        return self.items
-
     def _close_implied(self, tag: str) -> None:
-        closes = CLOSED_BY.get(tag)
+        closes, block = CLOSED_BY.get(tag, ()), tag in BLOCK_TAGS
         while self._path:
             last = self._path[-1].tag
-            if (closes and last in closes) or (last == "p" and tag in BLOCK_TAGS):
-                self._pop()
-            else:
+            if last not in closes and not (block and last == "p"):
                 return
+            self._pop()
 
     def _take(self, element: _Element, floor: int, found: list[list[str]]) -> None:
-        for selector, values in zip(self.fields, found):
+        for selector, values in zip(self._fields, found):
+            if not selector.may_match(element.tag, element.source):
+                continue
             if selector.steps and not _matches(selector.steps, self._path, floor):
                 continue
             if selector.attr is not None:
-                if selector.attr in element.attrs:
-                    values.append(element.attrs[selector.attr])
+                value = element.attributes().get(selector.attr)
+                if value is not None:
+                    values.append(value)
             elif not selector.deep:
-                element.near.append(values)
+                element.near += (values,)
             elif not any(values is known for known in element.deep):
-                element.deep = [*element.deep, values]
+                element.deep += (values,)
 
     def _flush(self) -> None:
-        if not self._text:
-            return
         text = "".join(self._text)
         self._text.clear()
-        if self._path:
-            for values in self._path[-1].near:
+        if text and self._path:
+            top = self._path[-1]
+            for values in top.near:
                 values.append(text)
-            for values in self._path[-1].deep:
+            for values in top.deep:
                 values.append(text)
 
     def _pop(self) -> None:
-        self._path.pop()
+        self._open_tags[self._path.pop().tag] -= 1
         while self._open_items and self._open_items[-1][0] >= len(self._path):
             self._open_items.pop()
 
@@ -254,6 +300,4 @@ class PageReader:
 
     def items(self, html: str, item_selector: str, field_selectors: list[str]) -> list[list[list[str]]]:
         """Per item in document order, per field, all values the field's selector takes inside that item."""
-        collector = _Collector(self._selector(item_selector), [self._selector(text) for text in field_selectors])
-        collector.feed(html)
-        return collector.finish()
+        return _Collector(self._selector(item_selector), [self._selector(text) for text in field_selectors]).read(html)
