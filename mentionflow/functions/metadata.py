@@ -38,9 +38,13 @@ def _contains(node: Column, pattern: Any) -> Column:
         items = F.try_variant_get(node, "$", "array<variant>")
         test = F.to_json(node).startswith("[")
         for part in pattern:
-            test = test & F.exists(items, lambda item, part=part: F.coalesce(_contains(item, part), F.lit(False)))
+            test = test & _some(items, part)
         return test
     text = F.to_json(node)
     if isinstance(pattern, bool) or pattern is None or isinstance(pattern, str):
         return text == F.lit(json.dumps(pattern, ensure_ascii=False))
     return text.rlike(r"^[-0-9]") & (F.try_variant_get(node, "$", "double") == F.lit(float(pattern)))
+
+
+def _some(items: Column, part: Any) -> Column:
+    return F.exists(items, lambda item: F.coalesce(_contains(item, part), F.lit(False)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,20 +35,20 @@ def cap_per_keyword(
     """Keep the first `limit` rows per keyword; `rank` names a column for the position.
 
     Up to `EARLY_CUT_LIMIT` Spark cuts map-side and a hot keyword sends `limit` rows per map task. Above that the rows
-    are ranked twice: first per keyword and salt, so a hot keyword is spread over all reducers, then the survivors.
+    are ranked in rounds: per keyword and salt over all reducers, then per keyword and group of salts, then per
+    keyword. No round gives a task more than the square root of the reducer count times the limit, except the first,
+    which spreads a hot keyword evenly.
     """
     if limit < 1:
         raise ValueError("the cap must be a positive number")
     name = rank or "_rank"
     if limit > EARLY_CUT_LIMIT:
         salts = max(2, int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        spread = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        posts = (
-            posts.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
-            .withColumn("_early", F.row_number().over(spread))
-            .filter(F.col("_early") <= limit)
-            .drop("_early", "_salt")
-        )
+        posts = posts.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
+        for groups in (salts, math.isqrt(salts - 1) + 1):
+            part = Window.partitionBy(*keys, F.pmod("_salt", F.lit(groups))).orderBy(*order)
+            posts = posts.withColumn("_early", F.row_number().over(part)).filter(F.col("_early") <= limit)
+        posts = posts.drop("_early", "_salt")
     window = Window.partitionBy(*keys).orderBy(*order)
     ranked = posts.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= limit)
     return ranked if rank else ranked.drop(name)
@@ -63,16 +64,16 @@ def stored_after(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     return stored.unionByName(not_stored(incoming, stored), allowMissingColumns=True)
 
 
-def run_counters(posts: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+def run_counters(posts: DataFrame) -> DataFrame:
     """One row: posts kept per source type, and duplicates skipped.
 
-    Counted per key with partial aggregation; the kept row's type is the one that comes first in the order.
+    A source has one type, so the type of any copy is that of the kept one. Both columns of the per-key aggregation
+    are fixed-width, which keeps it a hash aggregation with map-side combine: copies of a hot post meet early.
     """
-    per_key = posts.groupBy(*POST_KEY).agg(
-        F.count("*").alias("copies"), F.min_by("source_type", F.struct(*order)).alias("source_type")
-    )
+    kind = F.when(F.col("source_type") == "social", 0).when(F.col("source_type") == "web", 1).otherwise(2)
+    per_key = posts.groupBy(*POST_KEY).agg(F.count("*").alias("copies"), F.min(kind).alias("kind"))
     return per_key.agg(
-        F.count_if(F.col("source_type") == "social").alias("social"),
-        F.count_if(F.col("source_type") == "web").alias("web"),
+        F.count_if(F.col("kind") == 0).alias("social"),
+        F.count_if(F.col("kind") == 1).alias("web"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"),
     )

@@ -209,11 +209,8 @@ SELECT social.kept AS social, web.kept AS web,
        CAST(social.rows_in - social.kept + web.rows_in - web.kept AS BIGINT) AS duplicates FROM social, web""")
 def run_stats(spark, sf_dir):
     found = match_all(ad.documents(spark, sf_dir), "text", ad.KEYWORDS)
-    web = found.select("source", "source_type", "post_id", "keyword_ord")
-    social = social_record(ad.social_items(spark, sf_dir)).select(
-        "source", "source_type", "post_id", F.lit(0).alias("keyword_ord")
-    )
-    return run_counters(web.unionByName(social), ["keyword_ord"])
+    columns = ["source", "source_type", "post_id"]
+    return run_counters(found.select(columns).unionByName(social_record(ad.social_items(spark, sf_dir)).select(columns)))
 
 
 # ---- inserts and sentiment write-back ----

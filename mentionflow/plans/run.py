@@ -18,7 +18,7 @@ from mentionflow.plans.config import RunConfig
 from mentionflow.session import delete_path, spread_scan, staged
 from mentionflow.sinks.fanout import Sinks, publish
 from mentionflow.sources import platforms
-from mentionflow.sources.posts import ARRIVAL_ORDER, arrival, card_posts, social_posts, web_posts
+from mentionflow.sources.posts import arrival, card_posts, social_posts, web_posts
 
 log = logging.getLogger(__name__)
 
@@ -98,7 +98,7 @@ def run(spark: SparkSession, config: RunConfig, inputs: Mapping[str, Landed], da
         return RunReport(0, 0, 0, failed)
     posts = reduce(lambda left, right: left.unionByName(right), [frame for frame, _ in done.values()])
     publish(posts, Sinks(config.output_dir, config.table_dir, config.database), uuid.uuid4().hex, day)
-    counts = run_counters(posts, ARRIVAL_ORDER).first()
+    counts = run_counters(posts).first()
     for _, path in done.values():
         delete_path(spark, path)
     return RunReport(counts["social"], counts["web"], counts["duplicates"], failed)

@@ -83,14 +83,18 @@ def _append(rows: DataFrame, path: str, mode: str) -> None:
 def write_scores(scores: DataFrame, path: str) -> None:
     """Fill in the scores of the sentiment stage, rewriting only directories that hold a scored post.
 
-    The new rows are staged in the shared folder before the directories are replaced.
+    When the scores also carry `source` and `scraped_date`, those name the directories; otherwise the ids of the
+    table are read to find them. The new rows are staged in the shared folder before directories are replaced.
     """
     spark = scores.sparkSession
     table = read_posts(spark, path)
-    scores, scores_path = staged(scores.select(*SCORE.names), "scores")
-    touched = table.join(scores, "id", "left_semi").select(*STORED_PARTITIONS).distinct().collect()
+    located = set(STORED_PARTITIONS) <= set(scores.columns)
+    scores, scores_path = staged(scores.select(*SCORE.names, *(STORED_PARTITIONS if located else ())), "scores")
+    holding = scores if located else table.join(scores, "id", "left_semi")
+    touched = holding.select(*STORED_PARTITIONS).distinct().collect()
     if touched:
-        rows, rows_path = staged(apply_scores(table.filter(_in_directories(touched)), scores), "rescored")
+        rescored = apply_scores(table.filter(_in_directories(touched)), scores)
+        rows, rows_path = staged(rescored, "rescored")
         _append(rows, path, "overwrite")
         delete_path(spark, rows_path)
     delete_path(spark, scores_path)

@@ -24,6 +24,9 @@ class Rule:
     link_selector: str
 
 
+#: Sources that are not pages; a rule of such a name would give one source two types.
+SOCIAL_SOURCES = frozenset({"x", "instagram", "tiktok", "youtube"})
+
 # The sources monitored by default.
 DEFAULT_RULES = (
     Rule(
@@ -70,8 +73,8 @@ def checked_rules(rules: Sequence[Rule]) -> list[Rule]:
         for selector in (rule.post_selector, rule.title_selector, rule.link_selector):
             parse_selector(selector)
     names = [rule.name for rule in rules]
-    if len(set(names)) != len(names):
-        raise ValueError("rule names must be unique")
+    if len(set(names)) != len(names) or not all(names) or set(names) & SOCIAL_SOURCES:
+        raise ValueError("rule names must be given, unique, and none of " + ", ".join(sorted(SOCIAL_SOURCES)))
     return list(rules)
 
 
