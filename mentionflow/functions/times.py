@@ -31,6 +31,11 @@ def utc_wall_time(ts: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
 
 
+def from_utc_wall_time(wall: Column) -> Column:
+    """The timestamp of a UTC wall-clock time, whatever the session's time zone is."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), wall).cast("timestamp")
+
+
 def utc_day(ts: Column) -> Column:
     return F.date_format(utc_wall_time(ts), DAY_FORMAT)
 

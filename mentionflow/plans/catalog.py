@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from mentionflow.functions import metadata
 from mentionflow.functions import text as tx
 from mentionflow.functions.links import host_of, resolve_link
-from mentionflow.functions.times import parsed_time, utc_day, utc_wall_time
+from mentionflow.functions.times import from_utc_wall_time, parsed_time, utc_day, utc_wall_time
 from mentionflow.functions.trigrams import search_containing, search_similar
 from mentionflow.operators.dedup import cap_per_keyword, first_wins, run_counters, stored_after
 from mentionflow.operators.extract import source_health
@@ -48,7 +48,7 @@ from mentionflow.sources.posts import (
     web_posts,
 )
 from mentionflow.sources.rules import pages_by_rule
-from mentionflow.streaming.ingest import start_ingest
+from mentionflow.streaming.ingest import drop_seen, start_ingest, unscored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,7 +144,7 @@ def source_yield_report(spark, sf_dir):
 @query("""SELECT 'x' AS source, strftime(ts, '%Y%m%d') AS day, count(*) AS posts FROM events GROUP BY ALL""")
 def daily_bucket(spark, sf_dir):
     events = ad.table(spark, sf_dir, "events")
-    return daily_buckets(events.select(F.lit("x").alias("source"), F.col("ts").alias("scraped_at")))
+    return daily_buckets(events.select(F.lit("x").alias("source"), from_utc_wall_time(F.col("ts")).alias("scraped_at")))
 
 
 # ---- matching, duplicates, caps ----
@@ -596,6 +596,32 @@ def stream_ingest_dedup(spark, sf_dir):
     return stored.select("source", "post_id", "keyword", "url", utc_wall_time(F.col("created_at")).alias("created_at"))
 
 
+@query("SELECT DISTINCT 'x' AS source, CAST(event_id AS VARCHAR) AS post_id, event_type AS keyword FROM events")
+def stream_bounded_dedup(spark, sf_dir):
+    """Events landed twice through the stateful dedup, with a delay longer than the table spans so none is late."""
+    events = ad.table(spark, sf_dir, "events")
+    landing, work = new_path(spark, "landing"), new_path(spark, "stream")
+    events.union(events).repartition(4).write.parquet(landing)
+    stream = stream_landed(spark, landing, events.schema, files_per_trigger=2)
+    items = stream.select(*ad.social_columns(), F.col("event_type").alias("keyword"), "ts")
+    posts = social_record(items, extra=[from_utc_wall_time(F.col("ts")).alias("seen_at")])
+    once = drop_seen(posts.select("source", "post_id", "keyword", "seen_at"), "400 days", "seen_at")
+    writer = once.writeStream.format("parquet").option("checkpointLocation", f"{work}/checkpoint")
+    writer.trigger(availableNow=True).start(f"{work}/out").awaitTermination()
+    return spark.read.schema(once.schema).parquet(f"{work}/out").drop("seen_at")
+
+
+@query(f"""WITH {ad.SQL_FIRST} SELECT source, post_id, keyword FROM first_match
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def pending_poll(spark, sf_dir):
+    """The work queue when scores are kept in a table of their own."""
+    posts = _matched(spark, sf_dir).select(
+        tx.record_id(F.col("source"), F.col("post_id")).alias("id"), "source", "post_id", "keyword",
+        F.lit(None).cast("string").alias("sentiment_label"),
+    )
+    return unscored(posts, _score_rows(spark, sf_dir, "timestamp")).select("source", "post_id", "keyword")
+
+
 @query(f"""WITH {ad.SQL_FIRST}, sinks(sink) AS (VALUES ('jsonl'), ('table'))
 SELECT sink, source, post_id, keyword, text FROM first_match, sinks""")
 def stream_fanout_equals_batch(spark, sf_dir):
