@@ -88,10 +88,6 @@ class Selector:
     last_tag: str | None = None
     needs_attrs: bool = False
 
-    def may_match(self, tag: str, source: str) -> bool:
-        """Cheap test by tag and by whether there are attributes at all; most elements end here."""
-        return (self.last_tag is None or self.last_tag == tag) and (not self.needs_attrs or bool(source))
-
 
 def parse_selector(source: str) -> Selector:
     body, attr, text, deep = source.strip(), None, False, False
@@ -135,6 +131,22 @@ def parse_selector(source: str) -> Selector:
     return Selector(steps, attr, text, deep, steps[-1].tag if steps else None, needs_attrs)
 
 
+class _PageRule:
+    """An item selector with its field selectors, and which of the fields can concern an element of a given tag."""
+
+    def __init__(self, item_selector: str, field_selectors: tuple[str, ...]):
+        self.item = parse_selector(item_selector)
+        self.fields = [parse_selector(source) for source in field_selectors]
+        self._by_tag: dict[str, list[tuple[int, Selector]]] = {}
+
+    def fields_of(self, tag: str) -> list[tuple[int, Selector]]:
+        found = self._by_tag.get(tag)
+        if found is None:
+            found = [(at, field) for at, field in enumerate(self.fields) if field.last_tag in (None, tag)]
+            self._by_tag[tag] = found
+        return found
+
+
 class _Element:
     """An open element. Attributes stay unread until a selector asks for them."""
 
@@ -175,8 +187,8 @@ def _above(steps: list[Step], at: int, path: list[_Element], position: int, floo
 class _Collector:
     """Reads a page once, keeping the open elements and the values of every item; builds no tree."""
 
-    def __init__(self, item: Selector, fields: list[Selector]):
-        self._item, self._fields = item, fields
+    def __init__(self, rule: _PageRule):
+        self._rule = rule
         self._items: list[list[list[str]]] = []
         self._path: list[_Element] = []
         self._open_tags: Counter[str] = Counter()
@@ -225,12 +237,16 @@ class _Collector:
         element = _Element(tag, source, path[-1].deep if path else ())
         path.append(element)
         self._open_tags[tag] += 1
-        if self._item.may_match(tag, source) and _matches(self._item.steps, path, 0):
-            found = [[] for _ in self._fields]
+        item = self._rule.item
+        if item.last_tag in (None, tag) and (source or not item.needs_attrs) and _matches(item.steps, path, 0):
+            found = [[] for _ in self._rule.fields]
             self._items.append(found)
             self._open_items.append((len(path) - 1, found))
-        for floor, found in self._open_items:
-            self._take(element, floor, found)
+        if self._open_items:
+            for at, selector in self._rule.fields_of(tag):
+                if source or not selector.needs_attrs:
+                    for floor, found in self._open_items:
+                        self._take(selector, element, floor, found[at])
         if tag in VOID_TAGS or (source.endswith("/") and not _BARE_VALUE_END.search(source)):
             self._pop()
 
@@ -256,20 +272,17 @@ class _Collector:
                 return
             self._pop()
 
-    def _take(self, element: _Element, floor: int, found: list[list[str]]) -> None:
-        for selector, values in zip(self._fields, found):
-            if not selector.may_match(element.tag, element.source):
-                continue
-            if selector.steps and not _matches(selector.steps, self._path, floor):
-                continue
-            if selector.attr is not None:
-                value = element.attributes().get(selector.attr)
-                if value is not None:
-                    values.append(value)
-            elif not selector.deep:
-                element.near += (values,)
-            elif not any(values is known for known in element.deep):
-                element.deep += (values,)
+    def _take(self, selector: Selector, element: _Element, floor: int, values: list[str]) -> None:
+        if selector.steps and not _matches(selector.steps, self._path, floor):
+            return
+        if selector.attr is not None:
+            value = element.attributes().get(selector.attr)
+            if value is not None:
+                values.append(value)
+        elif not selector.deep:
+            element.near += (values,)
+        elif not any(values is known for known in element.deep):
+            element.deep += (values,)
 
     def _flush(self) -> None:
         text = "".join(self._text)
@@ -291,13 +304,12 @@ class PageReader:
     """Reads pages with their rules; keeps the parsed selectors of the rules it has met."""
 
     def __init__(self):
-        self._parsed: dict[str, Selector] = {}
-
-    def _selector(self, source: str) -> Selector:
-        if source not in self._parsed:
-            self._parsed[source] = parse_selector(source)
-        return self._parsed[source]
+        self._rules: dict[tuple[str, ...], _PageRule] = {}
 
     def items(self, html: str, item_selector: str, field_selectors: list[str]) -> list[list[list[str]]]:
         """Per item in document order, per field, all values the field's selector takes inside that item."""
-        return _Collector(self._selector(item_selector), [self._selector(text) for text in field_selectors]).read(html)
+        key = (item_selector, *field_selectors)
+        rule = self._rules.get(key)
+        if rule is None:
+            rule = self._rules[key] = _PageRule(item_selector, tuple(field_selectors))
+        return _Collector(rule).read(html)
