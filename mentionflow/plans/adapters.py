@@ -30,8 +30,19 @@ AD_RULES = tuple(
 )
 
 
+#: Layouts of the given tables, so that no read starts a job to find them out.
+TABLES = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def minutes_after_start(number: Column) -> Column:
@@ -101,9 +112,10 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events rendered as search-result pages: one page per type and block of 25 ids, so at most 25 cards each.
+    """Events rendered as search-result pages of three cards: one without text, the event, one without a usable link.
 
-    The number in `props` decides which form a card has, among them cards without text and with unusable links.
+    The number in `props` decides which form the event's card has, unusable ones among them. A page comes from one
+    row, so no event is grouped with others and the pages are as evenly spread as the events.
     """
     number, event = props_number(), F.col("event_id").cast("string")
     handle = F.concat(F.lit("/user"), F.col("user_id"))
@@ -127,15 +139,12 @@ def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('">who</a><div data-testid="tweetText">'), words, F.lit('</div><a href="'), href,
         F.lit('"><time datetime="'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('Z">then</time></a></article>'),
     )
-    cards = table(spark, sf_dir, "events").select(
+    before = '<html><body><section><article data-testid="tweet"><a href="/ad/status/1">ad</a></article>'
+    after = '<article data-testid="tweet"><div data-testid="tweetText">more</div><a href="/more">x</a></article></section>'
+    return table(spark, sf_dir, "events").select(
         F.col("event_type").alias("keyword"),
-        F.floor(F.col("event_id") / 25).alias("page_no"),
-        F.struct("event_id", card.alias("card")).alias("entry"),
-    )
-    pages = cards.groupBy("keyword", "page_no").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
-    body = F.array_join(F.transform("entries", lambda entry: entry["card"]), "\n")
-    return pages.select(
-        "keyword", "page_no", F.concat(F.lit("<html><body><section>"), body, F.lit("</section>")).alias("html")
+        F.col("event_id").alias("page_no"),
+        F.concat(F.lit(before), card, F.lit(after)).alias("html"),
     )
 
 

@@ -549,7 +549,7 @@ valid AS (SELECT keyword, CAST(event_id AS VARCHAR) AS post_id, event_id,
 @query(f"WITH {_CARD_ROWS} SELECT keyword, post_id, text, author, created_at, url FROM valid")
 def extract_cards(spark, sf_dir):
     """All valid cards of the rendered pages."""
-    cards = valid_cards(card_items(ad.card_pages(spark, sf_dir)))
+    cards = valid_cards(card_items(spread_scan(ad.card_pages(spark, sf_dir))))
     return cards.select(
         "keyword", tx.status_id(F.col("_status")).alias("post_id"), "text", "author", "created_at",
         tx.on_social_host(F.col("_status")).alias("url"),
@@ -561,7 +561,7 @@ def extract_cards(spark, sf_dir):
 QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY event_id) <= 50""")
 def search_cards(spark, sf_dir):
     """Search over rendered pages: the cap counts valid cards only."""
-    posts = card_posts(ad.card_pages(spark, sf_dir), ["signup", "error", "view"], "en", ad.SEARCH_LIMIT)
+    posts = card_posts(spread_scan(ad.card_pages(spark, sf_dir)), ["signup", "error", "view"], "en", ad.SEARCH_LIMIT)
     return _once(posts).drop("scraped_at", "arrival_major", "arrival_minor")
 
 

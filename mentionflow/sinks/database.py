@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionflow.operators.dedup import not_stored
-from mentionflow.schema import POST_KEY
 from mentionflow.sinks.table import to_stored
 
 # Size of the connection pool.
@@ -33,10 +32,11 @@ def key_predicates(parts: int = MAX_CONNECTIONS, bucket: str = "mod(abs(hashtext
     return [f"{expression} = {part}" for part in range(parts)]
 
 
-def read_keys(spark: SparkSession, options: Mapping[str, str], predicates: list[str] | None = None) -> DataFrame:
+def read_database(spark: SparkSession, options: Mapping[str, str], predicates: list[str] | None = None) -> DataFrame:
+    """The stored posts of the database, read over one connection per predicate. Column pruning reaches the database."""
     properties = {key: value for key, value in options.items() if key not in ("url", "dbtable", "numPartitions")}
     parts = predicates or key_predicates()
-    return spark.read.jdbc(options["url"], options["dbtable"], predicates=parts, properties=properties).select(*POST_KEY)
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=parts, properties=properties)
 
 
 def insert_database(posts: DataFrame, options: Mapping[str, str], known: DataFrame | None = None) -> None:
@@ -45,6 +45,6 @@ def insert_database(posts: DataFrame, options: Mapping[str, str], known: DataFra
     The database makes its own id and leaves the sentiment empty. For JSON and enum columns the URL of a PostgreSQL
     database needs `stringtype=unspecified`.
     """
-    stored = known if known is not None else read_keys(posts.sparkSession, options)
+    stored = known if known is not None else read_database(posts.sparkSession, options)
     rows = to_stored(not_stored(posts, stored)).select(*DATABASE_COLUMNS)
     rows.write.format("jdbc").options(**options).mode("append").save()

@@ -45,6 +45,12 @@ def read_posts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_POST).parquet(path)
 
 
+def create_table(spark: SparkSession, path: str) -> None:
+    """Make an empty table unless there is one."""
+    if not path_exists(spark, path):
+        spark.createDataFrame([], STORED_POST).write.mode("ignore").partitionBy(*STORED_PARTITIONS).parquet(path)
+
+
 def insert_posts(posts: DataFrame, path: str) -> None:
     """Append the posts whose key the table does not have.
 

@@ -88,6 +88,9 @@ def test_lines_have_all_keys_and_raw_as_an_object(spark, tmp_path):
 def test_empty_table_and_empty_batch(spark, tmp_path):
     path = str(tmp_path / "table")
     assert table.read_posts(spark, path).count() == 0
+    table.create_table(spark, path)
+    table.create_table(spark, path)
+    assert table.read_posts(spark, path).count() == 0
     publish(posts(spark, ROWS).limit(0), Sinks(str(tmp_path / "out"), path), "b")
     assert table.read_posts(spark, path).count() == 0
 
