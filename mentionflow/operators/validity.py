@@ -11,6 +11,7 @@ from mentionflow.schema import REQUIRED, SOURCE_TYPES
 def problems() -> Column:
     """What is wrong with a row, as an array in column order; empty for a valid row."""
     tests = [F.when(F.col(name).isNull(), F.lit(f"{name} is null")) for name in REQUIRED]
+    tests.append(F.when(F.col("source") == "", F.lit("source is empty")))  # it names a directory of the table
     known = F.col("source_type").isin(*SOURCE_TYPES)
     tests.append(F.when(~known, F.lit("source_type is not social or web")))
     return F.array_compact(F.array(*tests))

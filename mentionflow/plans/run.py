@@ -92,12 +92,16 @@ def collect_families(
 
 
 def run(spark: SparkSession, config: RunConfig, inputs: Mapping[str, Landed], day: str | None = None) -> RunReport:
-    """Run the selected families over their landed inputs and write to all configured sinks."""
+    """Run the selected families over their landed inputs and write to all configured sinks.
+
+    Rows that break the table's rules go to `<output_dir>-rejected` with the reasons.
+    """
     done, failed = collect_families(spark, config, inputs)
     if not done:
         return RunReport(0, 0, 0, failed)
     posts = reduce(lambda left, right: left.unionByName(right), [frame for frame, _ in done.values()])
-    publish(posts, Sinks(config.output_dir, config.table_dir, config.database), uuid.uuid4().hex, day)
+    rejected = f"{config.output_dir.rstrip('/')}-rejected"
+    publish(posts, Sinks(config.output_dir, config.table_dir, config.database, rejected), uuid.uuid4().hex, day)
     counts = run_counters(posts).first()
     for _, path in done.values():
         delete_path(spark, path)

@@ -18,7 +18,7 @@ from mentionflow.sources.posts import ARRIVAL_ORDER
 
 @dataclass(frozen=True)
 class Sinks:
-    """Output targets. The files are always written, table and database only when named."""
+    """Output targets. The files are always written, table, database and faulty rows only when named."""
 
     output_dir: str
     table_dir: str | None = None
@@ -27,7 +27,7 @@ class Sinks:
 
 
 def publish(posts: DataFrame, sinks: Sinks, batch: str, day: str | None = None) -> None:
-    """Deduplicate a batch of posts with arrival columns and write it to all sinks.
+    """Deduplicate a batch of posts with arrival columns and write it to all sinks; faulty rows are set aside.
 
     The deduplicated batch is written once to the shared work folder and read from there by every sink, so the
     sources are not computed again, no sink sees other rows than the next, and a lost executor costs one re-read.

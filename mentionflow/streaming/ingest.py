@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from mentionflow.schema import POST_KEY
+from mentionflow.session import delete_path, staged
 from mentionflow.sinks.fanout import Sinks, publish
 
 
@@ -27,7 +28,12 @@ def start_ingest(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        publish(to_posts(batch), sinks, f"{number:09d}", day)
+        posts = to_posts(batch)
+        if not sinks.quarantine_dir:
+            return publish(posts, sinks, f"{number:09d}", day)
+        once, path = staged(posts, "micro-batch")  # read twice: for the faulty rows and for the others
+        publish(once, sinks, f"{number:09d}", day)
+        delete_path(batch.sparkSession, path)
 
     writer = landed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}

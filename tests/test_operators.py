@@ -139,11 +139,12 @@ def test_counting_combines_before_the_shuffle(spark):
 
 def test_faults_are_named(spark):
     good = dict.fromkeys(POST.names, "v") | {"source_type": "web"}
-    rows = [good, good | {"source_type": "forum"}, good | {"text": None, "source": None}, good | {"url": None}]
+    rows = [good, good | {"source_type": "forum"}, good | {"text": None, "source": None}, good | {"url": None},
+            good | {"source": ""}]
     frame = spark.createDataFrame([tuple(row[name] for name in POST.names) for row in rows], POST)
     assert validity.valid_rows(frame).count() == 2
     reasons = sorted(tuple(row["reason"]) for row in validity.rejected_rows(frame).collect())
-    assert reasons == [("source is null", "text is null"), ("source_type is not social or web",)]
+    assert reasons == [("source is empty",), ("source is null", "text is null"), ("source_type is not social or web",)]
 
 
 # ---- extraction ----

@@ -119,7 +119,7 @@ def test_queries_skip_directories(spark, tmp_path):
     in_range = by_keyword_and_time(stored, "k", "2026-01-01 00:00:00", "2026-01-01 12:00:00")
     assert keys_of(in_range) == [("a", "1", "k"), ("b", "1", "k")]
     filters = [line for line in plan_of(in_range).splitlines() if line.startswith("PartitionFilters")]
-    assert "scraped_date" in filters[0] and "2026-01-02" in filters[0] or "scraped_date" in filters[0]
+    assert "scraped_date" in filters[0] and "2026-01-02" in filters[0]
     assert "source" in next(line for line in plan_of(by_source(stored, "a")).splitlines() if line.startswith("PartitionFilters"))
     files = in_range.select(F.input_file_name()).distinct().collect()
     assert all("2026-01-03" not in row[0] for row in files)
@@ -227,6 +227,20 @@ def test_configuration_order():
             resolve_config(given, env)
 
 
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    from mentionflow.__main__ import main
+
+    html = '<a href="/read/1">Policy one</a><a href="/read/2">weather</a>'
+    pages = spark.createDataFrame([(1, "https://www.kompas.com/", html)], PAGE)
+    pages.write.parquet(str(tmp_path / "pages"))
+    options = ["--landed", f"web={tmp_path}/pages", "--output-dir", f"{tmp_path}/out", "--table-dir", f"{tmp_path}/table"]
+    monkeypatch.setattr("sys.argv", ["mentionflow", *options, "--source", "web"])
+    monkeypatch.setenv("KEYWORDS", "weather, policy")
+    main()
+    assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"social": 0, "web": 2, "duplicates": 0, "failed": {}}
+    assert {row["keyword"] for row in table.read_posts(spark, f"{tmp_path}/table").collect()} == {"policy", "weather"}
+
+
 def test_platform_records(spark):
     caption = spark.createDataFrame([("1", "b", None, "https://p/1", None, "caption", "m", None)], CAPTION_ITEM)
     row = platforms.caption_posts(caption).first()
@@ -250,7 +264,7 @@ def test_stream_gives_the_table_of_the_batch(spark, tmp_path):
     half = [("a", str(n % 7), "k", n, n) for n in range(20)]
     for number, part in enumerate((half[:10], half[5:])):
         posts(spark, part).coalesce(1).write.parquet(str(landing / str(number)))
-    sinks = Sinks(str(tmp_path / "out"), str(tmp_path / "table"))
+    sinks = Sinks(str(tmp_path / "out"), str(tmp_path / "table"), quarantine_dir=str(tmp_path / "bad"))
     schema = posts(spark, half).schema
 
     def ingest():
