@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Up to this many keywords the tests are spelled out and compiled; longer lists become one array constant.
-INLINE_KEYWORDS = 64
+INLINE_KEYWORDS = 32
 
 _HIT = "struct<keyword_ord:int,keyword:string>"
 
