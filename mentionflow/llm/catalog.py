@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionflow.llm import bpe, packing
+from mentionflow.llm import bpe, line_dedup, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op9_simhash": simhash.op9_simhash,
     "op10_bpe_codec": bpe.op10_bpe_codec,
 }
 
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {
+    "op4_line_dedup": line_dedup.OP4_SQL,
+}
