@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionflow.llm import bpe, line_dedup, packing, simhash
+from mentionflow.llm import bpe, license_scan, line_dedup, packing, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
     "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op5_url_filter": url_filter.op5_url_filter,
+    "op7_license_scan": license_scan.op7_license_scan,
     "op9_simhash": simhash.op9_simhash,
     "op10_bpe_codec": bpe.op10_bpe_codec,
 }
 
 CHECKS: dict[str, str] = {
     "op4_line_dedup": line_dedup.OP4_SQL,
+    "op5_url_filter": url_filter.OP5_SQL,
 }
