@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionflow.llm import bpe, license_scan, line_dedup, packing, simhash, toxicity, url_filter
+from mentionflow.llm import bpe, curve_search, license_scan, line_dedup, packing, simhash, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_curve_search": curve_search.op3_curve_search,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_url_filter": url_filter.op5_url_filter,
     "op7_license_scan": license_scan.op7_license_scan,
