@@ -12,16 +12,19 @@ shingle; a null id takes part but names no component; repeated rows share a comp
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from mentionflow.llm.components import components
+from mentionflow.llm.text import whole
 from mentionflow.session import staged
 
 SEED = 42
@@ -116,21 +119,23 @@ def _forest(nodes: np.ndarray, groups: np.ndarray, codes: list[np.ndarray], limi
     return nodes[left], nodes[right]
 
 
-def link_close(
-    nodes: DataFrame, key: str, tests: Sequence[tuple[Sequence[str], int]], blocks: int, equal: int, tile: int = TILE
-) -> DataFrame:
+def block_keys(code: str, blocks: int, equal: int) -> Column:
+    """The keys of a fingerprint: each choice of `equal` blocks with the bits in them."""
+    masks = _masks(blocks, equal)
+    return F.array(*[F.struct(F.lit(at).alias("choice"), F.col(code).bitwiseAND(F.lit(mask)).alias("bits")) for at, mask in enumerate(masks)])
+
+
+def link_close(nodes: DataFrame, keys: Column, tests: Sequence[tuple[Sequence[str], int]], tile: int = TILE) -> DataFrame:
     """Links `a`, `b` that connect all nodes which share a key and pass every test.
 
-    `nodes` has a distinct long `node`, the 64-bit code `key` whose blocks make the keys, and the code columns of the
-    tests; a test is a list of columns and the most bits in which they may differ together.
+    `nodes` has a distinct long `node` and the 64-bit code columns of the tests; a test is a list of columns and the most
+    bits in which they may differ together. `keys` is an array of structs of `choice` and `bits`.
     """
     names = [name for columns, _ in tests for name in columns]
     limits, at = [], 0
     for columns, most in tests:
         limits.append((at, at + len(columns), most))
         at += len(columns)
-    masks = _masks(blocks, equal)
-    keys = F.array(*[F.struct(F.lit(at).alias("choice"), F.col(key).bitwiseAND(F.lit(mask)).alias("bits")) for at, mask in enumerate(masks)])
     dealt = nodes.select("node", *[F.col(name).alias(f"c{at}") for at, name in enumerate(names)], F.explode(keys).alias("k"))
     dealt = dealt.select("node", *[f"c{at}" for at in range(len(names))], "k.choice", "k.bits")
     full = nodes.select(F.explode(keys).alias("k")).groupBy("k.choice", "k.bits").agg(F.count("*").alias("n")).filter(F.col("n") > tile)
@@ -175,7 +180,7 @@ def near_duplicates(documents: DataFrame, size: int = 4, max_bits: int = 4, bloc
     distinct = coded.groupBy("code").agg(F.min("doc_id").alias("first_id"))
     distinct, _ = staged(distinct, "codes")
     nodes = distinct.select(F.col("code").alias("node"), "code")
-    links = link_close(nodes, "code", [(["code"], max_bits)], blocks, blocks - max_bits)
+    links = link_close(nodes, block_keys("code", blocks, blocks - max_bits), [(["code"], max_bits)])
     roots = components(links)
     labelled = distinct.join(roots, distinct["code"] == roots["node"], "left").select("code", "first_id", F.coalesce("root", "code").alias("root"))
     lowest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -183,6 +188,73 @@ def near_duplicates(documents: DataFrame, size: int = 4, max_bits: int = 4, bloc
     return coded.join(named, "code").select("doc_id", "code", "component_id")
 
 
+#: 64-bit words of the long fingerprint that estimates the similarity of texts.
+LONG_WORDS = 8
+#: Bits in which the fingerprints of two texts' word sets may differ to be looked at; certain to be found up to 8.
+_WORD_BITS, _WORD_BLOCKS, _WORD_EQUAL = 10, 10, 2
+
+
+def _long_fingerprint(hashes: np.ndarray) -> list[int]:
+    """`LONG_WORDS` independent SimHashes of some distinct shingles, by remixing their hashes."""
+    counts = np.zeros(64 * LONG_WORDS, np.int64)
+    for at in range(0, len(hashes), 255):  # 255 ones still fit a byte
+        part = hashes[at : at + 255, None] ^ (np.arange(1, LONG_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+            part = (part ^ (part >> np.uint64(shift))) * np.uint64(factor)
+        part ^= part >> np.uint64(33)
+        counts += np.unpackbits(part.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint8)
+    return np.packbits((2 * counts > len(hashes)).astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
+def _sketches(documents: DataFrame, size: int) -> DataFrame:
+    """`doc_id`, the text's hash, the fingerprint of its word set, and the long one of its distinct word shingles."""
+    longs = [f"long{at}" for at in range(LONG_WORDS)]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text in batch.column(2):
+                words = (text.as_py() or "").encode().lower().split()
+                single = shingle_hashes(sorted(set(words)), 1)
+                shingles = np.unique(shingle_hashes(words, size))
+                rows.append([_majority(single) if words else 0, *_long_fingerprint(shingles)])
+            codes = np.array(rows, np.int64).reshape(-1, 1 + LONG_WORDS)
+            columns = [*batch.columns[:2], *(pa.array(np.ascontiguousarray(column)) for column in codes.T)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "code", *longs])
+
+    source = documents.select(F.col("doc_id").cast("long"), F.xxhash64(whole(F.col("text"))).alias("hash"), "text")
+    return source.mapInArrow(work, ", ".join(["doc_id long", "hash long", "code long", *(f"{name} long" for name in longs)]))
+
+
+def keep_one(documents: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id.
+
+    Two texts belong together when the long fingerprints of their distinct `size`-word shingles differ in no more bits
+    than expected of sets with that Jaccard similarity. Blocks of a fingerprint of the word *set* propose pairs: an
+    edited word changes `size` shingles but one word, so near copies are much closer there. The families this finds are
+    then compared by the long fingerprint. Rows with the same id and text are one document.
+    """
+    longs = [f"long{at}" for at in range(LONG_WORDS)]
+    cosine = 2 * similarity / (1 + similarity)
+    most = math.floor(math.acos(cosine) / math.pi * 64 * LONG_WORDS)
+    coded, _ = staged(_sketches(documents, size), "sketches")
+    same = coded.groupBy("code", *longs).agg(F.min(F.struct("doc_id", "hash")).alias("first"))
+    nodes, _ = staged(same.withColumn("node", F.monotonically_increasing_id()), "sketch-nodes")
+    families = components(link_close(nodes, block_keys("code", _WORD_BLOCKS, _WORD_EQUAL), [(["code"], _WORD_BITS)]))
+    members = families.unionByName(families.select(F.col("root").alias("node"), "root").distinct())
+    related, _ = staged(nodes.join(members, "node").select("node", "root", *longs), "families")
+    family = F.array(F.struct(F.lit(0).alias("choice"), F.col("root").alias("bits")))
+    roots = components(link_close(related, family, [(longs, most)]))
+    grouped = nodes.select("node", "first").join(roots, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
+    kept = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.hash")
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_kept"))
+    marked = documents.withColumn("_hash", F.xxhash64(whole(F.col("text"))))
+    alone = Window.partitionBy("doc_id", "_hash").orderBy("doc_id")
+    chosen = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_kept")), "left_semi")
+    chosen = chosen.withColumn("_copy", F.row_number().over(alone)).filter(F.col("_copy") == 1)
+    return chosen.select(*[F.col(f"`{name}`") for name in documents.columns])
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

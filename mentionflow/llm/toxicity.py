@@ -217,6 +217,19 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES
     )
 
 
+def drop_toxic(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> DataFrame:
+    """The documents whose score is below one half, with all their columns."""
+    shared = documents.sparkSession.sparkContext.broadcast(Index(examples(documents, labels, most)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        for batch in batches:
+            texts = batch.column(batch.schema.names.index("text"))
+            yield batch.filter(pa.array([index.score(text.as_py())[0] < 0.5 for text in texts], pa.bool_()))
+
+    return documents.mapInArrow(work, documents.schema)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score of every document."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
