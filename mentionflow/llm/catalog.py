@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionflow.llm import bpe, curve_search, license_scan, line_dedup, packing, simhash, toxicity, url_filter
+from mentionflow.llm import bm25_search, bpe, chat_format, curve_search, license_scan, line_dedup, packing, simhash, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
@@ -14,7 +14,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_curve_search": curve_search.op3_curve_search,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_url_filter": url_filter.op5_url_filter,
+    "op6_bm25_search": bm25_search.op6_bm25_search,
     "op7_license_scan": license_scan.op7_license_scan,
+    "op8_chat_format": chat_format.op8_chat_format,
     "op9_simhash": simhash.op9_simhash,
     "op10_bpe_codec": bpe.op10_bpe_codec,
 }
