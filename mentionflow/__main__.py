@@ -27,7 +27,7 @@ LAYOUTS = {
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="mentionflow", description="Monitor keywords in landed posts and pages.")
     parser.add_argument("--landed", action="append", required=True, metavar="KIND=PATH",
-                        help=f"landed input, one of {', '.join(LAYOUTS)}; may be repeated")
+                        help=f"landed input, one of {', '.join(LAYOUTS)}; several of a kind are read together")
     parser.add_argument("--format", default="parquet", help="file format of the landed inputs")
     parser.add_argument("--keywords", help="comma-separated keywords")
     parser.add_argument("--x-max-results", type=int, help="most posts per keyword of the social search")
@@ -53,17 +53,21 @@ def main() -> None:
         },
         os.environ,
     )
-    inputs = {}
+    landed: dict[str, list[str]] = {}
     for entry in args.landed:
         kind, _, path = entry.partition("=")
         if kind not in LAYOUTS or not path:
             raise SystemExit(f"not a landed input: {entry}")
-        inputs[kind.removesuffix("_pages")] = (
-            lambda spark, kind=kind, path=path: read_landed(spark, path, LAYOUTS[kind], args.format)
-        )
+        landed.setdefault(kind, []).append(path)
+    inputs = {}
+    for family in {kind.removesuffix("_pages") for kind in landed}:
+        parts = [(kind, paths) for kind, paths in landed.items() if kind.removesuffix("_pages") == family]
+        inputs[family] = [
+            lambda spark, kind=kind, paths=paths: read_landed(spark, paths, LAYOUTS[kind], args.format) for kind, paths in parts
+        ]
     report = run(build_session(), config, inputs)
     print(json.dumps({"social": report.social, "web": report.web, "duplicates": report.duplicates,
-                      "failed": dict(report.failed)}))
+                      "rejected": report.rejected, "failed": dict(report.failed)}))
 
 
 if __name__ == "__main__":

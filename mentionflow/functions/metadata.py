@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column
@@ -13,9 +14,22 @@ def parsed(raw: Column) -> Column:
     return F.try_parse_json(raw)
 
 
+#: Numbers up to here are compared exactly; larger ones as doubles.
+_EXACT = 10**19
+
+
+def _member(node: Column, key: str, data_type: str) -> Column:
+    """A value of an object by key, whatever characters the key has."""
+    for quote in "'\"":
+        if quote not in key and "\\" not in key:
+            return F.try_variant_get(node, f"$[{quote}{key}{quote}]", data_type)
+    members = F.try_variant_get(node, "$", "map<string,variant>")
+    return F.try_variant_get(F.try_element_at(members, F.lit(key)), "$", data_type)
+
+
 def value(raw: Column, key: str, data_type: str) -> Column:
     """A top-level value cast to a type; null when absent or not castable."""
-    return F.try_variant_get(parsed(raw), f"$['{key}']", data_type)
+    return _member(parsed(raw), key, data_type)
 
 
 def has_key(raw: Column, key: str) -> Column:
@@ -32,7 +46,7 @@ def _contains(node: Column, pattern: Any) -> Column:
     if isinstance(pattern, dict):
         test = F.to_json(node).startswith("{")
         for key, part in pattern.items():
-            test = test & _contains(F.try_variant_get(node, f"$['{key}']", "variant"), part)
+            test = test & _contains(_member(node, key, "variant"), part)
         return test
     if isinstance(pattern, list):
         items = F.try_variant_get(node, "$", "array<variant>")
@@ -43,7 +57,11 @@ def _contains(node: Column, pattern: Any) -> Column:
     text = F.to_json(node)
     if isinstance(pattern, bool) or pattern is None or isinstance(pattern, str):
         return text == F.lit(json.dumps(pattern, ensure_ascii=False))
-    return text.rlike(r"^[-0-9]") & (F.try_variant_get(node, "$", "double") == F.lit(float(pattern)))
+    if abs(pattern) < _EXACT:
+        same = F.try_variant_get(node, "$", "decimal(38,18)") == F.lit(Decimal(str(pattern))).cast("decimal(38,18)")
+    else:
+        same = F.try_variant_get(node, "$", "double") == F.lit(float(pattern))
+    return text.rlike(r"^[-0-9]") & same
 
 
 def _some(items: Column, part: Any) -> Column:

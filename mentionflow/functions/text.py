@@ -1,4 +1,4 @@
-"""Text rules shared by the sources: trimming, fallbacks, social links, hashtags."""
+"""Text rules shared by the sources: trimming, fallbacks, social links."""
 
 from __future__ import annotations
 
@@ -76,10 +76,6 @@ def on_social_host(href: Column) -> Column:
     return F.when(href.startswith("/"), F.concat(F.lit(SOCIAL_HOST), href)).otherwise(href)
 
 
-def hashtag(keyword: Column) -> Column:
-    return F.concat(F.lit("#"), F.regexp_replace(F.lower(keyword), r"(?U)\s+", ""))
-
-
 def record_id(source: Column, post_id: Column) -> Column:
     """Id of a stored post. It follows from the key, so a retried task writes the same value."""
     return F.sha2(F.concat_ws("\u0001", source, post_id), 256)

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from mentionflow.schema import POST_KEY
 
-#: Spark cuts a ranked window before the shuffle up to this limit (its default threshold).
-EARLY_CUT_LIMIT = 1000
-
 
 def first_wins(posts: DataFrame, order: Sequence[Column | str], keys: Sequence[str] = POST_KEY) -> DataFrame:
     """Keep the first row of each key in the given order.
@@ -34,21 +31,19 @@ def cap_per_keyword(
 ) -> DataFrame:
     """Keep the first `limit` rows per keyword; `rank` names a column for the position.
 
-    Up to `EARLY_CUT_LIMIT` Spark cuts map-side and a hot keyword sends `limit` rows per map task. Above that the rows
-    are ranked in rounds: per keyword and salt over all reducers, then per keyword and group of salts, then per
-    keyword. No round gives a task more than the square root of the reducer count times the limit, except the first,
-    which spreads a hot keyword evenly.
+    The rows are ranked in rounds: per keyword and salt over all reducers, then per keyword and group of salts, then
+    per keyword. The first round spreads a hot keyword evenly; the others give no task more than the square root of the
+    reducer count times the limit.
     """
     if limit < 1:
         raise ValueError("the cap must be a positive number")
     name = rank or "_rank"
-    if limit > EARLY_CUT_LIMIT:
-        salts = max(2, int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        posts = posts.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
-        for groups in (salts, math.isqrt(salts - 1) + 1):
-            part = Window.partitionBy(*keys, F.pmod("_salt", F.lit(groups))).orderBy(*order)
-            posts = posts.withColumn("_early", F.row_number().over(part)).filter(F.col("_early") <= limit)
-        posts = posts.drop("_early", "_salt")
+    salts = max(2, int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    posts = posts.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
+    for groups in (salts, math.isqrt(salts - 1) + 1):
+        part = Window.partitionBy(*keys, F.pmod("_salt", F.lit(groups))).orderBy(*order)
+        posts = posts.withColumn("_early", F.row_number().over(part)).filter(F.col("_early") <= limit)
+    posts = posts.drop("_early", "_salt")
     window = Window.partitionBy(*keys).orderBy(*order)
     ranked = posts.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= limit)
     return ranked if rank else ranked.drop(name)
@@ -59,11 +54,6 @@ def not_stored(incoming: DataFrame, stored: DataFrame, keys: Sequence[str] = POS
     return incoming.join(stored.select(*keys), list(keys), "left_anti")
 
 
-def stored_after(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """The table after an insert that skips known keys."""
-    return stored.unionByName(not_stored(incoming, stored), allowMissingColumns=True)
-
-
 def run_counters(posts: DataFrame) -> DataFrame:
     """One row: posts kept per source type, and duplicates skipped.
 

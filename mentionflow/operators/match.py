@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,37 +27,51 @@ def _hit(order: int, keyword: str) -> Column:
     return F.struct(F.lit(order).alias("keyword_ord"), F.lit(keyword).alias("keyword"))
 
 
-def _listed(keywords: Sequence[str]) -> Column:
-    rows = [{"keyword_ord": at, "keyword": word, "folded": word.lower()} for at, word in enumerate(keywords)]
+def _forms(keyword: str, tagged: bool) -> list[str]:
+    """What a keyword is looked for as: itself, and as a hashtag where posts are tagged."""
+    word = keyword.lower()
+    return [word, "#" + "".join(word.split())] if tagged and len(word.split()) > 1 else [word]
+
+
+def _tests(folded: Column, keywords: Sequence[str], tagged: bool) -> list[Column]:
+    tests = []
+    for at, word in enumerate(keywords):
+        found = [F.contains(folded, F.lit(form)) for form in _forms(word, tagged)]
+        tests.append(F.when(reduce(Column.__or__, found), _hit(at, word)))
+    return tests
+
+
+def _listed(keywords: Sequence[str], tagged: bool) -> Column:
+    rows = [{"keyword_ord": at, "keyword": word, "forms": _forms(word, tagged)} for at, word in enumerate(keywords)]
     return F.from_json(
-        F.lit(json.dumps(rows, ensure_ascii=False)), "array<struct<keyword_ord:int,keyword:string,folded:string>>"
+        F.lit(json.dumps(rows, ensure_ascii=False)), "array<struct<keyword_ord:int,keyword:string,forms:array<string>>>"
     )
 
 
-def _folded_hits(folded: Column, keywords: Sequence[str]) -> Column:
+def _folded_hits(folded: Column, keywords: Sequence[str], tagged: bool = False) -> Column:
     if len(keywords) <= INLINE_KEYWORDS:
-        tests = [F.when(F.contains(folded, F.lit(word.lower())), _hit(at, word)) for at, word in enumerate(keywords)]
-        return F.array_compact(F.array(*tests))
-    found = F.filter(_listed(keywords), lambda word: F.contains(folded, word["folded"]))
+        return F.array_compact(F.array(*_tests(folded, keywords, tagged)))
+    found = F.filter(_listed(keywords, tagged), lambda word: F.exists(word["forms"], lambda form: F.contains(folded, form)))
     return F.transform(found, lambda word: F.struct(word["keyword_ord"], word["keyword"]))
 
 
-def _folded_first(folded: Column, keywords: Sequence[str]) -> Column:
+def _folded_first(folded: Column, keywords: Sequence[str], tagged: bool = False) -> Column:
     if len(keywords) <= INLINE_KEYWORDS:
-        tests = [F.when(F.contains(folded, F.lit(word.lower())), _hit(at, word)) for at, word in enumerate(keywords)]
-        return F.coalesce(*tests)
-    return F.try_element_at(_folded_hits(folded, keywords), F.lit(1))
+        return F.coalesce(*_tests(folded, keywords, tagged))
+    return F.try_element_at(_folded_hits(folded, keywords, tagged), F.lit(1))
 
 
-def match_first(posts: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame:
+def match_first(posts: DataFrame, text: str, keywords: Sequence[str], tagged: bool = False) -> DataFrame:
     """Keep rows that have a keyword; add the first one in list order as `keyword_ord`, `keyword`.
 
+    With `tagged` a keyword of several words is also found as a hashtag.
+
     The lower-cased text is a column of its own, so it is computed once per row and not once per keyword; unfolding
     an array of no or one hit drops the other rows without a filter that would evaluate the tests a second time.
     """
     words = clean_keywords(keywords)
     kept = [name for name in posts.columns if name not in ("keyword", "keyword_ord")]
-    first = F.array_compact(F.array(_folded_first(F.col("_folded"), words)))
+    first = F.array_compact(F.array(_folded_first(F.col("_folded"), words, tagged)))
     return posts.withColumn("_folded", F.lower(F.col(text))).select(*kept, F.inline(first))
 
 

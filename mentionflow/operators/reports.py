@@ -81,17 +81,22 @@ def with_star_rating(posts: DataFrame, at_least: int, at_most: int = 5) -> DataF
     return posts.filter(rating.between(at_least, at_most))
 
 
-def apply_scores(posts: DataFrame, scores: DataFrame) -> DataFrame:
-    """Posts with the sentiment of the scoring stage filled in; a post without a new score keeps what it had.
-
-    A post scored more than once gets the last score. Scores are reduced per id before the join.
-    """
-    last = scores.groupBy("id").agg(
+def last_scores(scores: DataFrame) -> DataFrame:
+    """`id` and the struct `_new` of its last score."""
+    return scores.groupBy("id").agg(
         F.max_by(
             F.struct("sentiment_label", "sentiment_score", "analyzed_at"),
             F.struct("analyzed_at", "sentiment_label", "sentiment_score"),
         ).alias("_new")
     )
+
+
+def apply_scores(posts: DataFrame, scores: DataFrame) -> DataFrame:
+    """Posts with the sentiment of the scoring stage filled in; a post without a new score keeps what it had.
+
+    A post scored more than once gets the last score. Scores are reduced per id before the join.
+    """
+    last = last_scores(scores)
     filled = {
         name: F.when(F.col("_new").isNotNull(), F.col(f"_new.{name}")).otherwise(F.col(name))
         for name in ("sentiment_label", "sentiment_score", "analyzed_at")

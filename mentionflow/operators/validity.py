@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mentionflow.functions.times import parsed_time
 from mentionflow.schema import REQUIRED, SOURCE_TYPES
 
 
@@ -14,6 +15,8 @@ def problems() -> Column:
     tests.append(F.when(F.col("source") == "", F.lit("source is empty")))  # it names a directory of the table
     known = F.col("source_type").isin(*SOURCE_TYPES)
     tests.append(F.when(~known, F.lit("source_type is not social or web")))
+    time = F.col("scraped_at").cast("string")
+    tests.append(F.when(time.isNotNull() & parsed_time(time).isNull(), F.lit("scraped_at is not a time")))
     return F.array_compact(F.array(*tests))
 
 

@@ -12,7 +12,7 @@ from mentionflow.functions import text as tx
 from mentionflow.functions.links import host_of, resolve_link
 from mentionflow.functions.times import from_utc_wall_time, parsed_time, utc_day, utc_wall_time
 from mentionflow.functions.trigrams import search_containing, search_similar
-from mentionflow.operators.dedup import cap_per_keyword, first_wins, run_counters, stored_after
+from mentionflow.operators.dedup import first_wins, run_counters
 from mentionflow.operators.extract import source_health
 from mentionflow.operators.match import match_all, match_first, with_first_keyword
 from mentionflow.operators.reports import (
@@ -30,10 +30,12 @@ from mentionflow.operators.reports import (
 )
 from mentionflow.operators.validity import with_problems
 from mentionflow.plans import adapters as ad
-from mentionflow.session import new_path, spread_scan, staged
+from mentionflow.plans.config import RunConfig
+from mentionflow.plans.run import RunReport, run
+from mentionflow.session import new_path, path_exists, spread_scan, staged
 from mentionflow.sinks.fanout import Sinks
 from mentionflow.sinks.jsonl import read_jsonl, write_jsonl
-from mentionflow.sinks.table import insert_posts, read_posts, write_scores
+from mentionflow.sinks.table import fresh_rows, insert_posts, read_posts, write_scores
 from mentionflow.sources import platforms
 from mentionflow.sources.landed import stream_landed
 from mentionflow.sources.posts import (
@@ -41,6 +43,7 @@ from mentionflow.sources.posts import (
     arrival,
     card_items,
     card_posts,
+    search_social,
     social_record,
     titled,
     valid_cards,
@@ -77,6 +80,25 @@ def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts.withColumn("id", tx.record_id(F.col("source"), F.col("post_id")))
 
 
+_tables: dict[tuple[str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched documents inserted into a table and scored; written once per session and shared by its queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _tables or not path_exists(spark, _tables[key]):
+        path = new_path(spark, "table")
+        batch, _ = staged(ad.document_posts(_matched(spark, sf_dir)), "incoming")
+        insert_posts(batch, path)
+        write_scores(_score_rows(spark, sf_dir, "timestamp"), path)
+        _tables[key] = path
+    return read_posts(spark, _tables[key])
+
+
+def _utc(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("scraped_at", utc_wall_time(F.col("scraped_at")))
+
+
 def _summary_row(df: DataFrame) -> DataFrame:
     """Decimals as doubles, for engines that divide decimals differently."""
     return df.withColumn("positive_pct", F.col("positive_pct").cast("double")).withColumn(
@@ -106,27 +128,28 @@ def sentiment_summary_report(spark, sf_dir):
 @query(f"""WITH {ad.SQL_SCORED} SELECT {ad.SQL_ID} AS id, source, source_type, keyword, post_id, text, lang, scraped_at
 FROM posts WHERE sentiment_label IS NULL ORDER BY scraped_at, id""", name="pending_analysis")
 def pending_analysis_queue(spark, sf_dir):
-    return pending_analysis(_posts(spark, sf_dir))
+    return _utc(pending_analysis(_stored(spark, sf_dir)))
 
 
 @query(f"""WITH {ad.SQL_SCORED} SELECT {ad.SQL_ID} AS id, source, source_type, keyword, post_id, text, lang, scraped_at
 FROM posts WHERE sentiment_label IS NULL ORDER BY scraped_at DESC, id LIMIT 100""")
 def latest_unanalyzed_top(spark, sf_dir):
-    return latest_unanalyzed(_posts(spark, sf_dir), 100)
+    return _utc(latest_unanalyzed(_stored(spark, sf_dir), 100))
 
 
 @query(f"""WITH {ad.SQL_FIRST} SELECT post_id, source, keyword, scraped_at FROM first_match
 WHERE keyword = 'que' AND scraped_at BETWEEN TIMESTAMP '2024-01-01 03:00:00' AND TIMESTAMP '2024-01-06 12:00:00'
 ORDER BY scraped_at DESC, post_id""")
 def keyword_time_range(spark, sf_dir):
-    rows = by_keyword_and_time(_matched(spark, sf_dir), "que", "2024-01-01 03:00:00", "2024-01-06 12:00:00")
-    return rows.select("post_id", "source", "keyword", "scraped_at")
+    start, end = (from_utc_wall_time(F.lit(text).cast("timestamp_ntz")) for text in ("2024-01-01 03:00:00", "2024-01-06 12:00:00"))
+    rows = by_keyword_and_time(_stored(spark, sf_dir), "que", start, end)
+    return _utc(rows.select("post_id", "source", "keyword", "scraped_at"))
 
 
 @query(f"""WITH {ad.SQL_FIRST} SELECT post_id, source, keyword, scraped_at FROM first_match WHERE source = 'src1'
 ORDER BY scraped_at DESC, post_id""")
 def source_latest(spark, sf_dir):
-    return by_source(_matched(spark, sf_dir), "src1").select("post_id", "source", "keyword", "scraped_at")
+    return _utc(by_source(_stored(spark, sf_dir), "src1").select("post_id", "source", "keyword", "scraped_at"))
 
 
 @query(f"""WITH {ad.SQL_DOCS}, {ad.SQL_KEYWORDS}, items AS (
@@ -185,9 +208,10 @@ QUALIFY position <= {limit}"""
 
 
 def _search(spark, sf_dir, limit: int) -> DataFrame:
-    items = ad.documents(spark, sf_dir).filter(F.col("lang") == ad.SEARCH_LANG)
-    found = match_all(items, "text", ad.KEYWORDS).select("keyword", "post_id", "source", "scraped_at")
-    return cap_per_keyword(found, limit, [F.col("scraped_at").desc(), F.col("post_id")], rank="position")
+    items = ad.documents(spark, sf_dir).withColumn("id", F.col("post_id"))
+    newest = [F.col("scraped_at").desc(), F.col("post_id")]
+    found = search_social(items, ad.KEYWORDS, ad.SEARCH_LANG, limit, newest)
+    return found.select("keyword", "post_id", "source", "scraped_at", F.col("item_ord").alias("position"))
 
 
 @query(_search_sql(ad.SEARCH_LIMIT))
@@ -197,7 +221,7 @@ def search_latest_per_keyword(spark, sf_dir):
 
 @query(_search_sql(100000))
 def search_large_cap(spark, sf_dir):
-    """The same search with a cap above the early-cut limit, which takes the salted path."""
+    """The same search with a cap that cuts nothing."""
     return _search(spark, sf_dir, 100000)
 
 
@@ -225,7 +249,7 @@ def idempotent_insert(spark, sf_dir):
     stored = stored.select("source", "post_id", "keyword", F.lit("stored").alias("origin"))
     found = match_all(ad.documents(spark, sf_dir), "text", ad.KEYWORDS)
     incoming = first_wins(found.select("source", "post_id", "keyword", "keyword_ord"), ["keyword_ord"])
-    return stored_after(incoming.drop("keyword_ord").withColumn("origin", F.lit("new")), stored)
+    return stored.unionByName(fresh_rows(incoming.drop("keyword_ord").withColumn("origin", F.lit("new")), stored))
 
 
 def _arrived(spark, sf_dir) -> DataFrame:
@@ -351,6 +375,15 @@ def ilike_search(spark, sf_dir):
     return search_containing(ad.table(spark, sf_dir, "documents"), "text", "the").select("doc_id", "source")
 
 
+@query("""SELECT event_id FROM events WHERE 1800000000000000000 + event_id // 2 = 1800000000000000021""")
+def json_large_ids(spark, sf_dir):
+    """Containment of ids beyond what a double tells apart."""
+    large = (F.lit(1800000000000000000) + F.floor(F.col("event_id") / 2)).cast("string")
+    raw = F.concat(F.lit('{"it\'s \\"id\\"":'), large, F.lit("}"))
+    events = ad.table(spark, sf_dir, "events").select("event_id", raw.alias("raw"))
+    return with_metadata(events, {"it's \"id\"": 1800000000000000021}).select("event_id")
+
+
 @query("""SELECT event_id, CAST(props->>'k' AS BIGINT) AS k, props->>'k' IS NOT NULL AS has_k,
 props->>'j' IS NOT NULL AS has_j FROM events WHERE CAST(props->>'k' AS BIGINT) = 69""")
 def json_metadata_filter(spark, sf_dir):
@@ -578,10 +611,12 @@ def jsonl_roundtrip(spark, sf_dir):
     return read_jsonl(spark, out)
 
 
-@query("""SELECT 'x' AS source, CAST(event_id AS VARCHAR) AS post_id, event_type AS keyword,
-'https://x.com/i/web/status/' || event_id AS url, date_trunc('second', ts) AS created_at FROM events""")
+@query("""SELECT sink, 'x' AS source, CAST(event_id AS VARCHAR) AS post_id, event_type AS keyword,
+'https://x.com/i/web/status/' || event_id AS url, date_trunc('second', ts) AS created_at
+FROM events, (VALUES ('jsonl'), ('table')) sinks(sink)""")
 def stream_ingest_dedup(spark, sf_dir):
-    """Every event is landed twice over several files and micro-batches; the table gets each once."""
+    """Every event is landed twice over several files and micro-batches, and the landing is read by a second stream
+    into the same output; table and lines hold each event once."""
     events = ad.table(spark, sf_dir, "events")
     landing, table, work = (new_path(spark, name) for name in ("landing", "table", "stream"))
     events.union(events).repartition(4).write.parquet(landing)
@@ -590,10 +625,16 @@ def stream_ingest_dedup(spark, sf_dir):
         items = batch.select(*ad.social_columns(), F.col("event_type").alias("keyword"))
         return social_record(items, extra=arrival(F.lit(0), F.col("id")))
 
-    stream = stream_landed(spark, landing, events.schema, files_per_trigger=2)
-    start_ingest(stream, to_posts, Sinks(f"{work}/jsonl", table), f"{work}/checkpoint").awaitTermination()
-    stored = read_posts(spark, table)
-    return stored.select("source", "post_id", "keyword", "url", utc_wall_time(F.col("created_at")).alias("created_at"))
+    sinks = Sinks(f"{work}/jsonl", table)
+    half = [F.col("event_id") % 2 == 0, F.lit(True)]
+    for number, part in enumerate(half):
+        stream = stream_landed(spark, landing, events.schema, files_per_trigger=2).filter(part)
+        start_ingest(stream, to_posts, sinks, f"{work}/checkpoint{number}").awaitTermination()
+    columns = ["source", "post_id", "keyword", "url"]
+    stored, lines = read_posts(spark, table), read_jsonl(spark, sinks.output_dir)
+    stored = stored.select(F.lit("table").alias("sink"), *columns, "created_at")
+    lines = lines.select(F.lit("jsonl").alias("sink"), *columns, parsed_time(F.col("created_at")).alias("created_at"))
+    return stored.unionByName(lines).withColumn("created_at", utc_wall_time(F.col("created_at")))
 
 
 @query("SELECT DISTINCT 'x' AS source, CAST(event_id AS VARCHAR) AS post_id, event_type AS keyword FROM events")
@@ -640,3 +681,70 @@ def stream_fanout_equals_batch(spark, sf_dir):
     columns = ["source", "post_id", "keyword", "text"]
     from_table = read_posts(spark, table).select(F.lit("table").alias("sink"), *columns)
     return from_table.unionByName(read_jsonl(spark, out).select(F.lit("jsonl").alias("sink"), *columns))
+
+
+# ---- whole runs ----
+
+RUN_KEYWORDS = ("the", "and", "view", "error")
+_RUN_WORDS = ", ".join(f"({at}, '{word}')" for at, word in enumerate(RUN_KEYWORDS))
+
+_RUN_SQL = f"""{_LINKS_SQL}, words(keyword_ord, keyword) AS (VALUES {_RUN_WORDS}),
+web_hits AS (SELECT l.page_id, l.item_ord, min(w.keyword_ord) AS keyword_ord FROM links l
+  JOIN words w ON contains(lower(l.title), w.keyword) WHERE l.title <> '' GROUP BY ALL),
+found AS (
+  SELECT source, 'web' AS source_type, keyword, link AS post_id, title AS text, page_id AS major, item_ord AS minor
+  FROM links JOIN web_hits USING (page_id, item_ord) JOIN words USING (keyword_ord)
+  UNION ALL (SELECT 'x', 'social', keyword, CAST(event_id AS VARCHAR), event_type || ' ' || props, keyword_ord, 0
+    FROM events JOIN words ON contains(lower(event_type || ' ' || props), keyword) WHERE event_id % 3 <> 2
+    QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY date_trunc('second', ts) DESC, event_id) <= {ad.SEARCH_LIMIT})
+  UNION ALL (SELECT 'youtube', 'social', keyword, {_TURN}, text, keyword_ord, 0
+    FROM conversations JOIN words ON contains(lower('video ' || conv_id || ' ' || text), keyword) WHERE role = 'assistant'
+    QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY keyword_ord) = 1)
+  UNION ALL (SELECT CASE WHEN quality = 1 THEN 'tokopedia' ELSE 'shopee' END, 'web', coalesce(keyword, source),
+      'r' || doc_id, CASE WHEN length(text) >= 200 THEN text END, coalesce(keyword_ord, {len(RUN_KEYWORDS)}), 0
+    FROM documents JOIN labels USING (doc_id) LEFT JOIN words
+      ON contains(lower(source || ' ' || CASE WHEN length(text) >= 200 THEN text ELSE '' END), keyword)
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY keyword_ord) = 1)),
+kept AS (SELECT * FROM found WHERE text IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY source, post_id ORDER BY major, minor) = 1)"""
+
+
+def _run(spark: SparkSession, sf_dir: str) -> tuple[RunReport, RunConfig]:
+    """A whole run over four families: events landed twice and partly without a language, reviews without a text."""
+    work = new_path(spark, "run")
+    config = RunConfig(
+        keywords=RUN_KEYWORDS, max_per_keyword=ad.SEARCH_LIMIT, rules=ad.LINK_RULES,
+        output_dir=f"{work}/lines", table_dir=f"{work}/table",
+    )
+    number = F.col("id") % 3
+    spoken = F.when(number == 1, "id").when(number == 2, "en")  # the others name no language
+    items = ad.social_items(spark, sf_dir).drop("keyword").withColumn("lang", spoken)
+    reviews = ad.reviews(spark, sf_dir).withColumn("body", F.when(F.length("body") >= 200, F.col("body")))
+    inputs = {
+        "x": lambda _: items.unionAll(items),
+        "web": lambda _: ad.landed_pages(spark, sf_dir),
+        "youtube": lambda _: ad.video_comments(spark, sf_dir),
+        "ecommerce": lambda _: reviews,
+    }
+    return run(spark, config, inputs), config
+
+
+@query(f"""WITH {_RUN_SQL} SELECT sink, source, source_type, keyword, post_id, text
+FROM kept, (VALUES ('jsonl'), ('table')) sinks(sink)""")
+def pipeline_run(spark, sf_dir):
+    """What a whole run leaves in the table and in the lines."""
+    _, config = _run(spark, sf_dir)
+    columns = ["source", "source_type", "keyword", "post_id", "text"]
+    stored = read_posts(spark, config.table_dir).select(F.lit("table").alias("sink"), *columns)
+    return stored.unionByName(read_jsonl(spark, config.output_dir).select(F.lit("jsonl").alias("sink"), *columns))
+
+
+@query(f"""WITH {_RUN_SQL} SELECT (SELECT count(*) FROM kept WHERE source_type = 'social') AS social,
+(SELECT count(*) FROM kept WHERE source_type = 'web') AS web,
+(SELECT count(*) FROM found WHERE text IS NOT NULL) - (SELECT count(*) FROM kept) AS duplicates,
+(SELECT count(*) FROM found WHERE text IS NULL) AS rejected, CAST(0 AS BIGINT) AS failed""")
+def pipeline_run_report(spark, sf_dir):
+    """The counters of a whole run."""
+    report, _ = _run(spark, sf_dir)
+    row = (report.social, report.web, report.duplicates, report.rejected, len(report.failed))
+    return spark.createDataFrame([row], "social bigint, web bigint, duplicates bigint, rejected bigint, failed bigint")

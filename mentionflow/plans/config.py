@@ -34,10 +34,6 @@ class RunConfig:
     rules: tuple[Rule, ...] = field(default=DEFAULT_RULES)
 
 
-def split_keywords(raw: str | None) -> list[str]:
-    return [part.strip() for part in (raw or "").split(",") if part.strip()]
-
-
 def families_of(choice: str | None) -> frozenset[str]:
     """The families a choice stands for; an unknown choice means all of them."""
     name = (choice or "all").strip().lower()
@@ -62,10 +58,11 @@ def _positive(raw: str | None, default: int) -> int:
 def resolve_config(given: Mapping[str, Any] | None = None, environ: Mapping[str, str] | None = None) -> RunConfig:
     """Configuration from given values (wrong ones are errors) over environment values (wrong ones are ignored)."""
     given, environ = dict(given or {}), dict(environ or {})
-    keywords = split_keywords(environ.get("KEYWORDS")) or list(DEFAULT_KEYWORDS)
+    listed = environ.get("KEYWORDS", "")
+    keywords = clean_keywords(listed.split(",")) if listed.strip(", \t") else list(DEFAULT_KEYWORDS)
     if given.get("keywords") is not None:
         words = given["keywords"]
-        keywords = clean_keywords(split_keywords(words) if isinstance(words, str) else words)
+        keywords = clean_keywords(words.split(",") if isinstance(words, str) else words)
     limit = _positive(environ.get("X_MAX_RESULTS"), DEFAULT_MAX_PER_KEYWORD)
     if given.get("max_per_keyword") is not None:
         limit = int(given["max_per_keyword"])

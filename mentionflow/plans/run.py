@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionflow.operators.dedup import run_counters
-from mentionflow.operators.match import match_first
+from mentionflow.operators.match import match_first, with_first_keyword
+from mentionflow.operators.validity import rejected_rows, valid_rows
 from mentionflow.plans.config import RunConfig
 from mentionflow.session import delete_path, spread_scan, staged
 from mentionflow.sinks.fanout import Sinks, publish
@@ -23,28 +24,47 @@ from mentionflow.sources.posts import arrival, card_posts, social_posts, web_pos
 log = logging.getLogger(__name__)
 
 Landed = Callable[[SparkSession], DataFrame]
+#: A family has one landed input, or one per layout it comes in.
+Inputs = Mapping[str, Landed | Sequence[Landed]]
 
 
 @dataclass(frozen=True)
 class RunReport:
-    """Posts kept per type, duplicates skipped, and what went wrong with the families left out."""
+    """Valid posts kept per type, duplicates skipped, what went wrong with the families left out, faulty rows."""
 
     social: int
     web: int
     duplicates: int
     failed: Mapping[str, str]
+    rejected: int = 0
 
 
-def _mapped(to_record: Callable[..., DataFrame]) -> Callable[[DataFrame, RunConfig], DataFrame]:
-    """A platform whose items are mapped and then kept when their text has a keyword."""
+def _tagged(to_record: Callable[..., DataFrame]) -> Callable[[DataFrame, RunConfig], DataFrame]:
+    """A platform searched by hashtag: an item is kept when its text has a keyword, as words or as a hashtag."""
 
     def build(items: DataFrame, config: RunConfig) -> DataFrame:
-        matched = match_first(items, "body", config.keywords)
+        matched = match_first(items, "body", config.keywords, tagged=True)
         return to_record(matched, extra=arrival(F.col("keyword_ord"), F.lit(0)))
 
     return build
 
 
+def _comments(items: DataFrame, config: RunConfig) -> DataFrame:
+    """Comments of videos the search found: the keyword may stand in the video's title or in the comment."""
+    found = items.withColumn("_about", F.concat_ws(" ", "video_title", "body"))
+    matched = match_first(found, "_about", config.keywords)
+    return platforms.video_comment_posts(matched, extra=arrival(F.col("keyword_ord"), F.lit(0)))
+
+
+def _reviews(items: DataFrame, config: RunConfig) -> DataFrame:
+    """Reviews of configured products: all are kept, under the first keyword they have or else the product's name."""
+    about = items.withColumn("_about", F.concat_ws(" ", "product_name", "body"))
+    matched = with_first_keyword(about, "_about", config.keywords)
+    named = matched.withColumn("keyword", F.coalesce("keyword", "product_name"))
+    place = F.coalesce(F.col("keyword_ord"), F.lit(len(config.keywords)))
+    return platforms.review_posts(named, extra=arrival(place, F.lit(0)))
+
+
 def _from_pages(pages: DataFrame, config: RunConfig) -> DataFrame:
     return web_posts(spread_scan(pages), config.rules, config.keywords)
 
@@ -59,15 +79,15 @@ def _from_search(items: DataFrame, config: RunConfig) -> DataFrame:
 BUILDERS: dict[str, Callable[[DataFrame, RunConfig], DataFrame]] = {
     "x": _from_search,
     "web": _from_pages,
-    "instagram": _mapped(platforms.caption_posts),
-    "tiktok": _mapped(platforms.short_video_posts),
-    "youtube": _mapped(platforms.video_comment_posts),
-    "ecommerce": _mapped(platforms.review_posts),
+    "instagram": _tagged(platforms.caption_posts),
+    "tiktok": _tagged(platforms.short_video_posts),
+    "youtube": _comments,
+    "ecommerce": _reviews,
 }
 
 
 def collect_families(
-    spark: SparkSession, config: RunConfig, inputs: Mapping[str, Landed]
+    spark: SparkSession, config: RunConfig, inputs: Inputs
 ) -> tuple[dict[str, tuple[DataFrame, str]], dict[str, str]]:
     """Stage the posts of each selected family by its own job, at the same time.
 
@@ -76,7 +96,9 @@ def collect_families(
     wanted = [name for name in inputs if name in config.families]
 
     def stage(name: str):
-        return staged(BUILDERS[name](inputs[name](spark), config), f"family-{name}")
+        landed = [inputs[name]] if callable(inputs[name]) else inputs[name]
+        parts = [BUILDERS[name](read(spark), config) for read in landed]
+        return staged(reduce(lambda left, right: left.unionByName(right), parts), f"family-{name}")
 
     done, failed = {}, {}
     with ThreadPoolExecutor(max_workers=max(1, len(wanted))) as pool:
@@ -91,7 +113,7 @@ def collect_families(
     return done, failed
 
 
-def run(spark: SparkSession, config: RunConfig, inputs: Mapping[str, Landed], day: str | None = None) -> RunReport:
+def run(spark: SparkSession, config: RunConfig, inputs: Inputs, day: str | None = None) -> RunReport:
     """Run the selected families over their landed inputs and write to all configured sinks.
 
     Rows that break the table's rules go to `<output_dir>-rejected` with the reasons.
@@ -101,8 +123,11 @@ def run(spark: SparkSession, config: RunConfig, inputs: Mapping[str, Landed], da
         return RunReport(0, 0, 0, failed)
     posts = reduce(lambda left, right: left.unionByName(right), [frame for frame, _ in done.values()])
     rejected = f"{config.output_dir.rstrip('/')}-rejected"
-    publish(posts, Sinks(config.output_dir, config.table_dir, config.database, rejected), uuid.uuid4().hex, day)
-    counts = run_counters(posts).first()
-    for _, path in done.values():
-        delete_path(spark, path)
-    return RunReport(counts["social"], counts["web"], counts["duplicates"], failed)
+    try:
+        publish(posts, Sinks(config.output_dir, config.table_dir, config.database, rejected), uuid.uuid4().hex, day)
+        counts = run_counters(valid_rows(posts)).first()
+        faulty = rejected_rows(posts).count()
+    finally:
+        for _, path in done.values():
+            delete_path(spark, path)
+    return RunReport(counts["social"], counts["web"], counts["duplicates"], failed, faulty)

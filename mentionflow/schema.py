@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 SOURCE_TYPES = ("social", "web")
-SENTIMENT_LABELS = ("positive", "neutral", "negative")
 
 #: Columns that identify a post; the stored table holds each pair once.
 POST_KEY = ("source", "post_id")
@@ -54,8 +53,6 @@ SCORE = T.StructType(
     ]
 )
 
-RULE = T.StructType(_strings("name", "url", "post_selector", "title_selector", "link_selector"))
-
 #: One landed page. A null `html` means the fetch failed.
 PAGE = T.StructType(
     [

@@ -68,6 +68,21 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def remembered(spark: SparkSession, path: str, value: str) -> str:
+    """The value a small file holds; it is written with `value` if it does not exist yet."""
+    files, target = _hadoop_path(spark, path)
+    if not files.exists(target):
+        out = files.create(target, False)
+        out.writeUTF(value)
+        out.close()
+        return value
+    source = files.open(target)
+    try:
+        return source.readUTF()
+    finally:
+        source.close()
+
+
 def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write a result to the work folder and read it back: later steps neither recompute it nor lose it."""
     path = new_path(df.sparkSession, label)
@@ -85,16 +100,19 @@ def _struct_ddl(ddl: str) -> str:
     return ",".join(":".join(part.split(None, 1)) for part in ddl.split(","))
 
 
+#: Scans of at most this size are dealt out to all cores; larger ones are never moved.
+SPREAD_BYTES = 256 * 1024 * 1024
+
+
 def spread_scan(scan: DataFrame) -> DataFrame:
     """Give every core a share of a small scan that heavy per-row work follows.
 
-    A file with few row groups would otherwise keep one core busy. The shuffle this adds is bounded: the size is that
-    of the files under the plan, and when they can fill the cores with full-size splits the scan is returned as it
-    is, so large inputs are never moved.
+    A file with few row groups would otherwise keep one core busy. The shuffle this adds is bounded by `SPREAD_BYTES`,
+    whatever the cluster's size; scans that fill the cores with full-size splits are returned as they are.
     """
     spark = scan.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     leaves = scan._jdf.queryExecution().optimizedPlan().collectLeaves()
     size = sum(int(str(leaves.apply(at).stats().sizeInBytes())) for at in range(leaves.size()))
-    return scan.repartition(cores) if size < cores * split else scan
+    return scan.repartition(cores) if size < min(cores * split, SPREAD_BYTES) else scan

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from mentionflow.operators.dedup import not_stored
 from mentionflow.sinks.table import to_stored
 
-# Size of the connection pool.
-MIN_CONNECTIONS = 2
+# Fixed value: most connections of the pool.
 MAX_CONNECTIONS = 10
 
 DATABASE_COLUMNS = (

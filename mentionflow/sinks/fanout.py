@@ -12,7 +12,7 @@ from mentionflow.operators.validity import rejected_rows, valid_rows
 from mentionflow.session import delete_path, staged
 from mentionflow.sinks.database import insert_database
 from mentionflow.sinks.jsonl import write_jsonl
-from mentionflow.sinks.table import insert_posts
+from mentionflow.sinks.table import fresh_rows, insert_posts, read_table
 from mentionflow.sources.posts import ARRIVAL_ORDER
 
 
@@ -26,19 +26,24 @@ class Sinks:
     quarantine_dir: str | None = None
 
 
-def publish(posts: DataFrame, sinks: Sinks, batch: str, day: str | None = None) -> None:
+def publish(posts: DataFrame, sinks: Sinks, batch: str, day: str | None = None, new_lines_only: bool = False) -> None:
     """Deduplicate a batch of posts with arrival columns and write it to all sinks; faulty rows are set aside.
 
     The deduplicated batch is written once to the shared work folder and read from there by every sink, so the
-    sources are not computed again, no sink sees other rows than the next, and a lost executor costs one re-read.
+    sources are not computed again, no sink sees other rows than the next, and a lost executor costs one re-read. With
+    `new_lines_only` the lines get only posts the table does not have yet; they are written before the table, so a
+    replay writes the same lines again or, when the table is already written, none.
     """
     spark = posts.sparkSession
     if sinks.quarantine_dir:
         rejected_rows(posts).write.mode("overwrite").json(f"{sinks.quarantine_dir}/batch={batch}")
     kept, path = staged(first_wins(valid_rows(posts), ARRIVAL_ORDER), "batch")
-    write_jsonl(kept, sinks.output_dir, batch, day)
-    if sinks.table_dir:
-        insert_posts(kept, sinks.table_dir)
-    if sinks.database:
-        insert_database(kept, sinks.database)
-    delete_path(spark, path)
+    try:
+        lines = fresh_rows(kept, read_table(spark, sinks.table_dir)) if new_lines_only and sinks.table_dir else kept
+        write_jsonl(lines, sinks.output_dir, batch, day)
+        if sinks.table_dir:
+            insert_posts(kept, sinks.table_dir)
+        if sinks.database:
+            insert_database(kept, sinks.database)
+    finally:
+        delete_path(spark, path)

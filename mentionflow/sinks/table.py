@@ -1,14 +1,17 @@
-"""The stored posts as a Parquet table with one row per (source, post_id). One writer at a time."""
+"""The stored posts as a Parquet table with one row per (source, post_id), and their scores as a table of their own.
+
+One inserting writer at a time; scores may be written meanwhile.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionflow.functions.text import record_id
 from mentionflow.functions.times import parsed_time, utc_date
 from mentionflow.operators.dedup import not_stored
-from mentionflow.operators.reports import apply_scores
+from mentionflow.operators.reports import apply_scores, last_scores
 from mentionflow.schema import POST_KEY, SCORE, STORED_PARTITIONS, STORED_POST
 from mentionflow.session import delete_path, path_exists, staged
 
@@ -20,7 +23,9 @@ PRUNE_SOURCES = 1000
 
 def to_stored(posts: DataFrame) -> DataFrame:
     """Post records to table rows: typed times, derived id, defaults, no sentiment yet."""
-    scraped = F.coalesce(parsed_time(F.col("scraped_at")), F.current_timestamp())
+    given = F.col("scraped_at").cast("string")
+    unreadable = F.raise_error(F.lit("scraped_at is not a time")).cast("timestamp")
+    scraped = F.when(given.isNull(), F.current_timestamp()).otherwise(F.coalesce(parsed_time(given), unreadable))
     values = {
         "id": record_id(F.col("source"), F.col("post_id")),
         "lang": F.coalesce("lang", F.lit("id")),
@@ -38,13 +43,25 @@ def to_stored(posts: DataFrame) -> DataFrame:
     return posts.select(*columns)
 
 
-def read_posts(spark: SparkSession, path: str) -> DataFrame:
-    """The table; empty when nothing was ever inserted."""
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The posts as they were inserted; empty when nothing ever was."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], STORED_POST)
     return spark.read.schema(STORED_POST).parquet(path)
 
 
+def scores_path(path: str) -> str:
+    return f"{path.rstrip('/')}-scores"
+
+
+def read_posts(spark: SparkSession, path: str) -> DataFrame:
+    """The posts with the last score of each. Tests on source, date and keyword reach the table's scan."""
+    posts, scored = read_table(spark, path), scores_path(path)
+    if not path_exists(spark, scored):
+        return posts
+    return apply_scores(posts, spark.read.schema(SCORE).parquet(scored))
+
+
 def create_table(spark: SparkSession, path: str) -> None:
     """Make an empty table unless there is one."""
     if not path_exists(spark, path):
@@ -59,60 +76,46 @@ def insert_posts(posts: DataFrame, path: str) -> None:
     they are broadcast to find the conflicts, so the stored keys are not shuffled; otherwise both sides are shuffled
     on the key. A replayed batch finds its rows already there and adds nothing.
     """
-    fresh = fresh_rows(posts, read_posts(posts.sparkSession, path))
-    _append(to_stored(fresh), path, "append")
+    fresh = fresh_rows(posts, read_table(posts.sparkSession, path))
+    _append(to_stored(fresh), path)
 
 
 def fresh_rows(posts: DataFrame, stored: DataFrame) -> DataFrame:
     """The posts that are not stored, by the cheapest way their measured size allows."""
     width = F.octet_length("source") + F.octet_length("post_id") + 32
-    measured = posts.groupBy("source").agg(F.sum(width).alias("size")).limit(PRUNE_SOURCES + 1).collect()
+    size = posts.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    sources = posts.select("source").distinct().limit(PRUNE_SOURCES + 1).collect()
     keys = stored.select(*POST_KEY)
-    if len(measured) <= PRUNE_SOURCES:
-        keys = keys.filter(F.col("source").isin([row["source"] for row in measured]))
-        if sum(row["size"] for row in measured) <= BROADCAST_KEY_BYTES:
-            keys = keys.join(F.broadcast(posts.select(*POST_KEY)), list(POST_KEY), "left_semi")
+    if len(sources) <= PRUNE_SOURCES:
+        keys = keys.filter(F.col("source").isin([row["source"] for row in sources]))
+    if size <= BROADCAST_KEY_BYTES:
+        keys = keys.join(F.broadcast(posts.select(*POST_KEY)), list(POST_KEY), "left_semi")
     return not_stored(posts, keys)
 
 
-def _append(rows: DataFrame, path: str, mode: str) -> None:
+def _append(rows: DataFrame, path: str) -> None:
     """Write table rows: output sized by adaptive execution per directory, so a hot source gets many files and a
     small one gets one; rows sorted inside a file so that keyword and time statistics skip row groups."""
     parts = [F.col(name) for name in STORED_PARTITIONS]
     ordered = rows.hint("rebalance", *parts).sortWithinPartitions(*STORED_PARTITIONS, "keyword", "scraped_at")
-    writer = ordered.write.mode(mode).partitionBy(*STORED_PARTITIONS)
-    if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    ordered.write.mode("append").partitionBy(*STORED_PARTITIONS).parquet(path)
 
 
 def write_scores(scores: DataFrame, path: str) -> None:
-    """Fill in the scores of the sentiment stage, rewriting only directories that hold a scored post.
+    """Add the scores of the sentiment stage to the score table next to the posts.
 
-    When the scores also carry `source` and `scraped_date`, those name the directories; otherwise the ids of the
-    table are read to find them. The new rows are staged in the shared folder before directories are replaced.
+    Posts are not touched, so posts inserted meanwhile are safe, and the cost is that of the scores alone. A post
+    scored again has several rows until `compact_scores` is run; readers take the last.
     """
-    spark = scores.sparkSession
-    table = read_posts(spark, path)
-    located = set(STORED_PARTITIONS) <= set(scores.columns)
-    scores, scores_path = staged(scores.select(*SCORE.names, *(STORED_PARTITIONS if located else ())), "scores")
-    holding = scores if located else table.join(scores, "id", "left_semi")
-    touched = holding.select(*STORED_PARTITIONS).distinct().collect()
-    if touched:
-        rescored = apply_scores(table.filter(_in_directories(touched)), scores)
-        rows, rows_path = staged(rescored, "rescored")
-        _append(rows, path, "overwrite")
-        delete_path(spark, rows_path)
-    delete_path(spark, scores_path)
-
-
-def _in_directories(touched: list) -> Column:
-    """Test for the given (source, date) directories, grouped by source to stay short."""
-    dates: dict[str, list] = {}
-    for source, date in touched:
-        dates.setdefault(source, []).append(date)
-    tests = [(F.col("source") == source) & F.col("scraped_date").isin(days) for source, days in dates.items()]
-    combined = tests[0]
-    for test in tests[1:]:
-        combined = combined | test
-    return combined
+    columns = [F.col(field.name).cast(field.dataType).alias(field.name) for field in SCORE]
+    scores.select(*columns).write.mode("append").parquet(scores_path(path))
+
+
+def compact_scores(spark: SparkSession, path: str) -> None:
+    """Keep the last score of each post. Run it while nothing writes scores."""
+    last = last_scores(spark.read.schema(SCORE).parquet(scores_path(path)))
+    rows, held = staged(last.select("id", "_new.*").select(*SCORE.names), "scores")
+    try:
+        rows.write.mode("overwrite").parquet(scores_path(path))
+    finally:
+        delete_path(spark, held)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_landed(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet") -> DataFrame:
+def read_landed(spark: SparkSession, path: str | list[str], schema: T.StructType, file_format: str = "parquet") -> DataFrame:
     return spark.read.schema(schema).format(file_format).load(path)
 
 

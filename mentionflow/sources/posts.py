@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mentionflow.functions import text as tx
 from mentionflow.functions.links import resolve_link
 from mentionflow.functions.times import iso_text, parsed_time
-from mentionflow.operators.dedup import cap_per_keyword
+from mentionflow.operators.dedup import cap_per_keyword, first_wins
 from mentionflow.operators.extract import all_values, extract_items, first_value
 from mentionflow.operators.filters import keep_where
 from mentionflow.operators.match import clean_keywords, match_all, match_first
@@ -22,6 +22,9 @@ ARRIVAL = ("arrival_major", "arrival_minor")
 #: Order that decides which copy of a post is the first one; the columns after the arrival only break ties.
 ARRIVAL_ORDER = (*ARRIVAL, "created_at", "text", "keyword", "url")
 
+#: Language of an item that does not name one.
+ITEM_LANG = "id"
+
 # Selectors of a rendered search-result card.
 CARD_SELECTOR = 'article[data-testid="tweet"]'
 CARD_FIELDS = {
@@ -37,7 +40,7 @@ def as_posts(items: DataFrame, extra: Sequence[str] = (), **values: Column) -> D
     defaults = {
         "author": F.lit(""),
         "created_at": F.lit(""),
-        "lang": F.lit("id"),
+        "lang": F.lit(ITEM_LANG),
         "raw": F.lit("{}"),
         "scraped_at": iso_text(F.current_timestamp()),
     }
@@ -84,10 +87,15 @@ def search_social(
 ) -> DataFrame:
     """Keyword search over landed social items: language, all keywords, newest first, at most N per keyword.
 
-    The language test goes to the scan. `item_ord` is the position within the keyword; caps come before dedup, so a
-    post cut under one keyword can still arrive under a later one.
+    The language test goes to the scan; an item without a language has the record's default. Landed copies of an item
+    count once. `item_ord` is the position within the keyword; caps come before dedup across keywords, so a post cut
+    under one keyword can still arrive under a later one.
     """
-    found = match_all(items.filter(F.col("lang") == lang), "text", keywords)
+    spoken = F.col("lang") == lang
+    if lang == ITEM_LANG:
+        spoken = spoken | F.col("lang").isNull()
+    found = match_all(items.filter(spoken), "text", keywords)
+    found = first_wins(found, newest, ("keyword_ord", "keyword", "id"))
     return cap_per_keyword(found, max_per_keyword, newest, ("keyword_ord", "keyword"), salt_by="id", rank="item_ord")
 
 
@@ -161,11 +169,16 @@ def valid_cards(cards: DataFrame) -> DataFrame:
 
 
 def card_posts(pages: DataFrame, keywords: Sequence[str], lang: str, max_per_keyword: int) -> DataFrame:
-    """Rendered result pages (`keyword`, `page_no`, `html`) to posts. The cap counts valid cards only."""
+    """Rendered result pages (`keyword`, `page_no`, `html`) to posts.
+
+    The cap counts valid cards only. A card that later pages show again counts on its first page.
+    """
     words = clean_keywords(keywords)
     order = F.array_position(F.array(*[F.lit(word) for word in words]), F.col("keyword")) - 1
     searched = pages.filter(F.col("keyword").isin(words))
     cards = valid_cards(card_items(searched)).withColumn("keyword_ord", order)
+    seen = Window.partitionBy("keyword_ord", "keyword", tx.status_id(F.col("_status"))).orderBy("page_no")
+    cards = cards.withColumn("_page", F.rank().over(seen)).filter("_page = 1").drop("_page")
     capped = cap_per_keyword(
         cards.drop("error"), max_per_keyword, ["page_no", "item_ord"], ("keyword_ord", "keyword"),
         salt_by="_status", rank="card_no",

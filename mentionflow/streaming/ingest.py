@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from mentionflow.schema import POST_KEY
-from mentionflow.session import delete_path, staged
+from mentionflow.session import delete_path, remembered, staged
 from mentionflow.sinks.fanout import Sinks, publish
 
 
@@ -23,17 +24,22 @@ def start_ingest(
     """Feed landed items to the sinks, batch by batch; all that is there and then stop, unless `every` is given.
 
     Duplicates inside a batch go by arrival, duplicates of earlier batches by the table's key, so nothing is lost to
-    a watermark and no state grows. A batch replayed after a failure overwrites its own files and inserts nothing
-    twice.
+    a watermark and no state grows. Batches are named by stream and number; the stream's name is kept with its
+    checkpoint, so another stream into the same output never replaces its lines. A batch replayed after a failure
+    overwrites its own files and inserts nothing twice; a post of an earlier batch adds no line.
     """
+    spark = landed.sparkSession
+    stream = remembered(spark, f"{checkpoint.rstrip('/')}/stream-name", uuid.uuid4().hex)
 
     def write(batch: DataFrame, number: int) -> None:
-        posts = to_posts(batch)
+        posts, name = to_posts(batch), f"{stream}-{number:09d}"
         if not sinks.quarantine_dir:
-            return publish(posts, sinks, f"{number:09d}", day)
+            return publish(posts, sinks, name, day, new_lines_only=True)
         once, path = staged(posts, "micro-batch")  # read twice: for the faulty rows and for the others
-        publish(once, sinks, f"{number:09d}", day)
-        delete_path(batch.sparkSession, path)
+        try:
+            publish(once, sinks, name, day, new_lines_only=True)
+        finally:
+            delete_path(batch.sparkSession, path)
 
     writer = landed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}

@@ -45,6 +45,15 @@ def test_first_keyword_in_list_order(titles, extra):
     assert {row["n"]: row["keyword"] for row in kept} == {n: got.get(n) for n in range(len(TITLES))}
 
 
+@pytest.mark.parametrize("extra", [0, 100])
+def test_keywords_as_hashtags(spark, extra):
+    rows = [(0, "see #AcmeUtara"), (1, "acme  utara"), (2, "ACME UTARA"), (3, "#acme utara"), (4, "acmeutara")]
+    frame = spark.createDataFrame(rows, "n int, title string")
+    words = ["acme utara"] + [f"absent{n}" for n in range(extra)]
+    assert {row["n"] for row in match.match_first(frame, "title", words, tagged=True).collect()} == {0, 2, 3}
+    assert {row["n"] for row in match.match_first(frame, "title", words).collect()} == {2, 3}
+
+
 @pytest.mark.parametrize("extra", [0, 100])
 def test_all_keywords(titles, extra):
     words = ["News", "policy", "economy", "technology"] + [f"absent{n}" for n in range(extra)]
@@ -122,6 +131,12 @@ def test_cap_must_be_positive(spark):
         dedup.cap_per_keyword(spark.range(1), 0, ["id"])
 
 
+def test_cap_is_salted_at_any_size(spark):
+    frame = spark.range(10).select(F.lit("k").alias("keyword"), F.col("id").alias("post_id"))
+    plan = plan_of(dedup.cap_per_keyword(frame, 50, ["post_id"]))
+    assert "_salt" in plan and plan.count("Window (") + plan.count(") Window") >= 3
+
+
 def test_counters(spark):
     rows = [("x", "social", "1"), ("x", "social", "1"), ("x", "social", "2"), ("w", "web", "1"), ("w", "web", "1")]
     frame = spark.createDataFrame(rows, "source string, source_type string, post_id string")
@@ -138,7 +153,7 @@ def test_counting_combines_before_the_shuffle(spark):
 
 
 def test_faults_are_named(spark):
-    good = dict.fromkeys(POST.names, "v") | {"source_type": "web"}
+    good = dict.fromkeys(POST.names, "v") | {"source_type": "web", "scraped_at": "2026-01-01T00:00:00Z"}
     rows = [good, good | {"source_type": "forum"}, good | {"text": None, "source": None}, good | {"url": None},
             good | {"source": ""}]
     frame = spark.createDataFrame([tuple(row[name] for name in POST.names) for row in rows], POST)

@@ -1,7 +1,7 @@
 """Table, JSON lines, fan-out, runs and streams, each in a folder of its own."""
 
 import json
-from datetime import date, datetime
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from mentionflow import session
 from mentionflow.plans.config import DEFAULT_KEYWORDS, FAMILIES, families_of, resolve_config
 from mentionflow.plans.run import run
-from mentionflow.schema import CAPTION_ITEM, PAGE, POST, REVIEW_ITEM, SCORE, SOCIAL_ITEM, VIDEO_COMMENT, VIDEO_ITEM
+from mentionflow.schema import CAPTION_ITEM, CARD_PAGE, PAGE, POST, REVIEW_ITEM, SCORE, SOCIAL_ITEM, VIDEO_COMMENT, VIDEO_ITEM
 from mentionflow.session import new_path, spread_scan, work_dir
 from mentionflow.sinks import database, table
 from mentionflow.sinks.fanout import Sinks, publish
@@ -133,23 +133,63 @@ def test_stored_keys_are_read_without_other_columns(spark, tmp_path):
     assert schemas == ["ReadSchema: struct<post_id:string>"]
 
 
-@pytest.mark.parametrize("located", [False, True])
-def test_scores_are_written_to_their_directories_only(spark, tmp_path, located):
+def test_scores_leave_the_posts_alone(spark, tmp_path):
     path = str(tmp_path / "table")
     publish(posts(spark, ROWS), Sinks(str(tmp_path / "out"), path), "one")
-    stored = table.read_posts(spark, path)
-    before = {row[0] for row in stored.filter("source = 'b'").select(F.input_file_name()).collect()}
-    at = datetime(2026, 2, 1)
-    ids = {row["post_id"]: row["id"] for row in stored.filter("source = 'a'").collect()}
-    scores = spark.createDataFrame([(ids["1"], "positive", Decimal("0.75"), at)], SCORE)
-    if located:
-        scores = scores.withColumns({"source": F.lit("a"), "scraped_date": F.lit(date(2026, 1, 1))})
-    table.write_scores(scores, path)
-    after = table.read_posts(spark, path)
-    got = {(row["source"], row["post_id"]): row["sentiment_label"] for row in after.collect()}
-    assert got == {("a", "1"): "positive", ("a", "2"): None, ("b", "1"): None, ("a:b", "1"): None}
-    assert {row[0] for row in after.filter("source = 'b'").select(F.input_file_name()).collect()} == before
-    assert unscored(after, spark.createDataFrame([], SCORE)).count() == 3
+    files = {row[0] for row in table.read_table(spark, path).select(F.input_file_name()).collect()}
+    ids = {(row["source"], row["post_id"]): row["id"] for row in table.read_posts(spark, path).collect()}
+    first = [(ids["a", "1"], "neutral", Decimal("0.5"), datetime(2026, 2, 1)), ("unknown", "positive", None, None)]
+    table.write_scores(spark.createDataFrame(first, SCORE), path)
+    publish(posts(spark, [("c", "1", "k", 0, 0)]), Sinks(str(tmp_path / "out"), path), "two")
+    table.write_scores(spark.createDataFrame([(ids["a", "1"], "positive", Decimal("0.75"), datetime(2026, 2, 2))], SCORE), path)
+    want = {("a", "1"): "positive", ("a", "2"): None, ("b", "1"): None, ("a:b", "1"): None, ("c", "1"): None}
+    for compacted in (False, True):
+        if compacted:
+            table.compact_scores(spark, path)
+            assert spark.read.parquet(table.scores_path(path)).count() == 2
+        after = table.read_posts(spark, path)
+        assert {(row["source"], row["post_id"]): row["sentiment_label"] for row in after.collect()} == want
+    assert files <= {row[0] for row in table.read_table(spark, path).select(F.input_file_name()).collect()}
+    assert unscored(after, spark.createDataFrame([], SCORE)).count() == 4
+    filters = [line for line in plan_of(by_source(after, "a")).splitlines() if line.startswith("PartitionFilters")]
+    assert any("source" in line for line in filters)
+
+
+def test_scores_of_very_many_sources(spark, tmp_path):
+    path = str(tmp_path / "table")
+    many = posts(spark, ROWS[:1]).crossJoin(spark.range(2000)).withColumn("source", F.concat(F.lit("s"), "id")).drop("id")
+    table._append(table.to_stored(many).withColumn("scraped_date", F.lit(None).cast("date")).repartition(1), path)
+    ids = table.read_posts(spark, path).select("id", F.lit("neutral").alias("sentiment_label"), F.lit(None).alias("sentiment_score"), F.lit(None).alias("analyzed_at"))
+    table.write_scores(ids, path)
+    assert table.read_posts(spark, path).filter("sentiment_label = 'neutral'").count() == 2000
+
+
+@pytest.mark.parametrize("sources", [0, 1000])
+def test_broadcast_does_not_depend_on_the_number_of_sources(spark, tmp_path, monkeypatch, sources):
+    monkeypatch.setattr(table, "PRUNE_SOURCES", sources)
+    path = str(tmp_path / "table")
+    publish(posts(spark, ROWS), Sinks(str(tmp_path / "out"), path), "one")
+    fresh = table.fresh_rows(posts(spark, [*ROWS, ("z", "1", "k", 0, 0)]), table.read_table(spark, path))
+    assert {row["source"] for row in fresh.collect()} == {"z"}
+    assert "BroadcastHashJoin" in plan_of(fresh)
+
+
+def test_unreadable_scrape_time(spark, tmp_path):
+    bad = posts(spark, ROWS[:1]).withColumn("scraped_at", F.lit("yesterday"))
+    sinks = Sinks(str(tmp_path / "out"), str(tmp_path / "table"), quarantine_dir=str(tmp_path / "bad"))
+    publish(bad.unionByName(posts(spark, ROWS[3:4])), sinks, "one")
+    assert keys_of(table.read_posts(spark, sinks.table_dir)) == [("b", "1", "k")]
+    assert spark.read.json(f"{sinks.quarantine_dir}/batch=one").first()["reason"] == ["scraped_at is not a time"]
+    with pytest.raises(Exception, match="scraped_at is not a time"):
+        table.to_stored(bad).collect()
+
+
+def test_replay_on_the_next_day_keeps_the_first_day(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for day in ("20260101", "20260102"):
+        write_jsonl(posts(spark, ROWS[:1]), out, "b", day)
+    write_jsonl(posts(spark, ROWS[:1]), out, "c", "20260102")
+    assert sorted((row["day"], row["batch"]) for row in read_jsonl(spark, out).collect()) == [("20260101", "b"), ("20260102", "c")]
 
 
 def test_database_options():
@@ -237,10 +277,49 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     monkeypatch.setattr("sys.argv", ["mentionflow", *options, "--source", "web"])
     monkeypatch.setenv("KEYWORDS", "weather, policy")
     main()
-    assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"social": 0, "web": 2, "duplicates": 0, "failed": {}}
+    assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"social": 0, "web": 2, "duplicates": 0, "rejected": 0, "failed": {}}
     assert {row["keyword"] for row in table.read_posts(spark, f"{tmp_path}/table").collect()} == {"policy", "weather"}
 
 
+def test_repeated_landed_inputs_are_read_together(spark, tmp_path, monkeypatch, capsys):
+    from mentionflow.__main__ import main
+
+    for number, word in enumerate(("policy", "weather", "other")):
+        html = f'<a href="/read/{number}">{word} one</a>'
+        spark.createDataFrame([(number, "https://www.kompas.com/", html)], PAGE).write.parquet(f"{tmp_path}/pages{number}")
+    items = [(1, "policy today", "2026-01-01T00:00:00Z", None, None, None, None, None)]
+    spark.createDataFrame(items, SOCIAL_ITEM).write.parquet(f"{tmp_path}/items")
+    card = '<article data-testid="tweet"><div data-testid="tweetText">policy</div><a href="/u/status/7">x</a></article>'
+    spark.createDataFrame([("policy", 1, card)], CARD_PAGE).write.parquet(f"{tmp_path}/cards")
+    landed = [f"web={tmp_path}/pages{number}" for number in range(3)] + [f"x={tmp_path}/items", f"x_pages={tmp_path}/cards"]
+    options = [part for entry in landed for part in ("--landed", entry)]
+    options += ["--output-dir", f"{tmp_path}/out", "--table-dir", f"{tmp_path}/table", "--keywords", "weather,policy"]
+    monkeypatch.setattr("sys.argv", ["mentionflow", *options])
+    main()
+    report = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert (report["social"], report["web"], report["failed"]) == (2, 2, {})
+
+
+def test_language_copies_and_platform_keywords(spark, tmp_path):
+    items = [(1, "news a", "2026-01-01T00:00:00Z", None)] + [(2, "news b", "2026-01-02T00:00:00Z", "id")] * 4
+    social = [(*item, None, None, None, None) for item in items]
+    captions = [("c1", "see #acmeutara", "u", "p", "t", "caption", "m", 1), ("c2", "acme", "u", "p", "t", "caption", "m", 1)]
+    comments = [("y1", "nice", "n", "v", "All about Acme Utara", "t", 1, 0), ("y2", "nice", "n", "v", "other", "t", 1, 0)]
+    reviews = [("r1", "shopee", "bagus", "u", "https://s/1", "2026-01-01", 4, "Acme Utara kettle", True), ("r2", "shopee", None, "u", "", "", 1, "pan", True)]
+    inputs = {
+        "x": lambda s: s.createDataFrame(social, SOCIAL_ITEM),
+        "instagram": lambda s: s.createDataFrame(captions, CAPTION_ITEM),
+        "youtube": lambda s: s.createDataFrame(comments, VIDEO_COMMENT),
+        "ecommerce": lambda s: s.createDataFrame(reviews, REVIEW_ITEM),
+    }
+    config = config_for(tmp_path, keywords="acme utara,news", max_per_keyword=2)
+    report = run(spark, config, inputs)
+    assert (report.social, report.web, report.rejected) == (4, 1, 1)
+    assert keys_of(table.read_posts(spark, config.table_dir)) == [
+        ("instagram", "c1", "acme utara"), ("shopee", "r1", "acme utara"), ("x", "1", "news"), ("x", "2", "news"), ("youtube", "y1", "acme utara"),
+    ]
+
+
 def test_platform_records(spark):
     caption = spark.createDataFrame([("1", "b", None, "https://p/1", None, "caption", "m", None)], CAPTION_ITEM)
     row = platforms.caption_posts(caption).first()
@@ -281,6 +360,19 @@ def test_stream_gives_the_table_of_the_batch(spark, tmp_path):
     assert keys_of(table.read_posts(spark, sinks.table_dir)) == sorted([*stored, ("c", "9", "k")])
 
 
+def test_two_streams_into_one_output(spark, tmp_path):
+    sinks = Sinks(str(tmp_path / "out"), str(tmp_path / "table"))
+    landing = {name: str(tmp_path / name) for name in ("one", "two")}
+    posts(spark, ROWS[:3]).write.parquet(landing["one"])
+    posts(spark, [*ROWS[1:], ("a", "9", "k", 0, 0)]).write.parquet(landing["two"])
+    for name in ("one", "two", "two"):
+        stream = stream_landed(spark, landing[name], posts(spark, ROWS).schema)
+        start_ingest(stream, lambda batch: batch, sinks, str(tmp_path / f"check-{name}"), "20260101").awaitTermination()
+    want = sorted([*WANT, ("a", "9", "k")])
+    assert keys_of(table.read_posts(spark, sinks.table_dir)) == want
+    assert keys_of(read_jsonl(spark, sinks.output_dir)) == want
+
+
 def test_stream_dedup_with_bounded_state(spark, tmp_path):
     landing = str(tmp_path / "landing")
     rows = [("a", str(n % 5), "k", 0, 0) for n in range(50)]
