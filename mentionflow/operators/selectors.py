@@ -1,315 +1,203 @@
 """Selector rules over one page's markup: the per-page helper of the extraction job.
 
-Supported: `tag`, `.class`, `#id`, `[attr]`, `[attr="v"]`, `[attr*="v"]`, `[attr^="v"]`, `[attr$="v"]`,
-`[attr~="v"]`, descendants (`a b`), children (`a > b`), and at the end `::text` or `::attr(name)`.
-`x::text` takes the text nodes right under the match, a bare or spaced `::text` those at any depth.
+Supported: `tag`, `.class`, `[attr]`, `[attr="v"]`, `[attr*="v"]`, descendants (`a b`), and at the end `::text` or
+`::attr(name)`. `x::text` takes the text nodes right under the match, a bare or spaced `::text` those at any depth.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass, field
-from html import unescape
+from dataclasses import dataclass
+from html.parser import HTMLParser
 
 # Elements without an end tag, and what an opening tag closes first when it is still open.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-BLOCK_TAGS = frozenset(
-    "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
-    "section table ul".split()
-)
-CLOSED_BY = {
-    "a": frozenset({"a"}),
-    "li": frozenset({"li"}),
-    "dt": frozenset({"dt", "dd"}),
-    "dd": frozenset({"dt", "dd"}),
-    "option": frozenset({"option"}),
-    "td": frozenset({"td", "th"}),
-    "th": frozenset({"td", "th"}),
-    "tr": frozenset({"td", "th", "tr"}),
-}
-# Elements whose content is text only, and whether character references in it are decoded.
-TEXT_ONLY_TAGS = {"script": False, "style": False, "title": True, "textarea": True}
+CLOSED_BY = {"a": {"a"}, "li": {"li"}, "option": {"option"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"}}
+CLOSED_BY |= {tag: {"p"} for tag in "article div dl footer form h1 h2 h3 h4 header main nav ol p section table ul".split()}
 # Fixed value: an end tag of any other element does not reach past these.
-SCOPE_TAGS = frozenset("article aside body div footer form header html li main nav ol section table td th ul".split())
-
-_SIMPLE = re.compile(
-    r"(?P<tag>\*|[A-Za-z][\w-]*)|\.(?P<cls>[\w-]+)|#(?P<id>[\w-]+)"
-    r"|\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>[*^$~]?=)\s*(?:\"(?P<dq>[^\"]*)\"|'(?P<sq>[^']*)'|(?P<bare>[^\]\s]+))\s*)?\]"
-)
-# One piece of markup. Every loop is possessive, so the time to read a page is linear in its length.
-_MARKUP = re.compile(
-    r"<(?:([A-Za-z][^\s/<>]*+)((?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[=\"'])*+)>"
-    r"|/([A-Za-z][^\s/<>]*+)[^<>]*+>|(!--)|[!?/][^<>]*+>)"
-)
-_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?")
-_BARE_VALUE_END = re.compile(r"=\s*[^\s\"']+$")
-_TEXT_ENDS = {tag: re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE) for tag in TEXT_ONLY_TAGS}
-_GAP = re.compile(r"\s*(>)\s*|\s+")
-_TAKES = re.compile(r"(\s*)::(?:(text)|attr\(\s*([\w:-]+)\s*\))\s*$")
+SCOPE_TAGS = frozenset("article body div footer form header html li main nav ol section table td ul".split())
 
-_TESTS = {
-    "=": lambda have, want: have == want,
-    "*=": lambda have, want: bool(want) and want in have,
-    "^=": lambda have, want: bool(want) and have.startswith(want),
-    "$=": lambda have, want: bool(want) and have.endswith(want),
-    "~=": lambda have, want: want in have.split(),
-}
+_PART = re.compile(r"""(?P<tag>[A-Za-z][\w-]*)|\.(?P<cls>[\w-]+)|\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>\*?=)\s*(?:"(?P<dq>[^"]*)"|'(?P<sq>[^']*)')\s*)?\]""")
+_TAKES = re.compile(r"(\s*)::(?:(text)|attr\(\s*([\w:-]+)\s*\))\s*$")
 
 
-@dataclass(slots=True)
+@dataclass(frozen=True, slots=True)
 class Step:
-    """One element test, and how it relates to the step before it."""
+    """One element test: a tag name and tests of attributes as (name, kind, value)."""
 
-    tag: str | None = None
-    tests: list[tuple[str, str | None, str]] = field(default_factory=list)
-    child: bool = False
+    tag: str | None
+    tests: tuple[tuple[str, str, str], ...]
 
-    def accepts(self, element: _Element) -> bool:
-        if self.tag is not None and self.tag != element.tag:
+    def accepts(self, tag: str, attrs: dict[str, str]) -> bool:
+        if self.tag is not None and self.tag != tag:
             return False
-        if self.tests:
-            attrs = element.attributes()
-            for name, op, want in self.tests:
-                have = attrs.get(name)
-                if have is None or (op is not None and not _TESTS[op](have, want)):
-                    return False
+        for name, kind, want in self.tests:
+            have = attrs.get(name)
+            if have is None or kind == "=" and have != want or kind == "*=" and (not want or want not in have):
+                return False
+            if kind == "class" and want not in have.split():
+                return False
         return True
 
 
-@dataclass(slots=True)
+@dataclass(frozen=True, slots=True)
 class Selector:
     """Parsed selector. `attr` or `text` say what it takes; `deep` is text at any depth below the match."""
 
-    steps: list[Step]
+    steps: tuple[Step, ...]
     attr: str | None = None
     text: bool = False
     deep: bool = False
-    last_tag: str | None = None
-    needs_attrs: bool = False
+
+
+def _step(source: str) -> Step:
+    tag, tests, at = None, [], 0
+    while at < len(source):
+        part = _PART.match(source, at)
+        if not part or part["tag"] and at:
+            raise ValueError(f"unsupported selector: {source!r}")
+        if part["tag"]:
+            tag = part["tag"].lower()
+        elif part["cls"]:
+            tests.append(("class", "class", part["cls"]))
+        else:
+            value = part["dq"] if part["dq"] is not None else part["sq"] or ""
+            tests.append((part["attr"].lower(), part["op"] or "", value))
+        at = part.end()
+    return Step(tag, tuple(tests))
 
 
 def parse_selector(source: str) -> Selector:
     body, attr, text, deep = source.strip(), None, False, False
-    takes = _TAKES.search(body)
-    if takes:
+    if takes := _TAKES.search(body):
         body = body[: takes.start()]
-        attr, text = takes.group(3), takes.group(2) is not None
-        deep = text and (bool(takes.group(1)) or not body)
-        attr = attr.lower() if attr else None
-    steps: list[Step] = []
-    at, child = 0, False
-    while at < len(body):
-        step = Step(child=child)
-        start = at
-        while at < len(body) and (found := _SIMPLE.match(body, at)):
-            if found["tag"] is not None:
-                if at != start:
-                    raise ValueError(f"unsupported selector: {source!r}")
-                step.tag = None if found["tag"] == "*" else found["tag"].lower()
-            elif found["cls"] is not None:
-                step.tests.append(("class", "~=", found["cls"]))
-            elif found["id"] is not None:
-                step.tests.append(("id", "=", found["id"]))
-            else:
-                want = next((found[name] for name in ("dq", "sq", "bare") if found[name] is not None), "")
-                step.tests.append((found["attr"].lower(), found["op"], want))
-            at = found.end()
-        if at == start:
-            raise ValueError(f"unsupported selector: {source!r}")
-        steps.append(step)
-        if at < len(body):
-            gap = _GAP.match(body, at)
-            if not gap:
-                raise ValueError(f"unsupported selector: {source!r}")
-            child, at = gap.group(1) is not None, gap.end()
-            if at == len(body):
-                raise ValueError(f"unsupported selector: {source!r}")
+        attr, text = takes[3] and takes[3].lower(), takes[2] is not None
+        deep = text and (bool(takes[1]) or not body)
+    # white space inside brackets belongs to its step
+    steps = tuple(_step(part) for part in re.findall(r"(?:\[[^\]]*\]|[^\s\[])+|\[", body))
     if not steps and not takes:
         raise ValueError("empty selector")
-    needs_attrs = attr is not None or (bool(steps) and bool(steps[-1].tests))
-    return Selector(steps, attr, text, deep, steps[-1].tag if steps else None, needs_attrs)
-
-
-class _PageRule:
-    """An item selector with its field selectors, and which of the fields can concern an element of a given tag."""
-
-    def __init__(self, item_selector: str, field_selectors: tuple[str, ...]):
-        self.item = parse_selector(item_selector)
-        self.fields = [parse_selector(source) for source in field_selectors]
-        self._by_tag: dict[str, list[tuple[int, Selector]]] = {}
-
-    def fields_of(self, tag: str) -> list[tuple[int, Selector]]:
-        found = self._by_tag.get(tag)
-        if found is None:
-            found = [(at, field) for at, field in enumerate(self.fields) if field.last_tag in (None, tag)]
-            self._by_tag[tag] = found
-        return found
+    return Selector(steps, attr, text, deep)
 
 
 class _Element:
-    """An open element. Attributes stay unread until a selector asks for them."""
-
-    __slots__ = ("tag", "source", "read", "near", "deep")
-
-    def __init__(self, tag: str, source: str, deep: tuple):
-        self.tag, self.source, self.read = tag, source, None
-        self.near: tuple = ()
-        self.deep = deep
+    """An open element, and the value lists that take its text: right under it, or at any depth."""
 
-    def attributes(self) -> dict[str, str]:
-        if self.read is None:
-            self.read = {}
-            if self.source:
-                for name, double, single, bare in _ATTRIBUTE.findall(self.source):
-                    value = double or single or bare
-                    self.read.setdefault(name.lower(), unescape(value) if "&" in value else value)
-        return self.read
+    __slots__ = ("tag", "attrs", "near", "deep")
 
-
-def _matches(steps: list[Step], path: list[_Element], floor: int) -> bool:
-    """Whether the last element of the path fits the steps, looking no higher than index `floor`."""
-    if not steps[-1].accepts(path[-1]):
-        return False
-    return len(steps) == 1 or _above(steps, len(steps) - 1, path, len(path) - 1, floor)
-
-
-def _above(steps: list[Step], at: int, path: list[_Element], position: int, floor: int) -> bool:
-    if at == 0:
-        return True
-    lowest = max(floor, position - 1) if steps[at].child else floor
-    for index in range(position - 1, lowest - 1, -1):
-        if steps[at - 1].accepts(path[index]) and _above(steps, at - 1, path, index, floor):
-            return True
-    return False
+    def __init__(self, tag: str, attrs: dict[str, str], deep: tuple):
+        self.tag, self.attrs, self.near, self.deep = tag, attrs, (), deep
 
 
-class _Collector:
+class _Page(HTMLParser):
     """Reads a page once, keeping the open elements and the values of every item; builds no tree."""
 
-    def __init__(self, rule: _PageRule):
-        self._rule = rule
-        self._items: list[list[list[str]]] = []
+    def __init__(self, item: Selector, fields: list[Selector]):
+        super().__init__(convert_charrefs=True)
+        self.items: list[list[list[str]]] = []
+        self._item, self._fields = item, fields
         self._path: list[_Element] = []
+        self._open: list[tuple[int, list[list[str]]]] = []
         self._open_tags: Counter[str] = Counter()
-        self._open_items: list[tuple[int, list[list[str]]]] = []
         self._text: list[str] = []
 
     def read(self, html: str) -> list[list[list[str]]]:
-        at, search = 0, _MARKUP.search
-        while piece := search(html, at):
-            begin, end = piece.span()
-            if begin > at and self._open_items:
-                self._add_text(html[at:begin])
-            tag, source, closed, comment = piece.groups()
-            if tag is not None:
-                tag = tag.lower()
-                self._open(tag, source)
-                if tag in TEXT_ONLY_TAGS and self._path and self._path[-1].tag == tag:
-                    end = self._text_only(html, end, tag)
-            elif closed is not None:
-                self._close(closed.lower())
-            elif comment is not None:
-                stop = html.find("-->", end)
-                end = stop + 3 if stop >= 0 else len(html)
-            at = end
-        if self._open_items:
-            self._add_text(html[at:])
+        self.feed(html)
+        self.close()
         self._flush()
-        return self._items
+        return self.items
 
-    def _add_text(self, text: str, decode: bool = True) -> None:
-        self._text.append(unescape(text) if decode and "&" in text else text)
+    def handle_data(self, data: str) -> None:
+        if self._open:
+            self._text.append(data)
 
-    def _text_only(self, html: str, at: int, tag: str) -> int:
-        stop = _TEXT_ENDS[tag].search(html, at)
-        end = stop.start() if stop else len(html)
-        if self._open_items:
-            self._add_text(html[at:end], TEXT_ONLY_TAGS[tag])
-        return end
-
-    def _open(self, tag: str, source: str) -> None:
-        if self._text:
-            self._flush()
-        path = self._path
-        if path:
-            self._close_implied(tag)
-        element = _Element(tag, source, path[-1].deep if path else ())
-        path.append(element)
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._flush()
+        closes = CLOSED_BY.get(tag, ())
+        while self._path and self._path[-1].tag in closes:
+            self._pop()
+        first: dict[str, str] = {}
+        for name, value in attrs:
+            first.setdefault(name, value or "")
+        element = _Element(tag, first, self._path[-1].deep if self._path else ())
+        self._path.append(element)
         self._open_tags[tag] += 1
-        item = self._rule.item
-        if item.last_tag in (None, tag) and (source or not item.needs_attrs) and _matches(item.steps, path, 0):
-            found = [[] for _ in self._rule.fields]
-            self._items.append(found)
-            self._open_items.append((len(path) - 1, found))
-        if self._open_items:
-            for at, selector in self._rule.fields_of(tag):
-                if source or not selector.needs_attrs:
-                    for floor, found in self._open_items:
-                        self._take(selector, element, floor, found[at])
-        if tag in VOID_TAGS or (source.endswith("/") and not _BARE_VALUE_END.search(source)):
+        if self._fits(self._item.steps, 0):
+            self.items.append([[] for _ in self._fields])
+            self._open.append((len(self._path) - 1, self.items[-1]))
+        for floor, found in self._open:
+            for field, values in zip(self._fields, found):
+                if not field.steps or self._fits(field.steps, floor):
+                    self._take(field, element, values)
+        if tag in VOID_TAGS:
+            self._pop()
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID_TAGS:
             self._pop()
 
-    def _close(self, tag: str) -> None:
+    def handle_endtag(self, tag: str) -> None:
         if not self._open_tags[tag]:
             return
-        path = self._path
-        for index in range(len(path) - 1, -1, -1):
-            if path[index].tag == tag:
-                if self._text:
-                    self._flush()
-                while len(path) > index:
+        for at in range(len(self._path) - 1, -1, -1):
+            if self._path[at].tag == tag:
+                self._flush()
+                while len(self._path) > at:
                     self._pop()
                 return
-            if path[index].tag in SCOPE_TAGS and tag not in SCOPE_TAGS:
+            if self._path[at].tag in SCOPE_TAGS and tag not in SCOPE_TAGS:
                 return
 
-    def _close_implied(self, tag: str) -> None:
-        closes, block = CLOSED_BY.get(tag, ()), tag in BLOCK_TAGS
-        while self._path:
-            last = self._path[-1].tag
-            if last not in closes and not (block and last == "p"):
-                return
-            self._pop()
+    def _fits(self, steps: tuple[Step, ...], floor: int) -> bool:
+        """Whether the innermost element fits the steps, looking no higher than index `floor`."""
+        path = self._path
+        if not steps[-1].accepts(path[-1].tag, path[-1].attrs):
+            return False
+        at = len(path) - 2
+        for step in steps[-2::-1]:
+            while at >= floor and not step.accepts(path[at].tag, path[at].attrs):
+                at -= 1
+            if at < floor:
+                return False
+            at -= 1
+        return True
 
-    def _take(self, selector: Selector, element: _Element, floor: int, values: list[str]) -> None:
-        if selector.steps and not _matches(selector.steps, self._path, floor):
-            return
-        if selector.attr is not None:
-            value = element.attributes().get(selector.attr)
-            if value is not None:
-                values.append(value)
-        elif not selector.deep:
+    @staticmethod
+    def _take(field: Selector, element: _Element, values: list[str]) -> None:
+        if field.attr is not None:
+            if field.attr in element.attrs:
+                values.append(element.attrs[field.attr])
+        elif not field.deep:
             element.near += (values,)
         elif not any(values is known for known in element.deep):
             element.deep += (values,)
 
     def _flush(self) -> None:
-        text = "".join(self._text)
-        self._text.clear()
-        if text and self._path:
-            top = self._path[-1]
-            for values in top.near:
-                values.append(text)
-            for values in top.deep:
-                values.append(text)
+        if self._text:
+            text = "".join(self._text)
+            self._text.clear()
+            if self._path:
+                for values in (*self._path[-1].near, *self._path[-1].deep):
+                    values.append(text)
 
     def _pop(self) -> None:
         self._open_tags[self._path.pop().tag] -= 1
-        while self._open_items and self._open_items[-1][0] >= len(self._path):
-            self._open_items.pop()
+        while self._open and self._open[-1][0] >= len(self._path):
+            self._open.pop()
 
 
 class PageReader:
     """Reads pages with their rules; keeps the parsed selectors of the rules it has met."""
 
     def __init__(self):
-        self._rules: dict[tuple[str, ...], _PageRule] = {}
+        self._rules: dict[tuple[str, ...], tuple[Selector, list[Selector]]] = {}
 
     def items(self, html: str, item_selector: str, field_selectors: list[str]) -> list[list[list[str]]]:
         """Per item in document order, per field, all values the field's selector takes inside that item."""
         key = (item_selector, *field_selectors)
-        rule = self._rules.get(key)
-        if rule is None:
-            rule = self._rules[key] = _PageRule(item_selector, tuple(field_selectors))
-        return _Collector(rule).read(html)
+        if key not in self._rules:
+            self._rules[key] = parse_selector(item_selector), [parse_selector(source) for source in field_selectors]
+        item, fields = self._rules[key]
+        return _Page(item, fields).read(html)

@@ -19,7 +19,7 @@ SEARCH_LIMIT = 50
 LINK_RULES = (
     Rule("com_pages", "https://example.com/", "nav li a", "::text", "::attr(href)"),
     Rule("net_pages", "https://example.net/", "a[href*='/']", "::text", "::attr(href)"),
-    Rule("org_pages", "https://example.org/", "nav ul > li > a[href]", "::text", "::attr(href)"),
+    Rule("org_pages", "https://example.org/", "nav ul li a[href]", "::text", "::attr(href)"),
 )
 TITLE_RULES = tuple(
     Rule(f"{top}_titles", f"https://example.{top}/", "article", "h1::text", "::attr(href)")
