@@ -275,3 +275,31 @@ def op6_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best other documents for the whole text of every fiftieth document."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return search(documents, documents.filter(F.col("doc_id") % QUERY_STEP == 0))
+
+
+OP6_SQL = rf"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+')) AS term FROM documents
+), counts AS (
+    SELECT doc_id, term, CAST(count(*) AS DOUBLE) AS n FROM words GROUP BY doc_id, term
+), lengths AS (
+    SELECT d.doc_id, coalesce(sum(n), 0) AS size FROM documents d LEFT JOIN counts USING (doc_id) GROUP BY d.doc_id
+), totals AS (
+    SELECT CAST(count(*) AS DOUBLE) AS files, sum(size) / count(*) AS mean FROM lengths
+), frequencies AS (
+    SELECT term, CAST(count(*) AS DOUBLE) AS held FROM counts GROUP BY term
+), weights AS (
+    SELECT doc_id AS query_id, term,
+           n * ln(1 + (files - held + CAST(0.5 AS DOUBLE)) / (held + CAST(0.5 AS DOUBLE))) AS weight
+    FROM counts JOIN frequencies USING (term), totals WHERE doc_id % {QUERY_STEP} = 0
+), impacts AS (
+    SELECT doc_id, term, n * CAST({K1 + 1} AS DOUBLE)
+           / (n + CAST({K1} AS DOUBLE) * (CAST({1 - B} AS DOUBLE) + CAST({B} AS DOUBLE) * size / mean)) AS impact
+    FROM counts JOIN lengths USING (doc_id), totals
+), scored AS (
+    SELECT query_id, doc_id, round(sum(weight * impact), {DECIMALS}) AS score
+    FROM weights JOIN impacts USING (term) WHERE query_id <> doc_id GROUP BY query_id, doc_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+FROM scored QUALIFY rank <= {TOP}
+"""

@@ -24,4 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 CHECKS: dict[str, str] = {
     "op4_line_dedup": line_dedup.OP4_SQL,
     "op5_url_filter": url_filter.OP5_SQL,
+    "op6_bm25_search": bm25_search.OP6_SQL,
+    "op7_license_scan": license_scan.OP7_SQL,
 }

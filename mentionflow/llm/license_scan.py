@@ -139,4 +139,52 @@ def scan_licenses(documents: DataFrame, rare_words: int = RARE_WORDS, min_share:
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence places and labels of every document."""
-    return scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.withColumn("score", F.round("score", 6))
+
+
+_INDEX_SQL = ", ".join(
+    f"('{row['word']}', {row['template']}, {row['rel']}, {row['needed']}, {row['keys']}, '{row['label']}', {row['base']})" for row in _postings()
+)
+
+OP7_SQL = rf"""
+WITH files AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), postings(word, template, rel, needed, keys, label, base) AS (
+    VALUES {_INDEX_SQL}
+), places AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM files
+), own AS (
+    SELECT DISTINCT doc_id, word FROM places WHERE word IN (SELECT word FROM postings)
+), idf AS (
+    SELECT word, ln(1 + CAST((SELECT count(*) FROM files) AS DOUBLE) / (1 + count(own.doc_id))) AS idf
+    FROM (SELECT DISTINCT word FROM postings) LEFT JOIN own USING (word) GROUP BY word
+), weighed AS (
+    SELECT p.*, idf, sum(idf) OVER (PARTITION BY template) AS whole FROM postings p JOIN idf USING (word)
+), ranked AS (
+    SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY idf DESC, word) <= {RARE_WORDS} AS rare
+    FROM own JOIN idf USING (word)
+), aligned AS (
+    SELECT doc_id, template, place - rel AS start, label, base, keys,
+           count(*) FILTER (WHERE rare) AS rare, count(*) FILTER (WHERE needed) AS stand,
+           least(sum(idf) / whole, 1) AS share
+    FROM places JOIN ranked USING (doc_id, word) JOIN weighed USING (word)
+    GROUP BY doc_id, template, start, label, base, keys, whole
+), sure AS (
+    SELECT * FROM aligned WHERE stand = keys AND (base OR rare > 0 AND share >= {MIN_SHARE})
+), labelled AS (
+    SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word,
+           max(start) FILTER (WHERE base) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+           max(CASE WHEN base THEN CAST(1 AS DOUBLE) ELSE share END) AS score
+    FROM sure GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       round(coalesce(score, CAST(0 AS DOUBLE)), 6) AS score
+FROM files LEFT JOIN labelled USING (doc_id)
+"""
