@@ -36,7 +36,7 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in byte-level vocabularies, by the published rule."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [byte for byte in range(256) if byte not in set(plain)]
@@ -112,7 +112,7 @@ class Codec:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
-        letters = _byte_letters()
+        letters = byte_letters()
         vocabulary = content["model"]["vocab"]
         pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in content["model"]["merges"]]
         self.merges = {

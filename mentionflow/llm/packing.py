@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from mentionflow.llm.bpe import codec, default_vocabulary
+from mentionflow.llm.bpe import byte_letters, default_vocabulary
 from mentionflow.session import staged
 
 WINDOW = 2048
@@ -41,9 +41,12 @@ def _encoder(path: str):
         import public_tokenizers
         import tiktoken
 
-        own = codec(path)
-        special = {token: int(at) for token, at in own.added.items()}
-        ranks = {piece: at for at, piece in own.pieces.items() if at not in special.values()}
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        letters = byte_letters()
+        special = {token["content"]: token["id"] for token in content.get("added_tokens", [])}
+        vocabulary = content["model"]["vocab"].items()
+        ranks = {bytes(letters[c] for c in token): at for token, at in vocabulary if token not in special}
         _encoders[path] = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
     return _encoders[path]
 
