@@ -33,6 +33,8 @@ EXAMPLES = 3000
 FOLDS = 5
 NEIGHBOURS = 15
 VOCABULARY = 4000
+#: Toxic examples that must hold a term.
+LEAST_HELD = 3
 #: Log-likelihood gain below which a term may stand out by chance among a million terms.
 MIN_GAIN = 14.0
 #: Word beginnings and endings of these lengths are terms besides whole words.
@@ -42,6 +44,10 @@ WORDS_KEPT = 400_000
 _WORD = re.compile(r"[^\W_]+")
 
 
+def _words(text: str) -> set[str]:
+    return set(_WORD.findall(text.lower()))
+
+
 def terms_of_word(word: str) -> list[str]:
     edges = [f"{word[:size]}-" for size in EDGES if len(word) > size]
     return [word, *edges, *(f"-{word[-size:]}" for size in EDGES if len(word) > size)]
@@ -60,7 +66,7 @@ class Index:
         self.ids = np.array([row[0] for row in examples], np.int64)
         self.toxic = np.array([row[2] for row in examples], float)
         self.stands_for = np.array([row[3] for row in examples], float)
-        self.vocabulary, self.idf = self._choose([_WORD.findall(row[1].lower()) for row in examples])
+        self.vocabulary, self.idf = self._choose([row[1] for row in examples])
         self.known: dict[str, tuple[int, ...]] = {}
         self.bare_words: set[str] = set()
         vectors = [self.vector(row[1]) for row in examples]
@@ -89,29 +95,35 @@ class Index:
         overall = float((self.toxic * self.stands_for).sum() / self.stands_for.sum())
         return float(((self.toxic * self.stands_for)[chosen].sum() + overall) / (self.stands_for[chosen].sum() + 1))
 
-    def _choose(self, words: list[list[str]]) -> tuple[dict[str, int], np.ndarray]:
+    def _choose(self, texts: list[str]) -> tuple[dict[str, int], np.ndarray]:
         """Terms more frequent among toxic examples, by the signed log-likelihood gain of their document frequencies.
 
         Copies of one text would lift its accidental words, so examples that share the smallest hash of their less
-        common words count once, with the terms of all of them.
+        common words count once, with the terms of all of them. Texts are read anew in each pass, and clean examples
+        are counted for terms of several toxic ones only: the driver holds no word list of all examples.
         """
-        held_by = Counter(word for own in words for word in set(own))
-        common = max(3, len(words) // 100)
-        marks = [min((zlib.crc32(word.encode()) for word in set(own) if held_by[word] <= common), default=-1) for own in words]
+        held_by = Counter(word for text in texts for word in _words(text))
+        common = max(3, len(texts) // 100)
+        marks = [min((zlib.crc32(word.encode()) for word in _words(text) if held_by[word] <= common), default=-1) for text in texts]
         del held_by
-        toxic, clean, groups = Counter(), Counter(), Counter()
-        order = sorted(range(len(words)), key=lambda at: (self.toxic[at], marks[at]))
-        for (label, mark), members in groupby(order, key=lambda at: (self.toxic[at], marks[at])):
-            sets = [{term for word in set(words[at]) for term in terms_of_word(word)} for at in members]
-            for own in sets if mark < 0 else [set().union(*sets)]:
-                (toxic if label else clean).update(own)
-                groups[label] += 1
-        n_toxic, n_clean = max(1, groups[1.0]), max(1, groups[0.0])
+
+        def counted(label: float, wanted: set[str] | None) -> tuple[Counter, int]:
+            found, groups = Counter(), 0
+            order = sorted((mark, at) for at, mark in enumerate(marks) if self.toxic[at] == label)
+            for mark, members in groupby(order, key=lambda pair: pair[0]):
+                sets = ({term for word in _words(texts[at]) for term in terms_of_word(word)} for _, at in members)
+                for own in sets if mark < 0 else [set().union(*sets)]:
+                    found.update(own if wanted is None else own & wanted)
+                    groups += 1
+            return found, groups
+
+        toxic, n_toxic = counted(1.0, None)
+        toxic = {term: held for term, held in toxic.items() if held >= LEAST_HELD}
+        clean, n_clean = counted(0.0, set(toxic))
+        n_toxic, n_clean = max(1, n_toxic), max(1, n_clean)
         total = n_toxic + n_clean
         gains = []
         for term, held in toxic.items():
-            if held < 3:
-                continue
             rate, other = held / n_toxic, clean[term] / n_clean
             if rate < 3 * other:
                 continue
