@@ -5,9 +5,9 @@ counts and lengths. Document frequencies and the mean length are summed over all
 statistics. The stated query set is worked off in blocks of bounded size: a block goes to the executors as a broadcast,
 every shard answers it, and the answers of all shards are merged by score. In a shard, postings are cut into blocks of
 `BLOCK` documents with their largest impact. A block's bound for a query is the sum of its terms' maxima; the terms most
-documents hold would loosen it, so their part is computed first and enters with its exact maximum. Blocks are opened from
-the highest bound on, and the rest is skipped once its bounds fall below the k-th score. Scores are computed in full for
-what is opened, so the result equals that of scoring every document.
+documents hold would loosen it, so their part is computed first and enters with its exact maximum. The eighth of the
+blocks with the highest bounds is opened first; of the others only those whose bound reaches the k-th score found there.
+Scores are computed in full for what is opened, so the result equals that of scoring every document.
 
 Results: words are runs of letters and digits, lower-cased; a query is a whole text, a term counts as often as it stands
 in it; the query's own id is no candidate; documents that share no term are not returned; null and empty texts find
@@ -139,6 +139,7 @@ class Shard:
         self.entry_blocks = blocks[self.entry_starts[:-1]]
         self.entry_most = np.maximum.reduceat(self.impacts, self.entry_starts[:-1]) if len(blocks) else np.zeros(0)
         self.term_entries = np.searchsorted(self.entry_starts, starts)
+        self.starts = starts
         self.block_starts = np.arange(0, len(self.ids), BLOCK)
         held = np.diff(starts)
         common = np.flatnonzero(held * COMMON_SHARE >= len(self.ids))
@@ -168,39 +169,57 @@ class Shard:
             yield self._open(query_id, at[rare], weights[rare], scores, top)
 
     def _open(self, query_id: int, at: np.ndarray, weights: np.ndarray, scores: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-        """Open blocks by descending bound; `scores` holds what the common terms give and is completed block by block."""
+        """Open the blocks that can hold one of the best; `scores` holds what the common terms give."""
         low, high = self.term_entries[at], self.term_entries[at + 1]
         entries = _spans(low, high)
         entry_weights = np.repeat(weights, high - low)
         entry_blocks = self.entry_blocks[entries]
         bounds = np.maximum.reduceat(scores, self.block_starts)
         bounds += np.bincount(entry_blocks, entry_weights * self.entry_most[entries], len(bounds))
-        order = np.argsort(-bounds, kind="stable")
-        bounds = bounds + SLACK
+        common = scores.copy()
         complete = np.zeros(len(bounds), bool)
-        opened, step, threshold = 0, max(1, len(order) // 8), 0.0
-        ranked = np.zeros(0, np.int64)
-        while opened < len(order) and bounds[order[opened]] >= threshold:
-            chosen = np.zeros(len(bounds), bool)
-            next_ = order[opened : opened + step]
-            chosen[next_[bounds[next_] >= threshold]] = True
-            opened, step = opened + step, step * 4
-            own = chosen[entry_blocks]
-            first, last = self.entry_starts[entries[own]], self.entry_starts[entries[own] + 1]
-            postings = _spans(first, last)
-            scores += np.bincount(self.docs[postings], np.repeat(entry_weights[own], last - first) * self.impacts[postings], len(scores))
-            complete |= chosen
-            done = np.where(np.repeat(complete, BLOCK)[: len(scores)] & (self.ids != query_id), scores, 0.0)
-            if len(done) > top:
-                cut = np.partition(done, len(done) - top)[len(done) - top]
-                ranked = np.flatnonzero((done >= cut - SLACK) & (done > 0))
-            else:
-                ranked = np.flatnonzero(done > 0)
-            rounded = np.round(done[ranked], DECIMALS)
-            ranked = ranked[np.lexsort((self.ids[ranked], -rounded))][:top]
-            threshold = done[ranked[-1]] if len(ranked) == top else 0.0
+        complete[np.argsort(-bounds, kind="stable")[: max(1, len(bounds) // 8)]] = True
+        self._add(scores, entries, entry_weights, complete[entry_blocks])
+        ranked, threshold = self._rank(query_id, scores, complete, top)
+        rest = ~complete & (bounds + SLACK >= threshold)
+        if 2 * (complete | rest).sum() > len(complete):  # most blocks are open: whole posting lists are read faster
+            scores = common + self._whole(at, weights)
+            complete[:] = True
+        elif rest.any():
+            self._add(scores, entries, entry_weights, rest[entry_blocks])
+            complete |= rest
+        else:
+            return self.ids[ranked], np.round(scores[ranked], DECIMALS)
+        ranked, _ = self._rank(query_id, scores, complete, top)
         return self.ids[ranked], np.round(scores[ranked], DECIMALS)
 
+    def _add(self, scores: np.ndarray, entries: np.ndarray, weights: np.ndarray, own: np.ndarray) -> None:
+        """Add the postings of the chosen entries to the scores."""
+        entries, weights = entries[own], weights[own]
+        first, last = self.entry_starts[entries], self.entry_starts[entries + 1]
+        postings = _spans(first, last)
+        scores += np.bincount(self.docs[postings], np.repeat(weights, last - first) * self.impacts[postings], len(scores))
+
+    def _whole(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the whole posting lists of some terms give every document."""
+        first, last = self.starts[at], self.starts[at + 1]
+        postings = _spans(first, last)
+        return np.bincount(self.docs[postings], np.repeat(weights, last - first) * self.impacts[postings], len(self.ids))
+
+    def _rank(self, query_id: int, scores: np.ndarray, complete: np.ndarray, top: int) -> tuple[np.ndarray, float]:
+        """The best documents of the completed blocks, and the score others must reach."""
+        done = scores if complete.all() else np.where(np.repeat(complete, BLOCK)[: len(scores)], scores, 0.0)
+        own = self.ids == query_id
+        if own.any():
+            done = np.where(own, 0.0, done)
+        ranked = np.arange(len(done))
+        if len(done) > top:
+            cut = np.partition(done, len(done) - top)[len(done) - top]
+            ranked = np.flatnonzero(done >= cut - SLACK)
+        ranked = ranked[done[ranked] > 0]
+        ranked = ranked[np.lexsort((self.ids[ranked], -np.round(done[ranked], DECIMALS)))][:top]
+        return ranked, done[ranked[-1]] if len(ranked) == top else 0.0
+
 
 def _answers(block: tuple[np.ndarray, np.ndarray, np.ndarray], mean_length: float, top: int):
     """Answer one block of queries, given as rows of query, term and weight in order of query and term."""
