@@ -205,7 +205,7 @@ def examples(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> l
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> DataFrame:
-    """`doc_id`, `text`-free scores of all documents, with the evidence they rest on."""
+    """The scores of all documents, with the evidence they rest on."""
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(Index(examples(documents, labels, most)))
 
