@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from mentionflow.operators.reports import (
 from mentionflow.operators.validity import with_problems
 from mentionflow.plans import adapters as ad
 from mentionflow.plans.config import RunConfig
-from mentionflow.plans.run import RunReport, run
+from mentionflow.plans.run import BUILDERS, RunReport, run
 from mentionflow.session import new_path, path_exists, spread_scan, staged
 from mentionflow.sinks.fanout import Sinks
 from mentionflow.sinks.jsonl import read_jsonl, write_jsonl
@@ -436,34 +437,39 @@ def timestamp_normalise(spark, sf_dir):
 _TURN = "conv_id || '-' || turn"
 
 
-@query(f"""SELECT 'instagram' AS source, 'social' AS source_type, {_TURN} AS post_id, text, 'user' || conv_id AS author,
-  'https://photos.example.org/' || {_TURN} AS url, '2024-02-01T00:00:00Z' AS created_at,
-  '{{"type":"' || CASE WHEN turn = 0 THEN 'caption' ELSE 'comment' END || '","media_id":"' || conv_id
-    || '","like_count":' || turn || '}}' AS raw FROM conversations WHERE role = 'user'
-UNION ALL SELECT 'tiktok', 'social', {_TURN}, text, 'maker' || conv_id, 'https://clips.example.org/' || {_TURN},
-  '2024-02-01T00:00:00Z', '{{"type":"description","video_id":"' || conv_id || '","play_count":' || (turn + 100)
-    || ',"like_count":0}}' FROM conversations WHERE role = 'system'
-UNION ALL SELECT 'youtube', 'social', {_TURN}, text, 'viewer' || turn,
-  'https://youtube.com/watch?v=' || conv_id || '&lcdv=' || {_TURN}, '2024-02-01T00:00:00Z',
-  '{{"video_id":"' || conv_id || '","video_title":"video ' || conv_id || '","like_count":' || turn
-    || ',"reply_count":0}}' FROM conversations WHERE role = 'assistant'
-UNION ALL SELECT CASE WHEN quality = 1 THEN 'tokopedia' ELSE 'shopee' END, 'web', 'r' || doc_id, text, 'guest',
-  'https://shop.example.org/' || source, '2024-03-01',
-  '{{"star_rating":' || (1 + 2 * quality + 2 * (1 - toxic)) || ',"product_name":"' || source
-    || '","verified_purchase":' || CASE WHEN toxic = 0 THEN 'true' ELSE 'false' END || '}}'
-  FROM documents JOIN labels USING (doc_id)""")
-def planned_union(spark, sf_dir):
-    return _platform_posts(spark, sf_dir).select(
-        "source", "source_type", "post_id", "text", "author", "url", "created_at", "raw"
-    )
+RUN_KEYWORDS = ("the", "and", "view", "error")
+_RUN_WORDS = ", ".join(f"({at}, '{word}')" for at, word in enumerate(RUN_KEYWORDS))
 
 
-def _platform_posts(spark, sf_dir) -> DataFrame:
-    return (
-        platforms.caption_posts(ad.captions(spark, sf_dir))
-        .unionByName(platforms.short_video_posts(ad.short_videos(spark, sf_dir)))
-        .unionByName(platforms.video_comment_posts(ad.video_comments(spark, sf_dir)))
-        .unionByName(platforms.review_posts(ad.reviews(spark, sf_dir)))
+@query(f"""WITH words(keyword_ord, keyword) AS (VALUES {_RUN_WORDS}), items AS (
+  SELECT 'instagram' AS source, 'social' AS source_type, {_TURN} AS post_id, text, 'user' || conv_id AS author,
+    'https://photos.example.org/' || {_TURN} AS url, '2024-02-01T00:00:00Z' AS created_at,
+    '{{"type":"' || CASE WHEN turn = 0 THEN 'caption' ELSE 'comment' END || '","media_id":"' || conv_id
+      || '","like_count":' || turn || '}}' AS raw, text AS about, NULL AS product FROM conversations WHERE role = 'user'
+  UNION ALL SELECT 'tiktok', 'social', {_TURN}, text, 'maker' || conv_id, 'https://clips.example.org/' || {_TURN},
+    '2024-02-01T00:00:00Z', '{{"type":"description","video_id":"' || conv_id || '","play_count":' || (turn + 100)
+      || ',"like_count":0}}', text, NULL FROM conversations WHERE role = 'system'
+  UNION ALL SELECT 'youtube', 'social', {_TURN}, text, 'viewer' || turn,
+    'https://youtube.com/watch?v=' || conv_id || '&lcdv=' || {_TURN}, '2024-02-01T00:00:00Z',
+    '{{"video_id":"' || conv_id || '","video_title":"video ' || conv_id || '","like_count":' || turn
+      || ',"reply_count":0}}', 'video ' || conv_id || ' ' || text, NULL FROM conversations WHERE role = 'assistant'
+  UNION ALL SELECT CASE WHEN quality = 1 THEN 'tokopedia' ELSE 'shopee' END, 'web', 'r' || doc_id, text, 'guest',
+    'https://shop.example.org/' || source, '2024-03-01',
+    '{{"star_rating":' || (1 + 2 * quality + 2 * (1 - toxic)) || ',"product_name":"' || source
+      || '","verified_purchase":' || CASE WHEN toxic = 0 THEN 'true' ELSE 'false' END || '}}',
+    source || ' ' || text, source FROM documents JOIN labels USING (doc_id)),
+first AS (SELECT source, post_id, min(keyword_ord) AS keyword_ord FROM items
+  JOIN words ON contains(lower(about), keyword) GROUP BY ALL)
+SELECT source, source_type, coalesce(keyword, product) AS keyword, post_id, text, author, url, created_at, raw
+FROM items LEFT JOIN first USING (source, post_id) LEFT JOIN words USING (keyword_ord)
+WHERE keyword IS NOT NULL OR product IS NOT NULL""")
+def planned_union(spark, sf_dir):
+    """The further platforms as a run builds them, with the keyword each post was found under."""
+    config = RunConfig(keywords=RUN_KEYWORDS)
+    landed = {"instagram": ad.captions, "tiktok": ad.short_videos, "youtube": ad.video_comments, "ecommerce": ad.reviews}
+    parts = [BUILDERS[family](read(spark, sf_dir), config) for family, read in landed.items()]
+    return reduce(DataFrame.unionByName, parts).select(
+        "source", "source_type", "keyword", "post_id", "text", "author", "url", "created_at", "raw"
     )
 
 
@@ -685,9 +691,6 @@ def stream_fanout_equals_batch(spark, sf_dir):
 
 # ---- whole runs ----
 
-RUN_KEYWORDS = ("the", "and", "view", "error")
-_RUN_WORDS = ", ".join(f"({at}, '{word}')" for at, word in enumerate(RUN_KEYWORDS))
-
 _RUN_SQL = f"""{_LINKS_SQL}, words(keyword_ord, keyword) AS (VALUES {_RUN_WORDS}),
 web_hits AS (SELECT l.page_id, l.item_ord, min(w.keyword_ord) AS keyword_ord FROM links l
   JOIN words w ON contains(lower(l.title), w.keyword) WHERE l.title <> '' GROUP BY ALL),
