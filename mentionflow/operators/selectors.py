@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from html import unescape
 from html.parser import HTMLParser
 
 # Elements without an end tag, and what an opening tag closes first when it is still open.
@@ -18,6 +19,9 @@ CLOSED_BY |= {tag: {"p"} for tag in "article div dl footer form h1 h2 h3 h4 head
 # Fixed value: an end tag of any other element does not reach past these.
 SCOPE_TAGS = frozenset("article body div footer form header html li main nav ol section table td ul".split())
 
+# Elements whose content is text only, with character references in it.
+DECODED_TEXT = ("title", "textarea")
+
 _PART = re.compile(r"""(?P<tag>[A-Za-z][\w-]*)|\.(?P<cls>[\w-]+)|\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>\*?=)\s*(?:"(?P<dq>[^"]*)"|'(?P<sq>[^']*)')\s*)?\]""")
 _TAKES = re.compile(r"(\s*)::(?:(text)|attr\(\s*([\w:-]+)\s*\))\s*$")
 
@@ -93,6 +97,8 @@ class _Element:
 class _Page(HTMLParser):
     """Reads a page once, keeping the open elements and the values of every item; builds no tree."""
 
+    CDATA_CONTENT_ELEMENTS = ("script", "style", *DECODED_TEXT)
+
     def __init__(self, item: Selector, fields: list[Selector]):
         super().__init__(convert_charrefs=True)
         self.items: list[list[list[str]]] = []
@@ -110,7 +116,8 @@ class _Page(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if self._open:
-            self._text.append(data)
+            decoded = self._path[-1].tag in DECODED_TEXT if self._path else False
+            self._text.append(unescape(data) if decoded else data)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._flush()
