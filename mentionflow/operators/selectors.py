@@ -114,6 +114,9 @@ class _Page(HTMLParser):
         self._flush()
         return self.items
 
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # line numbers are not needed
+
     def handle_data(self, data: str) -> None:
         if self._open:
             decoded = self._path[-1].tag in DECODED_TEXT if self._path else False
