@@ -12,9 +12,8 @@ shingle; a null id takes part but names no component; repeated rows share a comp
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
-from itertools import combinations
+from itertools import combinations, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -188,63 +187,114 @@ def near_duplicates(documents: DataFrame, size: int = 4, max_bits: int = 4, bloc
     return coded.join(named, "code").select("doc_id", "code", "component_id")
 
 
-#: 64-bit words of the long fingerprint that estimates the similarity of texts.
-LONG_WORDS = 8
 #: Bits in which the fingerprints of two texts' word sets may differ to be looked at; certain to be found up to 8.
 _WORD_BITS, _WORD_BLOCKS, _WORD_EQUAL = 10, 10, 2
+#: Texts of one family whose shingle sets are compared in one task; larger families are dealt into pairs of tiles.
+SETS_TILE = 512
 
 
-def _long_fingerprint(hashes: np.ndarray) -> list[int]:
-    """`LONG_WORDS` independent SimHashes of some distinct shingles, by remixing their hashes."""
-    counts = np.zeros(64 * LONG_WORDS, np.int64)
-    for at in range(0, len(hashes), 255):  # 255 ones still fit a byte
-        part = hashes[at : at + 255, None] ^ (np.arange(1, LONG_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
-            part = (part ^ (part >> np.uint64(shift))) * np.uint64(factor)
-        part ^= part >> np.uint64(33)
-        counts += np.unpackbits(part.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint8)
-    return np.packbits((2 * counts > len(hashes)).astype(np.uint8), bitorder="little").view("<i8").tolist()
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """The hashes of a text's distinct word shingles, in order."""
+    return np.unique(shingle_hashes((text or "").encode().lower().split(), size))
+
+
+def jaccard(one: np.ndarray, other: np.ndarray) -> float:
+    """The exact Jaccard similarity of two sets given as sorted distinct numbers."""
+    both = np.concatenate((one, other))
+    both.sort(kind="stable")
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return shared / (len(both) - shared) if len(both) else 1.0
 
 
 def _sketches(documents: DataFrame, size: int) -> DataFrame:
-    """`doc_id`, the text's hash, the fingerprint of its word set, and the long one of its distinct word shingles."""
-    longs = [f"long{at}" for at in range(LONG_WORDS)]
+    """`doc_id`, the text's hash, two hashes of its shingle set, and the fingerprint of its word set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text in batch.column(2):
                 words = (text.as_py() or "").encode().lower().split()
-                single = shingle_hashes(sorted(set(words)), 1)
-                shingles = np.unique(shingle_hashes(words, size))
-                rows.append([_majority(single) if words else 0, *_long_fingerprint(shingles)])
-            codes = np.array(rows, np.int64).reshape(-1, 1 + LONG_WORDS)
+                own = np.unique(shingle_hashes(words, size)).tobytes()
+                rows.append([xxhash.xxh64_intdigest(own, 0), xxhash.xxh64_intdigest(own, 1), _majority(shingle_hashes(sorted(set(words)), 1)) & (1 << 64) - 1 if words else 0])
+            codes = np.array(rows, np.uint64).reshape(-1, 3).view(np.int64)
             columns = [*batch.columns[:2], *(pa.array(np.ascontiguousarray(column)) for column in codes.T)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "code", *longs])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "set_one", "set_two", "code"])
 
     source = documents.select(F.col("doc_id").cast("long"), F.xxhash64(whole(F.col("text"))).alias("hash"), "text")
-    return source.mapInArrow(work, ", ".join(["doc_id long", "hash long", "code long", *(f"{name} long" for name in longs)]))
+    return source.mapInArrow(work, "doc_id long, hash long, set_one long, set_two long, code long")
+
+
+def _close_sets(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the pairs with at least that exact Jaccard similarity."""
+    count, links = len(sets), []
+    sizes = np.array([len(own) for own in sets], float)
+    root = np.arange(count)
+
+    def find(at: int) -> int:
+        while root[at] != at:
+            root[at] = root[root[at]]
+            at = root[at]
+        return at
+
+    for shift in range(1, count):
+        near = np.flatnonzero(root[:-shift] != root[shift:])
+        small, large = np.minimum(sizes[near], sizes[near + shift]), np.maximum(sizes[near], sizes[near + shift])
+        near = near[small >= similarity * large * (1 - 1e-9)]  # sets of too different sizes cannot be that similar
+        for at in near.tolist():
+            one, other = find(at), find(at + shift)
+            if one != other and jaccard(sets[at], sets[at + shift]) >= similarity:
+                root[max(one, other)] = min(one, other)
+                links.append((at, at + shift))
+        while (root[root] != root).any():
+            root = root[root]
+        if not root.any():
+            break
+    return links
+
+
+def _link_sets(members: DataFrame, size: int, similarity: float, tile: int | None = None) -> DataFrame:
+    """Links `a`, `b` that connect all nodes of a family whose shingle sets have at least that Jaccard similarity.
+
+    `members` has a distinct long `node`, the `root` of its family, and a `text`.
+    """
+    tile = tile or SETS_TILE
+    full = members.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") > tile)
+    dealt = members.join(full.select("root", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "root", "left")
+    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    others = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda u: F.least(own, u) * F.col("tiles") + F.greatest(own, u))
+    dealt = dealt.select("root", F.explode(F.when(F.col("tiles").isNull(), F.array(F.lit(0))).otherwise(others)).alias("tile"), "node", "text")
+    dealt = dealt.repartition("root", "tile").sortWithinPartitions("root", "tile")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns[:3]), batch.column(3)))
+        for _, stretch in groupby(rows, key=lambda row: row[:2]):
+            nodes, sets = [], []
+            for _, _, node, text in stretch:
+                nodes.append(node)
+                sets.append(shingle_set(text.as_py(), size))
+            if links := _close_sets(sets, similarity):
+                yield pa.RecordBatch.from_arrays([pa.array([nodes[pair[at]] for pair in links], pa.int64()) for at in (0, 1)], ["a", "b"])
+
+    return dealt.mapInArrow(work, "a long, b long")
 
 
 def keep_one(documents: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Two texts belong together when the long fingerprints of their distinct `size`-word shingles differ in no more bits
-    than expected of sets with that Jaccard similarity. Blocks of a fingerprint of the word *set* propose pairs: an
-    edited word changes `size` shingles but one word, so near copies are much closer there. The families this finds are
-    then compared by the long fingerprint. Rows with the same id and text are one document.
+    Two texts belong together when their distinct `size`-word shingles have at least that Jaccard similarity, decided
+    on the shingle sets themselves. Blocks of a fingerprint of the word *set* only propose pairs: an edited word changes
+    `size` shingles but one word, so near copies are much closer there. Rows with the same id and text are one document.
     """
-    longs = [f"long{at}" for at in range(LONG_WORDS)]
-    cosine = 2 * similarity / (1 + similarity)
-    most = math.floor(math.acos(cosine) / math.pi * 64 * LONG_WORDS)
     coded, _ = staged(_sketches(documents, size), "sketches")
-    same = coded.groupBy("code", *longs).agg(F.min(F.struct("doc_id", "hash")).alias("first"))
+    same = coded.groupBy("set_one", "set_two").agg(F.min(F.struct("doc_id", "hash")).alias("first"), F.first("code").alias("code"))
     nodes, _ = staged(same.withColumn("node", F.monotonically_increasing_id()), "sketch-nodes")
     families = components(link_close(nodes, block_keys("code", _WORD_BLOCKS, _WORD_EQUAL), [(["code"], _WORD_BITS)]))
     members = families.unionByName(families.select(F.col("root").alias("node"), "root").distinct())
-    related, _ = staged(nodes.join(members, "node").select("node", "root", *longs), "families")
-    family = F.array(F.struct(F.lit(0).alias("choice"), F.col("root").alias("bits")))
-    roots = components(link_close(related, family, [(longs, most)]))
+    members = nodes.join(members, "node").select("node", "root", "first")
+    texts = documents.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(whole(F.col("text"))).alias("_hash"), "text")
+    read = texts.join(members, F.col("_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_hash") == F.col("first.hash")))
+    related, _ = staged(read.groupBy("node", "root").agg(F.first("text").alias("text")), "families")
+    roots = components(_link_sets(related, size, similarity))
     grouped = nodes.select("node", "first").join(roots, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
     kept = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.hash")
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_kept"))

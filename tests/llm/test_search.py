@@ -62,6 +62,33 @@ def test_keep_one_of_each_group(spark):
     assert simhash.keep_one(docs.limit(0)).count() == 0
 
 
+def shingles(text):
+    found = text.split()
+    return {tuple(found[at : at + 5]) for at in range(max(1, len(found) - 4))}
+
+
+def left_over(rows):
+    """What all-pairs Jaccard keeps: the smallest id of each group."""
+    sets = [shingles(text) for _, text in rows]
+    found = roots(len(rows), lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8)
+    return {rows[at][0] for at in range(len(rows)) if found[at] == at}
+
+
+@pytest.mark.parametrize("tile", [512, 3])
+def test_keep_one_decides_by_exact_jaccard(spark, tile, monkeypatch):
+    monkeypatch.setattr(simhash, "SETS_TILE", tile)
+    rows = []
+    for at in range(60):  # scattered edits, one to twelve of 220 words: similarities from 0.97 down to about 0.6
+        base = words(300 + at, 220)
+        copy = list(base)
+        for edit in range(1 + at % 12):
+            copy[10 + edit * 17] = f"edit{edit}"
+        rows += [(2 * at, " ".join(base)), (2 * at + 1, " ".join(copy))]
+    near = [round(len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)), 2) for (_, a), (_, b) in zip(rows[::2], rows[1::2])]
+    assert min(abs(one - 0.8) for one in near) < 0.05 and min(near) < 0.75 and max(near) > 0.9
+    assert {row.doc_id for row in simhash.keep_one(documents(spark, rows)).collect()} == left_over(rows)
+
+
 def plain_nearest(vectors, at, most=10):
     far = [(math.sqrt(sum((a - b) ** 2 for a, b in zip(vectors[at][1], other[1]))), other[0], row) for row, other in enumerate(vectors) if row != at]
     return sorted(far)[:most]
