@@ -89,6 +89,22 @@ def test_keep_one_decides_by_exact_jaccard(spark, tile, monkeypatch):
     assert {row.doc_id for row in simhash.keep_one(documents(spark, rows)).collect()} == left_over(rows)
 
 
+def test_keep_one_finds_copies_with_an_appended_block(spark):
+    rows = []
+    for at in range(300):  # 200 words and a block of 20 to 44 more: similarities from 0.91 down to 0.81
+        base = words(1000 + at, 200)
+        rows += [(2 * at, " ".join(base)), (2 * at + 1, " ".join(base + words(5000 + at, 20 + at % 25)))]
+    assert {row.doc_id for row in simhash.keep_one(documents(spark, rows)).collect()} == set(range(0, 600, 2))
+
+
+def test_blocks_of_minima_propose_nearly_every_pair():
+    draw, missed = np.random.default_rng(8), 0
+    for _ in range(2000):  # exactly 0.8
+        both = draw.integers(0, 1 << 63, 500, np.uint64)
+        missed += not (simhash.min_blocks(both[:450]) == simhash.min_blocks(both[50:])).any()
+    assert missed == 0
+
+
 def plain_nearest(vectors, at, most=10):
     far = [(math.sqrt(sum((a - b) ** 2 for a, b in zip(vectors[at][1], other[1]))), other[0], row) for row, other in enumerate(vectors) if row != at]
     return sorted(far)[:most]
