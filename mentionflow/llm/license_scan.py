@@ -2,8 +2,8 @@
 
 Each file is read once: its words are counted, the words it shares with the templates are noted for the statistics, and
 only files with a word that every template needs keep the positions of template words. Document frequencies, counted
-over all files, rank the words; a file's highest-IDF template words propose alignments (template, start = position -
-relative position), the template's other words support them, and an alignment counts when its mandatory phrase stands
+over all files, rank the words; each template's highest-IDF words in a file propose its alignments (template, start =
+position - relative position), so that notices do not displace one another; the template's other words support them, and an alignment counts when its mandatory phrase stands
 complete and the words in place carry enough of the template's weight. The index is a constant of the templates and is
 broadcast; grouping is by file and alignment, never by word.
 
@@ -42,7 +42,7 @@ TEMPLATES = (
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
 )
 
-#: Words of the highest IDF in a file that propose alignments, and the share of a template's weight that must stand.
+#: Words of the highest IDF of a template in a file that propose its alignments, and the share of a template's weight that must stand.
 RARE_WORDS = 8
 MIN_SHARE = 0.75
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -102,15 +102,17 @@ def scan_licenses(documents: DataFrame, rare_words: int = RARE_WORDS, min_share:
     for row in postings:
         wholes[row["template"]] = wholes.get(row["template"], 0.0) + row["idf"]
     postings = [row | {"whole": wholes[row["template"]]} for row in postings]
-    by_idf = sorted({row["word"]: row["idf"] for row in postings}.items(), key=lambda item: (-item[1], item[0]))
-    fields = "word:string,template:int,rel:int,needed:boolean,keys:int,label:string,base:boolean,idf:double,whole:double"
+    ranked: dict[int, set[tuple[float, str]]] = {}
+    for row in postings:
+        ranked.setdefault(row["template"], set()).add((-row["idf"], row["word"]))
+    postings = [row | {"ranked": [word for _, word in sorted(ranked[row["template"]])]} for row in postings]
+    fields = "word:string,ranked:array<string>,template:int,rel:int,needed:boolean,keys:int,label:string,base:boolean,idf:double,whole:double"
     index = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(json.dumps(postings)), f"array<struct<{fields}>>")))
 
     hits = scanned.filter(F.size("found") > 0).select("_row", "own", F.explode("found").alias("hit")).select("_row", "own", "hit.word", "hit.at")
-    by_idf = _strings([word for word, _ in by_idf])
-    rare = F.array_contains(F.slice(F.array_intersect(by_idf, F.col("own")), 1, rare_words), F.col("word"))
-    hits = hits.select("_row", "word", "at", rare.alias("rare"))
-    aligned = hits.join(F.broadcast(index), "word").withColumn("start", F.col("at") - F.col("rel"))
+    rare = F.array_contains(F.slice(F.array_intersect("ranked", "own"), 1, rare_words), F.col("word"))
+    aligned = hits.join(F.broadcast(index), "word").withColumn("rare", rare).withColumn("start", F.col("at") - F.col("rel"))
+    aligned = aligned.drop("ranked", "own")
     places = aligned.groupBy("_row", "template", "start", "label", "base", "keys", "whole").agg(
         F.count_if("rare").alias("rare"), F.count_if("needed").alias("stand"), F.sum("idf").alias("weight")
     )

@@ -97,6 +97,17 @@ def test_licenses(spark):
     assert twice.count() == 2 * len(texts)
 
 
+def test_licenses_of_several_notices_in_one_file(spark):
+    notices = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "apache-2.0": "Licensed under the Apache License, Version 2.0",
+        "mpl-2.0": "Subject to the terms of the Mozilla Public License, v. 2.0",
+    }
+    texts = ["\n\n".join(notices.values()), *[notices["apache-2.0"]] * 30, *[notices["mpl-2.0"]] * 20, *["no notice"] * 30]
+    rows = {row.doc_id: row for row in license_scan.scan_licenses(documents(spark, list(enumerate(texts)))).collect()}
+    assert rows[0].labels == "apache-2.0,mit,mpl-2.0" and rows[1].labels == "apache-2.0" and rows[31].labels == "mpl-2.0" and rows[60].labels == ""
+
+
 def test_chat_roles_on_held_out_conversations(spark):
     spoken = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     transcripts = chat_format.as_transcripts(spoken)
