@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionflow.llm import bm25_search, bpe, chat_format, curve_search, license_scan, line_dedup, packing, simhash, toxicity, url_filter
+from mentionflow.llm import bm25_search, bpe, chat_format, curve_search, decontamination, license_scan, line_dedup, packing, simhash, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_simhash": simhash.op9_simhash,
     "op10_bpe_codec": bpe.op10_bpe_codec,
+    "op11_decontamination": decontamination.op11_decontamination,
 }
 
 CHECKS: dict[str, str] = {
@@ -26,4 +27,5 @@ CHECKS: dict[str, str] = {
     "op5_url_filter": url_filter.OP5_SQL,
     "op6_bm25_search": bm25_search.OP6_SQL,
     "op7_license_scan": license_scan.OP7_SQL,
+    "op11_decontamination": decontamination.OP11_SQL,
 }
