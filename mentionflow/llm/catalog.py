@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionflow.llm import bm25_search, bpe, chat_format, curve_search, decontamination, license_scan, line_dedup, packing, simhash, toxicity, url_filter
+from mentionflow.llm import bm25_search, bpe, chat_format, curve_search, decontamination, license_scan, line_dedup, packing, simhash, toxicity, url_filter, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": simhash.op9_simhash,
     "op10_bpe_codec": bpe.op10_bpe_codec,
     "op11_decontamination": decontamination.op11_decontamination,
+    "op12_whitening": whitening.op12_whitening,
 }
 
 CHECKS: dict[str, str] = {
