@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionflow.llm import bm25_search, bpe, chat_format, curve_search, decontamination, license_scan, line_dedup, packing, simhash, toxicity, url_filter, whitening
+from mentionflow.llm import bm25_search, bpe, chat_format, curve_search, decontamination, license_scan, line_dedup, packing, prefix_trie, simhash, toxicity, url_filter, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_codec": bpe.op10_bpe_codec,
     "op11_decontamination": decontamination.op11_decontamination,
     "op12_whitening": whitening.op12_whitening,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 CHECKS: dict[str, str] = {
@@ -29,4 +30,5 @@ CHECKS: dict[str, str] = {
     "op6_bm25_search": bm25_search.OP6_SQL,
     "op7_license_scan": license_scan.OP7_SQL,
     "op11_decontamination": decontamination.OP11_SQL,
+    "op13_prefix_trie": prefix_trie.OP13_SQL,
 }
