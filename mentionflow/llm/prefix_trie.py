@@ -32,7 +32,7 @@ from mentionflow.session import staged
 
 #: Conversations that share a beginning, and the number of lengths such a beginning may have.
 FAMILY, BEGINNINGS = 100, 6
-SEGMENT = 64
+SEGMENT = 256
 #: Turns of a shard, a conversation of none counting as one: the nodes one task holds at a time.
 SHARD = 50_000
 
