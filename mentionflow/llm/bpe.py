@@ -137,11 +137,15 @@ class Codec:
         """Cut a text into words. Code points whose class differs between Unicode versions are left to the library."""
         if text.isascii() or not self._unsettled.search(text):
             return self._words.findall(text)
+        return [text[start:end] for _, (start, end) in self.library().pre_tokenizer.pre_tokenize_str(text)]
+
+    def library(self):
+        """The vocabulary file in the tokenizers library, read once."""
         if self._library is None:
             from tokenizers import Tokenizer
 
-            self._library = Tokenizer.from_file(self._path).pre_tokenizer
-        return [text[start:end] for _, (start, end) in self._library.pre_tokenize_str(text)]
+            self._library = Tokenizer.from_file(self._path)
+        return self._library
 
     def word_ids(self, word: str) -> list[int]:
         byte_ids = self.byte_ids

@@ -2,8 +2,9 @@
 
 Each round hooks every node's larger neighbours, then its smaller ones, to the smallest node in its neighbourhood; after
 some rounds, logarithmic in the longest path, every link leads straight to the smallest node of its component. A round
-aggregates a minimum per node (combined before the shuffle) and joins it back to the links, whose hot side adaptive
-execution can split; no neighbourhood is collected. Rounds are cut by tables in the shared folder.
+stores a minimum per node (combined before the shuffle) and joins it back to the links; as both sides are then plain
+shuffles, adaptive execution splits the links of a hot node. No neighbourhood is collected. Rounds are cut by tables in
+the shared folder, those of earlier rounds are deleted.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentionflow.session import staged
+from mentionflow.session import delete_path, staged
 
 
 def _larger_first(links: DataFrame) -> DataFrame:
@@ -26,23 +27,22 @@ def _mark(links: DataFrame) -> tuple:
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """`node`, `root` for every node of the links `a`, `b` that is not the smallest of its component."""
-    now, _ = staged(_larger_first(links), "links")
+    spark = links.sparkSession
+    now, path = staged(_larger_first(links), "links")
     mark = _mark(now)
     for _ in range(rounds):
         if not mark[0]:
             break
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = now.groupBy("a").agg(F.min("b").alias("low"))
-        low = both.select("a").distinct().join(lowest, "a", "left").select("a", F.coalesce("low", "a").alias("low"))
+        low, low_path = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "lowest")
         hooked = both.filter(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        hooked = _larger_first(hooked)
-        small = hooked.groupBy("a").agg(F.min("b").alias("low"))
-        now, _ = staged(
-            _larger_first(
-                hooked.join(small, "a").select("b", "low").select(F.col("b").alias("a"), F.col("low").alias("b")).unionAll(small.select("a", F.col("low").alias("b")))
-            ),
-            "links",
-        )
+        hooked, hooked_path = staged(_larger_first(hooked), "hooked")
+        small, small_path = staged(hooked.groupBy("a").agg(F.min("b").alias("low")), "smallest")
+        moved = hooked.join(small, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        after, after_path = staged(_larger_first(moved.unionAll(small.select("a", F.col("low").alias("b")))), "links")
+        for used in (path, low_path, hooked_path, small_path):
+            delete_path(spark, used)  # `after` is written and needs none of them
+        now, path = after, after_path
         before, mark = mark, _mark(now)
         if mark == before:
             break

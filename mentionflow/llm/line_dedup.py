@@ -2,8 +2,8 @@
 
 Lines are exploded once, normalised and hashed to 128 bits, and only numbers are kept of them. Per hash the distinct
 documents are counted in two aggregations, both combined before their shuffle, so a line that stands in a third of all
-documents is a few rows per task. The hashes over the threshold are joined back to the lines on both halves of the hash;
-the large side of that join can be split by adaptive execution. What comes of it is a list of positions per document,
+documents is a few rows per task. The hashes over the threshold are stored and joined back to the lines on both halves
+of the hash; the lines of a hot hash are split by adaptive execution. What comes of it is a list of positions per document,
 from which the kept stretches are cut and joined in linear time.
 
 Results: null and empty texts are one empty line; the line feed is the only separator; lines shorter than `min_chars`
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionflow.llm.text import BLANKS, ascii_lower, whole
+from mentionflow.llm.text import BLANKS, ascii_lower, carried, packed, whole
 from mentionflow.session import staged
 
 MIN_CHARS = 10
@@ -30,40 +30,40 @@ def _lines(text: Column) -> Column:
 
 def _long_lines(documents: DataFrame, min_chars: int) -> DataFrame:
     """One row per line whose key is long enough: document, text hash, position and the two halves of the key's hash."""
-    found = documents.select(
-        F.col("doc_id").alias("_doc"), F.xxhash64(whole(F.col("text"))).alias("_text"), F.posexplode(_lines(F.col("text"))).alias("_at", "_line")
-    )
-    keyed = found.select("_doc", "_text", "_at", F.btrim(ascii_lower(F.col("_line")), F.lit(BLANKS)).alias("_key"))
-    return keyed.filter(F.char_length("_key") >= min_chars).select(
-        "_doc", "_text", "_at", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), F.col("_key")).alias("_h2")
+    found = documents.select("doc", "text_hash", F.posexplode(_lines(F.col("text"))).alias("at", "line"))
+    keyed = found.select("doc", "text_hash", "at", F.btrim(ascii_lower(F.col("line")), F.lit(BLANKS)).alias("key"))
+    return keyed.filter(F.char_length("key") >= min_chars).select(
+        "doc", "text_hash", "at", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2")
     )
 
 
 def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """Documents without their repeated lines, and how many lines each had and lost."""
-    source = documents.drop("n_lines", "n_dropped")
-    lines, _ = staged(_long_lines(source, min_chars), "lines")
+    keys = (F.col("doc_id").alias("doc"), F.xxhash64(whole(F.col("text"))).alias("text_hash"))
+    lines, _ = staged(_long_lines(documents.select(*keys, "text"), min_chars), "lines")
     # a null id is counted as one more document and left out of the minimum
-    per_hash = lines.groupBy("_h1", "_h2").agg(
-        (F.count_distinct("_doc") + F.max(F.col("_doc").isNull().cast("int"))).alias("_held"), F.min("_doc").alias("_keeper")
+    per_hash = lines.groupBy("h1", "h2").agg(
+        (F.count_distinct("doc") + F.max(F.col("doc").isNull().cast("int"))).alias("held"), F.min("doc").alias("keeper")
     )
-    repeated = per_hash.filter(F.col("_held") >= min_documents).drop("_held")
+    # stored before the join: adaptive execution splits the lines of a hot hash only where both sides are plain shuffles
+    repeated, _ = staged(per_hash.filter(F.col("held") >= min_documents).drop("held"), "repeated-lines")
     drops = (
-        lines.join(repeated, ["_h1", "_h2"])
-        .filter(~F.col("_doc").eqNullSafe(F.col("_keeper")))
-        .groupBy("_doc", "_text")
-        .agg(F.sort_array(F.collect_set("_at")).alias("_gone"))
+        lines.join(repeated, ["h1", "h2"])
+        .filter(~F.col("doc").eqNullSafe(F.col("keeper")))
+        .groupBy("doc", "text_hash")
+        .agg(F.sort_array(F.collect_set("at")).alias("gone"))
     )
-    keyed = source.withColumn("_hash", F.xxhash64(whole(F.col("text"))))
-    joined = keyed.join(drops, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_text")), "left")
-    gone = F.coalesce(F.col("_gone"), F.array().cast("array<int>"))
-    all_lines = _lines(F.col("text"))
+    rows = documents.select(packed(documents), *keys)
+    joined = rows.join(drops.withColumnsRenamed({"doc": "in_doc", "text_hash": "in_text"}), F.col("doc").eqNullSafe(F.col("in_doc")) & (F.col("text_hash") == F.col("in_text")), "left")
+    gone = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
+    before = F.col("row.text")
+    all_lines = _lines(before)
     starts = F.concat(F.array(F.lit(-1)), gone)
     ends = F.concat(gone, F.array(F.size(all_lines)))
     kept = F.flatten(F.zip_with(starts, ends, lambda start, end: F.slice(all_lines, start + 2, end - start - 1)))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    text = F.when(F.col("gone").isNull(), before).otherwise(F.array_join(kept, "\n"))
     return joined.select(
-        *[text.alias("text") if name == "text" else F.col(f"`{name}`") for name in source.columns],
+        *carried(documents, {"text": text}, without=("n_lines", "n_dropped")),
         F.size(all_lines).cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_dropped"),
     )

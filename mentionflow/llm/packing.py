@@ -15,6 +15,7 @@ carried as they are (those two are replaced).
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
@@ -24,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from mentionflow.llm.bpe import byte_letters, default_vocabulary
+from mentionflow.llm.bpe import byte_letters, codec, default_vocabulary
+from mentionflow.llm.text import carried, packed
 from mentionflow.session import staged
 
 WINDOW = 2048
@@ -32,9 +34,19 @@ END_ID = 1
 _PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 _PLACES = "length long, rank_from long, rank_to long, first_window long, each long, base long"
 
+#: `tiktoken` keeps a stack of a blank run's length and gives up on some hundred thousand blanks; the slower library does not.
+_LONG_BLANKS = 10_000
+
 _encoders: dict = {}
 
 
+def _ids(text: str, path: str) -> np.ndarray:
+    """The ids of a text, an added token's text being its id."""
+    if len(text) >= _LONG_BLANKS and re.search(rf"\s{{{_LONG_BLANKS}}}", text):
+        return np.array(codec(path).library().encode(text, add_special_tokens=False).ids, "<u4")
+    return _encoder(path).encode_to_numpy(text, allowed_special="all")
+
+
 def _encoder(path: str):
     """The vocabulary in the rank form of `tiktoken`, which gives the same ids faster; built once per worker."""
     if path not in _encoders:
@@ -56,12 +68,10 @@ def cut_pieces(documents: DataFrame, window: int = WINDOW, vocabulary: str | Non
     path = vocabulary or default_vocabulary()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
         for batch in batches:
             at, starts, lengths, parts, totals = [], [], [], [], []
             for row, text in enumerate(batch.column(1)):
-                found = encoder.encode_to_numpy(text.as_py() or "", allowed_special="all")
-                ids = np.append(found, end_id).astype("<u4")
+                ids = np.append(_ids(text.as_py() or "", path), end_id).astype("<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start : start + window]
                     at.append(row)
@@ -156,28 +166,26 @@ def place(pieces: DataFrame, order: Sequence[str] = ("doc_id", "start"), window:
     spark = pieces.sparkSession
     kept, _ = staged(pieces.drop("sequence_id", "offset"), "pieces")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = kept.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    counts = dealt.groupBy(F.col("length").alias("_of"), F.col("_bucket").alias("_in")).agg(F.count("*").alias("_count"))
-    counts, _ = staged(counts, "piece-counts")  # at most window x buckets rows
-    histogram = {row["_of"]: row["n"] for row in counts.groupBy("_of").agg(F.sum("_count").alias("n")).collect()}  # one row per length
+    dealt = kept.select(packed(kept), "length", F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in order]), F.lit(buckets)).alias("bucket"))
+    counts, _ = staged(dealt.groupBy("length", "bucket").agg(F.count("*").alias("n")), "piece-counts")  # at most window x buckets rows
+    histogram = {row["length"]: row["n"] for row in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # one row per length
     if not histogram:
         return kept.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    before = Window.partitionBy("_of").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("_of", "_in", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("_bucket", "length").orderBy(*order)
-    ranked = dealt.withColumn("_row", F.row_number().over(within) - 1)
-    ranked = ranked.join(bases, (F.col("_bucket") == F.col("_in")) & (F.col("length") == F.col("_of")))
-    ranked = ranked.withColumn("_rank", F.col("_base") + F.col("_row"))
+    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy("bucket", "length").orderBy(*[F.col(f"row.`{name}`") for name in order])
+    ranked = dealt.withColumn("at", F.row_number().over(within) - 1).join(bases, ["length", "bucket"])
+    ranked = ranked.select("row", "length", (F.col("before") + F.col("at")).alias("rank"))
     entries = plan_places(histogram, window)
     table = F.from_json(F.lit(json.dumps(entries)), f"array<struct<{_PLACES.replace(' ', ':').replace(',:', ',')}>>")
-    places = spark.range(0, 1, 1, 1).select(F.inline(table)).withColumnRenamed("length", "_length")
+    places = spark.range(0, 1, 1, 1).select(F.inline(table)).withColumnRenamed("length", "of_length")
     found = ranked.join(
         F.broadcast(places),  # bounded by the window: some dozen ranges per length
-        (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("rank_from")) & (F.col("_rank") < F.col("rank_to")),
+        (F.col("length") == F.col("of_length")) & (F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_to")),
     )
-    at = F.col("_rank") - F.col("rank_from")
+    at = F.col("rank") - F.col("rank_from")
     return found.select(
-        *[F.col(f"`{name}`") for name in kept.columns],
+        *carried(kept),
         (F.col("first_window") + F.floor(at / F.col("each"))).cast("long").alias("sequence_id"),
         (F.col("base") + F.col("length") * F.pmod(at, F.col("each"))).cast("long").alias("offset"),
     )

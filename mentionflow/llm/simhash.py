@@ -13,7 +13,7 @@ shingle; a null id takes part but names no component; repeated rows share a comp
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import combinations, groupby
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mentionflow.llm.components import components
-from mentionflow.llm.text import whole
+from mentionflow.llm.text import carried, packed, whole
 from mentionflow.session import staged
 
 SEED = 42
@@ -61,14 +61,15 @@ def fingerprint(text: str | None, size: int) -> int:
 
 
 def fingerprints(documents: DataFrame, size: int) -> DataFrame:
-    """`doc_id`, `code` of every document."""
+    """`doc_id`, `text_hash`, `code` of every document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = pa.array([fingerprint(text.as_py(), size) for text in batch.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), codes], ["doc_id", "code"])
+            codes = pa.array([fingerprint(text.as_py(), size) for text in batch.column(2)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), codes], ["doc_id", "text_hash", "code"])
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "doc_id long, code long")
+    source = documents.select(F.col("doc_id").cast("long"), F.xxhash64(whole(F.col("text"))).alias("text_hash"), "text")
+    return source.mapInArrow(work, "doc_id long, text_hash long, code long")
 
 
 def _masks(blocks: int, equal: int) -> list[int]:
@@ -138,7 +139,7 @@ def link_close(nodes: DataFrame, keys: Column, tests: Sequence[tuple[Sequence[st
     dealt = nodes.select("node", *[F.col(name).alias(f"c{at}") for at, name in enumerate(names)], F.explode(keys).alias("k"))
     dealt = dealt.select("node", *[f"c{at}" for at in range(len(names))], "k.choice", "k.bits")
     full = nodes.select(F.explode(keys).alias("k")).groupBy("k.choice", "k.bits").agg(F.count("*").alias("n")).filter(F.col("n") > tile)
-    full = full.select("choice", "bits", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    full, _ = staged(full.select("choice", "bits", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "full-keys")
     dealt = dealt.join(full, ["choice", "bits"], "left")
     own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda u: F.least(own, u) * F.col("tiles") + F.greatest(own, u))
@@ -173,170 +174,40 @@ def link_close(nodes: DataFrame, keys: Column, tests: Sequence[tuple[Sequence[st
     return sorted_keys.mapInArrow(work, "a long, b long")
 
 
-def near_duplicates(documents: DataFrame, size: int = 4, max_bits: int = 4, blocks: int = 6) -> DataFrame:
-    """`doc_id`, `code` and `component_id`, the smallest id that fingerprints within `max_bits` lead to."""
-    coded, _ = staged(fingerprints(documents, size), "fingerprints")
-    distinct = coded.groupBy("code").agg(F.min("doc_id").alias("first_id"))
-    distinct, _ = staged(distinct, "codes")
-    nodes = distinct.select(F.col("code").alias("node"), "code")
-    links = link_close(nodes, block_keys("code", blocks, blocks - max_bits), [(["code"], max_bits)])
-    roots = components(links)
-    labelled = distinct.join(roots, distinct["code"] == roots["node"], "left").select("code", "first_id", F.coalesce("root", "code").alias("root"))
-    lowest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = labelled.join(lowest, "root").select("code", "component_id")
-    return coded.join(named, "code").select("doc_id", "code", "component_id")
-
-
-#: Near copies are proposed by blocks of independent minima of their shingle sets, any equal block being enough. Of pairs
-#: at similarity 0.8 a block of five is equal for 0.328, so 32 blocks miss three in a million, wherever the texts differ.
-_MIN_BLOCKS, _MIN_EACH = 32, 5
-#: Texts of one family whose shingle sets are compared in one task; larger families are dealt into pairs of tiles.
-SETS_TILE = 512
-
-
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """The hashes of a text's distinct word shingles, in order."""
-    return np.unique(shingle_hashes((text or "").encode().lower().split(), size))
-
-
-def jaccard(one: np.ndarray, other: np.ndarray) -> float:
-    """The exact Jaccard similarity of two sets given as sorted distinct numbers."""
-    both = np.concatenate((one, other))
-    both.sort(kind="stable")
-    shared = int(np.count_nonzero(both[1:] == both[:-1]))
-    return shared / (len(both) - shared) if len(both) else 1.0
-
+#: Contract: words of a shingle, and the most bits in which linked fingerprints differ. More blocks make keys longer.
+WORDS, MAX_BITS, BLOCKS = 4, 4, 6
 
-_MASKS, _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 32, (2, _MIN_BLOCKS * _MIN_EACH, 1), np.uint32)
-_FACTORS |= np.uint32(1)
 
+def _grouped(coded: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """`code`, `first` (the smallest id, then text hash, of the rows that have it) and `root`, the same for codes that links connect."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    distinct, _ = staged(coded.groupBy("code").agg(first), "codes")
+    links = link_close(distinct.select(F.col("code").alias("node"), "code"), block_keys("code", blocks, blocks - max_bits), [(["code"], max_bits)])
+    roots = components(links)
+    return distinct.join(roots, distinct["code"] == roots["node"], "left").select("code", "first", F.coalesce("root", "code").alias("root"))
 
-def min_blocks(shingles: np.ndarray) -> np.ndarray:
-    """For each block a hash of the minima of some distinct shingles under the block's own orders."""
-    lowest = np.full(_MIN_BLOCKS * _MIN_EACH, (1 << 32) - 1, np.uint32)
-    mixed = shingles.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    halves = [(shingles >> np.uint64(32)).astype(np.uint32), (mixed >> np.uint64(32)).astype(np.uint32)]
-    middle = len(lowest) // 2
-    for at in range(0, len(shingles), 512):
-        for half, own in zip(halves, (slice(0, middle), slice(middle, None))):
-            part = half[None, at : at + 512] ^ _MASKS[own]
-            part *= _FACTORS[own]
-            np.minimum(lowest[own], part.min(1), out=lowest[own])
-    blocks = np.zeros(_MIN_BLOCKS, np.uint64)
-    for column in lowest.reshape(_MIN_BLOCKS, _MIN_EACH).T:
-        blocks = (blocks ^ column) * np.uint64(0xFF51AFD7ED558CCD)
-        blocks ^= blocks >> np.uint64(33)
-    return blocks
-
-
-def _sketches(documents: DataFrame, size: int) -> DataFrame:
-    """`doc_id`, the text's hash, two hashes of its shingle set, and the blocks of that set's minima."""
-    blocks = [f"block{at}" for at in range(_MIN_BLOCKS)]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text in batch.column(2):
-                own = shingle_set(text.as_py(), size)
-                raw = own.tobytes()
-                rows.append(np.concatenate((np.array([xxhash.xxh64_intdigest(raw, 0), xxhash.xxh64_intdigest(raw, 1)], np.uint64), min_blocks(own))))
-            codes = np.array(rows, np.uint64).reshape(-1, 2 + _MIN_BLOCKS).view(np.int64)
-            columns = [*batch.columns[:2], *(pa.array(np.ascontiguousarray(column)) for column in codes.T)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "set_one", "set_two", *blocks])
-
-    source = documents.select(F.col("doc_id").cast("long"), F.xxhash64(whole(F.col("text"))).alias("hash"), "text")
-    return source.mapInArrow(work, ", ".join(["doc_id long, hash long, set_one long, set_two long", *(f"{name} long" for name in blocks)]))
-
-
-def _proposed(nodes: DataFrame) -> DataFrame:
-    """Links `a`, `b` from every node to the smallest one it shares a block with."""
-    keys = F.array(*[F.struct(F.lit(at).alias("choice"), F.col(f"block{at}").alias("bits")) for at in range(_MIN_BLOCKS)])
-    dealt = nodes.select("node", F.explode(keys).alias("k")).select("node", "k.choice", "k.bits")
-    lowest = dealt.groupBy("choice", "bits").agg(F.min("node").alias("low"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return dealt.join(lowest, ["choice", "bits"]).select(F.col("node").alias("a"), F.col("low").alias("b"))
-
-
-def _close_sets(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the proposed pairs with at least that exact Jaccard similarity."""
-    count, links = len(sets), []
-    blocks = np.array([min_blocks(own) for own in sets])
-    sizes = np.array([len(own) for own in sets], float)
-    root = np.arange(count)
-
-    def find(at: int) -> int:
-        while root[at] != at:
-            root[at] = root[root[at]]
-            at = root[at]
-        return at
-
-    for shift in range(1, count):
-        near = np.flatnonzero(root[:-shift] != root[shift:])
-        small, large = np.minimum(sizes[near], sizes[near + shift]), np.maximum(sizes[near], sizes[near + shift])
-        near = near[small >= similarity * large * (1 - 1e-9)]  # sets of too different sizes cannot be that similar
-        near = near[(blocks[near] == blocks[near + shift]).any(1)]
-        for at in near.tolist():
-            one, other = find(at), find(at + shift)
-            if one != other and jaccard(sets[at], sets[at + shift]) >= similarity:
-                root[max(one, other)] = min(one, other)
-                links.append((at, at + shift))
-        while (root[root] != root).any():
-            root = root[root]
-        if not root.any():
-            break
-    return links
-
-
-def _link_sets(members: DataFrame, size: int, similarity: float, tile: int | None = None) -> DataFrame:
-    """Links `a`, `b` that connect all nodes of a family whose shingle sets have at least that Jaccard similarity.
-
-    `members` has a distinct long `node`, the `root` of its family, and a `text`.
-    """
-    tile = tile or SETS_TILE
-    full = members.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") > tile)
-    dealt = members.join(full.select("root", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "root", "left")
-    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    others = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda u: F.least(own, u) * F.col("tiles") + F.greatest(own, u))
-    dealt = dealt.select("root", F.explode(F.when(F.col("tiles").isNull(), F.array(F.lit(0))).otherwise(others)).alias("tile"), "node", "text")
-    dealt = dealt.repartition("root", "tile").sortWithinPartitions("root", "tile")
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns[:3]), batch.column(3)))
-        for _, stretch in groupby(rows, key=lambda row: row[:2]):
-            nodes, sets = [], []
-            for _, _, node, text in stretch:
-                nodes.append(node)
-                sets.append(shingle_set(text.as_py(), size))
-            if links := _close_sets(sets, similarity):
-                yield pa.RecordBatch.from_arrays([pa.array([nodes[pair[at]] for pair in links], pa.int64()) for at in (0, 1)], ["a", "b"])
 
-    return dealt.mapInArrow(work, "a long, b long")
+def near_duplicates(documents: DataFrame, size: int = WORDS, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
+    """`doc_id`, `code` and `component_id`, the smallest id that fingerprints within `max_bits` lead to."""
+    coded, _ = staged(fingerprints(documents, size), "fingerprints")
+    labelled = _grouped(coded, max_bits, blocks)
+    lowest = labelled.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
+    named, _ = staged(labelled.join(lowest, "root").select("code", "component_id"), "named-codes")  # a hot code's rows can then be split
+    return coded.join(named, "code").select("doc_id", "code", "component_id")
 
 
-def keep_one(documents: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id.
+def keep_one(documents: DataFrame, size: int = WORDS, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
+    """One document of each component of `near_duplicates`: the one with the smallest id; a null id counts as the largest.
 
-    Two texts belong together when their distinct `size`-word shingles have at least that Jaccard similarity, decided
-    on the shingle sets themselves. Equal blocks of minima of the shingle sets only propose pairs; texts that such blocks
-    connect are a family. Rows with the same id and text are one document.
+    Of rows with the same id the text decides, by its hash; rows with the same id and text are one document.
     """
-    coded, _ = staged(_sketches(documents, size), "sketches")
-    same = coded.groupBy("set_one", "set_two").agg(F.min(F.struct("doc_id", "hash")).alias("first"), *[F.first(f"block{at}").alias(f"block{at}") for at in range(_MIN_BLOCKS)])
-    nodes, _ = staged(same.withColumn("node", F.monotonically_increasing_id()), "sketch-nodes")
-    families = components(_proposed(nodes))
-    members = families.unionByName(families.select(F.col("root").alias("node"), "root").distinct())
-    members = nodes.join(members, "node").select("node", "root", "first")
-    texts = documents.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(whole(F.col("text"))).alias("_hash"), "text")
-    read = texts.join(members, F.col("_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_hash") == F.col("first.hash")))
-    related, _ = staged(read.groupBy("node", "root").agg(F.first("text").alias("text")), "families")
-    roots = components(_link_sets(related, size, similarity))
-    grouped = nodes.select("node", "first").join(roots, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
-    kept = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.hash")
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_kept"))
-    marked = documents.withColumn("_hash", F.xxhash64(whole(F.col("text"))))
-    alone = Window.partitionBy("doc_id", "_hash").orderBy("doc_id")
-    chosen = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_kept")), "left_semi")
-    chosen = chosen.withColumn("_copy", F.row_number().over(alone)).filter(F.col("_copy") == 1)
-    return chosen.select(*[F.col(f"`{name}`") for name in documents.columns])
+    coded, _ = staged(fingerprints(documents, size), "fingerprints")
+    kept = _grouped(coded, max_bits, blocks).groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    rows = documents.select(packed(documents), F.col("doc_id").cast("long").alias("id"), F.xxhash64(whole(F.col("text"))).alias("text_hash"))
+    chosen = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash")), "left_semi")
+    same = Window.partitionBy("id", "text_hash").orderBy("id")
+    return chosen.withColumn("copy", F.row_number().over(same)).filter("copy = 1").select(*carried(documents))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 The rules are few and become one expression: a rule fits its host and all subdomains when the path starts with the
 rule's path, and the longest wins. URLs that no rule judges are looked up in a list of canonical URLs. The filter is a
-table of blocks of 256 bits, each built by OR-ing the bits of the URLs that hash to the block; it has `BLOCKS` blocks
-however long the list is, so it may always be broadcast (about 1.3 MB). Possible hits alone go to the exact hash join,
-which removes false positives: a longer list makes the filter pass more, never the result wrong.
+table of blocks of 256 bits, each built by OR-ing the bits of the URLs that hash to the block; the list's count sets the
+number of blocks, so that a block holds about `PER_BLOCK` URLs. Up to `BROADCAST_BLOCKS` blocks (some 10 MB) the filter
+is broadcast; beyond, its blocks are joined by their number. Possible hits alone go to the exact hash join, which removes
+false positives.
 
 Results: a null URL or one without `://` has empty host and path, fits no rule and is allowed; a null, empty or repeated
 entry of the list changes nothing; repeated pages are judged one by one; empty tables give no rows, an empty list blocks
@@ -18,10 +19,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionflow.llm.text import ascii_lower, whole
+from mentionflow.llm.text import ascii_lower, carried, packed, whole
+from mentionflow.session import staged
 
-#: Blocks of the filter, 256 bits each.
-BLOCKS = 1 << 15
+#: URLs a block of 256 bits is to hold, and the most blocks that are broadcast: enough for five million URLs.
+PER_BLOCK, BROADCAST_BLOCKS = 20, 1 << 18
 _WORDS, _BITS = 4, 8
 
 #: Fixed values: (verdict, host, path).
@@ -60,8 +62,13 @@ def _first_fit(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]
     return F.coalesce(*[F.when(_fits(host, path, rule[1], rule[2]), F.lit(value(rule))) for rule in longest_first], F.lit(None).cast("string"))
 
 
-def _block(url: Column) -> Column:
-    return F.pmod(F.xxhash64(url), F.lit(BLOCKS))
+def filter_blocks(count: int) -> int:
+    """The number of blocks for a list of that many URLs: a power of two."""
+    return 1 << max(0, (count // PER_BLOCK).bit_length())
+
+
+def _block(url: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(blocks))
 
 
 def _mask(url: Column, word: int) -> Column:
@@ -75,33 +82,34 @@ def _mask(url: Column, word: int) -> Column:
     return mask
 
 
-def bloom_blocks(urls: DataFrame) -> DataFrame:
-    """The filter of a column `listed_url`: at most `BLOCKS` rows of block number and four words."""
-    masked = urls.select(_block(F.col("listed_url")).alias("_block"), *[_mask(F.col("listed_url"), at).alias(f"_m{at}") for at in range(_WORDS)])
-    return masked.groupBy("_block").agg(*[F.bit_or(f"_m{at}").alias(f"_w{at}") for at in range(_WORDS)])
+def bloom_blocks(urls: DataFrame, blocks: int) -> DataFrame:
+    """The filter of a column `listed_url`: at most `blocks` rows of block number and four words."""
+    masked = urls.select(_block(F.col("listed_url"), blocks).alias("block"), *[_mask(F.col("listed_url"), at).alias(f"m{at}") for at in range(_WORDS)])
+    return masked.groupBy("block").agg(*[F.bit_or(f"m{at}").alias(f"w{at}") for at in range(_WORDS)])
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """Pages with `host`, `path`, `rule` and `verdict`. `listed` has canonical URLs in `listed_url`."""
-    source = pages.drop("host", "path", "rule", "verdict")
-    exact = listed.select("listed_url").filter(F.length("listed_url") > 0).distinct()
-    parts = source.withColumns({"host": url_host(F.col("url")), "path": url_path(F.col("url"))})
+    exact, _ = staged(listed.select("listed_url").filter(F.length("listed_url") > 0).distinct(), "listed-urls")
+    blocks = filter_blocks(exact.count())
+    parts = pages.select(packed(pages), url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     host, path = F.col("host"), F.col("path")
-    parts = parts.withColumn("_url", canonical(host, path))
-    parts = parts.withColumns({"_at": _block(F.col("_url"))} | {f"_q{at}": _mask(F.col("_url"), at) for at in range(_WORDS)})
-    probed = parts.join(F.broadcast(bloom_blocks(exact)), F.col("_at") == F.col("_block"), "left")
+    parts = parts.withColumn("address", canonical(host, path))
+    parts = parts.withColumns({"block": _block(F.col("address"), blocks)} | {f"q{at}": _mask(F.col("address"), at) for at in range(_WORDS)})
+    bits, _ = staged(bloom_blocks(exact, blocks), "url-filter")
+    probed = parts.join(F.broadcast(bits) if blocks <= BROADCAST_BLOCKS else bits, "block", "left")
     possible = F.lit(True)
     for at in range(_WORDS):
-        possible = possible & (F.col(f"_w{at}").bitwiseAND(F.col(f"_q{at}")) == F.col(f"_q{at}"))
-    probed = probed.withColumn("_possible", F.coalesce(possible, F.lit(False)))
-    hits = probed.filter("_possible").join(exact.withColumn("_listed", F.lit(True)), F.col("_url") == F.col("listed_url"), "left")
-    misses = probed.filter(~F.col("_possible")).withColumn("_listed", F.lit(None).cast("boolean"))
-    names = [F.col(f"`{name}`") for name in source.columns]
-    judged = hits.select(*names, "host", "path", "_listed").unionByName(misses.select(*names, "host", "path", "_listed"))
+        possible = possible & (F.col(f"w{at}").bitwiseAND(F.col(f"q{at}")) == F.col(f"q{at}"))
+    probed = probed.select("row", "host", "path", "address", F.coalesce(possible, F.lit(False)).alias("possible"))
+    hits = probed.filter("possible").join(exact.withColumn("listed", F.lit(True)), F.col("address") == F.col("listed_url"), "left")
+    misses = probed.filter(~F.col("possible")).withColumn("listed", F.lit(None).cast("boolean"))
+    judged = hits.select("row", "host", "path", "listed").unionByName(misses.select("row", "host", "path", "listed"))
     rule = _first_fit(host, path, rules, lambda one: one[1] + one[2])
     verdict = _first_fit(host, path, rules, lambda one: one[0])
-    other = F.when(F.coalesce(F.col("_listed"), F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
-    return judged.select(*names, "host", "path", rule.alias("rule"), F.coalesce(verdict, other).alias("verdict"))
+    other = F.when(F.coalesce(F.col("listed"), F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
+    kept = carried(pages, without=("host", "path", "rule", "verdict"))
+    return judged.select(*kept, "host", "path", rule.alias("rule"), F.coalesce(verdict, other).alias("verdict"))
 
 
 def listed_urls(pages: DataFrame) -> DataFrame:

@@ -34,10 +34,12 @@ def plain_line_dedup(rows, least=2):
 
 @pytest.mark.parametrize("least", [2, 3])
 def test_line_dedup(spark, least):
-    docs = documents(spark, AWKWARD).withColumn("n_lines", F.lit("mine")).withColumn("_line", F.lit(1))
+    own = ["row", "doc", "text_hash", "at", "line", "key", "h1", "h2", "held", "keeper", "gone", "in_doc", "in_text"]
+    docs = documents(spark, AWKWARD).select("*", F.lit("mine").alias("n_lines"), *[F.lit(name).alias(name) for name in own])
     got = line_dedup.dedup_lines(docs, min_documents=least)
-    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "_line", "n_lines", "n_dropped"]
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", *own, "n_lines", "n_dropped"]
     rows = got.collect()
+    assert all(row[name] == name for row in rows for name in own)
     assert sorted((str(r.doc_id), r.text or "", r.n_lines, r.n_dropped) for r in rows) == plain_line_dedup(AWKWARD, least)
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
@@ -47,27 +49,37 @@ def test_urls(spark):
         None, "", "nothing", "http://a.com", "http://a.com/", "HTTP://Www.Example.COM/en/1?x=/", "https://example.com/en/", "http://b.net/es/x",
         "x://y://z.net/fr/1#a", "http://bad.org/p", "http://www.bad.org/p/?q", "http://bad.org/p2", "http://notcom/", "http://com/a",
     ]
-    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit(1))
-    pages = pages.withColumn("_possible", F.lit("mine"))
+    own = ["row", "address", "block", "q0", "w0", "possible", "listed", "listed_url"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").select("*", F.lit(1).alias("host"), *[F.lit(name).alias(name) for name in own])
     listed = spark.createDataFrame([("bad.org/p",), ("bad.org/p",), (None,), ("",)], "listed_url string")
-    got = url_filter.judge_urls(pages.drop("_possible"), listed)
+    got = url_filter.judge_urls(pages, listed)
+    assert got.columns == ["page_id", "url", *own, "host", "path", "rule", "verdict"]
     rows = {row.page_id: row for row in got.collect()}
+    assert all(row[name] == name for row in rows.values() for name in own)
     assert len(rows) == len(urls)
     assert [rows[at].rule for at in range(len(urls))] == [
         None, None, None, None, "com/", "www.example.com/en/", "example.com/en/", "net/es/", None, None, None, None, None, "com/",
     ]
     assert rows[8].host == "y:" and rows[8].path == "//z.net/fr/1"
     assert [at for at in rows if rows[at].verdict == "block"] and {at for at in rows if rows[at].verdict == "block"} == {6, 7, 9, 10}
-    assert {row.verdict for row in url_filter.judge_urls(pages.drop("_possible"), listed.limit(0)).filter("rule is null").collect()} == {"allow"}
-    assert url_filter.judge_urls(pages.drop("_possible").limit(0), listed).count() == 0
+    assert {row.verdict for row in url_filter.judge_urls(pages, listed.limit(0)).filter("rule is null").collect()} == {"allow"}
+    assert url_filter.judge_urls(pages.limit(0), listed).count() == 0
 
 
 def test_filter_passes_every_listed_url(spark):
     urls = spark.range(3000).select(F.concat(F.lit("h/"), F.col("id").cast("string")).alias("listed_url"))
     pages = urls.select(F.col("listed_url").alias("page_id"), F.concat(F.lit("http://"), F.col("listed_url")).alias("url"))
     assert url_filter.judge_urls(pages, urls).filter("verdict = 'block'").count() == 3000
-    blocks = url_filter.bloom_blocks(urls)
-    assert blocks.count() <= url_filter.BLOCKS
+    blocks = url_filter.filter_blocks(3000)
+    assert blocks == 256 and url_filter.bloom_blocks(urls, blocks).count() <= blocks
+    assert url_filter.filter_blocks(0) == 1 and 8 <= 10**7 / url_filter.filter_blocks(10**7) <= url_filter.PER_BLOCK
+
+
+def test_filter_beyond_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BROADCAST_BLOCKS", 2)
+    urls = spark.range(500).select(F.concat(F.lit("h/"), F.col("id").cast("string")).alias("listed_url"))
+    pages = spark.range(1000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h/"), F.col("id").cast("string")).alias("url"))
+    assert url_filter.judge_urls(pages, urls).filter("verdict = 'block'").count() == 500
 
 
 def plain_licenses(text):

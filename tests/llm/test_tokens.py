@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 from helpers import AWKWARD, documents
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from mentionflow.llm import bpe, packing
@@ -81,10 +82,24 @@ def test_pieces_and_places(spark, library):
     assert sorted(zlib.crc32(row.ids) for row in rows) == sorted(row.ids_crc32 for row in packed)
 
 
+LONG = [(1, " " * 1_100_000 + "x"), (2, "a\n" + "\n" * 1_100_000 + "x"), (3, "b" * 500_000), (4, "\t \u3000" * 300_000), (5, "x" + " " * 9_999 + "<|endoftext|>" + " " * 10_000)]
+
+
+def test_long_runs_of_one_kind(spark, library):
+    rows = packing.cut_pieces(documents(spark, LONG)).collect()
+    for doc_id, text in LONG:
+        parts = sorted((row.start, row.ids) for row in rows if row.doc_id == doc_id)
+        ids = np.frombuffer(b"".join(ids for _, ids in parts), "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids + [1]
+    assert packing.pack(documents(spark, LONG)).agg({"length": "sum"}).first()[0] == sum(row.length for row in rows)
+
+
 def test_place_carries_clashing_columns(spark):
+    own = ["row", "bucket", "n", "before", "at", "of_length", "rank_from", "rank_to", "first_window", "each", "base"]
     pieces = spark.createDataFrame([(1, 3, "a", 9), (2, 5, "b", 9), (2, 5, "b", 9)], "doc_id long, length long, rank string, offset long")
+    pieces = pieces.select("*", *[F.lit(name).alias(name) for name in own])
     rows = packing.place(pieces, ("doc_id",), 8).collect()
-    assert {(row.doc_id, row["rank"]) for row in rows} == {(1, "a"), (2, "b")}
+    assert {(row.doc_id, row["rank"]) for row in rows} == {(1, "a"), (2, "b")} and all(row[name] == name for row in rows for name in own)
     assert len({(row.sequence_id, row.offset) for row in rows}) == 3
 
 
