@@ -28,8 +28,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.keep_one(docs)
+    """One document of each group whose fingerprints few bits connect."""
+    return simhash.keep_one(docs, size=simhash.WORDS, max_bits=simhash.MAX_BITS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
