@@ -1,19 +1,25 @@
-"""Keyword matching: case-insensitive substring tests, no join and no shuffle."""
+"""Keyword matching: case-insensitive substring tests, no join and no shuffle.
+
+A short list is spelled out, one compiled `contains` per keyword. A long list becomes an Aho-Corasick automaton, built
+once per task, that finds all keywords in one pass over a text: the cost follows the text and its hits, not the length
+of the list. Only the lower-cased text goes to Python, in Arrow batches, and only list positions come back; both ways
+give the same rows.
+"""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Up to this many keywords the tests are spelled out and compiled; longer lists become one array constant.
+#: Up to this many keywords the tests are spelled out; the automaton is the faster way beyond.
 INLINE_KEYWORDS = 32
 
-_HIT = "struct<keyword_ord:int,keyword:string>"
-
 
 def clean_keywords(keywords: Sequence[str]) -> list[str]:
     """Trimmed keywords in their order without blank ones. An empty list is an error."""
@@ -41,49 +47,71 @@ def _tests(folded: Column, keywords: Sequence[str], tagged: bool) -> list[Column
     return tests
 
 
-def _listed(keywords: Sequence[str], tagged: bool) -> Column:
-    rows = [{"keyword_ord": at, "keyword": word, "forms": _forms(word, tagged)} for at, word in enumerate(keywords)]
-    return F.from_json(
-        F.lit(json.dumps(rows, ensure_ascii=False)), "array<struct<keyword_ord:int,keyword:string,forms:array<string>>>"
-    )
+def automaton_search(forms: Sequence[Sequence[str]], first: bool = False) -> Callable[[Column], Column]:
+    """A function of a text column to the sorted list positions that have a form in the text, or just the first one."""
+
+    @F.arrow_udf("array<int>")
+    def search(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import ahocorasick
+
+        at_form = defaultdict(list)
+        for at, own in enumerate(forms):
+            for form in own:
+                at_form[form].append(at)
+        automaton = ahocorasick.Automaton()
+        for form, places in at_form.items():
+            automaton.add_word(form, (places[0], tuple(places)))
+        automaton.make_automaton()
+        for batch in texts:
+            found, offsets = [], [0]
+            for text in batch:
+                hits = {places for _, places in automaton.iter(text.as_py())} if text.is_valid else ()
+                if first:
+                    found += [min(hits)[0]] if hits else []
+                else:
+                    found += sorted({at for _, places in hits for at in places})
+                offsets.append(len(found))
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found, pa.int32()))
 
+    return search
 
-def _folded_hits(folded: Column, keywords: Sequence[str], tagged: bool = False) -> Column:
-    if len(keywords) <= INLINE_KEYWORDS:
-        return F.array_compact(F.array(*_tests(folded, keywords, tagged)))
-    found = F.filter(_listed(keywords, tagged), lambda word: F.exists(word["forms"], lambda form: F.contains(folded, form)))
-    return F.transform(found, lambda word: F.struct(word["keyword_ord"], word["keyword"]))
 
+def _searched(posts: DataFrame, keywords: Sequence[str], tagged: bool, first: bool) -> DataFrame:
+    """Rows with `_folded` get `_found`, their hits among a long list."""
+    search = automaton_search([_forms(word, tagged) for word in keywords], first)
+    listed = F.from_json(F.lit(json.dumps(list(keywords), ensure_ascii=False)), "array<string>")
+    named = F.transform("_places", lambda at: F.struct(at.alias("keyword_ord"), F.get(listed, at).alias("keyword")))
+    return posts.withColumn("_places", search(F.col("_folded"))).withColumn("_found", named)
 
-def _folded_first(folded: Column, keywords: Sequence[str], tagged: bool = False) -> Column:
-    if len(keywords) <= INLINE_KEYWORDS:
-        return F.coalesce(*_tests(folded, keywords, tagged))
-    return F.try_element_at(_folded_hits(folded, keywords, tagged), F.lit(1))
+
+def _with_hits(posts: DataFrame, text: str, keywords: Sequence[str], tagged: bool = False, first: bool = False) -> DataFrame:
+    """Rows with `_found`: the list positions and keywords in a text, or just the first one.
+
+    The lower-cased text is a column of its own, so it is computed once per row and not once per keyword.
+    """
+    folded = posts.withColumn("_folded", F.lower(F.col(text)))
+    if len(keywords) > INLINE_KEYWORDS:
+        return _searched(folded, keywords, tagged, first)
+    tests = _tests(F.col("_folded"), keywords, tagged)
+    return folded.withColumn("_found", F.array_compact(F.array(F.coalesce(*tests)) if first else F.array(*tests)))
 
 
 def match_first(posts: DataFrame, text: str, keywords: Sequence[str], tagged: bool = False) -> DataFrame:
     """Keep rows that have a keyword; add the first one in list order as `keyword_ord`, `keyword`.
 
-    With `tagged` a keyword of several words is also found as a hashtag.
-
-    The lower-cased text is a column of its own, so it is computed once per row and not once per keyword; unfolding
-    an array of no or one hit drops the other rows without a filter that would evaluate the tests a second time.
+    With `tagged` a keyword of several words is also found as a hashtag. Unfolding an array of no or one hit drops the
+    other rows without a filter that would evaluate the tests a second time.
     """
     words = clean_keywords(keywords)
     kept = [name for name in posts.columns if name not in ("keyword", "keyword_ord")]
-    first = F.array_compact(F.array(_folded_first(F.col("_folded"), words, tagged)))
-    return posts.withColumn("_folded", F.lower(F.col(text))).select(*kept, F.inline(first))
+    return _with_hits(posts, text, words, tagged, first=True).select(*kept, F.inline("_found"))
 
 
 def with_first_keyword(posts: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame:
     """Like `match_first`, but rows without a keyword stay, with nulls."""
     words = clean_keywords(keywords)
     kept = [name for name in posts.columns if name not in ("keyword", "keyword_ord")]
-    return (
-        posts.withColumn("_folded", F.lower(F.col(text)))
-        .withColumn("_hit", _folded_first(F.col("_folded"), words))
-        .select(*kept, "_hit.keyword_ord", "_hit.keyword")
-    )
+    return _with_hits(posts, text, words, first=True).select(*kept, F.inline_outer("_found"))
 
 
 def match_all(posts: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame:
@@ -93,5 +121,4 @@ def match_all(posts: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame
     """
     words = clean_keywords(keywords)
     kept = [name for name in posts.columns if name not in ("keyword", "keyword_ord")]
-    hits = _folded_hits(F.col("_folded"), words)
-    return posts.withColumn("_folded", F.lower(F.col(text))).select(*kept, F.inline(hits))
+    return _with_hits(posts, text, words).select(*kept, F.inline("_found"))

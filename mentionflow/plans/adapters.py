@@ -37,6 +37,7 @@ TABLES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "pages": "page_id bigint, url string, html string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "benchmark": "item_id bigint, text string",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
 }
 
@@ -57,6 +58,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_items(table(spark, sf_dir, "documents"))
 
 
+def phrases(spark: SparkSession, sf_dir: str) -> list[str]:
+    """A long keyword list: the words of the benchmark items and their pairs in order. A keyword list is configuration
+    and lives on the driver, however it came to be."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"))
+    pairs = F.transform("words", lambda word, at: F.concat_ws(" ", word, F.get("words", at + 1)))
+    found = table(spark, sf_dir, "benchmark").select(words.alias("words")).select(F.explode(F.array_union("words", pairs)).alias("phrase"))
+    return [row["phrase"] for row in found.distinct().orderBy("phrase").collect()]
+
+
+#: The same list as SQL: `phrases`, a column `phrase` and its place.
+SQL_PHRASES = """items AS (SELECT regexp_extract_all(lower(text), '([a-z]{3,})', 1) AS words FROM benchmark),
+pairs AS (SELECT words, unnest(range(1, len(words) + 1)) AS at_word FROM items),
+phrases AS (SELECT phrase, row_number() OVER (ORDER BY phrase) - 1 AS ord FROM (
+  SELECT words[at_word] AS phrase FROM pairs UNION SELECT concat_ws(' ', words[at_word], words[at_word + 1]) FROM pairs))"""
+
+
 def document_items(rows: DataFrame) -> DataFrame:
     url = F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/read/"), F.col("doc_id").cast("string"))
     return rows.select(

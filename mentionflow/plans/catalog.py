@@ -199,6 +199,26 @@ def keyword_all_match_dedup(spark, sf_dir):
     return first_wins(found.select("source", "post_id", "keyword_ord", "keyword"), ["keyword_ord"])
 
 
+@query(f"""WITH {ad.SQL_DOCS}, {ad.SQL_PHRASES}
+SELECT d.source, d.post_id, count(*) AS hits, min(ord) AS first_ord, max(ord) AS last_ord, CAST(sum(ord) AS BIGINT) AS ords
+FROM docs d JOIN phrases ON contains(lower(d.text), phrase) GROUP BY d.source, d.post_id""")
+def keyword_long_list(spark, sf_dir):
+    """All keywords of a list of thousands, by an automaton."""
+    found = match_all(ad.documents(spark, sf_dir), "text", ad.phrases(spark, sf_dir))
+    ord = F.col("keyword_ord").cast("long")
+    return found.groupBy("source", "post_id").agg(
+        F.count("*").alias("hits"), F.min(ord).alias("first_ord"), F.max(ord).alias("last_ord"), F.sum(ord).alias("ords")
+    )
+
+
+@query(f"""WITH {ad.SQL_DOCS}, {ad.SQL_PHRASES}
+SELECT d.source, d.post_id, min(ord) AS keyword_ord, min_by(phrase, ord) AS keyword
+FROM docs d JOIN phrases ON contains(lower(d.text), phrase) GROUP BY d.source, d.post_id""")
+def keyword_long_list_first(spark, sf_dir):
+    found = match_first(ad.documents(spark, sf_dir), "text", ad.phrases(spark, sf_dir))
+    return found.select("source", "post_id", F.col("keyword_ord").cast("long").alias("keyword_ord"), "keyword")
+
+
 def _search_sql(limit: int) -> str:
     return f"""WITH {ad.SQL_DOCS}, {ad.SQL_KEYWORDS}, pairs AS (
   SELECT d.post_id, d.source, d.scraped_at, k.keyword_ord, k.keyword

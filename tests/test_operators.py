@@ -72,6 +72,28 @@ def test_keywords_are_needed(titles):
         match.match_first(titles, "title", [" ", ""])
 
 
+def long_lists():
+    words = [f"{a}{b}" for a in "abcdé" for b in ("", "a", "ab", "bca", " d", "ÉÜ")]
+    return words + [f"x{at}" for at in range(40)] + ["a", "AB"]
+
+
+@pytest.mark.parametrize("tagged", [False, True])
+def test_long_lists_give_the_rows_of_spelled_out_tests(spark, monkeypatch, tagged):
+    draw = random.Random(4)
+    texts = ["".join(draw.choices("abcdéAÉü x19#", k=draw.randint(0, 40))) for _ in range(200)] + [None, "", "x39", "#bd b d", "a\x00ab\U0001f600ab"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, title string").withColumn("keyword", F.lit("old"))
+    words = long_lists()
+
+    def rows():
+        both = [match.match_all(frame, "title", words), match.match_first(frame, "title", words, tagged=tagged), match.with_first_keyword(frame, "title", words)]
+        return [sorted((row["n"], str(row["keyword_ord"]), str(row["keyword"])) for row in one.collect()) for one in both]
+
+    assert len(words) > match.INLINE_KEYWORDS
+    by_automaton = rows()
+    monkeypatch.setattr(match, "INLINE_KEYWORDS", 1000)
+    assert by_automaton == rows() and len(by_automaton[2]) == len(texts)
+
+
 def test_matching_neither_joins_nor_shuffles(titles):
     plan = plan_of(match.match_all(titles, "title", ["news", "policy"]))
     assert "Join" not in plan and "Exchange" not in plan
