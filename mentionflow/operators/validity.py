@@ -20,12 +20,17 @@ def problems() -> Column:
     return F.array_compact(F.array(*tests))
 
 
+def _reasons(posts: DataFrame) -> Column:
+    """The problems of a row, and what its source says went wrong with it (`problem`), where there is such a column."""
+    return F.array_compact(F.concat(F.array("problem"), problems())) if "problem" in posts.columns else problems()
+
+
 def with_problems(posts: DataFrame) -> DataFrame:
-    return posts.withColumn("reason", problems())
+    return posts.withColumn("reason", _reasons(posts)).drop("problem")
 
 
 def valid_rows(posts: DataFrame) -> DataFrame:
-    return posts.filter(F.size(problems()) == 0)
+    return posts.filter(F.size(_reasons(posts)) == 0).drop("problem")
 
 
 def rejected_rows(posts: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mentionflow.functions import metadata
@@ -15,6 +15,7 @@ from mentionflow.functions.times import from_utc_wall_time, parsed_time, utc_day
 from mentionflow.functions.trigrams import search_containing, search_similar
 from mentionflow.operators.dedup import first_wins, run_counters
 from mentionflow.operators.extract import source_health
+from mentionflow.operators.health import COUNTS, breaker_states
 from mentionflow.operators.match import match_all, match_first, with_first_keyword
 from mentionflow.operators.reports import (
     apply_scores,
@@ -31,8 +32,8 @@ from mentionflow.operators.reports import (
 )
 from mentionflow.operators.validity import with_problems
 from mentionflow.plans import adapters as ad
-from mentionflow.plans.config import RunConfig
-from mentionflow.plans.run import BUILDERS, RunReport, run
+from mentionflow.plans.config import RunConfig, resolve_config
+from mentionflow.plans.run import BUILDERS, RunReport, health_path, read_health, run
 from mentionflow.session import new_path, path_exists, spread_scan, staged
 from mentionflow.sinks.fanout import Sinks
 from mentionflow.sinks.jsonl import read_jsonl, write_jsonl
@@ -51,7 +52,7 @@ from mentionflow.sources.posts import (
     web_items,
     web_posts,
 )
-from mentionflow.sources.rules import pages_by_rule
+from mentionflow.sources.rules import Rule, pages_by_rule
 from mentionflow.streaming.ingest import drop_seen, start_ingest, unscored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -771,3 +772,73 @@ def pipeline_run_report(spark, sf_dir):
     report, _ = _run(spark, sf_dir)
     row = (report.social, report.web, report.duplicates, report.rejected, len(report.failed))
     return spark.createDataFrame([row], "social bigint, web bigint, duplicates bigint, rejected bigint, failed bigint")
+
+
+_HEALTH_WORDS = "words(keyword_ord, keyword, tag) AS (VALUES (0, 'view error', '#viewerror'), (1, 'the', NULL), (2, 'and', NULL))"
+
+
+@query(f"""WITH {_LINKS_SQL}, {_HEALTH_WORDS}, landed AS (
+  SELECT {_TOP} || '_pages' AS source, count(*) AS pages, count(*) FILTER (WHERE html IS NULL) AS failed FROM pages GROUP BY 1),
+items AS (SELECT source, link, title, bool_or(contains(lower(title), keyword)) AS hit FROM links, words WHERE title <> ''
+  GROUP BY page_id, item_ord, source, link, title),
+counted AS (SELECT source, count(*) AS found, count(*) FILTER (WHERE hit) AS matched, count(DISTINCT link) FILTER (WHERE hit) AS kept
+  FROM items GROUP BY source),
+web AS (SELECT source, pages, failed, coalesce(found, 0) AS found, coalesce(matched, 0) AS matched, failed AS rejected, coalesce(kept, 0) AS kept
+  FROM landed LEFT JOIN counted USING (source) WHERE source IN ('com_pages', 'org_pages')),
+videos AS (SELECT {_TURN} AS id, lower(text || CASE WHEN conv_id % 3 = 0 THEN ' #ViewError' ELSE '' END) AS body
+  FROM conversations WHERE role = 'system'),
+tiktok AS (SELECT 'tiktok', count(*) AS pages, 0, count(*) AS found, count(*) FILTER (WHERE hit) AS matched, 0, count(DISTINCT id) FILTER (WHERE hit) AS kept
+  FROM (SELECT id, bool_or(contains(body, keyword) OR (tag IS NOT NULL AND contains(body, tag))) AS hit FROM videos, words GROUP BY id)),
+good AS (SELECT * FROM web UNION ALL SELECT 'org_again', pages, failed, found, matched, rejected, kept FROM web WHERE source = 'org_pages'
+  UNION ALL SELECT * FROM tiktok),
+runs AS (SELECT run, g.* FROM good g, (VALUES (1), (2), (3)) runs(run) WHERE run < 3 OR source = 'tiktok'
+  UNION ALL SELECT 1, source, pages, pages, 0, 0, pages, 0 FROM landed WHERE source = 'net_pages'
+  UNION ALL SELECT 1, 'instagram', 1, 1, 0, 0, 0, 0
+  UNION ALL SELECT 2, source, 0, 0, 0, 0, 0, 0 FROM (VALUES ('net_pages'), ('instagram')) left_out(source))
+SELECT CAST(run AS BIGINT) AS run, source, CASE WHEN run = 2 AND source IN ('net_pages', 'instagram') THEN 'open' ELSE 'closed' END AS state,
+  pages, failed, found, matched, rejected, kept FROM runs""")
+def pipeline_run_sources(spark, sf_dir):
+    """Three runs into one output, a row per source of each: a rule whose pages cannot be read and a family that fails
+    are left out of the second, the third is for one family only. One rule is added to the others, and a keyword of
+    two words is also found as a hashtag."""
+    work = new_path(spark, "run")
+    broken = F.when(~host_of(F.col("url")).endswith(".net"), F.col("html"))
+    pages = ad.landed_pages(spark, sf_dir).withColumn("html", broken)
+    tag = F.when(F.split("id", "-")[0].cast("bigint") % 3 == 0, F.lit(" #ViewError")).otherwise(F.lit(""))
+    videos = ad.short_videos(spark, sf_dir).withColumn("body", F.concat("body", tag))
+    inputs = {
+        "web": lambda _: pages,
+        "tiktok": lambda _: videos,
+        "instagram": lambda _: ad.captions(spark, sf_dir).withColumn("body", F.raise_error(F.lit("no captions landed")).cast("string")),
+    }
+    rules = [*ad.LINK_RULES, Rule("org_again", "https://example.org/", "nav li a", "::text", "::attr(href)")]
+    given = {"keywords": "View Error, the, ,and", "output_dir": f"{work}/lines", "table_dir": f"{work}/table", "rules": rules, "strikes": 1}
+    for choice in ("all", "all", "tiktok"):
+        config = resolve_config({**given, "source": choice})
+        run(spark, config, inputs)
+    records = read_health(spark, health_path(config))
+    number = F.dense_rank().over(Window.orderBy("run_at")).cast("long")  # one row per run and source
+    return records.select(number.alias("run"), "source", "state", *COUNTS)
+
+
+@query("""WITH RECURSIVE records AS (
+  SELECT event_type || user_id % 10 AS source, row_number() OVER (PARTITION BY event_type || user_id % 10 ORDER BY date_trunc('day', ts)) AS run,
+         count(*) AS pages, count(*) FILTER (WHERE event_id % 7 < 3) AS failed FROM events GROUP BY event_type || user_id % 10, date_trunc('day', ts)),
+folded(source, run, state, strikes, waited) AS (
+  SELECT DISTINCT source, CAST(0 AS BIGINT), 'closed', 0, 0 FROM records
+  UNION ALL
+  SELECT f.source, r.run,
+    CASE WHEN f.state = 'closed' THEN CASE WHEN failed * 2 > pages AND strikes + 1 >= 2 THEN 'open' ELSE 'closed' END
+         WHEN f.state = 'open' THEN CASE WHEN waited + 1 >= 2 THEN 'half_open' ELSE 'open' END
+         WHEN failed * 2 > pages THEN 'open' ELSE 'closed' END,
+    CASE WHEN f.state = 'open' THEN strikes WHEN failed * 2 <= pages THEN 0 WHEN f.state = 'closed' THEN strikes + 1 ELSE strikes END,
+    CASE WHEN f.state = 'open' THEN waited + 1 ELSE 0 END
+  FROM folded f JOIN records r ON r.source = f.source AND r.run = f.run + 1)
+SELECT source, state, strikes, waited FROM folded QUALIFY row_number() OVER (PARTITION BY source ORDER BY run DESC) = 1""")
+def source_breaker(spark, sf_dir):
+    """Events as the daily health records of fifty sources, and where the breaker of each stands after them."""
+    source = F.concat("event_type", (F.col("user_id") % 10).cast("string")).alias("source")
+    records = ad.table(spark, sf_dir, "events").groupBy(source, F.date_trunc("day", "ts").alias("run_at")).agg(
+        F.count("*").alias("pages"), F.count_if(F.col("event_id") % 7 < 3).alias("failed")
+    )
+    return breaker_states(records, strikes=2, wait=2)

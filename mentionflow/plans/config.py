@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
+from mentionflow.operators.health import STRIKES, WAIT
 from mentionflow.operators.match import clean_keywords
 from mentionflow.sources.rules import DEFAULT_RULES, Rule
 
@@ -32,6 +33,9 @@ class RunConfig:
     table_dir: str | None = None
     database: Mapping[str, str] | None = None
     rules: tuple[Rule, ...] = field(default=DEFAULT_RULES)
+    #: Bad runs in a row that leave a source out, and runs it is left out before it is tried again.
+    strikes: int = STRIKES
+    wait: int = WAIT
 
 
 def families_of(choice: str | None) -> frozenset[str]:
@@ -85,4 +89,6 @@ def resolve_config(given: Mapping[str, Any] | None = None, environ: Mapping[str,
         table_dir=given.get("table_dir"),
         database=given.get("database"),
         rules=tuple(given.get("rules") or DEFAULT_RULES),
+        strikes=int(given.get("strikes") or STRIKES),
+        wait=int(given.get("wait") or WAIT),
     )

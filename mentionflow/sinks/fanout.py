@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -26,18 +26,30 @@ class Sinks:
     quarantine_dir: str | None = None
 
 
-def publish(posts: DataFrame, sinks: Sinks, batch: str, day: str | None = None, new_lines_only: bool = False) -> None:
+def _unwatched(_: str, rows: DataFrame) -> DataFrame:
+    return rows
+
+
+def publish(
+    posts: DataFrame,
+    sinks: Sinks,
+    batch: str,
+    day: str | None = None,
+    new_lines_only: bool = False,
+    watch: Callable[[str, DataFrame], DataFrame] = _unwatched,
+) -> None:
     """Deduplicate a batch of posts with arrival columns and write it to all sinks; faulty rows are set aside.
 
     The deduplicated batch is written once to the shared work folder and read from there by every sink, so the
     sources are not computed again, no sink sees other rows than the next, and a lost executor costs one re-read. With
     `new_lines_only` the lines get only posts the table does not have yet; they are written before the table, so a
-    replay writes the same lines again or, when the table is already written, none.
+    replay writes the same lines again or, when the table is already written, none. `watch` may observe the rejected,
+    the valid and the kept rows on their way.
     """
     spark = posts.sparkSession
     if sinks.quarantine_dir:
-        rejected_rows(posts).write.mode("overwrite").json(f"{sinks.quarantine_dir}/batch={batch}")
-    kept, path = staged(first_wins(valid_rows(posts), ARRIVAL_ORDER), "batch")
+        watch("rejected", rejected_rows(posts)).write.mode("overwrite").json(f"{sinks.quarantine_dir}/batch={batch}")
+    kept, path = staged(watch("kept", first_wins(watch("valid", valid_rows(posts)), ARRIVAL_ORDER)), "batch")
     try:
         lines = fresh_rows(kept, read_table(spark, sinks.table_dir)) if new_lines_only and sinks.table_dir else kept
         write_jsonl(lines, sinks.output_dir, batch, day)

@@ -13,7 +13,8 @@ from mentionflow.functions.times import iso_text, parsed_time
 from mentionflow.operators.dedup import cap_per_keyword, first_wins
 from mentionflow.operators.extract import all_values, extract_items, first_value
 from mentionflow.operators.filters import keep_where
-from mentionflow.operators.match import clean_keywords, match_all, match_first
+from mentionflow.operators.health import Meter
+from mentionflow.operators.match import clean_keywords, match_all, match_first, with_first_keyword
 from mentionflow.schema import POST
 from mentionflow.sources.rules import Rule, checked_rules, pages_by_rule
 
@@ -146,6 +147,26 @@ def web_posts(pages: DataFrame, rules: Sequence[Rule], keywords: Sequence[str])
     return web_record(matched, extra=arrival(F.col("page_id"), F.col("item_ord")))
 
 
+def web_rows(pages: DataFrame, rules: Sequence[Rule], keywords: Sequence[str], meter: Meter) -> DataFrame:
+    """Pages to matched posts in one pass, and a row with its `problem` for each page that could not be read.
+
+    The meter counts, by source, pages, unreadable ones, titled items and matched ones.
+    """
+    items = web_items(pages, rules)
+    first, titled_item = F.coalesce("item_ord", F.lit(0)) == 0, F.col("item_ord").isNotNull() & (F.col("title") != "")
+    tests = {"pages": first, "failed": F.col("error").isNotNull(), "found": titled_item, "matched": titled_item & F.col("keyword").isNotNull()}
+    seen = with_first_keyword(items, "title", keywords)
+    seen = meter.watch(seen, {f"{name}:{rule.name}": test & (F.col("source") == rule.name) for rule in rules for name, test in tests.items()})
+    kept = keep_where(seen, tests["matched"] | tests["failed"])
+    failed = F.col("error").isNotNull()
+    kept = kept.withColumns({
+        "title": F.when(~failed, F.col("title")),
+        "link": F.when(failed, F.col("url")).otherwise(F.col("link")),
+        "problem": F.concat(F.lit("page not read: "), F.col("error")),
+    })
+    return web_record(kept, extra=[*arrival(F.col("page_id"), F.coalesce("item_ord", F.lit(0))), F.col("problem")])
+
+
 def card_items(pages: DataFrame) -> DataFrame:
     """Cards of rendered result pages, before any test: text, links, author, time."""
     selectors = {"post_selector": CARD_SELECTOR, **CARD_FIELDS}
