@@ -271,7 +271,8 @@ def idempotent_insert(spark, sf_dir):
     stored = stored.select("source", "post_id", "keyword", F.lit("stored").alias("origin"))
     found = match_all(ad.documents(spark, sf_dir), "text", ad.KEYWORDS)
     incoming = first_wins(found.select("source", "post_id", "keyword", "keyword_ord"), ["keyword_ord"])
-    return stored.unionByName(fresh_rows(incoming.drop("keyword_ord").withColumn("origin", F.lit("new")), stored))
+    incoming, _ = staged(incoming.drop("keyword_ord").withColumn("origin", F.lit("new")), "incoming")
+    return stored.unionByName(fresh_rows(incoming, stored))
 
 
 def _arrived(spark, sf_dir) -> DataFrame:

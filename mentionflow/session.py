@@ -68,6 +68,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, sorted; none when there is no such folder."""
+    files, target = _hadoop_path(spark, path)
+    return sorted(found.getPath().getName() for found in files.listStatus(target)) if files.exists(target) else []
+
+
 def remembered(spark: SparkSession, path: str, value: str) -> str:
     """The value a small file holds; it is written with `value` if it does not exist yet."""
     files, target = _hadoop_path(spark, path)

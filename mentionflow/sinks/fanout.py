@@ -12,7 +12,7 @@ from mentionflow.operators.validity import rejected_rows, valid_rows
 from mentionflow.session import delete_path, staged
 from mentionflow.sinks.database import insert_database
 from mentionflow.sinks.jsonl import write_jsonl
-from mentionflow.sinks.table import fresh_rows, insert_posts, read_table
+from mentionflow.sinks.table import commit_rows, pending_rows
 from mentionflow.sources.posts import ARRIVAL_ORDER
 
 
@@ -42,19 +42,19 @@ def publish(
 
     The deduplicated batch is written once to the shared work folder and read from there by every sink, so the
     sources are not computed again, no sink sees other rows than the next, and a lost executor costs one re-read. With
-    `new_lines_only` the lines get only posts the table does not have yet; they are written before the table, so a
-    replay writes the same lines again or, when the table is already written, none. `watch` may observe the rejected,
-    the valid and the kept rows on their way.
+    `new_lines_only` the lines get only posts the table does not have yet. These are found once and stored under the
+    batch's name until both sinks have them, so a replay writes the same lines again or, after the end, none. `watch`
+    may observe the rejected, the valid and the kept rows on their way.
     """
     spark = posts.sparkSession
     if sinks.quarantine_dir:
         watch("rejected", rejected_rows(posts)).write.mode("overwrite").json(f"{sinks.quarantine_dir}/batch={batch}")
     kept, path = staged(watch("kept", first_wins(watch("valid", valid_rows(posts)), ARRIVAL_ORDER)), "batch")
     try:
-        lines = fresh_rows(kept, read_table(spark, sinks.table_dir)) if new_lines_only and sinks.table_dir else kept
-        write_jsonl(lines, sinks.output_dir, batch, day)
+        fresh = pending_rows(kept, sinks.table_dir, batch) if sinks.table_dir else kept
+        write_jsonl(fresh if new_lines_only else kept, sinks.output_dir, batch, day)
         if sinks.table_dir:
-            insert_posts(kept, sinks.table_dir)
+            commit_rows(fresh, sinks.table_dir, batch)
         if sinks.database:
             insert_database(kept, sinks.database)
     finally:

@@ -5,6 +5,8 @@ One inserting writer at a time; scores may be written meanwhile.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from mentionflow.functions.times import parsed_time, utc_date
 from mentionflow.operators.dedup import not_stored
 from mentionflow.operators.reports import apply_scores, last_scores
 from mentionflow.schema import POST_KEY, SCORE, STORED_PARTITIONS, STORED_POST
-from mentionflow.session import delete_path, path_exists, staged
+from mentionflow.session import delete_path, path_exists, remembered, staged
+from mentionflow.sinks.keys import add_keys, ensure_keys, in_table, pending_path, stored_among
 
 #: Incoming keys are broadcast against the stored keys only below this measured size.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
@@ -68,20 +71,50 @@ def create_table(spark: SparkSession, path: str) -> None:
         spark.createDataFrame([], STORED_POST).write.mode("ignore").partitionBy(*STORED_PARTITIONS).parquet(path)
 
 
-def insert_posts(posts: DataFrame, path: str) -> None:
+def insert_posts(posts: DataFrame, path: str, batch: str | None = None) -> None:
     """Append the posts whose key the table does not have.
 
-    `posts` must be free of duplicates and cheap to read twice (a staged table). Its sources limit which table
-    directories are read, and of those only the key columns. When the measured size of the incoming keys is small,
-    they are broadcast to find the conflicts, so the stored keys are not shuffled; otherwise both sides are shuffled
-    on the key. A replayed batch finds its rows already there and adds nothing.
+    `posts` must be free of duplicates and cheap to read twice (a staged table). A batch replayed after a crash finds
+    the rows that came through already there and adds the others; a replay after the end adds nothing.
+    """
+    name = batch or uuid.uuid4().hex
+    commit_rows(pending_rows(posts, path, name), path, name)
+
+
+def pending_rows(posts: DataFrame, path: str, batch: str) -> DataFrame:
+    """The posts of a batch that the table does not have, stored under the batch's name until `commit_rows`.
+
+    A replay of an unfinished batch gets the rows of its first attempt again, whatever of them came through.
     """
-    fresh = fresh_rows(posts, read_table(posts.sparkSession, path))
+    spark, held = posts.sparkSession, pending_path(path, batch)
+    create_table(spark, path)
+    if not path_exists(spark, f"{held}/_SUCCESS"):
+        ensure_keys(read_table(spark, path), path)
+        found = stored_among(posts, path)
+        fresh = posts if found is None else not_stored(posts, found)
+        fresh.write.mode("overwrite").parquet(held)
+    return spark.read.schema(posts.schema).parquet(held)
+
+
+def commit_rows(rows: DataFrame, path: str, batch: str) -> None:
+    """Append pending rows to the table and their keys to the keys.
+
+    The rows of a first attempt are known to be new. A mark tells a replay that some of them may be there already.
+    """
+    spark, mark = rows.sparkSession, f"{pending_path(path, batch)}/_APPENDING"
+    fresh = not_stored(rows, in_table(rows, read_table(spark, path))) if path_exists(spark, mark) else rows
+    remembered(spark, mark, "")
     _append(to_stored(fresh), path)
+    add_keys(rows, path, batch)
+    delete_path(spark, pending_path(path, batch))
 
 
 def fresh_rows(posts: DataFrame, stored: DataFrame) -> DataFrame:
-    """The posts that are not stored, by the cheapest way their measured size allows."""
+    """The posts that are not among stored ones without keys of their own, by the cheapest way their size allows.
+
+    `posts` are read several times and should be a staged table. Their sources limit which directories are read, and of
+    those only the key columns; a small batch is broadcast, so the stored keys are not shuffled.
+    """
     width = F.octet_length("source") + F.octet_length("post_id") + 32
     size = posts.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
     sources = posts.select("source").distinct().limit(PRUNE_SOURCES + 1).collect()
