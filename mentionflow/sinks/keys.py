@@ -2,7 +2,7 @@
 
 Keys lie in hash buckets, sorted by a 64-bit hash with a Parquet Bloom filter on it. A batch of up to `LOOKUP_KEYS` keys
 names its buckets and hashes to the scan: other buckets are not even listed, and row groups whose filter or statistics
-exclude all hashes are skipped. Larger batches are joined with their buckets. Small batches add one file to `recent`,
+exclude all hashes are skipped. Larger batches are joined with their buckets, by hash. Small batches add one file to `recent`,
 which every lookup opens; after `RECENT_FILES` of them they are dealt into the buckets. `compact_keys` sizes the number
 of buckets by the number of keys, so the bytes a batch reads depend on the batch and not on the table.
 
@@ -13,18 +13,21 @@ compared with the table itself before the next insert, so no stored row lacks it
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionflow.schema import POST_KEY
 from mentionflow.session import child_names, delete_path, path_exists, remembered
 
-LOOKUP_KEYS = 5_000
+LOOKUP_KEYS = 1_000
 RECENT_FILES = 32
 KEYS_PER_BUCKET = 100_000
 FIRST_BUCKETS = 16
 _KEY = "source string, post_id string, key long"
-_IN_LIMIT = "spark.sql.parquet.pushdown.inFilterThreshold"
+#: Values of one list that reaches the scan as it is; a longer one would become a range.
+_LISTED = 10
 
 
 def keys_path(path: str) -> str:
@@ -123,22 +126,29 @@ def add_keys(rows: DataFrame, path: str, batch: str) -> None:
             delete_path(spark, used)
 
 
+def _any_of(hashes: list[int]) -> Column:
+    """A test for some hashes in a form that reaches the scan: short lists, joined by a balanced tree of ORs."""
+    tests = [F.col("key").isin(hashes[at : at + _LISTED]) for at in range(0, len(hashes), _LISTED)]
+    while len(tests) > 1:
+        tests = [reduce(Column.__or__, tests[at : at + 2]) for at in range(0, len(tests), 2)]
+    return tests[0]
+
+
 def stored_among(posts: DataFrame, path: str) -> DataFrame | None:
     """The stored keys that a batch of posts may have, a superset of those it has; none where nothing is stored.
 
-    The batch's hashes are counted on the driver up to `LOOKUP_KEYS`.
+    The driver gets the hashes of a batch of up to `LOOKUP_KEYS` keys, of a larger one the numbers of its buckets.
     """
     spark = posts.sparkSession
     folder, _, buckets = _generation(spark, path)
-    hashes = [row["key"] for row in posts.select(_hash().alias("key")).distinct().limit(LOOKUP_KEYS + 1).collect()]
-    if len(hashes) <= LOOKUP_KEYS:
-        if int(spark.conf.get(_IN_LIMIT)) < LOOKUP_KEYS:
-            spark.conf.set(_IN_LIMIT, str(LOOKUP_KEYS))  # else the scan gets a range instead of the hashes
-        wanted = sorted({key % buckets for key in hashes})
-        keys = _read(spark, [f"{folder}/bucket={bucket}" for bucket in wanted] + _recent_files(spark, path))
-        return keys and keys.filter(F.col("key").isin(hashes)).select(*POST_KEY)
-    keys = _read(spark, [f"{folder}/{name}" for name in child_names(spark, folder) if name.startswith("bucket=")] + _recent_files(spark, path))
-    return keys and keys.join(posts.select(_hash().alias("key")), "key", "left_semi").select(*POST_KEY)
+    hashed = posts.select(_hash().alias("key"))
+    hashes = [row["key"] for row in hashed.distinct().limit(LOOKUP_KEYS + 1).collect()]
+    few = len(hashes) <= LOOKUP_KEYS
+    wanted = {key % buckets for key in hashes} if few else {row["bucket"] for row in hashed.select(F.pmod("key", F.lit(buckets)).alias("bucket")).distinct().collect()}
+    keys = _read(spark, [f"{folder}/bucket={bucket}" for bucket in sorted(wanted)] + _recent_files(spark, path))
+    if keys is None or not hashes:
+        return None
+    return (keys.filter(_any_of(hashes)) if few else keys.join(hashed, "key", "left_semi")).select(*POST_KEY)
 
 
 def compact_keys(spark: SparkSession, path: str) -> None:

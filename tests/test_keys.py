@@ -49,6 +49,14 @@ def test_new_keys_open_no_row_group(spark, tmp_path):
     assert not found and len(held) == 20 and few < some
 
 
+@pytest.mark.parametrize("rows", [keys.LOOKUP_KEYS, keys.LOOKUP_KEYS + 1])
+def test_lookups_up_to_the_limit_and_beyond(spark, tmp_path, rows):
+    path = str(tmp_path / "table")
+    keys.ensure_keys(numbered(spark, 500, 3000), path)
+    found = keys.stored_among(numbered(spark, 0, rows), path)
+    assert sorted(row["post_id"] for row in found.collect()) == sorted(f"post-{at}" for at in range(500, rows))
+
+
 @pytest.mark.parametrize("limit", [keys.LOOKUP_KEYS, 2])
 def test_any_size_of_batch_gives_the_same_table(spark, tmp_path, monkeypatch, limit):
     monkeypatch.setattr(keys, "LOOKUP_KEYS", limit)
