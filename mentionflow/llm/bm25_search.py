@@ -1,13 +1,16 @@
 """Exact top-k search: BM25 over sharded inverted indexes with block-max pruning.
 
 Each task turns its documents into shards of at most `SHARD` documents: term hashes, postings in document order, term
-counts and lengths. Document frequencies and the mean length are summed over all shards, so every shard scores by global
-statistics. The stated query set is worked off in blocks of bounded size: a block goes to the executors as a broadcast,
-every shard answers it, and the answers of all shards are merged by score. In a shard, postings are cut into blocks of
-`BLOCK` documents with their largest impact. A block's bound for a query is the sum of its terms' maxima; the terms most
-documents hold would loosen it, so their part is computed first and enters with its exact maximum. The eighth of the
-blocks with the highest bounds is opened first; of the others only those whose bound reaches the k-th score found there.
-Scores are computed in full for what is opened, so the result equals that of scoring every document.
+counts and lengths. Within a shard documents are numbered so that those of like vocabulary stand together, which keeps
+the maxima of a block of `BLOCK` documents close to its members. Document frequencies and the mean length are summed
+over all shards, so every shard scores by global statistics.
+
+The stated query set is worked off in blocks of bounded size, broadcast one after the other. Each query is first answered
+by one shard alone; its k-th score there is a floor under the k-th score of all. Then every shard answers all queries: a
+block of documents is opened where the maxima of the query's terms in it add up to the floor, and only the postings of
+open blocks are read. (Queries are whole documents, of hundreds of terms; a pivot within a block would have to look at
+as many maxima as there are postings, so the blocks are the step of the pivot.) Open blocks are scored in full, so the
+answers merged over the shards are those of scoring every document.
 
 Results: words are runs of letters and digits, lower-cased; a query is a whole text, a term counts as often as it stands
 in it; the query's own id is no candidate; documents that share no term are not returned; null and empty texts find
@@ -34,17 +37,21 @@ K1, B = 1.2, 0.75
 TOP = 10
 QUERY_STEP = 50
 SHARD = 16384
-BLOCK = 128
-#: Query rows (one per query and term) that are broadcast at a time.
-QUERY_ROWS = 600_000
-#: Terms held by one document in so many are kept as rows over all documents of a shard, at most `MOST_COMMON` of them;
-#: queries look them up together, `TOGETHER` at a time. This changes speed alone.
+BLOCK = 512
+#: Query rows (one per query and term) that are broadcast at a time: some 30 MB.
+QUERY_ROWS = 1_200_000
+#: Terms held by one document in so many are kept as rows over the documents of a block, at most `MOST_COMMON` of them;
+#: queries look them up together, `TOGETHER` at a time. This changes speed alone, as does the number of terms and of
+#: directions that documents are put in order by.
 COMMON_SHARE, MOST_COMMON, TOGETHER = 16, 512, 32
+ORDER_TERMS, ORDER_AXES = 256, 6
 #: Scores are rounded to so many decimals, so that equal texts tie whatever the order of addition was.
 DECIMALS, SLACK = 8, 1e-7
 WORDS_KEPT = 400_000
+#: Queries whose rare postings are looked up before they are scored.
+QUERIES_AT_ONCE = 512
 _WORD = re.compile(r"[^\W_]+")
-_SHARD_COLUMNS = "ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
+_SHARD_COLUMNS = "key long, ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
 _known: dict[str, int] = {}
 
 
@@ -66,11 +73,31 @@ def _terms(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
     return terms[order], np.fromiter(counts.values(), np.int32, len(counts))[order], len(words)
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _alike(found: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
+    """An order of documents in which those that hold the same common terms stand together: by the sides on which they
+    lie of the main directions of those terms, and along the first of them."""
+    terms = np.concatenate([own[0] for own in found])
+    docs = np.repeat(np.arange(len(found)), [len(own[0]) for own in found])
+    names, place, held = np.unique(terms, return_inverse=True, return_counts=True)
+    common = np.argsort(-held, kind="stable")[:ORDER_TERMS]
+    column = np.full(len(names), -1)
+    column[common] = np.arange(len(common))
+    own = column[place] >= 0
+    holds = np.zeros((len(found), len(common)), np.float32)
+    holds[docs[own], column[place[own]]] = 1
+    holds -= holds.mean(0)
+    _, axes = np.linalg.eigh(holds.T @ holds)
+    along = holds @ axes[:, ::-1][:, :ORDER_AXES]
+    return np.lexsort((along[:, 0], *(along[:, at] > 0 for at in range(along.shape[1] - 1, -1, -1)))) if along.shape[1] else np.arange(len(found))
+
+
+def _shards(batches: Iterator[pa.RecordBatch], size: int = SHARD) -> Iterator[pa.RecordBatch]:
     ids: list[int] = []
     found: list[tuple[np.ndarray, np.ndarray, int]] = []
 
     def shard() -> pa.RecordBatch:
+        order = _alike(found).tolist()
+        ids[:], found[:] = [ids[at] for at in order], [found[at] for at in order]
         terms = np.concatenate([own[0] for own in found])
         docs = np.repeat(np.arange(len(found), dtype=np.int32), [len(own[0]) for own in found])
         order = np.argsort(terms, kind="stable")
@@ -85,7 +112,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts,
         )
         names = [column.split()[0] for column in _SHARD_COLUMNS.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array([part.tobytes()], pa.binary()) for part in parts], names)
+        return pa.RecordBatch.from_arrays([pa.array([min(ids)]), *(pa.array([part.tobytes()], pa.binary()) for part in parts)], names)
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -93,7 +120,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             ids.append(doc_id)
             found.append(_terms(text.as_py()))
-            if len(found) == SHARD:
+            if len(found) == size:
                 yield shard()
                 ids, found = [], []
     if found:
@@ -124,7 +151,8 @@ def _spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 class Shard:
     """One shard with the block maxima of its postings."""
 
-    def __init__(self, row: dict[str, bytes], mean_length: float) -> None:
+    def __init__(self, row: dict, mean_length: float, block: int = BLOCK) -> None:
+        self.key, self.block = row["key"], block
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.terms = np.frombuffer(row["terms"], np.int64)
         starts = np.frombuffer(row["starts"], np.int32).astype(np.int64)
@@ -132,7 +160,7 @@ class Shard:
         counts = np.frombuffer(row["counts"], np.int32)
         norms = K1 * (1 - B + B * np.frombuffer(row["lengths"], np.int32) / max(mean_length, 1e-9))
         self.impacts = counts * (K1 + 1) / (counts + norms[self.docs])
-        blocks = self.docs // BLOCK
+        blocks = self.docs // self.block
         new = np.r_[True, blocks[1:] != blocks[:-1]] if len(blocks) else np.zeros(0, bool)
         new[starts[:-1]] = True
         self.entry_starts = np.r_[np.flatnonzero(new), len(blocks)]
@@ -140,16 +168,19 @@ class Shard:
         self.entry_most = np.maximum.reduceat(self.impacts, self.entry_starts[:-1]) if len(blocks) else np.zeros(0)
         self.term_entries = np.searchsorted(self.entry_starts, starts)
         self.starts = starts
-        self.block_starts = np.arange(0, len(self.ids), BLOCK)
+        self.blocks = -(-len(self.ids) // self.block)
+        self.opened = self.asked = 0
         held = np.diff(starts)
         common = np.flatnonzero(held * COMMON_SHARE >= len(self.ids))
         common = common[np.argsort(-held[common], kind="stable")][:MOST_COMMON]
         self.common = np.full(len(self.terms), -1)
         self.common[common] = np.arange(len(common))
-        self.common_impacts = np.zeros((len(common), len(self.ids)))
+        # per block, so that the impacts of one block lie together
+        self.common_impacts = np.zeros((self.blocks, len(common), self.block))
         for row, term in enumerate(common.tolist()):
             own = slice(starts[term], starts[term + 1])
-            self.common_impacts[row, self.docs[own]] = self.impacts[own]
+            self.common_impacts[self.docs[own] // self.block, row, self.docs[own] % self.block] = self.impacts[own]
+        self.common_most = self.common_impacts.max(2).T if len(self.ids) else np.zeros((len(common), 0))
 
     def _here(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.terms, terms)
@@ -157,99 +188,124 @@ class Shard:
         here = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
         return at[here], weights[here]
 
-    def best(self, queries: list[tuple[int, np.ndarray, np.ndarray]], top: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids and scores of the `top` documents, best first, for queries given as id, terms and weights."""
+    def best(self, queries: list[tuple[int, np.ndarray, np.ndarray]], floors: np.ndarray, top: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Query id, ids and scores of the `top` documents, best first, that reach a query's floor.
+
+        Queries are given as id, terms and weights. Those that open the same blocks are scored together.
+        """
         found = [self._here(terms, weights) for _, terms, weights in queries]
-        table = np.zeros((len(queries), len(self.common_impacts)))
+        table = np.zeros((len(queries), len(self.common_most)))
+        rare, bounds = [], np.zeros((len(queries), self.blocks))
         for row, (at, weights) in enumerate(found):
             own = self.common[at] >= 0
             table[row, self.common[at[own]]] = weights[own]
-        for (query_id, _, _), (at, weights), scores in zip(queries, found, table @ self.common_impacts):
-            rare = self.common[at] < 0
-            yield self._open(query_id, at[rare], weights[rare], scores, top)
-
-    def _open(self, query_id: int, at: np.ndarray, weights: np.ndarray, scores: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-        """Open the blocks that can hold one of the best; `scores` holds what the common terms give."""
-        low, high = self.term_entries[at], self.term_entries[at + 1]
-        entries = _spans(low, high)
-        entry_weights = np.repeat(weights, high - low)
-        entry_blocks = self.entry_blocks[entries]
-        bounds = np.maximum.reduceat(scores, self.block_starts)
-        bounds += np.bincount(entry_blocks, entry_weights * self.entry_most[entries], len(bounds))
-        common = scores.copy()
-        complete = np.zeros(len(bounds), bool)
-        complete[np.argsort(-bounds, kind="stable")[: max(1, len(bounds) // 8)]] = True
-        self._add(scores, entries, entry_weights, complete[entry_blocks])
-        ranked, threshold = self._rank(query_id, scores, complete, top)
-        rest = ~complete & (bounds + SLACK >= threshold)
-        if 2 * (complete | rest).sum() > len(complete):  # most blocks are open: whole posting lists are read faster
-            scores = common + self._whole(at, weights)
-            complete[:] = True
-        elif rest.any():
-            self._add(scores, entries, entry_weights, rest[entry_blocks])
-            complete |= rest
-        else:
-            return self.ids[ranked], np.round(scores[ranked], DECIMALS)
-        ranked, _ = self._rank(query_id, scores, complete, top)
-        return self.ids[ranked], np.round(scores[ranked], DECIMALS)
-
-    def _add(self, scores: np.ndarray, entries: np.ndarray, weights: np.ndarray, own: np.ndarray) -> None:
-        """Add the postings of the chosen entries to the scores."""
-        entries, weights = entries[own], weights[own]
+            at, weights = at[~own], weights[~own]
+            low, high = self.term_entries[at], self.term_entries[at + 1]
+            entries, entry_weights = _spans(low, high), np.repeat(weights, high - low)
+            rare.append((entries, entry_weights))
+            bounds[row] = np.bincount(self.entry_blocks[entries], entry_weights * self.entry_most[entries], self.blocks)
+        bounds += table @ self.common_most
+        opened = (bounds + SLACK >= floors[:, None]) & (bounds > 0)
+        self.opened += int(opened.sum())
+        self.asked += opened.size
+        order = np.lexsort(opened.T) if self.blocks else np.arange(len(queries))
+        for first in range(0, len(order), TOGETHER):
+            rows = order[first : first + TOGETHER]
+            scores = np.zeros((len(rows), self.blocks * self.block))
+            for block in np.flatnonzero(opened[rows].any(0)).tolist():
+                scores[:, block * self.block : (block + 1) * self.block] = table[rows] @ self.common_impacts[block]
+            for own, row in zip(scores, rows.tolist()):
+                yield self._rank(queries[row][0], own, opened[row], *rare[row], floors[row], top)
+
+    def _rank(
+        self, query_id: int, scores: np.ndarray, opened: np.ndarray, entries: np.ndarray, weights: np.ndarray, floor: float, top: int
+    ) -> tuple[int, np.ndarray, np.ndarray]:
+        """Add the postings of the rare terms in open blocks to what the common terms give, and pick the best."""
+        if not opened.all():
+            own = opened[self.entry_blocks[entries]]
+            entries, weights = entries[own], weights[own]
+            scores[np.repeat(~opened, self.block)] = 0
         first, last = self.entry_starts[entries], self.entry_starts[entries + 1]
         postings = _spans(first, last)
-        scores += np.bincount(self.docs[postings], np.repeat(weights, last - first) * self.impacts[postings], len(scores))
+        scores = scores + np.bincount(self.docs[postings], np.repeat(weights, last - first) * self.impacts[postings], len(scores))
+        scores = scores[: len(self.ids)]
+        ranked = np.flatnonzero(scores >= max(floor - SLACK, 1e-300))
+        ranked = ranked[self.ids[ranked] != query_id]
+        if len(ranked) > 4 * top:
+            cut = np.partition(scores[ranked], len(ranked) - top)[len(ranked) - top]
+            ranked = ranked[scores[ranked] >= cut - SLACK]
+        rounded = np.round(scores[ranked], DECIMALS)
+        best = np.lexsort((self.ids[ranked], -rounded))[:top]
+        return query_id, self.ids[ranked[best]], rounded[best]
 
-    def _whole(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """What the whole posting lists of some terms give every document."""
-        first, last = self.starts[at], self.starts[at + 1]
-        postings = _spans(first, last)
-        return np.bincount(self.docs[postings], np.repeat(weights, last - first) * self.impacts[postings], len(self.ids))
-
-    def _rank(self, query_id: int, scores: np.ndarray, complete: np.ndarray, top: int) -> tuple[np.ndarray, float]:
-        """The best documents of the completed blocks, and the score others must reach."""
-        done = scores if complete.all() else np.where(np.repeat(complete, BLOCK)[: len(scores)], scores, 0.0)
-        own = self.ids == query_id
-        if own.any():
-            done = np.where(own, 0.0, done)
-        ranked = np.arange(len(done))
-        if len(done) > top:
-            cut = np.partition(done, len(done) - top)[len(done) - top]
-            ranked = np.flatnonzero(done >= cut - SLACK)
-        ranked = ranked[done[ranked] > 0]
-        ranked = ranked[np.lexsort((self.ids[ranked], -np.round(done[ranked], DECIMALS)))][:top]
-        return ranked, done[ranked[-1]] if len(ranked) == top else 0.0
-
-
-def _answers(block: tuple[np.ndarray, np.ndarray, np.ndarray], mean_length: float, top: int):
-    """Answer one block of queries, given as rows of query, term and weight in order of query and term."""
-    queries, terms, weights = block
+
+_ANSWERS = "query_id long, doc_id long, score double, opened long, asked long"
+
+
+def _answers(block: tuple[np.ndarray, ...], mean_length: float, top: int, block_size: int, keys: np.ndarray | None = None):
+    """Answer one block of queries: rows of query, term and weight in order of query and term, and each query's floor.
+
+    With `keys`, the shards' keys, every query is answered by one shard only.
+    """
+    queries, terms, weights, floors = block
     cuts = np.flatnonzero(np.r_[True, queries[1:] != queries[:-1], True]).tolist()
+    asked = [(int(queries[low]), terms[low:high], weights[low:high]) for low, high in zip(cuts, cuts[1:])]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                shard = Shard({name: batch.column(at)[row].as_py() for at, name in enumerate(batch.schema.names)}, mean_length)
-                asked = [(int(queries[low]), terms[low:high], weights[low:high]) for low, high in zip(cuts, cuts[1:])]
-                answers = [
-                    (query[0], *answer)
-                    for first in range(0, len(asked), TOGETHER)
-                    for query, answer in zip(asked[first : first + TOGETHER], shard.best(asked[first : first + TOGETHER], top))
-                ]
-                columns = [
-                    pa.array(np.repeat([query for query, _, _ in answers], [len(ids) for _, ids, _ in answers]).astype(np.int64)),
-                    pa.array(np.concatenate([ids for _, ids, _ in answers])),
-                    pa.array(np.concatenate([scores for _, _, scores in answers])),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["query_id", "doc_id", "score"])
+                shard = Shard({name: batch.column(at)[row].as_py() for at, name in enumerate(batch.schema.names)}, mean_length, block_size)
+                mine = np.arange(len(asked))
+                if keys is not None:
+                    mine = mine[keys[mine % len(keys)] == shard.key]
+                for first in range(0, len(mine), QUERIES_AT_ONCE):
+                    part = mine[first : first + QUERIES_AT_ONCE]
+                    before = shard.opened, shard.asked
+                    answers = list(shard.best([asked[at] for at in part.tolist()], floors[part], top))
+                    sizes = [len(ids) for _, ids, _ in answers]
+                    count = sum(sizes)
+                    blocks = [np.zeros(count, np.int64), np.zeros(count, np.int64)]
+                    for column, now, then in zip(blocks, (shard.opened, shard.asked), before):
+                        column[:1] = now - then  # for the share of opened blocks, summed over rows
+                    columns = [
+                        np.repeat([query for query, _, _ in answers], sizes).astype(np.int64),
+                        np.concatenate([ids for _, ids, _ in answers]),
+                        np.concatenate([scores for _, _, scores in answers]),
+                        *blocks,
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["query_id", "doc_id", "score", "opened", "asked"])
 
     return work
 
 
-def search(documents: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
-    """`query_id`, `rank`, `doc_id`, `score` of the best documents for each query (`doc_id`, `text`)."""
+def _query_block(weighted: DataFrame, at: int, blocks: int) -> tuple[np.ndarray, ...] | None:
+    """One block of queries on the driver: about `QUERY_ROWS` rows of three numbers; repeated query rows are one query."""
+    table = weighted.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == at).toArrow()
+    arrays = [table.column(name).to_numpy() for name in ("query_id", "term", "weight")]
+    order = np.lexsort((arrays[1], arrays[0]))
+    if not len(order):
+        return None
+    keep = np.r_[True, (np.diff(arrays[0][order]) != 0) | (np.diff(arrays[1][order]) != 0)]
+    return tuple(array[order][keep] for array in arrays)
+
+
+def _floors(index: DataFrame, block: tuple[np.ndarray, ...], keys: np.ndarray, mean_length: float, top: int, block_size: int) -> np.ndarray:
+    """For each query of a block its k-th score in one shard, zero where that shard has fewer answers."""
+    ids = np.unique(block[0])
+    shared = index.sparkSession.sparkContext.broadcast((*block, np.zeros(len(ids))))
+    answers = index.mapInArrow(lambda batches: _answers(shared.value, mean_length, top, block_size, keys)(batches), _ANSWERS)
+    kth = answers.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list("score"), False), 1, top).alias("scores"))
+    kth = kth.filter(F.size("scores") == top).select("query_id", F.element_at("scores", -1).alias("low")).toArrow()  # two numbers a query
+    floors = np.zeros(len(ids))
+    floors[np.searchsorted(ids, kth.column("query_id").to_numpy())] = kth.column("low").to_numpy()
+    shared.unpersist()
+    return floors
+
+
+def shard_answers(documents: DataFrame, queries: DataFrame, top: int = TOP, shard_size: int = SHARD, block_size: int = BLOCK) -> DataFrame:
+    """Every shard's answers, and the document blocks it opened and was asked about, summed over rows."""
     spark = documents.sparkSession
-    index, _ = staged(documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(_shards, _SHARD_COLUMNS), "shards")
+    index, _ = staged(documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda batches: _shards(batches, shard_size), _SHARD_COLUMNS), "shards")
     frequencies = index.select("terms", "starts").mapInArrow(_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("held"))
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,27 +320,23 @@ def search(documents: DataFrame, queries: DataFrame, top: int = TOP) -> DataFram
     idf = F.log1p((F.lit(files) - F.col("held") + 0.5) / (F.col("held") + 0.5))
     weighted = asked.join(frequencies, "term").select("query_id", "term", (F.col("times") * idf).alias("weight"))
     weighted, _ = staged(weighted, "queries")
-    rows = weighted.count()
-    blocks = max(1, -(-rows // QUERY_ROWS))
-    found = None
+    keys, mean = np.array(sorted(row["key"] for row in index.select("key").distinct().collect()), np.int64), words / max(files, 1)  # one number a shard
+    blocks = max(1, -(-weighted.count() // QUERY_ROWS))
+    found = spark.createDataFrame([], _ANSWERS)
     for at in range(blocks):
-        own = weighted.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == at)
-        table = own.toArrow()  # about QUERY_ROWS rows of three numbers
-        arrays = [table.column(name).to_numpy() for name in ("query_id", "term", "weight")]
-        order = np.lexsort((arrays[1], arrays[0]))
-        if not len(order):
+        block = _query_block(weighted, at, blocks)
+        if block is None:
             continue
-        # repeated query rows are one query
-        keep = np.r_[True, (np.diff(arrays[0][order]) != 0) | (np.diff(arrays[1][order]) != 0)]
-        shared = spark.sparkContext.broadcast(tuple(array[order][keep] for array in arrays))
-        mean = words / max(files, 1)
-        answers, _ = staged(
-            index.mapInArrow(lambda batches, shared=shared: _answers(shared.value, mean, top)(batches), "query_id long, doc_id long, score double"), "answers"
-        )
-        found = answers if found is None else found.unionByName(answers)
+        shared = spark.sparkContext.broadcast((*block, _floors(index, block, keys, mean, top, block_size)))
+        answers, _ = staged(index.mapInArrow(lambda batches, shared=shared: _answers(shared.value, mean, top, block_size)(batches), _ANSWERS), "answers")
+        found = found.unionByName(answers)
         shared.unpersist()
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
+    return found
+
+
+def search(documents: DataFrame, queries: DataFrame, top: int = TOP, shard_size: int = SHARD, block_size: int = BLOCK) -> DataFrame:
+    """`query_id`, `rank`, `doc_id`, `score` of the best documents for each query (`doc_id`, `text`)."""
+    found = shard_answers(documents, queries, top, shard_size, block_size)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "doc_id", "score")

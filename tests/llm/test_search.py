@@ -1,6 +1,7 @@
 """SimHash, nearest neighbours, BM25 and toxicity against brute force."""
 
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -121,16 +122,13 @@ def test_hilbert_neighbours_touch():
 
 @pytest.mark.parametrize("shard", [7, 16384])
 def test_bm25_equals_scoring_every_document(spark, shard, monkeypatch):
-    monkeypatch.setattr(bm25_search, "SHARD", shard)
-    monkeypatch.setattr(bm25_search, "BLOCK", 4)
-    monkeypatch.setattr(bm25_search, "COMMON_SHARE", 3)
     monkeypatch.setattr(bm25_search, "QUERY_ROWS", 40)
     pool = words(9, 60)
     rows = [(at, " ".join(pool[(at * at + step * (at % 7 + 1)) % 60] for step in range(3 + at % 25))) for at in range(120)]
     rows += [(200, rows[50][1]), (201, rows[50][1]), (250, None), (300, ""), (350, "Zzz unknown"), (None, pool[0])]
     docs = documents(spark, rows)
     got = {}
-    for row in bm25_search.search(docs, docs.filter("doc_id % 50 = 0"), 5).collect():
+    for row in bm25_search.search(docs, docs.filter("doc_id % 50 = 0"), 5, shard, 4).collect():
         got.setdefault(row.query_id, []).append((row["rank"], row.doc_id, row.score))
     held = [(doc_id, Counter((text or "").lower().split())) for doc_id, text in rows if doc_id is not None]
     mean = sum(own.total() for _, own in held) / len(held)
@@ -153,6 +151,21 @@ def test_bm25_equals_scoring_every_document(spark, shard, monkeypatch):
     assert bm25_search.search(docs.limit(0), docs.limit(0)).count() == 0
 
 
+def test_bm25_opens_only_blocks_that_reach_the_floor(spark, monkeypatch):
+    """Four vocabularies: a query's own blocks are opened, most of the others are not, and the answers are the same."""
+    sizes = {"shard_size": 200, "block_size": 8}
+    draw = random.Random(1)
+    tongues = [words(40 + at, 60) for at in range(4)]
+    rows = [(at, " ".join(draw.choices(tongues[at % 4], k=80))) for at in range(800)]
+    docs = documents(spark, rows)
+    answers = bm25_search.shard_answers(docs, docs.filter("doc_id % 20 = 0"), 5, **sizes)
+    opened, asked = answers.agg(F.sum("opened"), F.sum("asked")).first()
+    assert 0 < opened < 0.5 * asked
+    pruned = sorted(tuple(row) for row in bm25_search.search(docs, docs.filter("doc_id % 20 = 0"), 5, **sizes).collect())
+    monkeypatch.setattr(bm25_search, "_floors", lambda index, block, *_: np.zeros(len(np.unique(block[0]))))
+    assert pruned == sorted(tuple(row) for row in bm25_search.search(docs, docs.filter("doc_id % 20 = 0"), 5, **sizes).collect())
+
+
 def toxic_table(spark):
     rows, labels = list(AWKWARD), [(1, 0), (None, 1), (4, None), (5, 7)]
     for at in range(200):
