@@ -38,8 +38,8 @@ TOP = 10
 QUERY_STEP = 50
 SHARD = 16384
 BLOCK = 512
-#: Query rows (one per query and term) that are broadcast at a time: some 30 MB.
-QUERY_ROWS = 1_200_000
+#: Query rows (one per query and term) that are broadcast at a time: some 15 MB.
+QUERY_ROWS = 600_000
 #: Terms held by one document in so many are kept as rows over the documents of a block, at most `MOST_COMMON` of them;
 #: queries look them up together, `TOGETHER` at a time. This changes speed alone, as does the number of terms and of
 #: directions that documents are put in order by.
@@ -49,7 +49,7 @@ ORDER_TERMS, ORDER_AXES = 256, 6
 DECIMALS, SLACK = 8, 1e-7
 WORDS_KEPT = 400_000
 #: Queries whose rare postings are looked up before they are scored.
-QUERIES_AT_ONCE = 512
+QUERIES_AT_ONCE = 128
 _WORD = re.compile(r"[^\W_]+")
 _SHARD_COLUMNS = "key long, ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
 _known: dict[str, int] = {}
