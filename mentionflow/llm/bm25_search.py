@@ -47,7 +47,7 @@ COMMON_SHARE, MOST_COMMON, TOGETHER = 16, 512, 32
 ORDER_TERMS, ORDER_AXES = 256, 6
 #: Scores are rounded to so many decimals, so that equal texts tie whatever the order of addition was.
 DECIMALS, SLACK = 8, 1e-7
-WORDS_KEPT = 400_000
+WORDS_KEPT = 100_000
 #: Queries whose rare postings are looked up before they are scored.
 QUERIES_AT_ONCE = 128
 _WORD = re.compile(r"[^\W_]+")
@@ -77,14 +77,15 @@ def _alike(found: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
     """An order of documents in which those that hold the same common terms stand together: by the sides on which they
     lie of the main directions of those terms, and along the first of them."""
     terms = np.concatenate([own[0] for own in found])
-    docs = np.repeat(np.arange(len(found)), [len(own[0]) for own in found])
-    names, place, held = np.unique(terms, return_inverse=True, return_counts=True)
-    common = np.argsort(-held, kind="stable")[:ORDER_TERMS]
-    column = np.full(len(names), -1)
-    column[common] = np.arange(len(common))
-    own = column[place] >= 0
+    docs = np.repeat(np.arange(len(found), dtype=np.int32), [len(own[0]) for own in found])
+    order = np.argsort(terms).astype(np.int32)
+    starts = np.flatnonzero(np.r_[True, np.diff(terms[order]) != 0, True]) if len(terms) else np.zeros(1, np.int64)
+    del terms
+    common = np.argsort(-np.diff(starts), kind="stable")[:ORDER_TERMS].tolist()
     holds = np.zeros((len(found), len(common)), np.float32)
-    holds[docs[own], column[place[own]]] = 1
+    for column, term in enumerate(common):
+        holds[docs[order[starts[term] : starts[term + 1]]], column] = 1
+    del docs, order
     holds -= holds.mean(0)
     _, axes = np.linalg.eigh(holds.T @ holds)
     along = holds @ axes[:, ::-1][:, :ORDER_AXES]
@@ -159,12 +160,15 @@ class Shard:
         self.docs = np.frombuffer(row["docs"], np.int32)
         counts = np.frombuffer(row["counts"], np.int32)
         norms = K1 * (1 - B + B * np.frombuffer(row["lengths"], np.int32) / max(mean_length, 1e-9))
-        self.impacts = counts * (K1 + 1) / (counts + norms[self.docs])
-        blocks = self.docs // self.block
+        self.impacts = norms[self.docs]
+        self.impacts += counts
+        np.divide(counts * (K1 + 1), self.impacts, out=self.impacts)
+        blocks = self.docs // np.int32(self.block)
         new = np.r_[True, blocks[1:] != blocks[:-1]] if len(blocks) else np.zeros(0, bool)
         new[starts[:-1]] = True
         self.entry_starts = np.r_[np.flatnonzero(new), len(blocks)]
         self.entry_blocks = blocks[self.entry_starts[:-1]]
+        del new
         self.entry_most = np.maximum.reduceat(self.impacts, self.entry_starts[:-1]) if len(blocks) else np.zeros(0)
         self.term_entries = np.searchsorted(self.entry_starts, starts)
         self.starts = starts
