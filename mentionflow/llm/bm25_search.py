@@ -192,12 +192,12 @@ class Shard:
         here = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
         return at[here], weights[here]
 
-    def best(self, queries: list[tuple[int, np.ndarray, np.ndarray]], floors: np.ndarray, top: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Query id, ids and scores of the `top` documents, best first, that reach a query's floor.
+    def best(self, queries: list[tuple[int, int, np.ndarray, np.ndarray]], floors: np.ndarray, top: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Query number, ids and scores of the `top` documents, best first, that reach a query's floor.
 
-        Queries are given as id, terms and weights. Those that open the same blocks are scored together.
+        Queries are given as number, id, terms and weights. Those that open the same blocks are scored together.
         """
-        found = [self._here(terms, weights) for _, terms, weights in queries]
+        found = [self._here(terms, weights) for _, _, terms, weights in queries]
         table = np.zeros((len(queries), len(self.common_most)))
         rare, bounds = [], np.zeros((len(queries), self.blocks))
         for row, (at, weights) in enumerate(found):
@@ -219,11 +219,11 @@ class Shard:
             for block in np.flatnonzero(opened[rows].any(0)).tolist():
                 scores[:, block * self.block : (block + 1) * self.block] = table[rows] @ self.common_impacts[block]
             for own, row in zip(scores, rows.tolist()):
-                yield self._rank(queries[row][0], own, opened[row], *rare[row], floors[row], top)
+                yield queries[row][0], *self._rank(queries[row][1], own, opened[row], *rare[row], floors[row], top)
 
     def _rank(
         self, query_id: int, scores: np.ndarray, opened: np.ndarray, entries: np.ndarray, weights: np.ndarray, floor: float, top: int
-    ) -> tuple[int, np.ndarray, np.ndarray]:
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Add the postings of the rare terms in open blocks to what the common terms give, and pick the best."""
         if not opened.all():
             own = opened[self.entry_blocks[entries]]
@@ -240,7 +240,7 @@ class Shard:
             ranked = ranked[scores[ranked] >= cut - SLACK]
         rounded = np.round(scores[ranked], DECIMALS)
         best = np.lexsort((self.ids[ranked], -rounded))[:top]
-        return query_id, self.ids[ranked[best]], rounded[best]
+        return self.ids[ranked[best]], rounded[best]
 
 
 _ANSWERS = "query_id long, doc_id long, score double, opened long, asked long"
@@ -249,13 +249,17 @@ _ANSWERS = "query_id long, doc_id long, score double, opened long, asked long"
 def _answers(block: tuple[np.ndarray, ...], mean_length: float, top: int, block_size: int, keys: np.ndarray | None = None):
     """Answer one block of queries: rows of query, term and weight in order of query and term, and each query's floor.
 
-    With `keys`, the shards' keys, every query is answered by one shard only.
+    A task keeps the best of its shards so far, which raises the floors for the next ones, and returns them once. With
+    `keys`, the shards' keys, every query is answered by one shard only.
     """
     queries, terms, weights, floors = block
     cuts = np.flatnonzero(np.r_[True, queries[1:] != queries[:-1], True]).tolist()
     asked = [(int(queries[low]), terms[low:high], weights[low:high]) for low, high in zip(cuts, cuts[1:])]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reached = floors.copy()
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        opened = looked = 0
         for batch in batches:
             for row in range(batch.num_rows):
                 shard = Shard({name: batch.column(at)[row].as_py() for at, name in enumerate(batch.schema.names)}, mean_length, block_size)
@@ -264,20 +268,27 @@ def _answers(block: tuple[np.ndarray, ...], mean_length: float, top: int, block_
                     mine = mine[keys[mine % len(keys)] == shard.key]
                 for first in range(0, len(mine), QUERIES_AT_ONCE):
                     part = mine[first : first + QUERIES_AT_ONCE]
-                    before = shard.opened, shard.asked
-                    answers = list(shard.best([asked[at] for at in part.tolist()], floors[part], top))
-                    sizes = [len(ids) for _, ids, _ in answers]
-                    count = sum(sizes)
-                    blocks = [np.zeros(count, np.int64), np.zeros(count, np.int64)]
-                    for column, now, then in zip(blocks, (shard.opened, shard.asked), before):
-                        column[:1] = now - then  # for the share of opened blocks, summed over rows
-                    columns = [
-                        np.repeat([query for query, _, _ in answers], sizes).astype(np.int64),
-                        np.concatenate([ids for _, ids, _ in answers]),
-                        np.concatenate([scores for _, _, scores in answers]),
-                        *blocks,
-                    ]
-                    yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["query_id", "doc_id", "score", "opened", "asked"])
+                    for at, ids, scores in shard.best([(int(at), *asked[at]) for at in part.tolist()], reached[part], top):
+                        if at in best:
+                            ids, scores = np.r_[best[at][0], ids], np.r_[best[at][1], scores]
+                            order = np.lexsort((ids, -scores))[:top]
+                            ids, scores = ids[order], scores[order]
+                        best[at] = ids, scores
+                        if len(ids) == top:
+                            reached[at] = max(reached[at], scores[-1])
+                opened, looked = opened + shard.opened, looked + shard.asked
+                del shard
+        if best:
+            sizes = [len(ids) for ids, _ in best.values()]
+            blocks = np.zeros((2, sum(sizes)), np.int64)
+            blocks[:, :1] = [[opened], [looked]]  # for the share of opened blocks, summed over rows
+            columns = [
+                np.repeat([asked[at][0] for at in best], sizes).astype(np.int64),
+                np.concatenate([ids for ids, _ in best.values()]),
+                np.concatenate([scores for _, scores in best.values()]),
+                *blocks,
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["query_id", "doc_id", "score", "opened", "asked"])
 
     return work
 
@@ -324,6 +335,8 @@ def shard_answers(documents: DataFrame, queries: DataFrame, top: int = TOP, shar
     idf = F.log1p((F.lit(files) - F.col("held") + 0.5) / (F.col("held") + 0.5))
     weighted = asked.join(frequencies, "term").select("query_id", "term", (F.col("times") * idf).alias("weight"))
     weighted, _ = staged(weighted, "queries")
+    # a task takes several shards where there are more shards than cores, so that answers grow with the tasks
+    index = index.coalesce(2 * spark.sparkContext.defaultParallelism)
     keys, mean = np.array(sorted(row["key"] for row in index.select("key").distinct().collect()), np.int64), words / max(files, 1)  # one number a shard
     blocks = max(1, -(-weighted.count() // QUERY_ROWS))
     found = spark.createDataFrame([], _ANSWERS)
