@@ -36,7 +36,7 @@ from mentionflow.session import staged
 K1, B = 1.2, 0.75
 TOP = 10
 QUERY_STEP = 50
-SHARD = 16384
+SHARD = 16384  # at most 65536: documents are numbered by 16 bits
 BLOCK = 512
 #: Query rows (one per query and term) that are broadcast at a time: some 15 MB.
 QUERY_ROWS = 600_000
@@ -49,7 +49,7 @@ ORDER_TERMS, ORDER_AXES = 256, 6
 DECIMALS, SLACK = 8, 1e-7
 WORDS_KEPT = 100_000
 #: Queries whose rare postings are looked up before they are scored.
-QUERIES_AT_ONCE = 128
+QUERIES_AT_ONCE = 64
 _WORD = re.compile(r"[^\W_]+")
 _SHARD_COLUMNS = "key long, ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
 _known: dict[str, int] = {}
@@ -109,8 +109,8 @@ def _shards(batches: Iterator[pa.RecordBatch], size: int = SHARD) -> Iterator[pa
             np.array([own[2] for own in found], np.int32),
             terms[new],
             np.r_[new, len(terms)].astype(np.int32),
-            docs[order],
-            counts,
+            docs[order].astype(np.uint16),
+            counts if len(counts) and counts.max() >= 1 << 16 else counts.astype(np.uint16),
         )
         names = [column.split()[0] for column in _SHARD_COLUMNS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array([min(ids)]), *(pa.array([part.tobytes()], pa.binary()) for part in parts)], names)
@@ -145,8 +145,9 @@ def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The numbers of some ranges, one range after the other."""
     sizes = ends - starts
-    jumps = np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes)
-    return jumps + np.arange(len(jumps))
+    jumps = np.repeat((starts - np.r_[0, np.cumsum(sizes)[:-1]]).astype(np.int32), sizes)
+    jumps += np.arange(len(jumps), dtype=np.int32)
+    return jumps
 
 
 class Shard:
@@ -157,19 +158,20 @@ class Shard:
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.terms = np.frombuffer(row["terms"], np.int64)
         starts = np.frombuffer(row["starts"], np.int32).astype(np.int64)
-        self.docs = np.frombuffer(row["docs"], np.int32)
-        counts = np.frombuffer(row["counts"], np.int32)
+        self.docs = np.frombuffer(row["docs"], np.uint16)
+        counts = np.frombuffer(row["counts"], np.uint16 if len(row["counts"]) == len(row["docs"]) else np.int32)
         norms = K1 * (1 - B + B * np.frombuffer(row["lengths"], np.int32) / max(mean_length, 1e-9))
         self.impacts = norms[self.docs]
         self.impacts += counts
         np.divide(counts * (K1 + 1), self.impacts, out=self.impacts)
-        blocks = self.docs // np.int32(self.block)
+        blocks = self.docs // np.uint16(self.block)
         new = np.r_[True, blocks[1:] != blocks[:-1]] if len(blocks) else np.zeros(0, bool)
         new[starts[:-1]] = True
-        self.entry_starts = np.r_[np.flatnonzero(new), len(blocks)]
+        self.entry_starts = np.r_[np.flatnonzero(new), len(blocks)].astype(np.int32)
         self.entry_blocks = blocks[self.entry_starts[:-1]]
         del new
-        self.entry_most = np.maximum.reduceat(self.impacts, self.entry_starts[:-1]) if len(blocks) else np.zeros(0)
+        most = np.maximum.reduceat(self.impacts, self.entry_starts[:-1]) if len(blocks) else np.zeros(0)
+        self.entry_most = np.nextafter(most.astype(np.float32), np.float32(np.inf))  # rounded up, so it stays a bound
         self.term_entries = np.searchsorted(self.entry_starts, starts)
         self.starts = starts
         self.blocks = -(-len(self.ids) // self.block)
