@@ -42,6 +42,11 @@ def sentiment_summary(posts: DataFrame) -> DataFrame:
         F.avg(F.col("sentiment_score").cast("decimal(25,16)")).alias("avg_score"),
         F.max("scraped_at").alias("last_scraped"),
     )
+    return summary_columns(counts)
+
+
+def summary_columns(counts: DataFrame) -> DataFrame:
+    """Counts per keyword and source in the columns and order of the summary."""
     share = F.round(F.col("positive").cast("decimal(20,0)") / F.nullif(F.col("total"), F.lit(0)) * 100, 1)
     return counts.select(
         "keyword", "source", "total", "positive", "neutral", "negative",

@@ -37,7 +37,8 @@ from mentionflow.plans.run import BUILDERS, RunReport, health_path, read_health,
 from mentionflow.session import new_path, path_exists, spread_scan, staged
 from mentionflow.sinks.fanout import Sinks
 from mentionflow.sinks.jsonl import read_jsonl, write_jsonl
-from mentionflow.sinks.table import fresh_rows, insert_posts, read_posts, write_scores
+from mentionflow.sinks.summary import add_scores, count_inserted, read_summary
+from mentionflow.sinks.table import fresh_rows, insert_posts, read_posts, to_stored, write_scores
 from mentionflow.sources import platforms
 from mentionflow.sources.landed import stream_landed
 from mentionflow.sources.posts import (
@@ -53,6 +54,7 @@ from mentionflow.sources.posts import (
     web_posts,
 )
 from mentionflow.sources.rules import Rule, pages_by_rule
+from mentionflow.streaming.first import first_across_batches, rocksdb_state, unscored_after
 from mentionflow.streaming.ingest import drop_seen, start_ingest, unscored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -680,6 +682,76 @@ def stream_bounded_dedup(spark, sf_dir):
     return spark.read.schema(once.schema).parquet(f"{work}/out").drop("seen_at")
 
 
+def _finished(stream) -> None:
+    """Wait for a stream over what is there; one that does not end is an error, not an endless wait."""
+    if not stream.awaitTermination(600):
+        stream.stop()
+        raise TimeoutError("the stream did not end")
+
+
+@query("""SELECT 'x' AS source, CAST(event_id AS VARCHAR) AS post_id, event_type AS keyword,
+CASE WHEN event_id % 2 = 0 THEN 1 ELSE 3 END AS copy FROM events""")
+def stream_first_wins(spark, sf_dir):
+    """Copies within a batch and over a restart: even events land twice, then the stream is started again and all land
+    once more. The first copy of each passes."""
+    events = ad.table(spark, sf_dir, "events").withColumn("copy", F.lit(1))
+    landing, work = new_path(spark, "landing"), new_path(spark, "stream")
+    even = events.filter("event_id % 2 = 0")
+    parts = [even.unionAll(even.withColumn("copy", F.lit(2))), events.withColumn("copy", F.lit(3))]
+    for number, part in enumerate(parts):
+        part.repartition(2).write.parquet(f"{landing}/{number}")
+        stream = stream_landed(spark, f"{landing}/*", events.schema, files_per_trigger=8)
+        items = stream.select(*ad.social_columns(), F.col("event_type").alias("keyword"), "copy")
+        posts = social_record(items, extra=["copy"]).select("source", "post_id", "keyword", "copy")
+        with rocksdb_state(spark):
+            writer = first_across_batches(posts, ["copy"], 86_400_000).writeStream.format("parquet").option("checkpointLocation", f"{work}/checkpoint")
+            _finished(writer.trigger(availableNow=True).start(f"{work}/out"))
+    return spark.read.schema("source string, post_id string, keyword string, copy int").parquet(f"{work}/out")
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS id, event_type AS keyword FROM events WHERE event_id % 3 <> 0""")
+def stream_unscored(spark, sf_dir):
+    """Events as posts, every third scored five minutes later and some of the others too late; rows of a later century
+    move both watermarks on, and the stream is started once more, which must not repeat anything."""
+    events = ad.table(spark, sf_dir, "events")
+    landing, work = new_path(spark, "landing"), new_path(spark, "stream")
+    posts = events.select(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("keyword"), from_utc_wall_time(F.col("ts")).alias("scraped_at"))
+    wait = F.when(F.col("event_id") % 3 == 0, F.expr("INTERVAL 5 MINUTES")).otherwise(F.expr("INTERVAL 5 HOURS"))
+    scores = events.filter("event_id % 3 <> 1").select(
+        F.col("event_id").cast("string").alias("id"), F.lit("neutral").alias("sentiment_label"), (from_utc_wall_time(F.col("ts")) + wait).alias("analyzed_at")
+    )
+    posts.write.parquet(f"{landing}/posts/0")
+    scores.write.parquet(f"{landing}/scores/0")
+    for number in range(3):
+        sides = [stream_landed(spark, f"{landing}/{name}/*", frame.schema) for name, frame in (("posts", posts), ("scores", scores))]
+        writer = unscored_after(*sides, "10 minutes").writeStream.format("parquet").option("checkpointLocation", f"{work}/checkpoint")
+        _finished(writer.trigger(availableNow=True).start(f"{work}/out"))
+        late = F.lit(f"{2100 + number}-01-01 00:00:00").cast("timestamp")
+        posts.limit(1).select(F.lit("later").alias("id"), "keyword", late.alias("scraped_at")).write.mode("append").parquet(f"{landing}/posts/{number + 1}")
+        scores.limit(1).select(F.lit("later").alias("id"), "sentiment_label", late.alias("analyzed_at")).write.mode("append").parquet(f"{landing}/scores/{number + 1}")
+    return spark.read.schema(posts.schema).parquet(f"{work}/out").select("id", "keyword")
+
+
+@query(f"WITH {ad.SQL_SCORED} {_SUMMARY_SQL}".replace("/ 10.0", "/ CAST(10 AS DOUBLE)"))
+def summary_kept_up_to_date(spark, sf_dir):
+    """Posts and scores in several batches: one score batch comes before its posts, one scores all posts wrongly, some
+    with no label at all, and the right scores come last. The summary is added up from the differences."""
+    path = new_path(spark, "table")
+    batch, _ = staged(_once(_arrived(spark, sf_dir)), "incoming")
+    right = _score_rows(spark, sf_dir, "timestamp").withColumn("even", F.crc32("id") % 2 == 0)
+    label = F.when(F.crc32("id") % 3 == 0, F.lit("negative")).when(F.crc32("id") % 3 == 1, F.lit("mixed"))
+    wrong = right.withColumns({"sentiment_label": label, "sentiment_score": F.lit(0.125).cast("decimal(5,4)"), "analyzed_at": F.lit("2024-05-01 00:00:00").cast("timestamp")})
+    add_scores(right.filter("even"), path, "early")
+    for number, part in enumerate((F.col("lang") == "en", F.col("lang") != "en")):
+        rows = batch.filter(part)
+        count_inserted(to_stored(rows), path, str(number))
+        insert_posts(rows, path, str(number))
+        add_scores(wrong, path, f"wrong-{number}")
+    add_scores(right.filter("NOT even"), path, "right")
+    summary = _summary_row(read_summary(spark, path))
+    return summary.withColumn("last_scraped", utc_wall_time(F.col("last_scraped")))
+
+
 @query(f"""WITH {ad.SQL_FIRST} SELECT source, post_id, keyword FROM first_match
 WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def pending_poll(spark, sf_dir):
