@@ -1,7 +1,9 @@
 """Approximate nearest neighbours by shifted space-filling curves.
 
-Every vector is projected to a few dimensions, shifted, and given its place on a Hilbert curve, once per ordering. Spark
-range-partitions the rows by (ordering, key), which fixes a rank per ordering without a global sort in one task. Ranks
+Equal vectors are one node, which stands for the smallest ids among them; that is exact, as they are equally far from
+everything. Every node is projected to a few dimensions, shifted, and given its place on a Hilbert curve, once per
+ordering. A projection is scaled by its quantiles, read off a sample of `SAMPLE` nodes: a tight group gets as much of the
+curve's side as it has members, and a vector far away no more than its share. Spark range-partitions the rows by (ordering, key), which fixes a rank per ordering without a global sort in one task. Ranks
 are cut into blocks; a query goes to the blocks that its window of neighbouring ranks meets, and there the original
 vectors are compared exactly. The best of all blocks and orderings are merged and ranked. A block has `BLOCK` rows
 however many share a key, so repeated vectors never gather in one task.
@@ -35,6 +37,8 @@ BITS = 10
 WINDOW_SHARE = 0.025
 LEAST_WINDOW = 256
 BLOCK = 2048
+#: Nodes the quantiles are read off, and how many quantiles; every node is indexed.
+SAMPLE, QUANTILES = 20_000, 512
 NEAREST = 10
 QUERY_STEP = 100
 
@@ -79,22 +83,33 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _keyed(usable: DataFrame, width: int, spread: float) -> DataFrame:
-    """One row per vector and ordering: ordering, key, row, id, vector."""
+def _flat(vectors: np.ndarray, projection: np.ndarray) -> np.ndarray:
+    """Projected vectors; products that overflow count as the largest numbers."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        return np.nan_to_num(vectors @ projection)
+
+
+def _quantiles(sample: np.ndarray) -> list[np.ndarray]:
+    """For each ordering the quantiles of its projected dimensions, as columns."""
+    return [np.quantile(_flat(sample, projection), np.linspace(0, 1, QUANTILES), axis=0) for projection, _ in _projections(sample.shape[1])]
+
+
+def _keyed(nodes: DataFrame, width: int, quantiles: list[np.ndarray]) -> DataFrame:
+    """One row per node and ordering: ordering, key, node, whether it is asked for, vector."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        projections = _projections(width)
+        projections, shares = _projections(width), np.linspace(0, 1, QUANTILES)
         top = (1 << BITS) - 1
         for batch in batches:
             vectors = _matrix(batch.column(2), width)
             for at, (projection, shift) in enumerate(projections):
-                flat = np.clip(vectors @ projection / spread, -1, 1)  # four deviations either way fill half the curve's side
-                cells = ((flat + 1) / 4 + shift / 2) * top
-                keys = hilbert_keys(cells.astype(np.int64), BITS)
+                flat = _flat(vectors, projection)
+                flat = np.column_stack([np.interp(own, edges, shares) for own, edges in zip(flat.T, quantiles[at].T)])
+                keys = hilbert_keys(((flat + shift) / 2 * top).astype(np.int64), BITS)  # half of the curve's side, shifted
                 columns = [pa.array(np.full(len(keys), at, np.int32)), pa.array(keys), *batch.columns]
-                yield pa.RecordBatch.from_arrays(columns, ["ordering", "key", "row", "vec_id", "vector"])
+                yield pa.RecordBatch.from_arrays(columns, ["ordering", "key", "node", "asked", "vector"])
 
-    return usable.mapInArrow(work, "ordering int, key long, row long, vec_id long, vector array<double>")
+    return nodes.mapInArrow(work, "ordering int, key long, node long, asked boolean, vector array<double>")
 
 
 def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,26 +123,44 @@ def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             positions[own] = seen.get(at, 0) + np.arange(len(own))
             seen[at] = seen.get(at, 0) + len(own)
         columns = [batch.column(0), *batch.columns[2:], pa.array(np.full(len(orderings), part, np.int32)), pa.array(positions)]
-        yield pa.RecordBatch.from_arrays(columns, ["ordering", "row", "vec_id", "vector", "part", "position"])
+        yield pa.RecordBatch.from_arrays(columns, ["ordering", "node", "asked", "vector", "part", "position"])
+
+
+def _distances(vectors: np.ndarray, one: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.sqrt(((vectors - one) ** 2).sum(1))
 
 
 def _nearest_in_block(most: int, window: int):
     def work(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(candidates):
-            vectors = np.vstack(candidates["vector"].to_numpy())
-            ranks, rows, ids = (candidates[name].to_numpy() for name in ("rank", "row", "vec_id"))
+            order = np.argsort(candidates["rank"].to_numpy())
+            vectors = np.vstack(candidates["vector"].to_numpy())[order]
+            ranks, nodes = candidates["rank"].to_numpy()[order], candidates["node"].to_numpy()[order]
             for query in queries.itertuples(index=False):
-                far = np.sqrt(((vectors - np.asarray(query.q_vector)) ** 2).sum(1))
-                far[(np.abs(ranks - query.q_rank) > window) | (rows == query.q_row)] = np.inf
-                for at in np.lexsort((rows, ids, far))[:most].tolist():
-                    if far[at] != np.inf:
-                        out.append((query.q_row, query.q_vec_id, rows[at], ids[at], far[at]))
-        return pd.DataFrame(out, columns=["query_row", "query_id", "row", "vec_id", "score"])
+                near = slice(np.searchsorted(ranks, query.q_rank - window), np.searchsorted(ranks, query.q_rank + window, "right"))
+                far = _distances(vectors[near], np.asarray(query.q_vector))
+                own = nodes[near]
+                best = np.arange(len(far))
+                if len(far) > most:
+                    best = np.flatnonzero(far <= np.partition(far, most - 1)[most - 1])  # ties with the last one stay
+                out += [(query.q_node, own[at], far[at]) for at in best.tolist()]
+        return pd.DataFrame(out, columns=["query_node", "node", "score"])
 
     return work
 
 
+def nodes_of(usable: DataFrame, step: int, nearest: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct vectors with their number (`node`, `asked`, `vector`), and up to `nearest + 1` of the members of each, by id."""
+    distinct = usable.groupBy("vector").agg(F.min("row").alias("node"), F.max(F.col("vec_id") % step == 0).alias("asked"))
+    distinct, _ = staged(distinct.select("node", "asked", "vector"), "vector-nodes")
+    by_id = Window.partitionBy("vector").orderBy("vec_id", "row")
+    first = usable.withColumn("place", F.row_number().over(by_id)).filter(F.col("place") <= nearest + 1)
+    members, _ = staged(first.join(distinct.select("vector", "node"), "vector").select("node", "vec_id", "row"), "vector-members")
+    return distinct, members
+
+
 def search(vectors: DataFrame, step: int = QUERY_STEP, nearest: int = NEAREST, window_share: float = WINDOW_SHARE) -> DataFrame:
     """`query_id`, `rank`, `vec_id`, `score` for every query whose id is divisible by `step`.
 
@@ -138,21 +171,22 @@ def search(vectors: DataFrame, step: int = QUERY_STEP, nearest: int = NEAREST, w
     usable = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"))
     usable = usable.filter(F.col("vec_id").isNotNull() & (F.size("vector") > 0) & finite & F.exists("vector", lambda x: x != 0))
     usable, _ = staged(usable.select(F.monotonically_increasing_id().alias("row"), "vec_id", "vector"), "vectors")
-    square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    sizes = usable.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"), F.avg(square).alias("square"))
-    most = sizes.orderBy(F.desc("n"), "width").first()
-    empty = "query_id long, rank int, vec_id long, score double"
+    most = usable.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").first()
     if most is None:
-        return spark.createDataFrame([], empty)
-    width, count = most["width"], most["n"]
-    spread = 4 * math.sqrt(most["square"] / width)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    width = most["width"]
+    usable = usable.filter(F.size("vector") == width)
+    nodes, members = nodes_of(usable, step, nearest)
+    count = nodes.count()
     window = max(LEAST_WINDOW, math.ceil(count * window_share))
+    sample = nodes.select(F.xxhash64("node").alias("draw"), "vector").orderBy("draw").limit(SAMPLE).toArrow()  # bounded; a top-k
+    quantiles = _quantiles(_matrix(sample.column("vector").combine_chunks(), width))
 
-    keyed = _keyed(usable.filter(F.size("vector") == width), width, spread)
+    keyed = _keyed(nodes, width, quantiles)
     parts = max(ORDERINGS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = keyed.repartitionByRange(parts, "ordering", "key", "row").sortWithinPartitions("ordering", "key", "row")
+    ranged = keyed.repartitionByRange(parts, "ordering", "key", "node").sortWithinPartitions("ordering", "key", "node")
     placed, _ = staged(
-        ranged.mapInArrow(_positions, "ordering int, row long, vec_id long, vector array<double>, part int, position long"), "curve"
+        ranged.mapInArrow(_positions, "ordering int, node long, asked boolean, vector array<double>, part int, position long"), "curve"
     )
     counts = placed.groupBy("ordering", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("ordering").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -162,17 +196,23 @@ def search(vectors: DataFrame, step: int = QUERY_STEP, nearest: int = NEAREST, w
     last = F.floor((F.lit(count) - 1) / BLOCK)
     first_block = F.greatest(F.lit(0), F.floor((F.col("rank") - window) / BLOCK))
     last_block = F.least(last, F.floor((F.col("rank") + window) / BLOCK))
-    queries = ranked.filter(F.col("vec_id") % step == 0).withColumn("block", F.explode(F.sequence(first_block, last_block)))
+    queries = ranked.filter("asked").withColumn("block", F.explode(F.sequence(first_block, last_block)))
     queries = queries.select(*[F.col(name).alias(f"q_{name}") for name in queries.columns])
     blocks = ranked.withColumn("block", F.floor(F.col("rank") / BLOCK))
     found = (
         queries.groupBy("q_ordering", "q_block")
         .cogroup(blocks.groupBy("ordering", "block"))
-        .applyInPandas(_nearest_in_block(nearest, window), "query_row long, query_id long, row long, vec_id long, score double")
+        .applyInPandas(_nearest_in_block(nearest + 1, window), "query_node long, node long, score double")
     )
-    once = found.groupBy("query_row", "query_id", "row", "vec_id").agg(F.min("score").alias("score"))
+    once = found.groupBy("query_node", "node").agg(F.min("score").alias("score"))
+    # nodes as near as the last of the nearest stay, so that their members are told apart by id
+    near = Window.partitionBy("query_node").orderBy("score")
+    near_nodes, _ = staged(once.withColumn("place", F.rank().over(near)).filter(F.col("place") <= nearest + 1).drop("place"), "near-nodes")
+    asked = usable.filter(F.col("vec_id") % step == 0).join(nodes.filter("asked").select("vector", F.col("node").alias("query_node")), "vector")
+    asked = asked.select("query_node", F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"))
+    answers = near_nodes.join(members, "node").join(asked, "query_node").filter("row <> query_row")
     order = Window.partitionBy("query_row").orderBy("score", "vec_id", "row")
-    best = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest)
+    best = answers.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest)
     return best.select("query_id", "rank", "vec_id", "score")
 
 

@@ -108,6 +108,37 @@ def test_curve_search(spark):
     assert [vec_id for _, vec_id, far in sorted(by[0]) if far == 0] == [5000, 5001, 5001]
 
 
+def skewed(kind):
+    """12,000 vectors: plain, a third in one tight group, a third exact copies of one, or one vector very far away."""
+    draw = np.random.default_rng(6)
+    vectors = draw.normal(size=(12_000, 64))
+    if kind == "tight":
+        vectors[::3] = draw.normal(size=64) + 1e-4 * draw.normal(size=(4000, 64))
+    elif kind == "copies":
+        vectors[::3] = vectors[0]
+    elif kind == "far":
+        vectors[7] *= 1e5
+        vectors[8] = 1e200
+    return vectors
+
+
+@pytest.mark.parametrize("kind", ["plain", "tight", "copies", "far"])
+def test_curve_search_on_skewed_vectors(spark, kind):
+    vectors = skewed(kind)
+    frame = spark.createDataFrame(((at, row.tolist()) for at, row in enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {}
+    for row in curve_search.search(frame, 200).collect():
+        got.setdefault(row.query_id, {})[row.vec_id] = row.score
+    hits = {True: [], False: []}
+    for at in range(0, 12_000, 200):
+        far = np.sqrt(((vectors - vectors[at]) ** 2).sum(1))
+        far[at] = np.inf
+        best = np.lexsort((np.arange(len(far)), far))[:10]
+        assert len(got[at]) == 10 and all(np.isclose(score, far[one]) for one, score in got[at].items())
+        hits[at % 3 == 0].append(len(set(best.tolist()) & set(got[at])))
+    assert all(np.mean(found) >= 9 for found in hits.values()), {key: np.mean(found) for key, found in hits.items()}
+
+
 def test_curve_search_of_few_and_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
     assert [(row["rank"], row.vec_id) for row in sorted(curve_search.search(few).collect(), key=lambda row: row["rank"])] == [(1, 2), (2, 1)]
