@@ -23,8 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from mentionflow.llm.text import whole
+from mentionflow.session import staged
 
 ROLES = ("assistant", "system", "user")
 CHUNK = 64
@@ -96,14 +98,35 @@ class Model:
         return states[::-1]
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Rows with `rank`, their place in their conversation from zero, without gathering a conversation.
+
+    Rows are range-partitioned in order and counted per partition and conversation; a rank is the place within the
+    partition plus the counts of the partitions before.
+    """
+    order = ("conv_id", "turn", "text", "role")
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("row", F.monotonically_increasing_id())
+    # the lower 33 bits of that id count the rows of a partition, the others number the partitions
+    numbered, _ = staged(dealt.withColumn("part", F.shiftright("row", 33)), "ordered-turns")
+    counts = numbered.groupBy("conv_id", "part").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts, _ = staged(counts.select("conv_id", "part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "turn-counts")
+    rank = F.col("row") - F.col("first") + F.col("before")
+    return numbered.join(counts, ["conv_id", "part"]).select(*order, rank.alias("rank"))
+
+
 def _chunks(transcripts: DataFrame, context: int) -> DataFrame:
-    """Rows of `conv_id`, `chunk` and its turns in order; a turn near a border is also context of the next chunk."""
+    """Rows of `conv_id`, `chunk` and its turns in order; a turn near a border is also context of the next chunk.
+
+    Chunks are cut by a turn's rank, so they have `CHUNK` turns however these are numbered.
+    """
     rows = transcripts.select(F.col("conv_id").cast("long"), F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), "role", whole(F.col("text")).alias("text"))
-    rows = rows.filter(F.col("conv_id").isNotNull()).distinct()
-    low, high = F.floor((F.col("turn") - context) / CHUNK), F.floor((F.col("turn") + context) / CHUNK)
+    rows, _ = staged(rows.filter(F.col("conv_id").isNotNull()).distinct(), "turns")
+    rows = _ranked(rows)
+    low, high = F.floor((F.col("rank") - context) / CHUNK), F.floor((F.col("rank") + context) / CHUNK)
     rows = rows.withColumn("chunk", F.explode(F.sequence(low, high)))
-    rows = rows.withColumn("own", F.floor(F.col("turn") / CHUNK) == F.col("chunk"))
-    grouped = rows.groupBy("conv_id", "chunk").agg(F.sort_array(F.collect_list(F.struct("turn", "text", "role", "own"))).alias("turns"))
+    rows = rows.withColumn("own", F.floor(F.col("rank") / CHUNK) == F.col("chunk"))
+    grouped = rows.groupBy("conv_id", "chunk").agg(F.sort_array(F.collect_list(F.struct("rank", "turn", "text", "role", "own"))).alias("turns"))
     return grouped.filter(F.exists("turns", lambda turn: turn["own"]))
 
 

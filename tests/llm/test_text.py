@@ -141,6 +141,22 @@ def test_chat_chunks_equal_one_pass(spark):
     assert rows[0].rendered == "<|user|>\nline 0\nmore?\n<|end|>"
 
 
+def test_chat_result_does_not_depend_on_how_turns_are_numbered(spark):
+    said = [(conv, at, ("user", "assistant")[at % 2], ("Human: " if at % 2 == 0 else "Assistant: ") * (at < 50) + f"line {at}") for conv in range(30) for at in range(100)]
+    spread = [(conv, at * 1000 - 7, role, text) for conv, at, role, text in said]
+    alike = [(conv, None if at < 40 else 5, role, f"{at:03d} {text}") for conv, at, role, text in said[:300]]
+    schema = "conv_id long, turn long, role string, text string"
+    model = chat_format.learn(spark.createDataFrame(said, schema))
+    roles = []
+    for rows in (said, spread):
+        found = chat_format.parse_transcripts(spark.createDataFrame(rows, schema), model).collect()
+        roles.append([(row.conv_id, row.role, row.n_lines) for row in sorted(found, key=lambda row: (row.conv_id, row.turn, row.part))])
+    assert roles[0] == roles[1]
+    chunks = chat_format._chunks(spark.createDataFrame(alike, schema), chat_format.CONTEXT)
+    sizes = chunks.select(F.size("turns").alias("n")).agg(F.max("n"), F.count("*")).first()
+    assert sizes[0] <= chat_format.CHUNK + 2 * chat_format.CONTEXT and sizes[1] == 6
+
+
 def test_chat_awkward_rows(spark):
     rows = [(1, 0, "user", None), (1, 1, "user", ""), (1, 2, None, "User: hi"), (1, 2, None, "User: hi"), (None, 1, "user", "x"), (2, None, "user", "Assistant: a\n\nUser: b"), (3, 5, "odd", "y" * 100_000)]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("chunk", F.lit(7))
