@@ -167,13 +167,13 @@ WITH files AS (
 ), weighed AS (
     SELECT p.*, idf, sum(idf) OVER (PARTITION BY template) AS whole FROM postings p JOIN idf USING (word)
 ), ranked AS (
-    SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY idf DESC, word) <= {RARE_WORDS} AS rare
-    FROM own JOIN idf USING (word)
+    SELECT doc_id, template, word, row_number() OVER (PARTITION BY doc_id, template ORDER BY idf DESC, word) <= {RARE_WORDS} AS rare
+    FROM own JOIN (SELECT DISTINCT template, word FROM postings) USING (word) JOIN idf USING (word)
 ), aligned AS (
     SELECT doc_id, template, place - rel AS start, label, base, keys,
            count(*) FILTER (WHERE rare) AS rare, count(*) FILTER (WHERE needed) AS stand,
            least(sum(idf) / whole, 1) AS share
-    FROM places JOIN ranked USING (doc_id, word) JOIN weighed USING (word)
+    FROM places JOIN ranked USING (doc_id, word) JOIN weighed USING (template, word)
     GROUP BY doc_id, template, start, label, base, keys, whole
 ), sure AS (
     SELECT * FROM aligned WHERE stand = keys AND (base OR rare > 0 AND share >= {MIN_SHARE})

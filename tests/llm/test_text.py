@@ -4,7 +4,9 @@ import hashlib
 import re
 from collections import defaultdict
 
+import duckdb
 import pytest
+from compare import difference
 from helpers import AWKWARD, LOWER, documents
 from pyspark.sql import functions as F
 
@@ -120,6 +122,18 @@ def test_licenses_of_several_notices_in_one_file(spark):
     assert rows[0].labels == "apache-2.0,mit,mpl-2.0" and rows[1].labels == "apache-2.0" and rows[31].labels == "mpl-2.0" and rows[60].labels == ""
 
 
+def test_license_sql_states_the_rule_of_the_code(spark, tmp_path):
+    notices = [notice for _, notice, _ in license_scan.TEMPLATES]
+    texts = [" ".join(notices[at:] + notices[:at]) for at in range(len(notices))] + notices + [notice[: len(notice) * 3 // 4] for notice in notices] + ["no notice"] * 9
+    documents(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/written")
+    for part in (tmp_path / "written").glob("*.parquet"):
+        part.rename(tmp_path / part.name)
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/*.parquet')")
+    assert connection.execute("SELECT count(*) FROM documents").fetchone()[0] == len(texts)
+    assert difference(spark, connection, lambda s, _: license_scan.scan_licenses(s.read.parquet(f"{tmp_path}/*.parquet")), license_scan.OP7_SQL, None) is None
+
+
 def test_chat_roles_on_held_out_conversations(spark):
     spoken = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     transcripts = chat_format.as_transcripts(spoken)
