@@ -60,7 +60,8 @@ def _scored(posts: DataFrame, scores: DataFrame) -> DataFrame:
 def _append(parts: DataFrame, path: str, batch: str) -> None:
     folder = f"{summary_path(path)}/{batch}"
     if not path_exists(parts.sparkSession, f"{folder}/_SUCCESS"):
-        _added(parts).select(*_GROUP, *_SUMS).coalesce(1).write.mode("overwrite").parquet(folder)  # as many rows as groups
+        # as many rows as groups, which may be as many as posts: files sized by adaptive execution, one where few are changed
+        _added(parts).select(*_GROUP, *_SUMS).hint("rebalance").write.mode("overwrite").parquet(folder)
 
 
 def count_inserted(rows: DataFrame, path: str, batch: str) -> None:

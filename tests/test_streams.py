@@ -11,6 +11,7 @@ from test_sinks import posts
 
 from mentionflow.operators.reports import sentiment_summary
 from mentionflow.schema import SCORE
+from mentionflow.session import child_names
 from mentionflow.sinks import summary
 from mentionflow.sinks.table import insert_posts, read_posts, to_stored
 from mentionflow.sources.landed import stream_landed
@@ -56,3 +57,20 @@ def test_summary_after_any_order_of_inserts_and_scores(spark, tmp_path, order):
         got = summary.read_summary(spark, path).collect()
         plain = lambda found: [tuple(round(float(value), 8) if isinstance(value, Decimal) else value for value in row) for row in found]
         assert plain(got) == plain(want) and len(got) == 2
+
+
+def test_differences_are_written_by_more_than_one_task(spark, tmp_path):
+    """There may be as many groups as posts: one scrape time each."""
+    path = str(tmp_path / "table")
+    rows = posts(spark, [("a", str(n), "k", 0, n) for n in range(400)])
+    summary.add_scores(to_stored(rows).select("id", F.lit("neutral").alias("sentiment_label"), F.lit(0.5).alias("sentiment_score"), F.current_timestamp().alias("analyzed_at")), path, "all")
+    small = {f"spark.sql.adaptive.{name}": "1b" for name in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        summary.count_inserted(to_stored(rows), path, "one")
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert sum(name.startswith("part-") for name in child_names(spark, f"{summary.summary_path(path)}/insert-one")) > 1
+    assert [row.total for row in summary.read_summary(spark, path).collect()] == [400]
