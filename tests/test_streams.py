@@ -15,6 +15,7 @@ from mentionflow.session import child_names
 from mentionflow.sinks import summary
 from mentionflow.sinks.table import insert_posts, read_posts, to_stored
 from mentionflow.sources.landed import stream_landed
+from mentionflow.streaming import first
 from mentionflow.streaming.first import first_across_batches, rocksdb_state
 
 ROW = "source string, post_id string, copy int"
@@ -74,3 +75,19 @@ def test_differences_are_written_by_more_than_one_task(spark, tmp_path):
             spark.conf.unset(name)
     assert sum(name.startswith("part-") for name in child_names(spark, f"{summary.summary_path(path)}/insert-one")) > 1
     assert [row.total for row in summary.read_summary(spark, path).collect()] == [400]
+
+
+def test_keys_share_steps_and_odd_rows_keep_their_place(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(first, "KEY_GROUPS", 3)
+    schema = "source string, post_id string, copy int, note string"
+    rows = [("s", str(n), copy, "x\n'\"") for n in range(300) for copy in (2, 1)]
+    rows += [("s", None, None, "late"), ("s", None, 5, "early"), ("s", "None", 6, None), (None, "s", 1, "a"), ("", "s", 1, "b")]
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/in")
+    stream = stream_landed(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema)
+    with rocksdb_state(spark):
+        writer = first_across_batches(stream, ["copy"], 86_400_000).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/check")
+        query = writer.trigger(availableNow=True).start(f"{tmp_path}/out")
+        assert query.awaitTermination(120)
+    assert sum(part["numRowsTotal"] for part in query.recentProgress[0]["stateOperators"]) <= 2 * 3  # the value and its end of life
+    got = {tuple(row) for row in spark.read.schema(schema).parquet(f"{tmp_path}/out").collect()}
+    assert got == {("s", str(n), 1, "x\n'\"") for n in range(300)} | {tuple(row) for row in rows[-4:]}
