@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mentionflow.functions import metadata
@@ -15,12 +15,29 @@ from mentionflow.session import local_rows
 PENDING_COLUMNS = ("id", "source", "source_type", "keyword", "post_id", "text", "lang", "scraped_at")
 
 
-def pending_analysis(posts: DataFrame, limit: int | None = None) -> DataFrame:
-    """Posts without a sentiment, oldest first. With a limit this is a top-k, without it a range-partitioned sort."""
-    rows = posts.filter(F.col("sentiment_label").isNull()).select(*PENDING_COLUMNS).orderBy("scraped_at", "id")
+def pending_analysis(posts: DataFrame, limit: int | None = None, scores: DataFrame | None = None) -> DataFrame:
+    """Posts without a sentiment, oldest first. With a limit this is a top-k, without it a range-partitioned sort.
+
+    Stored posts that carry no sentiment themselves may come with the `scores` kept apart, and are judged as
+    `apply_scores` would: the texts then move once, in the sort, and are in no join, however many scores there are.
+    """
+    rows = posts.filter(F.col("sentiment_label").isNull()).select(*PENDING_COLUMNS)
+    if scores is not None:
+        rows = _without_score(rows, scores)
+    rows = rows.orderBy("scraped_at", "id")
     return rows if limit is None else rows.limit(limit)
 
 
+def _without_score(rows: DataFrame, scores: DataFrame) -> DataFrame:
+    """Rows whose last score, if any, has no label. A mark without a text meets each scored row at its place in the order."""
+    done = last_scores(scores).filter("_new.sentiment_label IS NOT NULL").select("id")
+    marks = rows.select("id", "scraped_at").join(done, "id", "left_semi").withColumn("_done", F.lit(True))
+    both = rows.withColumn("_done", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    place = Window.partitionBy("scraped_at", "id")
+    judged = both.repartitionByRange("scraped_at", "id").withColumn("_done", F.max("_done").over(place))
+    return judged.filter("NOT _done").drop("_done")
+
+
 def latest_unanalyzed(posts: DataFrame, limit: int) -> DataFrame:
     newest = [F.col("scraped_at").desc(), F.col("id")]
     return posts.filter(F.col("sentiment_label").isNull()).select(*PENDING_COLUMNS).orderBy(*newest).limit(limit)

@@ -38,7 +38,7 @@ from mentionflow.session import new_path, path_exists, spread_scan, staged
 from mentionflow.sinks.fanout import Sinks
 from mentionflow.sinks.jsonl import read_jsonl, write_jsonl
 from mentionflow.sinks.summary import add_scores, count_inserted, read_summary
-from mentionflow.sinks.table import fresh_rows, insert_posts, read_posts, to_stored, write_scores
+from mentionflow.sinks.table import fresh_rows, insert_posts, read_posts, read_scores, read_table, to_stored, write_scores
 from mentionflow.sources import platforms
 from mentionflow.sources.landed import stream_landed
 from mentionflow.sources.posts import (
@@ -87,16 +87,19 @@ def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _tables: dict[tuple[str, str], str] = {}
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored_path(spark: SparkSession, sf_dir: str) -> str:
     """Matched documents inserted into a table and scored; written once per session and shared by its queries."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _tables or not path_exists(spark, _tables[key]):
         path = new_path(spark, "table")
-        batch, _ = staged(ad.document_posts(_matched(spark, sf_dir)), "incoming")
-        insert_posts(batch, path)
+        insert_posts(ad.document_posts(_matched(spark, sf_dir)), path)  # read once, as the table is new
         write_scores(_score_rows(spark, sf_dir, "timestamp"), path)
         _tables[key] = path
-    return read_posts(spark, _tables[key])
+    return _tables[key]
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_posts(spark, _stored_path(spark, sf_dir))
 
 
 def _utc(rows: DataFrame) -> DataFrame:
@@ -132,7 +135,8 @@ def sentiment_summary_report(spark, sf_dir):
 @query(f"""WITH {ad.SQL_SCORED} SELECT {ad.SQL_ID} AS id, source, source_type, keyword, post_id, text, lang, scraped_at
 FROM posts WHERE sentiment_label IS NULL ORDER BY scraped_at, id""", name="pending_analysis")
 def pending_analysis_queue(spark, sf_dir):
-    return _utc(pending_analysis(_stored(spark, sf_dir)))
+    path = _stored_path(spark, sf_dir)
+    return _utc(pending_analysis(read_table(spark, path), scores=read_scores(spark, path)))
 
 
 @query(f"""WITH {ad.SQL_SCORED} SELECT {ad.SQL_ID} AS id, source, source_type, keyword, post_id, text, lang, scraped_at

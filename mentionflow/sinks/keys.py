@@ -141,11 +141,14 @@ def stored_among(posts: DataFrame, path: str) -> DataFrame | None:
     """
     spark = posts.sparkSession
     folder, _, buckets = _generation(spark, path)
+    recent = _recent_files(spark, path)
+    if not recent and not any(name.startswith("bucket=") for name in child_names(spark, folder)):
+        return None  # nothing is stored yet, so the batch is not read for its keys
     hashed = posts.select(_hash().alias("key"))
     hashes = [row["key"] for row in hashed.distinct().limit(LOOKUP_KEYS + 1).collect()]
     few = len(hashes) <= LOOKUP_KEYS
     wanted = {key % buckets for key in hashes} if few else {row["bucket"] for row in hashed.select(F.pmod("key", F.lit(buckets)).alias("bucket")).distinct().collect()}
-    keys = _read(spark, [f"{folder}/bucket={bucket}" for bucket in sorted(wanted)] + _recent_files(spark, path))
+    keys = _read(spark, [f"{folder}/bucket={bucket}" for bucket in sorted(wanted)] + recent)
     if keys is None or not hashes:
         return None
     return (keys.filter(_any_of(hashes)) if few else keys.join(hashed, "key", "left_semi")).select(*POST_KEY)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from mentionflow.operators.reports import last_scores, summary_columns
 from mentionflow.schema import SCORE
 from mentionflow.session import child_names, delete_path, path_exists, staged
-from mentionflow.sinks.table import read_table, scores_path, write_scores
+from mentionflow.sinks.table import read_scores, read_table, write_scores
 
 _GROUP = ("keyword", "source", "scraped_at")
 _SUMS = ("total", "positive", "neutral", "negative", "scores", "score_sum")
@@ -47,11 +47,6 @@ def _added(parts: DataFrame) -> DataFrame:
     return parts.groupBy(*_GROUP).agg(*sums).filter(changed)
 
 
-def _stored_scores(spark: SparkSession, path: str) -> DataFrame:
-    scored = scores_path(path)
-    return spark.read.schema(SCORE).parquet(scored) if path_exists(spark, scored) else spark.createDataFrame([], SCORE)
-
-
 def _scored(posts: DataFrame, scores: DataFrame) -> DataFrame:
     """The grouping columns of posts with their last score; posts without one are left out."""
     return posts.select("id", *_GROUP).join(last_scores(scores), "id").select(*_GROUP, "_new.*")
@@ -66,7 +61,7 @@ def _append(parts: DataFrame, path: str, batch: str) -> None:
 
 def count_inserted(rows: DataFrame, path: str, batch: str) -> None:
     """Add table rows that are about to be inserted; some of them may have been scored before they came."""
-    _append(contributions(_scored(rows, _stored_scores(rows.sparkSession, path)), 1), path, f"insert-{batch}")
+    _append(contributions(_scored(rows, read_scores(rows.sparkSession, path)), 1), path, f"insert-{batch}")
 
 
 def add_scores(scores: DataFrame, path: str, batch: str) -> None:
@@ -75,7 +70,7 @@ def add_scores(scores: DataFrame, path: str, batch: str) -> None:
     own, held = staged(scores.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in SCORE]), "scores")
     try:
         ids = own.select("id").distinct()
-        stored = _stored_scores(spark, path).join(ids, "id", "left_semi")
+        stored = read_scores(spark, path).join(ids, "id", "left_semi")
         posts = read_table(spark, path).select("id", *_GROUP).join(ids, "id", "left_semi")
         now = contributions(_scored(posts, stored.unionByName(own)), 1)
         _append(now.unionByName(contributions(_scored(posts, stored), -1)), path, f"scores-{batch}")

@@ -57,6 +57,12 @@ def scores_path(path: str) -> str:
     return f"{path.rstrip('/')}-scores"
 
 
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """All scores of the posts; empty when none was written."""
+    scored = scores_path(path)
+    return spark.read.schema(SCORE).parquet(scored) if path_exists(spark, scored) else spark.createDataFrame([], SCORE)
+
+
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
     """The posts with the last score of each. Tests on source, date and keyword reach the table's scan."""
     posts, scored = read_table(spark, path), scores_path(path)
@@ -74,7 +80,7 @@ def create_table(spark: SparkSession, path: str) -> None:
 def insert_posts(posts: DataFrame, path: str, batch: str | None = None) -> None:
     """Append the posts whose key the table does not have.
 
-    `posts` must be free of duplicates and cheap to read twice (a staged table). A batch replayed after a crash finds
+    `posts` must be free of duplicates and cheap to read twice (a staged table); a new table takes them in one reading. A batch replayed after a crash finds
     the rows that came through already there and adds the others; a replay after the end adds nothing.
     """
     name = batch or uuid.uuid4().hex

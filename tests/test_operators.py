@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mentionflow.operators import dedup, match, reports, validity
+from mentionflow.operators.reports import apply_scores, pending_analysis
 from mentionflow.operators.extract import source_health
 from mentionflow.operators.filters import keep_where
 from mentionflow.schema import CARD_PAGE, PAGE, POST, STORED_POST
@@ -326,3 +327,31 @@ def test_star_rating(spark):
     posts = stored(spark, [("a", "1", "k", "positive", None, 1), ("a", "2", "k", None, None, 1)])
     assert reports.with_star_rating(posts, 4).count() == 2 and reports.with_star_rating(posts, 5).count() == 0
     assert [tuple(row) for row in reports.rating_against_label(posts).collect()] == [(4, "positive", 1)]
+
+
+def test_pending_texts_are_in_no_join(spark):
+    """With the scores kept apart the queue is that of `apply_scores`, and the texts move in the sort alone."""
+    when = F.lit("2026-01-01 00:00:00").cast("timestamp")
+    posts = spark.range(40).select(
+        F.concat(F.lit("p"), F.col("id") % 37).alias("id"), F.lit("a").alias("source"), F.lit("web").alias("source_type"), F.lit("k").alias("keyword"),
+        F.col("id").cast("string").alias("post_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("en").alias("lang"),
+        F.when(F.col("id") % 5 > 0, when + F.make_dt_interval(F.col("id").cast("int") % 7)).alias("scraped_at"),
+        F.lit(None).cast("string").alias("sentiment_label"), F.lit(None).cast("decimal(5,4)").alias("sentiment_score"), F.lit(None).cast("timestamp").alias("analyzed_at"),
+    )
+    scores = spark.range(60).select(
+        F.concat(F.lit("p"), F.col("id") % 20).alias("id"), F.when(F.col("id") % 4 > 0, "neutral").alias("sentiment_label"),
+        F.lit(0.5).cast("decimal(5,4)").alias("sentiment_score"), (when + F.make_dt_interval(F.col("id").cast("int"))).alias("analyzed_at"),
+    )
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        queue = pending_analysis(posts, scores=scores)
+        got, want = queue.collect(), pending_analysis(apply_scores(posts, scores)).collect()
+        assert [(row.scraped_at, row.id) for row in got] == [(row.scraped_at, row.id) for row in want]
+        assert sorted(map(repr, got)) == sorted(map(repr, want)) and 20 < len(got) < 40
+        plan = queue._jdf.queryExecution().sparkPlan().toString(), queue._jdf.queryExecution().executedPlan().toString()
+        assert "LeftOuter" not in plan[0]
+        final = plan[1].split("== Initial Plan ==")[0]
+        assert final.count("rangepartitioning(") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
