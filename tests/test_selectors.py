@@ -5,6 +5,7 @@ import time
 
 import pytest
 
+from mentionflow.operators import selectors
 from mentionflow.operators.selectors import PageReader, parse_selector
 
 READ = PageReader().items
@@ -96,3 +97,31 @@ def test_given_pages_against_a_pattern(spark):
         want = re.findall(r'<a href="([^"]*)">([^<]*)</a>', page["html"])
         got = READ(page["html"], "nav li a", ["::attr(href)", "::text"])
         assert [(item[0][0], item[1][0]) for item in got] == want
+
+
+def test_repeated_start_tags_are_read_once(monkeypatch):
+    """Plain tags come from what is kept by their text, with the values that the standard parser gives for them."""
+    parts = ['<div class="ad x">', "</div>", '<a href="/1" HREF="/2">', "</a>", "<li/>", "<br>", '<a href="&amp;1">', "<a b>", "text", "<title>a<a href=x>", "</title>", '<A Class="ad"\n>', "</DIV>", '<a href="un']
+    pages = ["".join(parts[(at * step + step) % len(parts)] for at in range(9)) for step in range(1, 200)]
+    rules = [(".ad", ["a::attr(href)", "::text", " ::text"]), ("a", ["::attr(href)", "::text"])]
+
+    def read():
+        reader = selectors.PageReader()
+        found = [reader.items(page, item, fields) for page in pages for item, fields in rules]
+        return reader, found
+
+    calls = []
+    ends = selectors._Rule.ends
+    monkeypatch.setattr(selectors._Rule, "ends", lambda self, tag, attrs: calls.append(tag) or ends(self, tag, attrs))
+    reader, kept = read()
+    repeated = len(calls)
+    never = selectors.re.compile(r"(?!)")
+    monkeypatch.setattr(selectors, "_PLAIN_START", never)
+    monkeypatch.setattr(selectors, "_PLAIN_END", never)
+    _, plain = read()
+    assert kept == plain and any(kept)
+    assert repeated < (len(calls) - repeated) / 2
+    monkeypatch.undo()
+    monkeypatch.setattr(selectors, "KEPT_TAGS", 2)
+    reader, few = read()
+    assert few == kept and all(len(rule.kept) <= 2 for rule in reader._rules.values())
