@@ -34,7 +34,7 @@ from mentionflow.operators.validity import with_problems
 from mentionflow.plans import adapters as ad
 from mentionflow.plans.config import RunConfig, resolve_config
 from mentionflow.plans.run import BUILDERS, RunReport, health_path, read_health, run
-from mentionflow.session import new_path, path_exists, spread_scan, staged
+from mentionflow.session import landed_files, new_path, path_exists, spread_scan, staged
 from mentionflow.sinks.fanout import Sinks
 from mentionflow.sinks.jsonl import read_jsonl, write_jsonl
 from mentionflow.sinks.summary import add_scores, count_inserted, read_summary
@@ -653,7 +653,9 @@ def stream_ingest_dedup(spark, sf_dir):
     into the same output; table and lines hold each event once."""
     events = ad.table(spark, sf_dir, "events")
     landing, table, work = (new_path(spark, name) for name in ("landing", "table", "stream"))
-    events.union(events).repartition(4).write.parquet(landing)
+    twice = events.union(events)
+    files = landed_files(twice, 4)
+    twice.repartition(files).write.parquet(landing)
 
     def to_posts(batch: DataFrame) -> DataFrame:
         items = batch.select(*ad.social_columns(), F.col("event_type").alias("keyword"))
@@ -662,7 +664,7 @@ def stream_ingest_dedup(spark, sf_dir):
     sinks = Sinks(f"{work}/jsonl", table)
     half = [F.col("event_id") % 2 == 0, F.lit(True)]
     for number, part in enumerate(half):
-        stream = stream_landed(spark, landing, events.schema, files_per_trigger=2).filter(part)
+        stream = stream_landed(spark, landing, events.schema, files_per_trigger=files // 2).filter(part)
         start_ingest(stream, to_posts, sinks, f"{work}/checkpoint{number}").awaitTermination()
     columns = ["source", "post_id", "keyword", "url"]
     stored, lines = read_posts(spark, table), read_jsonl(spark, sinks.output_dir)
@@ -676,8 +678,10 @@ def stream_bounded_dedup(spark, sf_dir):
     """Events landed twice through the stateful dedup, with a delay longer than the table spans so none is late."""
     events = ad.table(spark, sf_dir, "events")
     landing, work = new_path(spark, "landing"), new_path(spark, "stream")
-    events.union(events).repartition(4).write.parquet(landing)
-    stream = stream_landed(spark, landing, events.schema, files_per_trigger=2)
+    twice = events.union(events)
+    files = landed_files(twice, 4)
+    twice.repartition(files).write.parquet(landing)
+    stream = stream_landed(spark, landing, events.schema, files_per_trigger=files // 2)
     items = stream.select(*ad.social_columns(), F.col("event_type").alias("keyword"), "ts")
     posts = social_record(items, extra=[from_utc_wall_time(F.col("ts")).alias("seen_at")])
     once = drop_seen(posts.select("source", "post_id", "keyword", "seen_at"), "400 days", "seen_at")
@@ -703,8 +707,9 @@ def stream_first_wins(spark, sf_dir):
     even = events.filter("event_id % 2 = 0")
     parts = [even.unionAll(even.withColumn("copy", F.lit(2))), events.withColumn("copy", F.lit(3))]
     for number, part in enumerate(parts):
-        part.repartition(2).write.parquet(f"{landing}/{number}")
-        stream = stream_landed(spark, f"{landing}/*", events.schema, files_per_trigger=8)
+        files = landed_files(part, 2)
+        part.repartition(files).write.parquet(f"{landing}/{number}")
+        stream = stream_landed(spark, f"{landing}/*", events.schema, files_per_trigger=4 * files)
         items = stream.select(*ad.social_columns(), F.col("event_type").alias("keyword"), "copy")
         posts = social_record(items, extra=["copy"]).select("source", "post_id", "keyword", "copy")
         with rocksdb_state(spark):
@@ -773,14 +778,15 @@ def stream_fanout_equals_batch(spark, sf_dir):
     """Documents through the stream to both sinks; both hold what the batch match gives."""
     documents = ad.table(spark, sf_dir, "documents")
     landing, work = new_path(spark, "landing"), new_path(spark, "stream")
-    documents.repartition(3).write.parquet(f"{landing}/documents.parquet")
+    files = landed_files(documents, 3)
+    documents.repartition(files).write.parquet(f"{landing}/documents.parquet")
     table, out = f"{work}/table", f"{work}/jsonl"
 
     def to_posts(batch: DataFrame) -> DataFrame:
         found = match_all(ad.document_items(batch), "text", ad.KEYWORDS)
         return ad.document_posts(found, extra=arrival(F.col("keyword_ord"), F.lit(0)))
 
-    stream = stream_landed(spark, f"{landing}/documents.parquet", documents.schema, files_per_trigger=2)
+    stream = stream_landed(spark, f"{landing}/documents.parquet", documents.schema, files_per_trigger=files // 3 * 2)
     start_ingest(stream, to_posts, Sinks(out, table), f"{work}/checkpoint").awaitTermination()
     columns = ["source", "post_id", "keyword", "text"]
     from_table = read_posts(spark, table).select(F.lit("table").alias("sink"), *columns)

@@ -11,7 +11,7 @@ from test_sinks import posts
 
 from mentionflow.operators.reports import sentiment_summary
 from mentionflow.schema import SCORE
-from mentionflow.session import child_names
+from mentionflow.session import child_names, landed_files
 from mentionflow.sinks import summary
 from mentionflow.sinks.table import insert_posts, read_posts, to_stored
 from mentionflow.sources.landed import stream_landed
@@ -91,3 +91,12 @@ def test_keys_share_steps_and_odd_rows_keep_their_place(spark, tmp_path, monkeyp
     assert sum(part["numRowsTotal"] for part in query.recentProgress[0]["stateOperators"]) <= 2 * 3  # the value and its end of life
     got = {tuple(row) for row in spark.read.schema(schema).parquet(f"{tmp_path}/out").collect()}
     assert got == {("s", str(n), 1, "x\n'\"") for n in range(300)} | {tuple(row) for row in rows[-4:]}
+
+
+def test_landed_files_follow_the_size(spark, tmp_path, monkeypatch):
+    spark.range(20_000).write.parquet(f"{tmp_path}/in")
+    rows = spark.read.schema("id long").parquet(f"{tmp_path}/in")
+    assert landed_files(rows, 3) == 3
+    monkeypatch.setattr("mentionflow.session.LANDED_BYTES", 10_000)
+    few, many = landed_files(rows, 3), landed_files(rows.union(rows), 3)
+    assert few > 3 and few % 3 == 0 and 1.5 * few < many < 2.5 * few
