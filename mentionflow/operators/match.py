@@ -3,7 +3,8 @@
 A short list is spelled out, one compiled `contains` per keyword. A long list becomes an Aho-Corasick automaton, built
 once per task, that finds all keywords in one pass over a text: the cost follows the text and its hits, not the length
 of the list. Only the lower-cased text goes to Python, in Arrow batches, and only list positions come back; both ways
-give the same rows.
+give the same rows. The search is declared nondeterministic, which it is not: Spark would otherwise copy it into a filter
+below the unfolding, and every task would run it twice, in two Python workers with an automaton each.
 """
 
 from __future__ import annotations
@@ -73,7 +74,7 @@ def automaton_search(forms: Sequence[Sequence[str]], first: bool = False) -> Cal
                 offsets.append(len(found))
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found, pa.int32()))
 
-    return search
+    return search.asNondeterministic()
 
 
 def _searched(posts: DataFrame, keywords: Sequence[str], tagged: bool, first: bool) -> DataFrame:

@@ -95,6 +95,12 @@ def test_long_lists_give_the_rows_of_spelled_out_tests(spark, monkeypatch, tagge
     assert by_automaton == rows() and len(by_automaton[2]) == len(texts)
 
 
+def test_long_lists_are_searched_once(titles):
+    for found in (match.match_all, match.match_first, match.with_first_keyword):
+        plan = found(titles, "title", long_lists())._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1, plan
+
+
 def test_matching_neither_joins_nor_shuffles(titles):
     plan = plan_of(match.match_all(titles, "title", ["news", "policy"]))
     assert "Join" not in plan and "Exchange" not in plan
