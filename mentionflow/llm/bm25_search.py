@@ -8,9 +8,10 @@ over all shards, so every shard scores by global statistics.
 The stated query set is worked off in blocks of bounded size, broadcast one after the other. Each query is first answered
 by one shard alone; its k-th score there is a floor under the k-th score of all. Then every shard answers all queries: a
 block of documents is opened where the maxima of the query's terms in it add up to the floor, and only the postings of
-open blocks are read. (Queries are whole documents, of hundreds of terms; a pivot within a block would have to look at
-as many maxima as there are postings, so the blocks are the step of the pivot.) Open blocks are scored in full, so the
-answers merged over the shards are those of scoring every document.
+open blocks are read. What the common terms give is added up in single precision first; with it more blocks close, and
+the documents that may be among the best are then scored exactly. (Queries are whole documents, of hundreds of terms; a pivot within a block would have to look at
+as many maxima as there are postings, so the blocks are the step of the pivot.) A block or document is passed over only
+where it falls short by more than rounding, so the answers merged over the shards are those of scoring every document.
 
 Results: words are runs of letters and digits, lower-cased; a query is a whole text, a term counts as often as it stands
 in it; the query's own id is no candidate; documents that share no term are not returned; null and empty texts find
@@ -43,32 +44,22 @@ QUERY_ROWS = 600_000
 #: Terms held by one document in so many are kept as rows over the documents of a block, at most `MOST_COMMON` of them;
 #: queries look them up together, `TOGETHER` at a time. This changes speed alone, as does the number of terms and of
 #: directions that documents are put in order by.
-COMMON_SHARE, MOST_COMMON, TOGETHER = 16, 512, 32
+COMMON_SHARE, MOST_COMMON, TOGETHER = 16, 512, 64
 ORDER_TERMS, ORDER_AXES = 256, 6
 #: Scores are rounded to so many decimals, so that equal texts tie whatever the order of addition was.
 DECIMALS, SLACK = 8, 1e-7
-WORDS_KEPT = 100_000
 #: Queries whose rare postings are looked up before they are scored.
 QUERIES_AT_ONCE = 64
 _WORD = re.compile(r"[^\W_]+")
 _SHARD_COLUMNS = "key long, ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
-_known: dict[str, int] = {}
-
-
-def _term(word: str) -> int:
-    found = _known.get(word)
-    if found is None:
-        if len(_known) >= WORDS_KEPT:
-            _known.clear()
-        found = _known[word] = xxhash.xxh64_intdigest(word.encode()) - (1 << 63)
-    return found
 
 
 def _terms(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
     """Term hashes of a text in ascending order, how often each stands in it, and its number of words."""
     words = _WORD.findall((text or "").lower())
     counts = Counter(words)
-    terms = np.fromiter(map(_term, counts), np.int64, len(counts))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts))
+    terms = (hashes ^ np.uint64(1 << 63)).view(np.int64)  # in the same order, signed
     order = np.argsort(terms)
     return terms[order], np.fromiter(counts.values(), np.int32, len(counts))[order], len(words)
 
@@ -145,8 +136,8 @@ def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The numbers of some ranges, one range after the other."""
     sizes = ends - starts
-    jumps = np.repeat((starts - np.r_[0, np.cumsum(sizes)[:-1]]).astype(np.int32), sizes)
-    jumps += np.arange(len(jumps), dtype=np.int32)
+    jumps = np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+    jumps += np.arange(len(jumps))
     return jumps
 
 
@@ -160,8 +151,8 @@ class Shard:
         starts = np.frombuffer(row["starts"], np.int32).astype(np.int64)
         self.docs = np.frombuffer(row["docs"], np.uint16)
         counts = np.frombuffer(row["counts"], np.uint16 if len(row["counts"]) == len(row["docs"]) else np.int32)
-        norms = K1 * (1 - B + B * np.frombuffer(row["lengths"], np.int32) / max(mean_length, 1e-9))
-        self.impacts = norms[self.docs]
+        self.norms = K1 * (1 - B + B * np.frombuffer(row["lengths"], np.int32) / max(mean_length, 1e-9))
+        self.impacts = self.norms[self.docs]
         self.impacts += counts
         np.divide(counts * (K1 + 1), self.impacts, out=self.impacts)
         blocks = self.docs // np.uint16(self.block)
@@ -181,12 +172,18 @@ class Shard:
         common = common[np.argsort(-held[common], kind="stable")][:MOST_COMMON]
         self.common = np.full(len(self.terms), -1)
         self.common[common] = np.arange(len(common))
-        # per block, so that the impacts of one block lie together
-        self.common_impacts = np.zeros((self.blocks, len(common), self.block))
+        # per block, so that the impacts of one block lie together; rounded, with the counts they follow from beside them
+        self.common_impacts = np.zeros((self.blocks, len(common), self.block), np.float32)
+        self.common_counts = np.zeros(self.common_impacts.shape, counts.dtype)
+        self.common_most = np.zeros((len(common), self.blocks))
         for row, term in enumerate(common.tolist()):
             own = slice(starts[term], starts[term + 1])
-            self.common_impacts[self.docs[own] // self.block, row, self.docs[own] % self.block] = self.impacts[own]
-        self.common_most = self.common_impacts.max(2).T if len(self.ids) else np.zeros((len(common), 0))
+            at = self.docs[own] // self.block, row, self.docs[own] % self.block
+            self.common_impacts[at], self.common_counts[at] = self.impacts[own], counts[own]
+            own = slice(self.term_entries[term], self.term_entries[term + 1])
+            self.common_most[row, self.entry_blocks[own]] = self.entry_most[own]
+        #: How far a sum of rounded products may be from the exact one, as a share of it.
+        self.rounding = (len(common) + 8) * 2.0**-23
 
     def _here(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.terms, terms)
@@ -208,41 +205,70 @@ class Shard:
             at, weights = at[~own], weights[~own]
             low, high = self.term_entries[at], self.term_entries[at + 1]
             entries, entry_weights = _spans(low, high), np.repeat(weights, high - low)
-            rare.append((entries, entry_weights))
-            bounds[row] = np.bincount(self.entry_blocks[entries], entry_weights * self.entry_most[entries], self.blocks)
-        bounds += table @ self.common_most
-        opened = (bounds + SLACK >= floors[:, None]) & (bounds > 0)
+            blocks = self.entry_blocks.take(entries)
+            rare.append((entries, blocks, entry_weights))
+            bounds[row] = np.bincount(blocks, entry_weights * self.entry_most.take(entries), self.blocks)
+        most = bounds + table @ self.common_most
+        opened = (most + SLACK >= floors[:, None]) & (most > 0)
         self.opened += int(opened.sum())
         self.asked += opened.size
+        rounded = table.astype(np.float32)
         order = np.lexsort(opened.T) if self.blocks else np.arange(len(queries))
         for first in range(0, len(order), TOGETHER):
             rows = order[first : first + TOGETHER]
-            scores = np.zeros((len(rows), self.blocks * self.block))
+            scores = np.zeros((len(rows), self.blocks, self.block), np.float32)
             for block in np.flatnonzero(opened[rows].any(0)).tolist():
-                scores[:, block * self.block : (block + 1) * self.block] = table[rows] @ self.common_impacts[block]
+                scores[:, block] = rounded[rows] @ self.common_impacts[block]
             for own, row in zip(scores, rows.tolist()):
-                yield queries[row][0], *self._rank(queries[row][1], own, opened[row], *rare[row], floors[row], top)
+                yield queries[row][0], *self._rank(queries[row][1], own, table[row], opened[row], bounds[row], *rare[row], floors[row], top)
+
+    def _common(self, weights: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """What the common terms give to some documents, exactly."""
+        rows = np.flatnonzero(weights)
+        counts = self.common_counts[docs // self.block, rows[:, None], docs % self.block].astype(np.float64)
+        return weights[rows] @ (counts * (K1 + 1) / (self.norms[docs] + counts))
 
     def _rank(
-        self, query_id: int, scores: np.ndarray, opened: np.ndarray, entries: np.ndarray, weights: np.ndarray, floor: float, top: int
+        self,
+        query_id: int,
+        common: np.ndarray,
+        common_weights: np.ndarray,
+        opened: np.ndarray,
+        bounds: np.ndarray,
+        entries: np.ndarray,
+        blocks: np.ndarray,
+        weights: np.ndarray,
+        floor: float,
+        top: int,
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Add the postings of the rare terms in open blocks to what the common terms give, and pick the best."""
+        """Add the postings of the rare terms in open blocks to what the common terms give, and pick the best.
+
+        The common terms' part comes rounded: with it, blocks are closed whose best document falls short even with the
+        maxima of the rare terms, and documents are picked that may be among the best; their scores are exact.
+        """
+        most = common.max(1, initial=0).astype(np.float64)
+        slack = SLACK + self.rounding * float(most.max(initial=0))
+        opened = opened & (most + bounds + slack >= floor)
+        if not opened.any():
+            return self.ids[:0], np.zeros(0)
         if not opened.all():
-            own = opened[self.entry_blocks[entries]]
+            own = opened.take(blocks)
             entries, weights = entries[own], weights[own]
-            scores[np.repeat(~opened, self.block)] = 0
+            common[~opened] = 0
         first, last = self.entry_starts[entries], self.entry_starts[entries + 1]
         postings = _spans(first, last)
-        scores = scores + np.bincount(self.docs[postings], np.repeat(weights, last - first) * self.impacts[postings], len(scores))
-        scores = scores[: len(self.ids)]
-        ranked = np.flatnonzero(scores >= max(floor - SLACK, 1e-300))
+        rare = np.bincount(self.docs.take(postings), np.repeat(weights, last - first) * self.impacts.take(postings), common.size)
+        scores = (rare + common.ravel())[: len(self.ids)]
+        ranked = np.flatnonzero(scores >= max(floor - slack, 1e-300))
         ranked = ranked[self.ids[ranked] != query_id]
         if len(ranked) > 4 * top:
             cut = np.partition(scores[ranked], len(ranked) - top)[len(ranked) - top]
-            ranked = ranked[scores[ranked] >= cut - SLACK]
-        rounded = np.round(scores[ranked], DECIMALS)
-        best = np.lexsort((self.ids[ranked], -rounded))[:top]
-        return self.ids[ranked[best]], rounded[best]
+            ranked = ranked[scores[ranked] >= cut - 2 * slack]
+        exact = rare[ranked] + self._common(common_weights, ranked)
+        ranked, exact = ranked[exact >= floor - SLACK], exact[exact >= floor - SLACK]
+        exact = np.round(exact, DECIMALS)
+        best = np.lexsort((self.ids[ranked], -exact))[:top]
+        return self.ids[ranked[best]], exact[best]
 
 
 _ANSWERS = "query_id long, doc_id long, score double, opened long, asked long"

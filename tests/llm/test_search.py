@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from helpers import AWKWARD, documents, roots, words
@@ -182,6 +183,23 @@ def test_bm25_equals_scoring_every_document(spark, shard, monkeypatch):
     assert bm25_search.search(docs.limit(0), docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("times", [20_000, 70_000])
+def test_bm25_tells_scores_apart_that_single_precision_does_not(times):
+    """Common terms are kept in single precision and as counts; what is returned has the exact scores, in their order."""
+    held = [times + at * 7 % 40 for at in range(40)]
+    texts = ["much " * n + "other " * (times + 50 - n) for n in held]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(texts)], ["doc_id", "text"])
+    shard = bm25_search.Shard(next(bm25_search._shards(iter([batch]))).to_pylist()[0], times + 50, 8)
+    assert (shard.common >= 0).all() and shard.common_impacts.nbytes + shard.common_counts.nbytes <= 8 * 40 * len(shard.terms)
+    term = bm25_search._terms("much")[0]
+    impacts = np.array([1000.0 * n * 2.2 / (n + 1.2) for n in held])
+    want = np.argsort(-np.round(impacts, 8), kind="stable")[:10]
+    assert len(set(np.round(impacts, 8))) == 40 and len(set(impacts.astype(np.float32))) < 20
+    for floor in (0.0, float(impacts[want[-1]])):
+        [(_, ids, scores)] = shard.best([(0, -1, term, np.array([1000.0]))], np.array([floor]), 10)
+        assert ids.tolist() == want.tolist() and np.allclose(scores, impacts[want], rtol=0, atol=1e-8)
+
+
 def test_bm25_opens_only_blocks_that_reach_the_floor(spark, monkeypatch):
     """Four vocabularies: a query's own blocks are opened, most of the others are not, and the answers are the same."""
     sizes = {"shard_size": 200, "block_size": 8}
