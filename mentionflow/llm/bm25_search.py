@@ -1,17 +1,19 @@
 """Exact top-k search: BM25 over sharded inverted indexes with block-max pruning.
 
 Each task turns its documents into shards of at most `SHARD` documents: term hashes, postings in document order, term
-counts and lengths. Within a shard documents are numbered so that those of like vocabulary stand together, which keeps
-the maxima of a block of `BLOCK` documents close to its members. Document frequencies and the mean length are summed
-over all shards, so every shard scores by global statistics.
+counts and lengths. Within a shard documents are numbered so that those of like vocabulary stand together, and divided
+there into blocks of at most `BLOCK`; so the maxima of a block stay close to its members, and the terms that are common in
+it are those of its own vocabulary. Document frequencies and the mean length are summed over all shards, so every shard
+scores by global statistics.
 
 The stated query set is worked off in blocks of bounded size, broadcast one after the other. Each query is first answered
-by one shard alone; its k-th score there is a floor under the k-th score of all. Then every shard answers all queries: a
-block of documents is opened where the maxima of the query's terms in it add up to the floor, and only the postings of
-open blocks are read. What the common terms give is added up in single precision first; with it more blocks close, and
-the documents that may be among the best are then scored exactly. (Queries are whole documents, of hundreds of terms; a pivot within a block would have to look at
-as many maxima as there are postings, so the blocks are the step of the pivot.) A block or document is passed over only
-where it falls short by more than rounding, so the answers merged over the shards are those of scoring every document.
+by one shard alone, of as many shards as there are tasks; its k-th score there is a floor under the k-th score of all.
+Then every shard answers all queries: a block of documents is opened where the maxima of the query's terms in it add up
+to the floor. What the common terms of open blocks give is added up in single precision, for many queries together; with
+it more blocks close, the postings of the rare terms are added, and the documents that may be among the best are then
+scored exactly. (Queries are whole documents, of hundreds of terms; a pivot within a block would have to look at as many
+maxima as there are postings, so the blocks are the step of the pivot.) A block or document is passed over only where it
+falls short by more than rounding, so the answers merged over the shards are those of scoring every document.
 
 Results: words are runs of letters and digits, lower-cased; a query is a whole text, a term counts as often as it stands
 in it; the query's own id is no candidate; documents that share no term are not returned; null and empty texts find
@@ -38,20 +40,18 @@ K1, B = 1.2, 0.75
 TOP = 10
 QUERY_STEP = 50
 SHARD = 16384  # at most 65536: documents are numbered by 16 bits
-BLOCK = 512
-#: Query rows (one per query and term) that are broadcast at a time: some 15 MB.
-QUERY_ROWS = 600_000
-#: Terms held by one document in so many are kept as rows over the documents of a block, at most `MOST_COMMON` of them;
-#: queries look them up together, `TOGETHER` at a time. This changes speed alone, as does the number of terms and of
-#: directions that documents are put in order by.
-COMMON_SHARE, MOST_COMMON, TOGETHER = 16, 512, 64
-ORDER_TERMS, ORDER_AXES = 256, 6
+BLOCK = 4096
+#: Query rows (one per query and term) that are broadcast at a time: some 35 MB. Every shard is made ready once for them.
+QUERY_ROWS = 2_400_000
+#: Terms held by one document of a block in so many are kept as rows over the documents of the block, at most `MOST_COMMON`
+#: of them; queries look them up together, `TOGETHER` at a time. This changes speed alone, as does the number of terms
+#: that documents are put in order by, of documents that tell the direction, and how far a part must fall into two.
+COMMON_SHARE, MOST_COMMON, TOGETHER = 14, 1024, 128
+ORDER_TERMS, ORDER_SAMPLE, APART = 256, 2048, 0.85
 #: Scores are rounded to so many decimals, so that equal texts tie whatever the order of addition was.
 DECIMALS, SLACK = 8, 1e-7
-#: Queries whose rare postings are looked up before they are scored.
-QUERIES_AT_ONCE = 64
 _WORD = re.compile(r"[^\W_]+")
-_SHARD_COLUMNS = "key long, ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
+_SHARD_COLUMNS = "key long, ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary, cuts binary"
 
 
 def _terms(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
@@ -64,9 +64,28 @@ def _terms(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
     return terms[order], np.fromiter(counts.values(), np.int32, len(counts))[order], len(words)
 
 
-def _alike(found: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
-    """An order of documents in which those that hold the same common terms stand together: by the sides on which they
-    lie of the main directions of those terms, and along the first of them."""
+def _halves(holds: np.ndarray) -> tuple[np.ndarray, int, float]:
+    """An order of rows along their main direction, where they fall into two parts, and the parts' share of the spread."""
+    sample = holds[:: -(-len(holds) // ORDER_SAMPLE)]
+    sample = sample - sample.mean(0)
+    axis = np.linalg.eigh(sample.T @ sample)[1][:, -1] if holds.shape[1] else np.zeros(0, np.float32)
+    along = (holds @ axis).astype(np.float64)
+    order = np.argsort(along, kind="stable")
+    along = along[order] - along.mean()
+    least = max(1, len(along) // 16)
+    sizes = np.arange(least, len(along) - least + 1)
+    between = np.cumsum(along)[sizes - 1] ** 2 / (sizes * (len(along) - sizes)) * len(along)
+    at = int(between.argmax())
+    total = float(along @ along)
+    return order, int(sizes[at]), float(between[at]) / total if total > 0 else 0.0
+
+
+def _alike(found: list[tuple[np.ndarray, np.ndarray, int]], block: int) -> tuple[np.ndarray, list[int]]:
+    """An order of documents in which those that hold the same common terms stand together, and where its blocks begin.
+
+    Documents are divided in two along the main direction of those terms, and the parts again, until they have the size
+    of a block; a part that plainly consists of two is divided further.
+    """
     terms = np.concatenate([own[0] for own in found])
     docs = np.repeat(np.arange(len(found), dtype=np.int32), [len(own[0]) for own in found])
     order = np.argsort(terms).astype(np.int32)
@@ -77,18 +96,28 @@ def _alike(found: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
     for column, term in enumerate(common):
         holds[docs[order[starts[term] : starts[term + 1]]], column] = 1
     del docs, order
-    holds -= holds.mean(0)
-    _, axes = np.linalg.eigh(holds.T @ holds)
-    along = holds @ axes[:, ::-1][:, :ORDER_AXES]
-    return np.lexsort((along[:, 0], *(along[:, at] > 0 for at in range(along.shape[1] - 1, -1, -1)))) if along.shape[1] else np.arange(len(found))
+    left, done, cuts = [np.arange(len(found))], [], [0]
+    while left:
+        part = left.pop()
+        if len(part) > max(1, block // 4):
+            along, cut, apart = _halves(holds[part])
+            if len(part) > block and apart == 0:
+                along, cut = np.arange(len(part)), block
+            if len(part) > block or apart > APART:
+                left += [part[along[cut:]], part[along[:cut]]]
+                continue
+        done.append(part)
+        cuts.append(cuts[-1] + len(part))
+    return np.concatenate(done), cuts
 
 
-def _shards(batches: Iterator[pa.RecordBatch], size: int = SHARD) -> Iterator[pa.RecordBatch]:
+def _shards(batches: Iterator[pa.RecordBatch], size: int = SHARD, block: int = BLOCK) -> Iterator[pa.RecordBatch]:
     ids: list[int] = []
     found: list[tuple[np.ndarray, np.ndarray, int]] = []
 
     def shard() -> pa.RecordBatch:
-        order = _alike(found).tolist()
+        order, cuts = _alike(found, block)
+        order = order.tolist()
         ids[:], found[:] = [ids[at] for at in order], [found[at] for at in order]
         terms = np.concatenate([own[0] for own in found])
         docs = np.repeat(np.arange(len(found), dtype=np.int32), [len(own[0]) for own in found])
@@ -102,6 +131,7 @@ def _shards(batches: Iterator[pa.RecordBatch], size: int = SHARD) -> Iterator[pa
             np.r_[new, len(terms)].astype(np.int32),
             docs[order].astype(np.uint16),
             counts if len(counts) and counts.max() >= 1 << 16 else counts.astype(np.uint16),
+            np.array(cuts, np.int32),
         )
         names = [column.split()[0] for column in _SHARD_COLUMNS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array([min(ids)]), *(pa.array([part.tobytes()], pa.binary()) for part in parts)], names)
@@ -142,176 +172,236 @@ def _spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """One shard with the block maxima of its postings."""
+    """One shard with the block maxima of its postings.
+
+    The postings of a term in a block are an entry. Entries of common terms are kept as rows over the block's documents,
+    the postings of all others in order of term.
+    """
 
     def __init__(self, row: dict, mean_length: float, block: int = BLOCK) -> None:
-        self.key, self.block = row["key"], block
+        self.key = row["key"]
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.terms = np.frombuffer(row["terms"], np.int64)
-        starts = np.frombuffer(row["starts"], np.int32).astype(np.int64)
-        self.docs = np.frombuffer(row["docs"], np.uint16)
+        starts = np.frombuffer(row["starts"], np.int32)
+        docs = np.frombuffer(row["docs"], np.uint16)
         counts = np.frombuffer(row["counts"], np.uint16 if len(row["counts"]) == len(row["docs"]) else np.int32)
         self.norms = K1 * (1 - B + B * np.frombuffer(row["lengths"], np.int32) / max(mean_length, 1e-9))
-        self.impacts = self.norms[self.docs]
-        self.impacts += counts
-        np.divide(counts * (K1 + 1), self.impacts, out=self.impacts)
-        blocks = self.docs // np.uint16(self.block)
+        cuts = np.frombuffer(row["cuts"], np.int32).tolist()
+        self.cuts = np.array([0, *(min(at + block, high) for low, high in zip(cuts, cuts[1:]) for at in range(low, high, block))])
+        sizes = np.diff(self.cuts)
+        self.blocks = len(sizes)
+        impacts = self.norms[docs]
+        impacts += counts
+        np.divide(counts * (K1 + 1), impacts, out=impacts)
+        blocks = np.repeat(np.arange(self.blocks, dtype=np.uint16), sizes)[docs]
         new = np.r_[True, blocks[1:] != blocks[:-1]] if len(blocks) else np.zeros(0, bool)
         new[starts[:-1]] = True
-        self.entry_starts = np.r_[np.flatnonzero(new), len(blocks)].astype(np.int32)
-        self.entry_blocks = blocks[self.entry_starts[:-1]]
-        del new
-        most = np.maximum.reduceat(self.impacts, self.entry_starts[:-1]) if len(blocks) else np.zeros(0)
+        entry_starts = np.r_[np.flatnonzero(new), len(blocks)].astype(np.int32)
+        self.entry_blocks = blocks[entry_starts[:-1]]
+        del new, blocks
+        most = np.maximum.reduceat(impacts, entry_starts[:-1]) if len(docs) else np.zeros(0)
         self.entry_most = np.nextafter(most.astype(np.float32), np.float32(np.inf))  # rounded up, so it stays a bound
-        self.term_entries = np.searchsorted(self.entry_starts, starts)
-        self.starts = starts
-        self.blocks = -(-len(self.ids) // self.block)
+        self.term_entries = np.searchsorted(entry_starts, starts).astype(np.int32)
         self.opened = self.asked = 0
-        held = np.diff(starts)
-        common = np.flatnonzero(held * COMMON_SHARE >= len(self.ids))
-        common = common[np.argsort(-held[common], kind="stable")][:MOST_COMMON]
-        self.common = np.full(len(self.terms), -1)
-        self.common[common] = np.arange(len(common))
-        # per block, so that the impacts of one block lie together; rounded, with the counts they follow from beside them
-        self.common_impacts = np.zeros((self.blocks, len(common), self.block), np.float32)
+        held = np.diff(entry_starts)
+        frequent = np.flatnonzero(held * COMMON_SHARE >= sizes.take(self.entry_blocks))
+        frequent = frequent[np.lexsort((-held[frequent], self.entry_blocks[frequent]))]
+        chosen = [own[:MOST_COMMON] for own in np.split(frequent, np.searchsorted(self.entry_blocks[frequent], np.arange(1, self.blocks)))]
+        self.common = np.full(len(held), -1, np.int32)
+        #: Impacts rounded, with the counts they follow from beside them; block by block, and in each term by term.
+        self.common_impacts = np.zeros(sum(len(own) * size for own, size in zip(chosen, sizes.tolist())), np.float32)
         self.common_counts = np.zeros(self.common_impacts.shape, counts.dtype)
-        self.common_most = np.zeros((len(common), self.blocks))
-        for row, term in enumerate(common.tolist()):
-            own = slice(starts[term], starts[term + 1])
-            at = self.docs[own] // self.block, row, self.docs[own] % self.block
-            self.common_impacts[at], self.common_counts[at] = self.impacts[own], counts[own]
-            own = slice(self.term_entries[term], self.term_entries[term + 1])
-            self.common_most[row, self.entry_blocks[own]] = self.entry_most[own]
-        #: How far a sum of rounded products may be from the exact one, as a share of it.
-        self.rounding = (len(common) + 8) * 2.0**-23
-
-    def _here(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.terms, terms)
-        at[at == len(self.terms)] = 0
-        here = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        return at[here], weights[here]
+        self.rows: list[tuple[slice, slice, np.ndarray, np.ndarray]] = []
+        first = column = 0
+        for own, low, size in zip(chosen, self.cuts.tolist(), sizes.tolist()):
+            self.common[own] = np.arange(column, column + len(own))
+            last = first + len(own) * size
+            values, times = self.common_impacts[first:last], self.common_counts[first:last]
+            postings = _spans(entry_starts[own], entry_starts[own + 1])
+            at = np.repeat(np.arange(len(own)) * size - low, held[own])
+            at += docs.take(postings)
+            values[at], times[at] = impacts.take(postings), counts.take(postings)
+            self.rows.append((slice(low, low + size), slice(column, column + len(own)), values.reshape(len(own), size), times.reshape(len(own), size)))
+            first, column = last, column + len(own)
+        self.columns = column
+        rare = np.flatnonzero(np.repeat(self.common < 0, held))
+        self.docs, self.counts = docs[rare], counts[rare]
+        #: Document and rounded impact side by side, so that both are read at once.
+        self.postings = np.empty((len(rare), 2), np.uint32)
+        self.postings[:, 0] = impacts[rare].astype(np.float32).view(np.uint32)
+        self.postings[:, 1] = self.docs
+        self.rare_entries = np.r_[0, np.cumsum(held * (self.common < 0))].astype(np.int32)
+        self.rare_terms = self.rare_entries[self.term_entries]
+
+    def where(self, terms: np.ndarray) -> np.ndarray:
+        """The numbers of some terms in this shard, -1 for those it does not hold."""
+        if not len(self.terms):
+            return np.full(len(terms), -1)
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        at[self.terms[at] != terms] = -1
+        return at
+
+    def _entries(self, rows: np.ndarray, at: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Entries of the terms of some queries, with query, weight and block."""
+        low = self.term_entries[at]
+        sizes = self.term_entries[at + 1] - low
+        entries = _spans(low, low + sizes)
+        return entries, np.repeat(rows, sizes), np.repeat(weights, sizes), self.entry_blocks.take(entries)
+
+    def likeliest(self, rows: np.ndarray, at: np.ndarray, weights: np.ndarray, queries: int) -> np.ndarray:
+        """The block in which each of some queries may score most."""
+        if not self.blocks:
+            return np.zeros(queries, np.int64)
+        here = np.flatnonzero(at >= 0)
+        entries, rows, weights, blocks = self._entries(rows[here], at[here], weights[here])
+        bounds = np.bincount(rows * self.blocks + blocks, weights * self.entry_most.take(entries), queries * self.blocks)
+        return bounds.reshape(queries, self.blocks).argmax(1)
 
     def best(self, queries: list[tuple[int, int, np.ndarray, np.ndarray]], floors: np.ndarray, top: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Query number, ids and scores of the `top` documents, best first, that reach a query's floor.
 
-        Queries are given as number, id, terms and weights. Those that open the same blocks are scored together.
+        Queries are given as number, id, terms and weights.
+        """
+        numbers, ids, terms, weights = zip(*queries)
+        rows = np.repeat(np.arange(len(queries)), [len(own) for own in terms])
+        for at, ids, scores in self.answer(np.array(ids), rows, self.where(np.concatenate(terms)), np.concatenate(weights), floors, top):
+            yield numbers[at], ids, scores
+
+    def answer(self, query_ids: np.ndarray, rows: np.ndarray, at: np.ndarray, weights: np.ndarray, floors: np.ndarray, top: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Query, ids and scores for those of some queries that find any; their terms come by query, as numbers in this shard.
+
+        What the common terms give in open blocks is added up in single precision, for all the queries together. With it,
+        blocks are closed whose best document falls short even with the maxima of the rare terms. The postings of those are
+        added for the queries left, and documents are picked that may be among the best; their scores are exact.
         """
-        found = [self._here(terms, weights) for _, _, terms, weights in queries]
-        table = np.zeros((len(queries), len(self.common_most)))
-        rare, bounds = [], np.zeros((len(queries), self.blocks))
-        for row, (at, weights) in enumerate(found):
-            own = self.common[at] >= 0
-            table[row, self.common[at[own]]] = weights[own]
-            at, weights = at[~own], weights[~own]
-            low, high = self.term_entries[at], self.term_entries[at + 1]
-            entries, entry_weights = _spans(low, high), np.repeat(weights, high - low)
-            blocks = self.entry_blocks.take(entries)
-            rare.append((entries, blocks, entry_weights))
-            bounds[row] = np.bincount(blocks, entry_weights * self.entry_most.take(entries), self.blocks)
-        most = bounds + table @ self.common_most
-        opened = (most + SLACK >= floors[:, None]) & (most > 0)
+        here = np.flatnonzero(at >= 0)
+        rows, at, weights = rows[here], at[here], weights[here]
+        entries, entry_rows, entry_weights, entry_blocks = self._entries(rows, at, weights)
+        columns = self.common.take(entries)
+        own = np.flatnonzero(columns >= 0)
+        table = np.zeros((len(query_ids), self.columns))
+        table[entry_rows[own], columns[own]] = entry_weights[own]
+        bounds = np.zeros((2, len(query_ids), self.blocks))  # of common and of rare terms
+        places = (columns < 0) * (len(query_ids) * self.blocks) + entry_rows * self.blocks + entry_blocks
+        bounds.ravel()[:] = np.bincount(places, entry_weights * self.entry_most.take(entries), bounds.size)
+        rounded, least = table.astype(np.float32), floors - SLACK
+        opened = (bounds.sum(0) >= least[:, None]) & (bounds.sum(0) > 0)
         self.opened += int(opened.sum())
         self.asked += opened.size
-        rounded = table.astype(np.float32)
-        order = np.lexsort(opened.T) if self.blocks else np.arange(len(queries))
-        for first in range(0, len(order), TOGETHER):
-            rows = order[first : first + TOGETHER]
-            scores = np.zeros((len(rows), self.blocks, self.block), np.float32)
-            for block in np.flatnonzero(opened[rows].any(0)).tolist():
-                scores[:, block] = rounded[rows] @ self.common_impacts[block]
-            for own, row in zip(scores, rows.tolist()):
-                yield queries[row][0], *self._rank(queries[row][1], own, table[row], opened[row], bounds[row], *rare[row], floors[row], top)
+        common = np.zeros((len(query_ids), len(self.ids)), np.float32)
+        slack = np.full(len(query_ids), SLACK)
+        for block, (docs, own, impacts, _) in enumerate(self.rows):
+            mine = np.flatnonzero(opened[:, block])
+            given = rounded[mine, own]
+            used = np.flatnonzero(given.any(0))
+            if 4 * len(used) < 3 * len(impacts):
+                given, impacts = given[:, used], impacts[used]
+            if not given.size:
+                most = np.zeros(len(mine))
+            else:
+                found = given @ impacts
+                common[mine, docs] = found
+                most = found.max(1).astype(np.float64)
+            # how far a sum of rounded products may be from the exact one
+            slack[mine] = np.maximum(slack[mine], SLACK + (len(used) + 8) * 2.0**-23 * most)
+            opened[mine, block] = most + bounds[1, mine, block] + slack[mine] >= floors[mine]
+        slack += 2.0**-23 * bounds[1].max(1, initial=0)
+        term_cuts, entry_cuts = (np.searchsorted(own, np.arange(len(query_ids) + 1)).tolist() for own in (rows, entry_rows))
+        few = 2 * opened.sum(1) <= self.blocks
+        packed = self.postings.view(np.uint64).ravel()
+        for row in np.flatnonzero(opened.any(1)).tolist():
+            if few[row]:
+                part = slice(entry_cuts[row], entry_cuts[row + 1])
+                own = np.flatnonzero(opened[row][entry_blocks[part]])
+                asked, given, runs = entries[part][own], entry_weights[part][own], self.rare_entries
+            else:
+                part = slice(term_cuts[row], term_cuts[row + 1])
+                asked, given, runs = at[part], weights[part], self.rare_terms
+            starts = runs[asked]
+            sizes = runs[asked + 1] - starts
+            places = _spans(starts, starts + sizes)
+            found, given = packed.take(places), np.repeat(given, sizes)
+            scores = common[row] + np.bincount((found >> np.uint64(32)).view(np.int64), found.view(np.float32)[::2] * given, len(self.ids))
+            docs = np.flatnonzero(scores >= max(floors[row] - slack[row], 1e-300))
+            docs = docs[self.ids[docs] != query_ids[row]]
+            if len(docs) > 4 * top:
+                rough = scores[docs]
+                docs = docs[rough >= np.partition(rough, len(docs) - top)[len(docs) - top] - 2 * slack[row]]
+            if not len(docs):
+                continue
+            exact = self._common(table[row], docs) + self._rare(places, given, docs)
+            docs, exact = docs[exact >= floors[row] - SLACK], exact[exact >= floors[row] - SLACK]
+            exact = np.round(exact, DECIMALS)
+            best = np.lexsort((self.ids[docs], -exact))[:top]
+            if len(best):
+                yield row, self.ids[docs[best]], exact[best]
 
     def _common(self, weights: np.ndarray, docs: np.ndarray) -> np.ndarray:
         """What the common terms give to some documents, exactly."""
-        rows = np.flatnonzero(weights)
-        counts = self.common_counts[docs // self.block, rows[:, None], docs % self.block].astype(np.float64)
-        return weights[rows] @ (counts * (K1 + 1) / (self.norms[docs] + counts))
-
-    def _rank(
-        self,
-        query_id: int,
-        common: np.ndarray,
-        common_weights: np.ndarray,
-        opened: np.ndarray,
-        bounds: np.ndarray,
-        entries: np.ndarray,
-        blocks: np.ndarray,
-        weights: np.ndarray,
-        floor: float,
-        top: int,
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Add the postings of the rare terms in open blocks to what the common terms give, and pick the best.
-
-        The common terms' part comes rounded: with it, blocks are closed whose best document falls short even with the
-        maxima of the rare terms, and documents are picked that may be among the best; their scores are exact.
-        """
-        most = common.max(1, initial=0).astype(np.float64)
-        slack = SLACK + self.rounding * float(most.max(initial=0))
-        opened = opened & (most + bounds + slack >= floor)
-        if not opened.any():
-            return self.ids[:0], np.zeros(0)
-        if not opened.all():
-            own = opened.take(blocks)
-            entries, weights = entries[own], weights[own]
-            common[~opened] = 0
-        first, last = self.entry_starts[entries], self.entry_starts[entries + 1]
-        postings = _spans(first, last)
-        rare = np.bincount(self.docs.take(postings), np.repeat(weights, last - first) * self.impacts.take(postings), common.size)
-        scores = (rare + common.ravel())[: len(self.ids)]
-        ranked = np.flatnonzero(scores >= max(floor - slack, 1e-300))
-        ranked = ranked[self.ids[ranked] != query_id]
-        if len(ranked) > 4 * top:
-            cut = np.partition(scores[ranked], len(ranked) - top)[len(ranked) - top]
-            ranked = ranked[scores[ranked] >= cut - 2 * slack]
-        exact = rare[ranked] + self._common(common_weights, ranked)
-        ranked, exact = ranked[exact >= floor - SLACK], exact[exact >= floor - SLACK]
-        exact = np.round(exact, DECIMALS)
-        best = np.lexsort((self.ids[ranked], -exact))[:top]
-        return self.ids[ranked[best]], exact[best]
+        given = np.zeros(len(docs))
+        for (own, columns, _, times), low, high in zip(self.rows, *(np.searchsorted(docs, edge).tolist() for edge in (self.cuts[:-1], self.cuts[1:]))):
+            if low < high:
+                held = np.flatnonzero(weights[columns])
+                counts = times[held[:, None], docs[low:high] - own.start].astype(np.float64)
+                given[low:high] = weights[columns][held] @ (counts * (K1 + 1) / (self.norms[docs[low:high]] + counts))
+        return given
+
+    def _rare(self, places: np.ndarray, weights: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """What some postings of rare terms give to some documents, exactly."""
+        number = np.full(len(self.ids), -1, np.int32)
+        number[docs] = np.arange(len(docs))
+        mine = number.take(self.docs.take(places))
+        own = np.flatnonzero(mine >= 0)
+        counts = self.counts[places[own]].astype(np.float64)
+        return np.bincount(mine[own], weights[own] * (counts * (K1 + 1) / (self.norms[docs[mine[own]]] + counts)), len(docs))
 
 
 _ANSWERS = "query_id long, doc_id long, score double, opened long, asked long"
 
 
 def _answers(block: tuple[np.ndarray, ...], mean_length: float, top: int, block_size: int, keys: np.ndarray | None = None):
-    """Answer one block of queries: rows of query, term and weight in order of query and term, and each query's floor.
+    """Answer one block of queries, as `_query_block` gives it, with each query's floor.
 
     A task keeps the best of its shards so far, which raises the floors for the next ones, and returns them once. With
     `keys`, the shards' keys, every query is answered by one shard only.
     """
-    queries, terms, weights, floors = block
-    cuts = np.flatnonzero(np.r_[True, queries[1:] != queries[:-1], True]).tolist()
-    asked = [(int(queries[low]), terms[low:high], weights[low:high]) for low, high in zip(cuts, cuts[1:])]
+    queries, cuts, terms, numbers, weights, floors = block
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reached = floors.copy()
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        order = None
         opened = looked = 0
         for batch in batches:
             for row in range(batch.num_rows):
-                shard = Shard({name: batch.column(at)[row].as_py() for at, name in enumerate(batch.schema.names)}, mean_length, block_size)
-                mine = np.arange(len(asked))
-                if keys is not None:
-                    mine = mine[keys[mine % len(keys)] == shard.key]
-                for first in range(0, len(mine), QUERIES_AT_ONCE):
-                    part = mine[first : first + QUERIES_AT_ONCE]
-                    for at, ids, scores in shard.best([(int(at), *asked[at]) for at in part.tolist()], reached[part], top):
+                values = {name: batch.column(at)[row] for at, name in enumerate(batch.schema.names)}
+                shard = Shard({name: value.as_py() if name == "key" else value.as_buffer() for name, value in values.items()}, mean_length, block_size)
+                where = shard.where(terms)
+                if order is None:  # queries that open the same blocks are scored together
+                    parts = [np.arange(first, min(first + TOGETHER, len(queries))) for first in range(0, len(queries), TOGETHER)]
+                    likeliest = [shard.likeliest(*_asked(part, cuts, where, numbers, weights), len(part)) for part in parts]
+                    order = np.lexsort((np.diff(cuts), np.concatenate(likeliest)))
+                mine = order if keys is None else order[keys[order % len(keys)] == shard.key]
+                for first in range(0, len(mine), TOGETHER):
+                    part = mine[first : first + TOGETHER]
+                    found = shard.answer(queries[part], *_asked(part, cuts, where, numbers, weights), reached[part], top)
+                    for at, ids, scores in found:
+                        at = int(part[at])
                         if at in best:
                             ids, scores = np.r_[best[at][0], ids], np.r_[best[at][1], scores]
-                            order = np.lexsort((ids, -scores))[:top]
-                            ids, scores = ids[order], scores[order]
+                            ranked = np.lexsort((ids, -scores))[:top]
+                            ids, scores = ids[ranked], scores[ranked]
                         best[at] = ids, scores
                         if len(ids) == top:
                             reached[at] = max(reached[at], scores[-1])
                 opened, looked = opened + shard.opened, looked + shard.asked
-                del shard
+                del shard, values
         if best:
             sizes = [len(ids) for ids, _ in best.values()]
             blocks = np.zeros((2, sum(sizes)), np.int64)
             blocks[:, :1] = [[opened], [looked]]  # for the share of opened blocks, summed over rows
             columns = [
-                np.repeat([asked[at][0] for at in best], sizes).astype(np.int64),
+                np.repeat([queries[at] for at in best], sizes).astype(np.int64),
                 np.concatenate([ids for ids, _ in best.values()]),
                 np.concatenate([scores for _, scores in best.values()]),
                 *blocks,
@@ -321,21 +411,35 @@ def _answers(block: tuple[np.ndarray, ...], mean_length: float, top: int, block_
     return work
 
 
+def _asked(part: np.ndarray, cuts: np.ndarray, where: np.ndarray, numbers: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The rows of some queries: the query's number among them, the term's in a shard, and the weight."""
+    rows = _spans(cuts[part], cuts[part + 1])
+    return np.repeat(np.arange(len(part)), cuts[part + 1] - cuts[part]), where[numbers[rows]], weights[rows]
+
+
 def _query_block(weighted: DataFrame, at: int, blocks: int) -> tuple[np.ndarray, ...] | None:
-    """One block of queries on the driver: about `QUERY_ROWS` rows of three numbers; repeated query rows are one query."""
+    """One block of queries on the driver, about `QUERY_ROWS` rows of three numbers; repeated query rows are one query.
+
+    Returns the queries' ids, where the rows of each begin, the terms asked for, and for each row its term's number among
+    these and its weight.
+    """
     table = weighted.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == at).toArrow()
-    arrays = [table.column(name).to_numpy() for name in ("query_id", "term", "weight")]
-    order = np.lexsort((arrays[1], arrays[0]))
+    queries, terms, weights = (table.column(name).to_numpy() for name in ("query_id", "term", "weight"))
+    order = np.lexsort((terms, queries))
     if not len(order):
         return None
-    keep = np.r_[True, (np.diff(arrays[0][order]) != 0) | (np.diff(arrays[1][order]) != 0)]
-    return tuple(array[order][keep] for array in arrays)
+    order = order[np.r_[True, (np.diff(queries[order]) != 0) | (np.diff(terms[order]) != 0)]]
+    queries, weights = queries[order], weights[order]
+    terms, numbers = np.unique(terms[order], return_inverse=True)
+    new = np.flatnonzero(np.r_[True, queries[1:] != queries[:-1]])
+    return queries[new], np.r_[new, len(queries)].astype(np.int32), terms, numbers.astype(np.int32), weights
 
 
 def _floors(index: DataFrame, block: tuple[np.ndarray, ...], keys: np.ndarray, mean_length: float, top: int, block_size: int) -> np.ndarray:
-    """For each query of a block its k-th score in one shard, zero where that shard has fewer answers."""
-    ids = np.unique(block[0])
+    """For each query of a block its k-th score in one of the shards of `keys`, zero where that has fewer answers."""
+    ids = block[0]
     shared = index.sparkSession.sparkContext.broadcast((*block, np.zeros(len(ids))))
+    index = index.filter(F.col("key").isin(keys.tolist()))
     answers = index.mapInArrow(lambda batches: _answers(shared.value, mean_length, top, block_size, keys)(batches), _ANSWERS)
     kth = answers.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list("score"), False), 1, top).alias("scores"))
     kth = kth.filter(F.size("scores") == top).select("query_id", F.element_at("scores", -1).alias("low")).toArrow()  # two numbers a query
@@ -348,7 +452,7 @@ def _floors(index: DataFrame, block: tuple[np.ndarray, ...], keys: np.ndarray, m
 def shard_answers(documents: DataFrame, queries: DataFrame, top: int = TOP, shard_size: int = SHARD, block_size: int = BLOCK) -> DataFrame:
     """Every shard's answers, and the document blocks it opened and was asked about, summed over rows."""
     spark = documents.sparkSession
-    index, _ = staged(documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda batches: _shards(batches, shard_size), _SHARD_COLUMNS), "shards")
+    index, _ = staged(documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda batches: _shards(batches, shard_size, block_size), _SHARD_COLUMNS), "shards")
     frequencies = index.select("terms", "starts").mapInArrow(_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("held"))
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,13 +470,14 @@ def shard_answers(documents: DataFrame, queries: DataFrame, top: int = TOP, shar
     # a task takes several shards where there are more shards than cores, so that answers grow with the tasks
     index = index.coalesce(2 * spark.sparkContext.defaultParallelism)
     keys, mean = np.array(sorted(row["key"] for row in index.select("key").distinct().collect()), np.int64), words / max(files, 1)  # one number a shard
+    first = keys[:: max(1, -(-len(keys) // (2 * spark.sparkContext.defaultParallelism)))]  # as many as there are tasks
     blocks = max(1, -(-weighted.count() // QUERY_ROWS))
     found = spark.createDataFrame([], _ANSWERS)
     for at in range(blocks):
         block = _query_block(weighted, at, blocks)
         if block is None:
             continue
-        shared = spark.sparkContext.broadcast((*block, _floors(index, block, keys, mean, top, block_size)))
+        shared = spark.sparkContext.broadcast((*block, _floors(index, block, first, mean, top, block_size)))
         answers, _ = staged(index.mapInArrow(lambda batches, shared=shared: _answers(shared.value, mean, top, block_size)(batches), _ANSWERS), "answers")
         found = found.unionByName(answers)
         shared.unpersist()

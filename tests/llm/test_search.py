@@ -215,6 +215,62 @@ def test_bm25_opens_only_blocks_that_reach_the_floor(spark, monkeypatch):
     assert pruned == sorted(tuple(row) for row in bm25_search.search(docs, docs.filter("doc_id % 20 = 0"), 5, **sizes).collect())
 
 
+def _bm25_shard(rows, mean, block):
+    batch = pa.RecordBatch.from_arrays([pa.array([at for at, _ in rows]), pa.array([text for _, text in rows])], ["doc_id", "text"])
+    return bm25_search.Shard(next(bm25_search._shards(iter([batch]), len(rows), block)).to_pylist()[0], mean, block)
+
+
+def test_bm25_keeps_rows_for_the_common_terms_of_each_block():
+    """Texts of four vocabularies come mixed; a block is of one of them, and keeps no rows for the terms of the others."""
+    draw = random.Random(4)
+    tongues = [words(60 + at, 40) for at in range(4)]
+    shard = _bm25_shard([(at, " ".join(draw.choices(tongues[at % 4], k=80))) for at in range(400)], 80, 100)
+    for low, high in zip(shard.cuts, shard.cuts[1:]):
+        assert len({at % 4 for at in shard.ids[low:high].tolist()}) == 1
+    assert shard.common_impacts.size <= 400 * 40
+
+
+@pytest.mark.parametrize(("share", "block"), [(2, 6), (2, 40), (1, 6), (1000, 6), (14, 300)])
+@pytest.mark.parametrize("raised", [False, True])
+def test_bm25_shard_adds_up_common_and_rare_terms(share, block, raised, monkeypatch):
+    """Whatever terms are common and blocks open, a shard's answers are those of scoring every document of it."""
+    monkeypatch.setattr(bm25_search, "COMMON_SHARE", share)
+    draw = random.Random(share + block)
+    tongues = [words(70 + at, 90) for at in range(3)]
+    rows = [(at, " ".join(tongues[at % 3][min(int(draw.expovariate(0.06)), 89)] for _ in range(draw.choice([1, 4, 30, 200])))) for at in range(240)]
+    rows += [(500 + at, rows[at][1]) for at in range(12)]
+    shard = _bm25_shard(rows, 50, block)
+    held = {at: Counter(text.split()) for at, text in rows}
+    queries, want = [], []
+    for at in range(0, 240, 7):
+        weights = {int(bm25_search._terms(term)[0][0]): times * (1 + len(term) / 7) for term, times in held[at].items()}
+        scores = []
+        for other, own in held.items():
+            norm = 1.2 * (0.25 + 0.75 * own.total() / 50)
+            score = sum(times * (1 + len(term) / 7) * own[term] * 2.2 / (own[term] + norm) for term, times in held[at].items() if term in own)
+            if other != at and score > 0:
+                scores.append((-round(score, 8), other))
+        want.append(sorted(scores)[:5])
+        queries.append((at, at, np.array(sorted(weights)), np.array([weights[term] for term in sorted(weights)])))
+    floors = np.array([-best[-1][0] if raised and len(best) == 5 else 0.0 for best in want])
+    got = {at: (ids.tolist(), scores) for at, ids, scores in shard.best(queries, floors, 5)}
+    for (at, *_), best in zip(queries, want):
+        ids, scores = got.get(at, ([], []))
+        assert ids == [other for _, other in best] and np.allclose(scores, [-score for score, _ in best], rtol=0, atol=2e-8)
+
+
+def test_bm25_floors_come_from_as_many_shards_as_there_are_tasks(spark, monkeypatch):
+    """Not every shard is made ready for the floors, however many there are; the answers are those without any floor."""
+    docs = documents(spark, [(at, " ".join(words(at % 50, 6) + words(900 + at, 3))) for at in range(600)]).repartition(3)
+    asked = []
+    plain = bm25_search._floors
+    monkeypatch.setattr(bm25_search, "_floors", lambda index, block, keys, *rest: asked.append(len(keys)) or plain(index, block, keys, *rest))
+    got = bm25_search.search(docs, docs.filter("doc_id % 50 = 0"), 5, 10, 4).collect()
+    assert asked and max(asked) <= 2 * spark.sparkContext.defaultParallelism < 60
+    monkeypatch.setattr(bm25_search, "_floors", lambda index, block, *_: np.zeros(len(np.unique(block[0]))))
+    assert sorted(got) == sorted(bm25_search.search(docs, docs.filter("doc_id % 50 = 0"), 5, 10, 4).collect())
+
+
 def toxic_table(spark):
     rows, labels = list(AWKWARD), [(1, 0), (None, 1), (4, None), (5, 7)]
     for at in range(200):
