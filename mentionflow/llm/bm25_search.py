@@ -51,14 +51,20 @@ ORDER_TERMS, ORDER_SAMPLE, APART = 256, 2048, 0.85
 #: Scores are rounded to so many decimals, so that equal texts tie whatever the order of addition was.
 DECIMALS, SLACK = 8, 1e-7
 _WORD = re.compile(r"[^\W_]+")
+#: Characters beyond ASCII that are no part of a word; and ASCII in lower case, with blanks for what is no part of a word.
+_FOREIGN = re.compile(r"[^\w\x00-\x7f]")
+_ASCII = bytes(byte if byte >= 128 else ord(chr(byte).lower()) if chr(byte).isalnum() else 32 for byte in range(256))
 _SHARD_COLUMNS = "key long, ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary, cuts binary"
 
 
 def _terms(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
     """Term hashes of a text in ascending order, how often each stands in it, and its number of words."""
-    words = _WORD.findall((text or "").lower())
+    text = text or ""
+    plain = text.isascii()
+    text = text if plain else text.lower()
+    words = text.encode().translate(_ASCII).split() if plain or not _FOREIGN.search(text) else _WORD.findall(text)
     counts = Counter(words)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts))
+    hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, counts)), ">u8").astype(np.uint64)
     terms = (hashes ^ np.uint64(1 << 63)).view(np.int64)  # in the same order, signed
     order = np.argsort(terms)
     return terms[order], np.fromiter(counts.values(), np.int32, len(counts))[order], len(words)

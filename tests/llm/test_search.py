@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -215,6 +216,15 @@ def test_bm25_opens_only_blocks_that_reach_the_floor(spark, monkeypatch):
     assert pruned == sorted(tuple(row) for row in bm25_search.search(docs, docs.filter("doc_id % 20 = 0"), 5, **sizes).collect())
 
 
+@pytest.mark.parametrize("text", ["", "_", "A_b c1\x00D\x1ce\x7f-f\tf", "ÄÖÜ ß_Straße naïve A", "é·b — “q” ½ x²", "İI ıi K", "e\u0301 e\u200bz", "中文 字_x", "😀 a😀b", "\xa0a\xa0B\x85c", "ΣΑΣ ςσ"])
+def test_bm25_words_of_any_script(text):
+    """Words are cut as the pattern does it, whichever way a text takes, and hashed as UTF-8."""
+    counts = Counter(re.findall(r"[^\W_]+", text.lower()))
+    terms, times, length = bm25_search._terms(text)
+    want = sorted((xxhash.xxh64_intdigest(word) - (1 << 63), n) for word, n in counts.items())
+    assert list(zip(terms.tolist(), times.tolist())) == want and length == counts.total()
+
+
 def _bm25_shard(rows, mean, block):
     batch = pa.RecordBatch.from_arrays([pa.array([at for at, _ in rows]), pa.array([text for _, text in rows])], ["doc_id", "text"])
     return bm25_search.Shard(next(bm25_search._shards(iter([batch]), len(rows), block)).to_pylist()[0], mean, block)
