@@ -231,11 +231,12 @@ class Shard:
             first, column = last, column + len(own)
         self.columns = column
         rare = np.flatnonzero(np.repeat(self.common < 0, held))
-        self.docs, self.counts = docs[rare], counts[rare]
+        self.counts = counts[rare]
         #: Document and rounded impact side by side, so that both are read at once.
         self.postings = np.empty((len(rare), 2), np.uint32)
         self.postings[:, 0] = impacts[rare].astype(np.float32).view(np.uint32)
-        self.postings[:, 1] = self.docs
+        self.postings[:, 1] = docs[rare]
+        self.number = np.full(len(self.ids), -1, np.int32)
         self.rare_entries = np.r_[0, np.cumsum(held * (self.common < 0))].astype(np.int32)
         self.rare_terms = self.rare_entries[self.term_entries]
 
@@ -327,7 +328,8 @@ class Shard:
             sizes = runs[asked + 1] - starts
             places = _spans(starts, starts + sizes)
             found, given = packed.take(places), np.repeat(given, sizes)
-            scores = common[row] + np.bincount((found >> np.uint64(32)).view(np.int64), found.view(np.float32)[::2] * given, len(self.ids))
+            holders = (found >> np.uint64(32)).view(np.int64)
+            scores = common[row] + np.bincount(holders, found.view(np.float32)[::2] * given, len(self.ids))
             docs = np.flatnonzero(scores >= max(floors[row] - slack[row], 1e-300))
             docs = docs[self.ids[docs] != query_ids[row]]
             if len(docs) > 4 * top:
@@ -335,7 +337,7 @@ class Shard:
                 docs = docs[rough >= np.partition(rough, len(docs) - top)[len(docs) - top] - 2 * slack[row]]
             if not len(docs):
                 continue
-            exact = self._common(table[row], docs) + self._rare(places, given, docs)
+            exact = self._common(table[row], docs) + self._rare(places, holders, given, docs)
             docs, exact = docs[exact >= floors[row] - SLACK], exact[exact >= floors[row] - SLACK]
             exact = np.round(exact, DECIMALS)
             best = np.lexsort((self.ids[docs], -exact))[:top]
@@ -345,21 +347,23 @@ class Shard:
     def _common(self, weights: np.ndarray, docs: np.ndarray) -> np.ndarray:
         """What the common terms give to some documents, exactly."""
         given = np.zeros(len(docs))
-        for (own, columns, _, times), low, high in zip(self.rows, *(np.searchsorted(docs, edge).tolist() for edge in (self.cuts[:-1], self.cuts[1:]))):
-            if low < high:
-                held = np.flatnonzero(weights[columns])
-                counts = times[held[:, None], docs[low:high] - own.start].astype(np.float64)
-                given[low:high] = weights[columns][held] @ (counts * (K1 + 1) / (self.norms[docs[low:high]] + counts))
+        edges = np.searchsorted(docs, self.cuts)
+        for block in np.flatnonzero(np.diff(edges)).tolist():
+            own, columns, _, times = self.rows[block]
+            mine, asked = docs[edges[block] : edges[block + 1]], weights[columns]
+            held = np.flatnonzero(asked)
+            counts = times[held[:, None], mine - own.start].astype(np.float64)
+            given[edges[block] : edges[block + 1]] = asked[held] @ (counts * (K1 + 1) / (self.norms[mine] + counts))
         return given
 
-    def _rare(self, places: np.ndarray, weights: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        """What some postings of rare terms give to some documents, exactly."""
-        number = np.full(len(self.ids), -1, np.int32)
-        number[docs] = np.arange(len(docs))
-        mine = number.take(self.docs.take(places))
+    def _rare(self, places: np.ndarray, holders: np.ndarray, weights: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """What some postings of rare terms, with the documents they are of, give to some documents, exactly."""
+        self.number[docs] = np.arange(len(docs))
+        mine = self.number.take(holders)
+        self.number[docs] = -1
         own = np.flatnonzero(mine >= 0)
-        counts = self.counts[places[own]].astype(np.float64)
-        return np.bincount(mine[own], weights[own] * (counts * (K1 + 1) / (self.norms[docs[mine[own]]] + counts)), len(docs))
+        mine, counts = mine[own], self.counts[places[own]].astype(np.float64)
+        return np.bincount(mine, weights[own] * (counts * (K1 + 1) / (self.norms[docs[mine]] + counts)), len(docs))
 
 
 _ANSWERS = "query_id long, doc_id long, score double, opened long, asked long"
@@ -394,7 +398,7 @@ def _answers(block: tuple[np.ndarray, ...], mean_length: float, top: int, block_
                     for at, ids, scores in found:
                         at = int(part[at])
                         if at in best:
-                            ids, scores = np.r_[best[at][0], ids], np.r_[best[at][1], scores]
+                            ids, scores = np.concatenate([best[at][0], ids]), np.concatenate([best[at][1], scores])
                             ranked = np.lexsort((ids, -scores))[:top]
                             ids, scores = ids[ranked], scores[ranked]
                         best[at] = ids, scores
